@@ -77,7 +77,7 @@ def utilization_from_usage(usage: DataFrame, width: int, scope: tuple[str, ...]
     entropy = F.greatest(F.lit(0.0), F.ln(size) - F.col("n_ln_n") / size)
     return sums.select(
         *scope, "level", "scope_size",
-        (F.lit(1.0) - F.col("live") / F.lit(float(width))).alias("dead_code_rate"),
+        ((F.lit(width) - F.col("live")) / F.lit(float(width))).alias("dead_code_rate"),
         entropy.alias("entropy"),
         (F.col("top") / size).alias("max_code_share"),
     )
