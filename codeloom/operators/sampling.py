@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from codeloom.functions.names import HOT_MARKET, LEAGUE, PRODUCT_ID, TEAM
 from codeloom.functions.scalars import leading_bits, parse_flag, seeded_md5, seeded_uniform
 from codeloom.operators.ranking import HOT_ROWS, ranked
+from codeloom.session import write_and_read
 
 # A top-K list up to this length is sent to every task.
 BROADCAST_ROWS = 10_000
@@ -27,13 +29,23 @@ def with_split(
 
     The count per stratum is floor(n * f + 0.5), at least 1 and at most n - 1; a stratum of one row trains.
     """
-    hashed = df.withColumn("hash_", seeded_md5(key, seed))
+    hashed = df.select(key, *strata).withColumn("hash_", seeded_md5(key, seed))
     placed = ranked(
         hashed, strata, ["hash_", key], leading_bits(F.col("hash_"), 15), "rank_", "size_", hot_rows
     )
     share = F.floor(F.col("size_") * F.lit(float(val_fraction)) + F.lit(0.5))
     wanted = F.when(F.col("size_") < 2, 0).otherwise(F.greatest(F.lit(1), F.least(share, F.col("size_") - 1)))
-    return placed.withColumn("is_val", F.col("rank_") <= wanted).drop("hash_", "rank_", "size_")
+    # The last validation row of every stratum is its threshold. Only keys and strata are shuffled
+    # for it; the rows themselves are then marked where they are (Spark broadcasts the thresholds
+    # if the written table is small).
+    last = placed.where(F.col("rank_") == wanted).select(
+        *[F.col(c).alias(f"{c}__") for c in strata], F.struct("hash_", key).alias("last_")
+    )
+    limits = write_and_read(last, "split-limits")
+    same = reduce(lambda a, b: a & b, [df[c].eqNullSafe(limits[f"{c}__"]) for c in strata])
+    mine = F.struct(seeded_md5(df[key], seed).alias("hash_"), df[key].alias(key))
+    chosen = F.coalesce(mine <= F.col("last_"), F.lit(False))
+    return df.join(limits, same, "left").select(*[df[c] for c in df.columns], chosen.alias("is_val"))
 
 
 def stratified_train_val_split(

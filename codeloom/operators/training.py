@@ -36,7 +36,7 @@ from codeloom.operators.quantize import Artifact, encode
 from codeloom.operators.ranking import first_in_group
 from codeloom.operators.sampling import resample_copies, uniform_sample
 from codeloom.params import QuantizerParams, TrainParams
-from codeloom.session import write_and_read
+from codeloom.session import stored
 
 BLOCK = 4096
 DOUBLES = T.ArrayType(T.DoubleType())
@@ -458,9 +458,9 @@ def _usage_summary(counts: np.ndarray) -> tuple[float, float]:
 
 
 def initial_model(
-    train: DataFrame, d_in: int, quantizer: QuantizerParams, seed: int, warm_start: Artifact | None = None
+    probe: DataFrame, d_in: int, quantizer: QuantizerParams, seed: int, warm_start: Artifact | None = None
 ) -> Model:
-    """Fresh weights and k-means codebooks on a probe of the latent rows, or a prior artifact."""
+    """Fresh weights and k-means codebooks on the latent rows of a probe, or a prior artifact."""
     shape = (quantizer.L, quantizer.W, quantizer.d)
     if warm_start is not None:
         if warm_start.codebooks.shape != shape or warm_start.d_in != d_in or not warm_start.weights:
@@ -474,7 +474,6 @@ def initial_model(
         sizes = np.ones(shape[:2])
         if quantizer.kmeans_init:
             start = Artifact(codebooks=books, weights=weights, d_in=d_in)
-            probe = uniform_sample(train.select(PRODUCT_ID, EMBEDDING), quantizer.init_probe_rows, seed, "init")
             latent = encode(probe, start).select(PRODUCT_ID, "latent").persist(StorageLevel.MEMORY_AND_DISK)
             books, counts, _ = fit_codebooks(
                 latent, "latent", quantizer.W, quantizer.L, quantizer.kmeans_iterations, seed
@@ -488,15 +487,22 @@ def initial_model(
     )
 
 
-def training_table(train: DataFrame, seed: int, rounds: int) -> DataFrame:
-    """Key, vector and weight, written once so that a round reads only its own slice."""
+def sliced_rows(train: DataFrame, seed: int, rounds: int) -> DataFrame:
+    """Key, vector and weight with the slice a row belongs to, by seeded hash."""
     columns = train.select(PRODUCT_ID, EMBEDDING, "sample_weight")
     if rounds == 1:
-        return write_and_read(columns.withColumn("slice", F.lit(0)), "train")
+        return columns.withColumn("slice", F.lit(0))
     mixed = leading_bits(seeded_md5(PRODUCT_ID, seed, "slice"), 13)
     sliced = columns.withColumn("slice", F.pmod(mixed, F.lit(rounds)).cast("int"))
     spread = F.pmod(F.shiftright(mixed, 24), F.lit(64))
-    return write_and_read(sliced.repartition("slice", spread), "train", ["slice"])
+    return sliced.repartition("slice", spread)
+
+
+def probe_rows(table: DataFrame, rows: int, total: int, rounds: int, *seed: object, turn: int = 0) -> DataFrame:
+    """A uniform sample. A slice is itself a hash sample, so one slice is read if it is large enough."""
+    if rounds > 1 and total // rounds >= 4 * rows:
+        table = table.where(F.col("slice") == turn % rounds)
+    return uniform_sample(table.select(PRODUCT_ID, EMBEDDING), rows, *seed)
 
 
 def train_quantizer(
@@ -515,9 +521,18 @@ def train_quantizer(
         raise ValueError("no training rows")
     per_round = training.batch_size if training.mode == "sync" else training.rows_per_round
     rounds = max(1, math.ceil(totals["n"] / per_round))
-    table = training_table(train, training.seed, rounds)
-    held_out = write_and_read(val.select(PRODUCT_ID, EMBEDDING), "val")
-    model = initial_model(table, d_in, quantizer, training.seed, warm_start)
+    layout = ["slice"] if rounds > 1 else None
+    with stored(sliced_rows(train, training.seed, rounds), "train", layout) as table:
+        with stored(val.select(PRODUCT_ID, EMBEDDING), "val") as held_out:
+            return _epochs(table, held_out, totals["n"], totals["w"], rounds, d_in, quantizer, training, warm_start)
+
+
+def _epochs(
+    table: DataFrame, held_out: DataFrame, n_rows: int, weight_sum: float, rounds: int, d_in: int,
+    quantizer: QuantizerParams, training: TrainParams, warm_start: Artifact | None,
+) -> tuple[Artifact, list[EpochStats]]:
+    probe = probe_rows(table, quantizer.init_probe_rows, n_rows, rounds, training.seed, "init")
+    model = initial_model(probe, d_in, quantizer, training.seed, warm_start)
 
     def frozen(state: Model) -> Artifact:
         return Artifact(codebooks=state.books, weights=state.weights, d_in=d_in)
@@ -529,7 +544,7 @@ def train_quantizer(
         losses = []
         for part in range(rounds):
             drawn = resample_copies(
-                table.where(F.col("slice") == part), totals["n"], totals["w"], training.seed, epoch
+                table.where(F.col("slice") == part), n_rows, weight_sum, training.seed, epoch
             )
             rows = drawn.where("copies > 0").select(EMBEDDING, "copies")
             if training.mode == "sync":
@@ -547,7 +562,9 @@ def train_quantizer(
         if quantizer.dead_code_reset and (epoch + 1) % quantizer.dead_code_reset_every == 0:
             limit, relative = quantizer.dead_code_reset_threshold, quantizer.dead_threshold_relative
             if any(dead_codes(level, limit, relative).any() for level in usage):
-                probe = uniform_sample(table, quantizer.reset_probe_rows, training.seed, "reset", epoch)
+                probe = probe_rows(
+                    table, quantizer.reset_probe_rows, n_rows, rounds, training.seed, "reset", epoch, turn=epoch
+                )
                 pools = collect_pools(level_rows(probe, frozen(model)), quantizer.reset_pool_rows)
                 model.books, model.sizes, model.sums, reset = reset_dead(
                     frozen(model), model.sizes, model.sums, usage, pools, limit, relative

@@ -12,10 +12,9 @@ from codeloom.operators.sampling import add_sample_weight, with_split
 from codeloom.operators.training import EpochStats, history_frame, train_quantizer
 from codeloom.params import RunParams
 from codeloom.plans.quality import base_counts, report_tables
-from codeloom.session import write_and_read
+from codeloom.session import stored
 from codeloom.sources.catalog import read_assignments, read_catalog
 from codeloom.sources.tables import (
-    artifact_path,
     assert_unique,
     load_artifact,
     publish_assignment,
@@ -34,14 +33,15 @@ def run_training(
     prep, weights = params.prep, params.weights
     ready = prepare(read_catalog(spark, source, columns), prep.embedding_dim)
     split = with_split(ready, prep.val_fraction, prep.split_seed, list(prep.strata_columns))
-    stored = write_and_read(split, "split", ["is_val"])
-    train = add_sample_weight(
-        stored.where(~F.col("is_val")), weights.hot_bucket_top_k, weights.hot_bucket_weight, weights.hot_market_weight
-    )
     prior = load_artifact(spark, output, warm_start) if warm_start else None
-    artifact, history = train_quantizer(
-        train, stored.where("is_val"), prep.embedding_dim, params.quantizer, params.training, prior
-    )
+    with stored(split, "split", ["is_val"]) as rows:
+        train = add_sample_weight(
+            rows.where(~F.col("is_val")),
+            weights.hot_bucket_top_k, weights.hot_bucket_weight, weights.hot_market_weight,
+        )
+        artifact, history = train_quantizer(
+            train, rows.where("is_val"), prep.embedding_dim, params.quantizer, params.training, prior
+        )
     path = save_artifact(
         spark, artifact, output, params.semantic_id_version, prep.embedding_set_version, artifact.metadata
     )
@@ -55,12 +55,12 @@ def run_assignment(
     """Code every valid row, break collisions, publish; returns the published version."""
     artifact = load_artifact(spark, output, params.semantic_id_version)
     ready = prepare(read_catalog(spark, source, columns), params.prep.embedding_dim)
-    coded = write_and_read(assign_codes(ready, artifact), "codes")
-    assert_unique(coded)
-    slotted = add_dedup_index(coded, level_columns(artifact.num_levels))
-    publish_assignment(
-        slotted, output, params.semantic_id_version, params.prep.embedding_set_version, artifact.num_levels
-    )
+    with stored(assign_codes(ready, artifact), "codes") as coded:
+        assert_unique(coded)
+        slotted = add_dedup_index(coded, level_columns(artifact.num_levels))
+        publish_assignment(
+            slotted, output, params.semantic_id_version, params.prep.embedding_set_version, artifact.num_levels
+        )
     return read_assignments(spark, output, params.semantic_id_version)
 
 
@@ -77,13 +77,10 @@ def run_evaluation(
     taxonomy = read_catalog(spark, source, columns).select(PRODUCT_ID, *fields)
     published = read_assignments(spark, output, params.semantic_id_version)
     levels = level_columns(params.quantizer.L)
-    counts = write_and_read(base_counts(joined_assignments(published, taxonomy), levels, fields), "counts")
-    tables = report_tables(
-        counts, params.quantizer.W, params.quantizer.L, params.quantizer.d,
-        params.evaluation.hot_bucket_top_k, params.evaluation.taxonomy_fields, base=counts,
-    )
     report = f"{output.rstrip('/')}/report/semantic_id_version={params.semantic_id_version}"
-    return write_report(spark, tables, report)
-
-
-__all__ = ["artifact_path", "joined_assignments", "run_assignment", "run_evaluation", "run_training"]
+    with stored(base_counts(joined_assignments(published, taxonomy), levels, fields), "counts") as counts:
+        tables = report_tables(
+            counts, params.quantizer.W, params.quantizer.L, params.quantizer.d,
+            params.evaluation.hot_bucket_top_k, params.evaluation.taxonomy_fields, base=counts,
+        )
+        return write_report(spark, tables, report)

@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cpus: int | str = "*", app: str = "codeloom", memory: str = "8g") -> SparkSession:
-    """Session for tests and the bench; a cluster brings its own."""
+def local_session(
+    cpus: int | str = "*", app: str = "codeloom", memory: str = "8g", **settings: str
+) -> SparkSession:
+    """Session for tests and the bench; a cluster brings its own. Dots in settings are written as __."""
     cores = str(cpus)
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
@@ -20,12 +24,17 @@ def local_session(cpus: int | str = "*", app: str = "codeloom", memory: str = "8
         .config("spark.sql.shuffle.partitions", "8" if cores == "*" else cores)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
     )
+    for key, value in settings.items():
+        builder = builder.config(key.replace("__", "."), value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, named by spark.checkpoint.dir.
 
@@ -35,24 +44,39 @@ def shared_folder(spark: SparkSession) -> str:
     if not named:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         named = current.get() if current.isDefined() else None
-    if not named:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        named = tempfile.mkdtemp(prefix="codeloom-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    return _LOCAL_FOLDERS.setdefault(
+        spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="codeloom-")
+    )
 
 
 def new_table_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/codeloom/{label}-{uuid.uuid4().hex}"
 
 
-def write_and_read(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Cut the lineage by writing a table to the shared folder and reading it back."""
-    spark = df.sparkSession
-    path = new_table_path(spark, label)
+def _written(df: DataFrame, path: str, partition_by: list[str] | None) -> DataFrame:
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def write_and_read(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Cut the lineage by writing a table to the shared folder and reading it back."""
+    return _written(df, new_table_path(df.sparkSession, label), partition_by)
+
+
+@contextmanager
+def stored(df: DataFrame, label: str, partition_by: list[str] | None = None) -> Iterator[DataFrame]:
+    """The same for a table that is only needed inside the block; it is deleted afterwards."""
+    spark = df.sparkSession
+    path = new_table_path(spark, label)
+    try:
+        yield _written(df, path, partition_by)
+    finally:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

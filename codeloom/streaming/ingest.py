@@ -13,7 +13,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from codeloom.functions.names import DEDUP, PRODUCT_ID, level_columns
 from codeloom.operators.prepare import prepare
 from codeloom.operators.quantize import Artifact, add_dedup_index, assign_codes
-from codeloom.session import write_and_read
+from codeloom.session import stored
 
 
 def coded_stream(source: DataFrame, artifact: Artifact, dim: int) -> DataFrame:
@@ -65,13 +65,14 @@ def slot_writer(path: str, num_levels: int, seed_table: DataFrame | None = None)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        coded = write_and_read(batch.select(PRODUCT_ID, *levels), "stream")
         known = read_batches(spark, path, num_levels, before=batch_id)
         columns = [PRODUCT_ID, *levels, DEDUP]
         if seed_table is not None:
             base = seed_table.select(*columns)
             known = base if known is None else base.unionByName(known.select(*columns))
-        append_slots(coded, known, levels).write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id}")
+        with stored(batch.select(PRODUCT_ID, *levels), "stream") as coded:
+            slots = append_slots(coded, known, levels)
+            slots.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id}")
 
     return write
 

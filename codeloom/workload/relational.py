@@ -15,7 +15,7 @@ from codeloom.operators.ranking import ranked
 from codeloom.plans import lookup as lk
 from codeloom.plans import quality as ql
 from codeloom.plans import sweep as sw
-from codeloom.session import new_table_path
+from codeloom.session import new_table_path, stored
 from codeloom.sources.catalog import read_assignments
 from codeloom.sources.tables import code_filter, full_mapping, publish_assignment
 from codeloom.workload.views import (
@@ -459,8 +459,9 @@ def cold_start(spark, sf):
 @register("report_text")
 def report_text(spark, sf):
     """The Markdown report of the code table, line by line."""
-    tables = ql.report_tables(lines(spark, sf), LINES_WIDTH, len(LEVELS), 32, TOP_K)
-    text = ql.to_markdown(ql.report_dict(tables)).split("\n")
+    with stored(base(lines(spark, sf)), "counts") as counts:
+        tables = ql.report_tables(counts, LINES_WIDTH, len(LEVELS), 32, TOP_K, base=counts)
+        text = ql.to_markdown(ql.report_dict(tables)).split("\n")
     return spark.createDataFrame(list(enumerate(text)), "line_number int, line string")
 
 

@@ -10,9 +10,8 @@ from codeloom.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session(4, "codeloom-tests", "4g")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = local_session(4, "codeloom-tests", "4g", spark__checkpoint__dir=shared)
     yield session
     session.stop()
 
