@@ -5,47 +5,102 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from codeloom.functions.names import HOT_MARKET, LEAGUE, PRODUCT_ID, TEAM
 from codeloom.functions.scalars import leading_bits, parse_flag, seeded_md5, seeded_uniform
-from codeloom.operators.ranking import HOT_ROWS, ranked
 from codeloom.session import write_and_read
 
 # A top-K list up to this length is sent to every task.
 BROADCAST_ROWS = 10_000
 
 
+# Tables from this size on are cut by a hash threshold before a sample is sorted.
+LARGE_TABLE = 1_000_000
+HASH_SPACE = float(16**15)
+# Half-widths, in standard deviations, of the range in which the threshold of a stratum is looked for.
+REACHES = (6.0, 60.0, float("inf"))
+# Strata up to this size are sorted whole.
+SORTABLE_ROWS = 100_000
+
+
+def _on(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[f"{c}__"]) for c in keys])
+
+
+def _hash_number(key: Column | str, seed: int) -> Column:
+    """60 bits of the seeded hash as a number."""
+    return leading_bits(seeded_md5(key, seed), 15)
+
+
+def _thresholds(keyed: DataFrame, sizes: DataFrame, strata: list[str], key: str, reach: float) -> DataFrame:
+    """The last validation row (hash, key) of every stratum, if it lies within `reach`.
+
+    Hashes are uniform, so the k-th smallest of n is near k/n of the range. Rows below that
+    neighbourhood are only counted; of a stratum with n rows about sqrt(n) are sorted, so a stratum
+    with a third of the table is no burden.
+    """
+    n, k = F.col("size__").cast("double"), F.col("wanted__").cast("double")
+    width = reach * F.sqrt(k * (n - k) / n) + reach if math.isfinite(reach) else F.lit(HASH_SPACE) * n
+    low = F.greatest(F.lit(0.0), (k - width) / n) * HASH_SPACE
+    high = F.least(F.lit(1.0), (k + width) / n) * HASH_SPACE
+    near = keyed.join(sizes, _on(keyed, sizes, strata)).select(
+        *[sizes[f"{c}__"] for c in strata], "wanted__", "hash_", key,
+        (F.col("hash_") < F.floor(low)).alias("below"), (F.col("hash_") > F.ceil(high)).alias("above"),
+    )
+    names = [f"{c}__" for c in strata]
+    below = near.groupBy(*names).agg(F.count_if("below").alias("below_rows"))
+    below = below.select(*[F.col(c).alias(f"{c}__") for c in names], "below_rows")
+    inside = near.where(~F.col("below") & ~F.col("above"))
+    place = F.row_number().over(Window.partitionBy(*names).orderBy("hash_", key))
+    placed = inside.withColumn("place", place)
+    found = placed.join(below, _on(placed, below, names))
+    return found.where(F.col("place") + F.col("below_rows") == F.col("wanted__")).select(
+        *names, F.struct("hash_", key).alias("last_")
+    )
+
+
 def with_split(
     df: DataFrame,
     val_fraction: float,
     seed: int,
     strata: list[str],
     key: str = PRODUCT_ID,
-    hot_rows: int = HOT_ROWS,
+    reaches: tuple[float, ...] | None = None,
 ) -> DataFrame:
     """Add the boolean `is_val`: an exact share of every stratum, in seeded hash order.
 
-    The count per stratum is floor(n * f + 0.5), at least 1 and at most n - 1; a stratum of one row trains.
+    The count per stratum is floor(n * f + 0.5), at least 1 and at most n - 1; a stratum of one row
+    trains. Keys and strata are read to find one threshold per stratum; the rows are then marked
+    where they are (Spark broadcasts the thresholds if the written table is small).
     """
-    hashed = df.select(key, *strata).withColumn("hash_", seeded_md5(key, seed))
-    placed = ranked(
-        hashed, strata, ["hash_", key], leading_bits(F.col("hash_"), 15), "rank_", "size_", hot_rows
-    )
-    share = F.floor(F.col("size_") * F.lit(float(val_fraction)) + F.lit(0.5))
-    wanted = F.when(F.col("size_") < 2, 0).otherwise(F.greatest(F.lit(1), F.least(share, F.col("size_") - 1)))
-    # The last validation row of every stratum is its threshold. Only keys and strata are shuffled
-    # for it; the rows themselves are then marked where they are (Spark broadcasts the thresholds
-    # if the written table is small).
-    last = placed.where(F.col("rank_") == wanted).select(
-        *[F.col(c).alias(f"{c}__") for c in strata], F.struct("hash_", key).alias("last_")
+    keyed = df.select(*strata, key, _hash_number(key, seed).alias("hash_"))
+    counted = df.groupBy(*strata).agg(F.count(F.lit(1)).alias("size__")).where(F.col("size__") > 1)
+    share = F.floor(F.col("size__") * F.lit(float(val_fraction)) + F.lit(0.5))
+    wanted = F.greatest(F.lit(1), F.least(share, F.col("size__") - 1)).alias("wanted__")
+    sizes = write_and_read(
+        counted.select(*[F.col(c).alias(f"{c}__") for c in strata], "size__", wanted), "split-sizes"
     )
-    limits = write_and_read(last, "split-limits")
-    same = reduce(lambda a, b: a & b, [df[c].eqNullSafe(limits[f"{c}__"]) for c in strata])
-    mine = F.struct(seeded_md5(df[key], seed).alias("hash_"), df[key].alias(key))
+    if reaches is None:
+        largest = sizes.agg(F.max("size__")).first()[0] or 0
+        reaches = REACHES if largest > SORTABLE_ROWS else REACHES[-1:]
+    limits = None
+    for reach in reaches:
+        missing = sizes
+        if limits is not None:
+            known = limits.select(*[F.col(f"{c}__").alias(f"{c}____") for c in strata])
+            same = reduce(lambda a, b: a & b, [sizes[f"{c}__"].eqNullSafe(known[f"{c}____"]) for c in strata])
+            missing = sizes.join(known, same, "left_anti")
+            if missing.isEmpty():
+                break
+        found = write_and_read(_thresholds(keyed, missing, strata, key, reach), "split-limits")
+        limits = found if limits is None else limits.unionByName(found)
+    mine = F.struct(_hash_number(df[key], seed).alias("hash_"), df[key].alias(key))
     chosen = F.coalesce(mine <= F.col("last_"), F.lit(False))
-    return df.join(limits, same, "left").select(*[df[c] for c in df.columns], chosen.alias("is_val"))
+    return df.join(limits, _on(df, limits, strata), "left").select(
+        *[df[c] for c in df.columns], chosen.alias("is_val")
+    )
 
 
 def stratified_train_val_split(
@@ -54,9 +109,8 @@ def stratified_train_val_split(
     seed: int,
     strata: list[str],
     key: str = PRODUCT_ID,
-    hot_rows: int = HOT_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
-    flagged = with_split(df, val_fraction, seed, strata, key, hot_rows)
+    flagged = with_split(df, val_fraction, seed, strata, key)
     return flagged.where(~F.col("is_val")).drop("is_val"), flagged.where("is_val").drop("is_val")
 
 
@@ -124,22 +178,23 @@ def resample_copies(
     return bound.withColumn("copies", draw).drop("rate_", "uniform_")
 
 
-def uniform_sample(df: DataFrame, rows: int, *seed: object, key: str = PRODUCT_ID) -> DataFrame:
+def uniform_sample(
+    df: DataFrame, rows: int, *seed: object, key: str = PRODUCT_ID, total: int | None = None
+) -> DataFrame:
     """Exactly min(rows, N) rows without replacement: those with the smallest seeded hash.
 
-    A threshold on the hash drops nearly everything before the sort, so the final task sees about
-    `rows` rows however large the table is.
+    On a large table a threshold on the hash drops nearly everything before the sort, so the final
+    task sees about `rows` rows. It is only used after a count shows that enough rows are below it.
     """
-    total = df.count()
+    total = df.count() if total is None else total
+    if total <= rows:
+        return df
     hashed = df.withColumn("hash_", seeded_md5(key, *seed))
-    if total > rows:
-        margin = rows + 8.0 * math.sqrt(rows) + 64.0
-        while margin < total:
-            cut = leading_bits(F.col("hash_"), 13) < F.lit(int(16**13 * (margin / total)))
-            if total < 1_000_000 or hashed.where(cut).count() >= rows:
-                break
-            margin *= 2
-        if margin < total and total >= 1_000_000:
-            hashed = hashed.where(cut)
-        hashed = hashed.orderBy("hash_", key).limit(rows)
-    return hashed.drop("hash_")
+    margin = rows + 8.0 * math.sqrt(rows) + 64.0
+    while total >= LARGE_TABLE and margin < total:
+        below = hashed.where(leading_bits(F.col("hash_"), 13) < F.lit(int(16**13 * (margin / total))))
+        if below.count() >= rows:
+            hashed = below
+            break
+        margin *= 2
+    return hashed.orderBy("hash_", key).limit(rows).drop("hash_")

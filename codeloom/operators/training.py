@@ -143,10 +143,11 @@ def lloyd_step(df: DataFrame, column: str, books: list[np.ndarray]) -> tuple[np.
 
 
 def starting_centres(
-    df: DataFrame, column: str, books: list[np.ndarray], width: int, *seed: object, key: str = PRODUCT_ID
+    df: DataFrame, column: str, books: list[np.ndarray], width: int, *seed: object, key: str = PRODUCT_ID,
+    total: int | None = None,
 ) -> np.ndarray:
     """W different rows by seeded hash, as residuals after `books`; repeated if there are fewer rows."""
-    picked = uniform_sample(df.select(key, column), width, *seed, key=key)
+    picked = uniform_sample(df.select(key, column), width, *seed, key=key, total=total)
     hashed = picked.withColumn("hash_", seeded_md5(key, *seed)).orderBy("hash_", key)
     rows = np.asarray([row[column] for row in hashed.collect()], dtype=np.float64)
     if len(rows) == 0:
@@ -165,8 +166,9 @@ def fit_codebooks(
     """
     books: list[np.ndarray] = []
     sizes, log = [], []
+    total = df.count()
     for level in range(levels):
-        centres = starting_centres(df, column, books, width, seed, level + 1, key=key)
+        centres = starting_centres(df, column, books, width, seed, level + 1, key=key, total=total)
         counts = np.zeros(width)
         for iteration in range(iterations):
             new, counts, error = lloyd_step(df, column, [*books, centres])
@@ -501,8 +503,10 @@ def sliced_rows(train: DataFrame, seed: int, rounds: int) -> DataFrame:
 def probe_rows(table: DataFrame, rows: int, total: int, rounds: int, *seed: object, turn: int = 0) -> DataFrame:
     """A uniform sample. A slice is itself a hash sample, so one slice is read if it is large enough."""
     if rounds > 1 and total // rounds >= 4 * rows:
-        table = table.where(F.col("slice") == turn % rounds)
-    return uniform_sample(table.select(PRODUCT_ID, EMBEDDING), rows, *seed)
+        return uniform_sample(
+            table.where(F.col("slice") == turn % rounds).select(PRODUCT_ID, EMBEDDING), rows, *seed
+        )
+    return uniform_sample(table.select(PRODUCT_ID, EMBEDDING), rows, *seed, total=total)
 
 
 def train_quantizer(

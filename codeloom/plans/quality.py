@@ -8,6 +8,7 @@ or taxon that holds a third of the rows is one row per task by then.
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -220,28 +221,29 @@ def collision_verdict(
 def prefix_counts(base: DataFrame, levels: list[str], fields: list[str]) -> DataFrame:
     """Counts per (field, prefix length, taxon, prefix), all in one group-by.
 
-    A NULL code makes every prefix that contains it one NULL prefix, as string concatenation does.
+    Every (field, length) is a projection of its own in a union, so a task combines the rows of one
+    of them before the single shuffle. A NULL code makes every prefix that contains it one NULL
+    prefix, as string concatenation does.
     """
-    keys = [f"k{i + 1}" for i in range(len(levels))]
     variants = []
     for field in fields:
         for length in range(1, len(levels) + 1):
-            whole = F.lit(True)
-            for name in levels[:length]:
-                whole = whole & F.col(name).isNotNull()
+            whole = reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in levels[:length]])
             cells = [
-                F.when(whole, F.col(name).cast("long")) if i < length else F.lit(None).cast("long")
+                F.when(whole, F.col(name).cast("int")) if i < length else F.lit(None).cast("int")
                 for i, name in enumerate(levels)
             ]
             variants.append(
-                F.struct(
+                base.select(
                     F.lit(field).alias("taxonomy_field"),
                     F.lit(length).alias("prefix_length"),
                     F.col(field).cast("string").alias("taxon"),
-                    *[cell.alias(key) for cell, key in zip(cells, keys)],
+                    *[cell.alias(f"k{i + 1}") for i, cell in enumerate(cells)],
+                    "n",
                 )
             )
-    long = base.select("n", F.inline(F.array(*variants)))
+    keys = [f"k{i + 1}" for i in range(len(levels))]
+    long = reduce(DataFrame.unionByName, variants)
     return long.groupBy("taxonomy_field", "prefix_length", "taxon", *keys).agg(F.sum("n").alias("n"))
 
 
@@ -249,35 +251,38 @@ def alignment(base: DataFrame, levels: list[str], fields: list[str]) -> DataFram
     """share_prefix, chance baseline, lift and purity for every (field, prefix length)."""
     section = ["taxonomy_field", "prefix_length"]
     keys = [f"k{i + 1}" for i in range(len(levels))]
-    counts = prefix_counts(base, levels, fields)
-    n = F.col("n").cast("double")
-
-    per_taxon = (
-        counts.where(F.col("taxon").isNotNull())
-        .groupBy(*section, "taxon")
-        .agg(F.sum("n").cast("double").alias("n_g"), F.sum(n * (n - 1)).alias("pairs"))
+    counts = prefix_counts(base, levels, fields).withColumn(
+        "known", F.when(F.col("taxon").isNotNull(), F.col("n"))
     )
-    # n_g * share_g; a taxon of one row adds 0
-    shared = F.when(F.col("n_g") > 1, F.col("pairs") / (F.col("n_g") - 1)).otherwise(0.0)
-    shares = per_taxon.groupBy(*section).agg(F.sum(shared).alias("shared"))
-
-    per_prefix = counts.groupBy(*section, *keys).agg(
-        F.sum("n").cast("double").alias("n_p"),
-        F.max(F.when(F.col("taxon").isNotNull(), F.col("n"))).alias("modal"),
+    n = F.col("n").cast("double")
+    # Totals per taxon and per prefix in one grouping-sets pass, so the counts are made once.
+    both = counts.groupingSets(
+        [[*section, "taxon"], [*section, *keys]], *section, "taxon", *keys
+    ).agg(
+        F.grouping("taxon").alias("by_prefix"),
+        F.sum(n).alias("rows"),
+        F.sum(n * (n - 1)).alias("pairs"),
+        F.sum("known").alias("known"),
+        F.max("known").alias("modal"),
     )
-    prefixes = per_prefix.groupBy(*section).agg(
-        F.sum("n_p").alias("total"),
-        F.sum(F.col("n_p") * F.col("n_p")).alias("squares"),
-        F.sum("modal").alias("modal"),
+    by_prefix = F.col("by_prefix") == 1
+    rows = F.col("rows")
+    # n_g * share_g; rows without taxon and taxa of one row add 0
+    shared = F.when(~by_prefix & F.col("known").isNotNull() & (rows > 1), F.col("pairs") / (rows - 1))
+    sums = both.groupBy(*section).agg(
+        F.sum(F.coalesce(shared, F.lit(0.0))).alias("shared"),
+        F.sum(F.when(by_prefix, rows).otherwise(0.0)).alias("total"),
+        F.sum(F.when(by_prefix, rows * rows).otherwise(0.0)).alias("squares"),
+        F.sum(F.when(by_prefix, F.coalesce("modal", F.lit(0))).otherwise(0)).alias("modal"),
     )
-    share = F.coalesce("shared", F.lit(0.0)) / F.col("total")
+    share = F.col("shared") / F.col("total")
     baseline = F.col("squares") / (F.col("total") * F.col("total"))
-    return prefixes.join(F.broadcast(shares), section, "left").select(
+    return sums.select(
         *section,
         share.alias("share_prefix"),
         baseline.alias("baseline"),
         F.when(baseline > 0, share / baseline).otherwise(F.lit(float("inf"))).alias("lift"),
-        (F.coalesce("modal", F.lit(0)) / F.col("total")).alias("prefix_purity"),
+        (F.col("modal") / F.col("total")).alias("prefix_purity"),
     )
 
 

@@ -95,13 +95,15 @@ def test_split_of_small_strata_and_nulls(spark):
     assert sorted((r.league or "-") for r in val.collect()) == ["-", "pair"]
 
 
-def test_split_does_not_depend_on_partitions_or_on_splitting_hot_strata(spark):
+def test_split_does_not_depend_on_partitions_or_on_the_search_range(spark):
     df = spark.range(5000).select(
         F.col("id").alias("product_id"), F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id") % 2).alias("league")
     )
     reference = {r.product_id for r in with_split(df, 0.2, 7, ["league"]).where("is_val").collect()}
-    for parts, hot_rows in ((1, 2_000_000), (16, 2_000_000), (4, 100), (4, 7)):
-        again = with_split(df.repartition(parts), 0.2, 7, ["league"], hot_rows=hot_rows).where("is_val")
+    everything = (float("inf"),)
+    too_narrow_at_first = (0.0, 0.01, float("inf"))
+    for parts, reaches in ((1, (6.0, 60.0)), (16, everything), (4, too_narrow_at_first)):
+        again = with_split(df.repartition(parts), 0.2, 7, ["league"], reaches=reaches).where("is_val")
         assert {r.product_id for r in again.collect()} == reference
 
 
