@@ -178,6 +178,11 @@ def resample_copies(
     return bound.withColumn("copies", draw).drop("rate_", "uniform_")
 
 
+def thin(df: DataFrame, fraction: float, *seed: object, key: str = PRODUCT_ID) -> DataFrame:
+    """About `fraction` of the rows by seeded hash: a filter, without a sort or shuffle."""
+    return df.where(seeded_uniform(key, *seed) < F.lit(float(fraction)))
+
+
 def uniform_sample(
     df: DataFrame, rows: int, *seed: object, key: str = PRODUCT_ID, total: int | None = None
 ) -> DataFrame:

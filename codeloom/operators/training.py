@@ -34,7 +34,7 @@ from codeloom.functions.names import EMBEDDING, PRODUCT_ID
 from codeloom.functions.scalars import leading_bits, seeded_md5
 from codeloom.operators.quantize import Artifact, encode
 from codeloom.operators.ranking import first_in_group
-from codeloom.operators.sampling import resample_copies, uniform_sample
+from codeloom.operators.sampling import resample_copies, thin, uniform_sample
 from codeloom.params import QuantizerParams, TrainParams
 from codeloom.session import stored
 
@@ -476,7 +476,11 @@ def initial_model(
         sizes = np.ones(shape[:2])
         if quantizer.kmeans_init:
             start = Artifact(codebooks=books, weights=weights, d_in=d_in)
-            latent = encode(probe, start).select(PRODUCT_ID, "latent").persist(StorageLevel.MEMORY_AND_DISK)
+            latent = encode(probe, start).select(PRODUCT_ID, "latent")
+            # A sorted sample is one partition; spread it over the cores for the k-means iterations.
+            cores = probe.sparkSession.sparkContext.defaultParallelism
+            spread = max(1, min(cores, quantizer.init_probe_rows // 4096))
+            latent = latent.repartition(spread, PRODUCT_ID).persist(StorageLevel.MEMORY_AND_DISK)
             books, counts, _ = fit_codebooks(
                 latent, "latent", quantizer.W, quantizer.L, quantizer.kmeans_iterations, seed
             )
@@ -520,7 +524,11 @@ def train_quantizer(
     """Train on prepared rows with `sample_weight`; returns the best state by validation error."""
     if quantizer.d >= d_in:
         raise ValueError("the latent width d must stay below the embedding width")
-    totals = train.agg(F.count(F.lit(1)).alias("n"), F.sum("sample_weight").alias("w")).first()
+    weights = [F.count(F.lit(1)).alias("n"), F.sum("sample_weight").alias("w")]
+    totals = train.agg(*weights).first()
+    if training.sample_rows and totals["n"] > training.sample_rows:
+        train = thin(train, training.sample_rows / totals["n"], training.seed, "sample")
+        totals = train.agg(*weights).first()
     if not totals["n"]:
         raise ValueError("no training rows")
     per_round = training.batch_size if training.mode == "sync" else training.rows_per_round

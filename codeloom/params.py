@@ -52,6 +52,8 @@ class TrainParams:
     # "sync": one optimizer step per Spark job, gradients summed by Spark.
     # "local": every task takes local steps, Spark averages the states.
     mode: str = "local"
+    # Train on a seeded sample of about this many rows; None trains on all rows.
+    sample_rows: int | None = None
     # Rows read per round; an epoch has ceil(rows / rows_per_round) rounds.
     rows_per_round: int = 50_000_000
 

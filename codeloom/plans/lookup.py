@@ -30,6 +30,22 @@ from codeloom.functions.scalars import (
 )
 from codeloom.operators.ranking import first_in_group
 
+# Request tables up to this many rows are sent to every task; they are counted first.
+REQUEST_ROWS = 100_000
+
+
+def sized(requests: DataFrame, rows_each: int = 1) -> bool:
+    """True if a request table, or what it can return with `rows_each` rows per request, is small.
+
+    Without this a join planned from the size of the mapping would shuffle the mapping.
+    """
+    most = REQUEST_ROWS // rows_each
+    return requests.limit(most + 1).count() <= most
+
+
+def hinted(df: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(df) if small else df
+
 
 def requested_id(df: DataFrame, column: str) -> Column:
     """A request key as LONG; text that is not a whole number asks for nothing."""
@@ -39,10 +55,10 @@ def requested_id(df: DataFrame, column: str) -> Column:
     return F.col(column).try_cast("bigint")
 
 
-def bucket_sizes(mapping: DataFrame, tuples: DataFrame, levels: list[str]) -> DataFrame:
+def bucket_sizes(mapping: DataFrame, tuples: DataFrame, levels: list[str], small: bool = False) -> DataFrame:
     """Rows of the mapping in each of the asked code tuples."""
     asked = tuples.select(*levels).distinct()
-    inside = mapping.select(*levels).join(asked, levels, "left_semi")
+    inside = mapping.select(*levels).join(hinted(asked, small), levels, "left_semi")
     return inside.groupBy(*levels).agg(F.count(F.lit(1)).alias("bucket_size"))
 
 
@@ -57,10 +73,11 @@ def lookup(ids: DataFrame, mapping: DataFrame, id_column: str = PRODUCT_ID) -> D
         .where(F.col(PRODUCT_ID).isNotNull())
         .distinct()
     )
+    small = sized(asked)
     meta = metadata_columns(mapping.columns)
-    found = mapping.select(PRODUCT_ID, *levels, DEDUP, *meta).join(asked, PRODUCT_ID, "left_semi")
-    sized = found.join(bucket_sizes(mapping, found, levels), levels, "left")
-    return sized.select(PRODUCT_ID, id_string(levels).alias(ID_STRING), *levels, DEDUP, "bucket_size", *meta)
+    found = mapping.select(PRODUCT_ID, *levels, DEDUP, *meta).join(hinted(asked, small), PRODUCT_ID, "left_semi")
+    counts = bucket_sizes(mapping, found, levels, small)
+    return found.join(hinted(counts, small), levels, "left").select(PRODUCT_ID, id_string(levels).alias(ID_STRING), *levels, DEDUP, "bucket_size", *meta)
 
 
 def parse_queries(queries: DataFrame, num_levels: int, column: str = "query") -> DataFrame:
@@ -75,7 +92,7 @@ def parse_queries(queries: DataFrame, num_levels: int, column: str = "query") ->
     )
 
 
-def prefix_matches(mapping: DataFrame, asked: DataFrame, levels: list[str]) -> DataFrame:
+def prefix_matches(mapping: DataFrame, asked: DataFrame, levels: list[str], small: bool = False) -> DataFrame:
     """(token_key, product_id) for every match: one equi-join per token count."""
     columns = [*levels, DEDUP]
     codes = mapping.select(PRODUCT_ID, *columns)
@@ -88,7 +105,7 @@ def prefix_matches(mapping: DataFrame, asked: DataFrame, levels: list[str]) -> D
             lambda a, b: a & b,
             [codes[name].cast("long") == short[f"t{i}"] for i, name in enumerate(columns[:count])],
         )
-        parts.append(codes.join(short, same).select("token_key", PRODUCT_ID))
+        parts.append(codes.join(hinted(short, small), same).select("token_key", PRODUCT_ID))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -104,7 +121,7 @@ def by_prefix(
     levels = check_mapping(mapping.columns)
     parsed = parse_queries(queries, len(levels), column)
     asked = parsed.where(F.col("error").isNull()).select("token_key", "tokens").distinct()
-    matches = prefix_matches(mapping, asked, levels)
+    matches = prefix_matches(mapping, asked, levels, sized(asked))
     totals = matches.groupBy("token_key").agg(F.count(F.lit(1)).alias("matched"))
     usable = F.col("error").isNull()
     total = F.coalesce("matched", F.lit(0)).cast("long")
@@ -119,7 +136,7 @@ def by_prefix(
     )
     first = first_in_group(matches, ["token_key"], [PRODUCT_ID], limit)
     meta = metadata_columns(mapping.columns)
-    detailed = first.join(mapping.select(PRODUCT_ID, *meta), PRODUCT_ID, "left")
+    detailed = mapping.select(PRODUCT_ID, *meta).join(hinted(first, sized(asked, limit)), PRODUCT_ID)
     rows = parsed.where(usable).select(query_id, "token_key").join(detailed, "token_key").select(
         query_id, F.col("rank").cast("int").alias("rank"), PRODUCT_ID, *meta
     )
@@ -157,7 +174,8 @@ def compare(
     wanted = [PRODUCT_ID, ID_STRING, *levels, "bucket_size", *fields]
     has_index = vectors is not None
     if has_index:
-        narrow = vectors.select(PRODUCT_ID, EMBEDDING).join(ids, PRODUCT_ID, "left_semi")
+        small = sized(ids)
+        narrow = vectors.select(PRODUCT_ID, EMBEDDING).join(hinted(ids, small), PRODUCT_ID, "left_semi")
         found = found.join(narrow, PRODUCT_ID, "left")
         wanted.append(EMBEDDING)
 

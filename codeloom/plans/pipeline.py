@@ -15,6 +15,7 @@ from codeloom.plans.quality import base_counts, report_tables
 from codeloom.session import stored
 from codeloom.sources.catalog import read_assignments, read_catalog
 from codeloom.sources.tables import (
+    artifact_exists,
     assert_unique,
     load_artifact,
     publish_assignment,
@@ -30,6 +31,8 @@ def run_training(
     columns: Columns = None, warm_start: str | None = None,
 ) -> tuple[str, list[EpochStats]]:
     """Prepare, split, weight, train, save. `warm_start` names an earlier version under `output`."""
+    if artifact_exists(spark, output, params.semantic_id_version):
+        raise FileExistsError(f"version {params.semantic_id_version} already exists under {output}")
     prep, weights = params.prep, params.weights
     ready = prepare(read_catalog(spark, source, columns), prep.embedding_dim)
     split = with_split(ready, prep.val_fraction, prep.split_seed, list(prep.strata_columns))
@@ -45,7 +48,7 @@ def run_training(
     path = save_artifact(
         spark, artifact, output, params.semantic_id_version, prep.embedding_set_version, artifact.metadata
     )
-    history_frame(spark, history).coalesce(1).write.mode("errorifexists").parquet(f"{path}/history")
+    history_frame(spark, history).coalesce(1).write.mode("overwrite").parquet(f"{path}/history")
     return path, history
 
 

@@ -102,8 +102,10 @@ def build_index(
 
     Without `force` an existing index is an error. Counts are observed during the write.
     """
-    mode = "overwrite" if force else "errorifexists"
     base = index_path.rstrip("/")
+    if index_exists(spark, base) and not force:
+        raise FileExistsError(f"the index {base} already exists; pass force to replace it")
+    mode = "overwrite"
     named = columns or {}
     raw = spark.read.parquet(source_path).select(
         F.col(named.get(PRODUCT_ID, PRODUCT_ID)).alias(PRODUCT_ID),
@@ -153,9 +155,7 @@ def changed_files(recorded: DataFrame, current: DataFrame, tolerance: float = 1e
 
 
 def index_exists(spark: SparkSession, index_path: str) -> bool:
-    jvm = spark._jvm
-    where = jvm.org.apache.hadoop.fs.Path(f"{index_path.rstrip('/')}/meta/_SUCCESS")
-    return bool(where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where))
+    return _is_complete(spark, f"{index_path.rstrip('/')}/meta")
 
 
 def is_stale(spark: SparkSession, index_path: str, source_path: str) -> bool:
@@ -173,6 +173,15 @@ def artifact_path(output_path: str, version: str) -> str:
     return f"{output_path.rstrip('/')}/artifact/{ID_VERSION}={version}"
 
 
+def _is_complete(spark: SparkSession, table_path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{table_path}/_SUCCESS")
+    return bool(where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where))
+
+
+def artifact_exists(spark: SparkSession, output_path: str, version: str) -> bool:
+    return _is_complete(spark, f"{artifact_path(output_path, version)}/meta")
+
+
 def codebook_frame(spark: SparkSession, artifact: Artifact) -> DataFrame:
     """level, code, vector: one row per codeword."""
     rows = [
@@ -187,9 +196,14 @@ def save_artifact(
     spark: SparkSession, artifact: Artifact, output_path: str, version: str, set_version: str,
     metadata: dict[str, str] | None = None,
 ) -> str:
-    """Three parquet tables per version. A version is written once and then only read."""
+    """Three parquet tables per version. A version is written once and then only read.
+
+    `meta` is written last and marks the version as complete; a write that broke off can be repeated.
+    """
     base = artifact_path(output_path, version)
-    writer = {"mode": "errorifexists"}
+    if artifact_exists(spark, output_path, version):
+        raise FileExistsError(f"the artifact {base} already exists")
+    writer = {"mode": "overwrite"}
     codebook_frame(spark, artifact).coalesce(1).write.parquet(f"{base}/codebooks", **writer)
     weights = [
         (name, list(array.shape), [float(x) for x in array.reshape(-1)])

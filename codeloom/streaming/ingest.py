@@ -30,9 +30,12 @@ def append_slots(new: DataFrame, published: DataFrame | None, levels: list[str])
     fresh = new.dropDuplicates([PRODUCT_ID])
     if published is None:
         return add_dedup_index(fresh.select(PRODUCT_ID, *levels), levels)
-    fresh = fresh.join(published.select(PRODUCT_ID), PRODUCT_ID, "left_anti")
+    # The published table is first cut to the ids and tuples of this batch, with the batch as the small
+    # side: a batch below Spark's broadcast size then leaves the published table unshuffled.
+    seen = published.select(PRODUCT_ID).join(new.select(PRODUCT_ID), PRODUCT_ID, "left_semi")
+    fresh = fresh.join(seen, PRODUCT_ID, "left_anti")
     ranked = add_dedup_index(fresh.select(PRODUCT_ID, *levels), levels)
-    touched = fresh.select(*levels).distinct()
+    touched = new.select(*levels)
     heads = (
         published.select(*levels, DEDUP)
         .join(touched, levels, "left_semi")
