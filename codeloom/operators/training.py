@@ -39,6 +39,7 @@ from codeloom.params import QuantizerParams, TrainParams
 from codeloom.session import stored
 
 BLOCK = 4096
+MIN_LOCAL_BATCH = 256
 DOUBLES = T.ArrayType(T.DoubleType())
 
 
@@ -546,6 +547,10 @@ def _epochs(
     probe = probe_rows(table, quantizer.init_probe_rows, n_rows, rounds, training.seed, "init")
     model = initial_model(probe, d_in, quantizer, training.seed, warm_start)
 
+    # In local mode one step of all tasks together covers about batch_size rows.
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    local_batch = min(training.batch_size, max(MIN_LOCAL_BATCH, training.batch_size // cores))
+
     def frozen(state: Model) -> Artifact:
         return Artifact(codebooks=state.books, weights=state.weights, d_in=d_in)
 
@@ -563,7 +568,7 @@ def _epochs(
                 out = gradient_round(rows, model, quantizer, training.lr)
             else:
                 out = local_round(
-                    rows, model, quantizer, training.lr, training.batch_size,
+                    rows, model, quantizer, training.lr, local_batch,
                     training.seed + 7919 * epoch + part,
                 )
             if out["rows"]:
