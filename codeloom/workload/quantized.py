@@ -16,7 +16,14 @@ from codeloom.params import QuantizerParams, TrainParams
 from codeloom.plans import quality as ql
 from codeloom.session import new_table_path
 from codeloom.sources.catalog import read_catalog
-from codeloom.sources.tables import build_index, codebook_frame, read_index
+from codeloom.sources.tables import (
+    build_index,
+    codebook_frame,
+    index_counts,
+    load_artifact,
+    read_index,
+    save_artifact,
+)
 from codeloom.streaming.ingest import ingest, read_batches
 from codeloom.workload.relational import hashed, register, rounded
 from codeloom.workload.views import (
@@ -212,6 +219,55 @@ def level_errors(spark, sf):
     return rounded(qz.level_errors(prepared(spark, sf), seeded_model(spark, sf, LLOYD)))
 
 
+@register(
+    "decoded_vectors",
+    with_sql(*residual_sql(LLOYD))
+    + f"""SELECT u.product_id, CAST(i - 1 AS INT) AS position, round(u.v[i] - r.v[i], 6) AS value
+      FROM unit u JOIN rest2 r USING (product_id), range(1, {DIM + 1}) AS g(i)""",
+)
+def decoded_vectors(spark, sf):
+    decoded = qz.reconstruct(prepared(spark, sf), seeded_model(spark, sf, LLOYD))
+    return rounded(decoded.select(PRODUCT_ID, F.posexplode("decoded").alias("position", "value")), 6)
+
+
+@register(
+    "artifact_roundtrip",
+    with_sql(*residual_sql(LLOYD))
+    + " UNION ALL ".join(
+        f"""SELECT {level} AS level, code, round(list_sum(v), 6) AS element_sum, round(v[1], 6) AS first_element, '007' AS semantic_id_version
+        FROM book{level}"""
+        for level in (1, 2)
+    ),
+)
+def artifact_roundtrip(spark, sf):
+    """Codebooks of a saved and reloaded artifact."""
+    path = new_table_path(spark, "artifact")
+    save_artifact(spark, seeded_model(spark, sf, LLOYD), path, "007", "set-1")
+    loaded = load_artifact(spark, path, "007")
+    total = F.aggregate("vector", F.lit(0.0), lambda acc, x: acc + x)
+    return rounded(
+        codebook_frame(spark, loaded).select(
+            "level", "code", total.alias("element_sum"), F.col("vector")[0].alias("first_element"),
+            F.lit(loaded.semantic_id_version).alias("semantic_id_version"),
+        ),
+        6,
+    )
+
+
+@register(
+    "code_sums",
+    with_sql(*residual_sql(0, 1))
+    + f"""SELECT c.code, CAST(i - 1 AS INT) AS position, CAST(count(*) AS BIGINT) AS n, round(sum(r.v[i]), 6) AS total
+      FROM code1 c JOIN rest0 r USING (product_id), range(1, {DIM + 1}) AS g(i) GROUP BY c.code, i""",
+)
+def code_sums(spark, sf):
+    """Row count and vector sum of every code: the statistics of k-means and of the codebook update."""
+    books = list(seeded_model(spark, sf, depth=1).codebooks)
+    sums = tr.add_vectors(tr.code_partials(prepared(spark, sf), EMBEDDING, books), "code", "vec", "n")
+    long = sums.select("code", F.col("n").cast("long").alias("n"), F.posexplode("vec").alias("position", "total"))
+    return rounded(long, 6)
+
+
 POOL = 25
 POOL_SQL = "pools AS MATERIALIZED (" + " UNION ALL ".join(
     f"""SELECT {i} AS level, CAST(row_number() OVER (ORDER BY c.d DESC, c.product_id) AS INT) AS rank, c.product_id,
@@ -360,6 +416,23 @@ def index_vectors(spark, sf):
     return rows.join(F.broadcast(facts), "one").drop("one")
 
 
+@register(
+    "index_counts",
+    with_sql(DAMAGED_SQL, VALID_SQL)
+    + "SELECT 2 AS files, count(*) AS raw_rows, (SELECT count(*) FROM valid) AS valid_rows FROM emb",
+)
+def file_counts(spark, sf):
+    """Raw and valid rows per source file, added up over the two files of a copy."""
+    path = new_table_path(spark, "vectors")
+    rows = damaged_vectors(spark, sf).select(PRODUCT_ID, EMBEDDING)
+    rows.where(f"{PRODUCT_ID} % 2 = 0").coalesce(1).write.mode("append").parquet(path)
+    rows.where(f"{PRODUCT_ID} % 2 = 1").coalesce(1).write.mode("append").parquet(path)
+    return index_counts(spark.read.parquet(path), DIM).agg(
+        F.count(F.lit(1)).cast("int").alias("files"), F.sum("raw_rows").alias("raw_rows"),
+        F.sum("valid_rows").alias("valid_rows"),
+    )
+
+
 @register(
     "stream_slots",
     with_sql(*residual_sql(), CODED_SQL)

@@ -17,7 +17,8 @@ from codeloom.plans import quality as ql
 from codeloom.plans import sweep as sw
 from codeloom.session import new_table_path, stored
 from codeloom.sources.catalog import read_assignments
-from codeloom.sources.tables import code_filter, full_mapping, publish_assignment
+from codeloom.sources.tables import code_filter, full_mapping, publish_assignment, write_csv
+from codeloom.streaming.ingest import append_slots
 from codeloom.workload.views import (
     CATALOG_SQL,
     CATALOG_WIDTH,
@@ -456,7 +457,43 @@ def cold_start(spark, sf):
     return rounded(ql.cold_start(catalog(spark, sf), LEVELS, ql.is_cold()))
 
 
-@register("report_text")
+def _yes(condition: str) -> str:
+    return f"CASE WHEN {condition} THEN 'True' ELSE 'False' END"
+
+
+REPORT_SQL = (
+    with_sql(
+        LINES_SQL, hot_sql("big"), hot_rows_sql("big"),
+        usage_sql("big"), records_sql(LINES_WIDTH, "", "all_records"),
+        usage_sql("hot_rows", "league, team,").replace("usage AS", "hot_usage AS"),
+        records_sql(LINES_WIDTH, "league, team,", "hot_records").replace("FROM usage)", "FROM hot_usage)"),
+        f"g AS (SELECT {record_columns(LINES_WIDTH)} FROM all_records)",
+        f"h AS (SELECT league, team, {record_columns(LINES_WIDTH)} FROM hot_records)",
+        "ordered AS (SELECT *, row_number() OVER (ORDER BY bucket_count DESC, league, team) AS place FROM hot)",
+        collision_sql("big"),
+        f"aligned AS ({alignment_sql('big')})",
+        f"""parts(a, b, c, line) AS (
+          SELECT 0, 0, 0, '# Semantic ID eval report — W={LINES_WIDTH}, L={len(LEVELS)}, d=32' UNION ALL SELECT 1, 0, 0, ''
+          UNION ALL SELECT 2, 0, 0, '## §11.1 Utilization (global)'
+          UNION ALL SELECT 3, 0, CAST(substr(level, 2) AS INT), printf('- **%s**: U=%.3f, dead_code_rate=%.3f, M=%.4f, scope_size=%d, passes=%s',
+            level, normalized_utilization, dead_code_rate, max_code_share, scope_size, {_yes('passes')}) FROM g
+          UNION ALL SELECT 4, 0, 0, '' UNION ALL SELECT 5, 0, 0, '## §11.1 Utilization (hot buckets)'
+          UNION ALL SELECT 6, place, 0, printf('- %s/%s (n=%d):', league, team, bucket_count) FROM ordered
+          UNION ALL SELECT 6, place, CAST(substr(level, 2) AS INT), printf('    - %s: dead_code_rate=%.3f, M=%.4f, passes=%s',
+            level, dead_code_rate, max_code_share, {_yes('passes')}) FROM h JOIN ordered USING (league, team)
+          UNION ALL SELECT 7, 0, 0, '' UNION ALL SELECT 8, 0, 0, '## §11.2 Collision (global)'
+          UNION ALL SELECT 9, 0, 0, printf('- collision_rate=%.4f, dedup_fraction=%.4f, worst_case_bucket=%d, p50/p90/p99=%.1f/%.1f/%.1f',
+            collision_rate, dedup_fraction, worst_case_bucket, p50, p90, p99) FROM collisions
+          UNION ALL SELECT 10, 0, 0, '' UNION ALL SELECT 11, 0, 0, '## §11.3 Taxonomy-prefix alignment'
+          UNION ALL SELECT 12, CASE taxonomy_field WHEN 'league' THEN 0 ELSE 1 END, prefix_length,
+            printf('- %s @ l=%d: lift=%.2f (share=%.4f, baseline=%.4f), purity=%.3f', taxonomy_field, prefix_length, lift,
+              share_prefix, baseline, prefix_purity) FROM aligned)""",
+    )
+    + "SELECT CAST(row_number() OVER (ORDER BY a, b, c) - 1 AS INT) AS line_number, line FROM parts"
+)
+
+
+@register("report_text", REPORT_SQL)
 def report_text(spark, sf):
     """The Markdown report of the code table, line by line."""
     with stored(base(lines(spark, sf)), "counts") as counts:
@@ -624,6 +661,36 @@ def metadata_agreement(spark, sf):
     return lk.agreement_long(lk.compare(pairs(spark, sf), mapping(spark, sf)))
 
 
+@register(
+    "csv_export",
+    with_sql(CATALOG_SQL, MAPPING_SQL)
+    + """SELECT CAST(product_id AS VARCHAR) AS product_id, CAST(c1 AS VARCHAR) AS c1, CAST(c2 AS VARCHAR) AS c2, CAST(c3 AS VARCHAR) AS c3,
+      CAST(dedup AS VARCHAR) AS dedup, product_name FROM mapping""",
+)
+def csv_export(spark, sf):
+    path = new_table_path(spark, "csv")
+    write_csv(mapping(spark, sf).select(PRODUCT_ID, *LEVELS, "dedup", "product_name"), path)
+    return spark.read.option("header", True).csv(path)
+
+
+# Lines 1 to 4 of an order are published; then all lines arrive, the published ones again.
+@register(
+    "append_slots",
+    with_sql(
+        LINES_SQL,
+        f"done AS MATERIALIZED (SELECT product_id, c1, c2, {SLOT.replace(', c3', '')} AS dedup FROM big WHERE c3 <= 4)",
+        "heads AS (SELECT c1, c2, max(dedup) + 1 AS first_free FROM done GROUP BY c1, c2)",
+    )
+    + f"""SELECT b.product_id, b.c1, b.c2, CAST(b.dedup + coalesce(h.first_free, 0) AS INT) AS dedup
+      FROM (SELECT product_id, c1, c2, {SLOT.replace(', c3', '')} AS dedup FROM big WHERE c3 > 4) b
+      LEFT JOIN heads h USING (c1, c2)""",
+)
+def appended(spark, sf):
+    codes = lines(spark, sf)
+    published = add_dedup_index(codes.where("c3 <= 4").select(PRODUCT_ID, "c1", "c2"), ["c1", "c2"])
+    return append_slots(codes.select(PRODUCT_ID, "c1", "c2"), published, ["c1", "c2"])
+
+
 # ---- sweep and versions -----------------------------------------------------------------
 
 GRID_SQL = "grid AS (SELECT * FROM (VALUES (256), (512), (1024)) AS w(W), (VALUES (3), (4)) AS l(L))"
