@@ -34,13 +34,10 @@ from codeloom.operators.ranking import first_in_group
 REQUEST_ROWS = 100_000
 
 
-def sized(requests: DataFrame, rows_each: int = 1) -> bool:
-    """True if a request table, or what it can return with `rows_each` rows per request, is small.
-
-    Without this a join planned from the size of the mapping would shuffle the mapping.
-    """
-    most = REQUEST_ROWS // rows_each
-    return requests.limit(most + 1).count() <= most
+def sized(requests: DataFrame) -> bool:
+    """True if a request table is small. Without this a join planned from the size of the mapping
+    would shuffle the mapping."""
+    return requests.limit(REQUEST_ROWS + 1).count() <= REQUEST_ROWS
 
 
 def hinted(df: DataFrame, small: bool) -> DataFrame:
@@ -92,12 +89,14 @@ def parse_queries(queries: DataFrame, num_levels: int, column: str = "query") ->
     )
 
 
-def prefix_matches(mapping: DataFrame, asked: DataFrame, levels: list[str], small: bool = False) -> DataFrame:
-    """(token_key, product_id) for every match: one equi-join per token count."""
+def prefix_matches(
+    mapping: DataFrame, asked: DataFrame, levels: list[str], counts: list[int] | None = None, small: bool = False
+) -> DataFrame:
+    """(token_key, product_id) for every match: one equi-join per token count in `counts`."""
     columns = [*levels, DEDUP]
     codes = mapping.select(PRODUCT_ID, *columns)
     parts = []
-    for count in range(1, len(columns) + 1):
+    for count in counts or range(1, len(columns) + 1):
         short = asked.where(F.size("tokens") == count).select(
             "token_key", *[F.col("tokens")[i].alias(f"t{i}") for i in range(count)]
         )
@@ -121,7 +120,10 @@ def by_prefix(
     levels = check_mapping(mapping.columns)
     parsed = parse_queries(queries, len(levels), column)
     asked = parsed.where(F.col("error").isNull()).select("token_key", "tokens").distinct()
-    matches = prefix_matches(mapping, asked, levels, sized(asked))
+    # At most L + 1 rows: how many different queries there are of each token count.
+    found = {row["k"]: row["count"] for row in asked.groupBy(F.size("tokens").alias("k")).count().collect()}
+    distinct = sum(found.values())
+    matches = prefix_matches(mapping, asked, levels, sorted(found), distinct <= REQUEST_ROWS)
     totals = matches.groupBy("token_key").agg(F.count(F.lit(1)).alias("matched"))
     usable = F.col("error").isNull()
     total = F.coalesce("matched", F.lit(0)).cast("long")
@@ -136,7 +138,7 @@ def by_prefix(
     )
     first = first_in_group(matches, ["token_key"], [PRODUCT_ID], limit)
     meta = metadata_columns(mapping.columns)
-    detailed = mapping.select(PRODUCT_ID, *meta).join(hinted(first, sized(asked, limit)), PRODUCT_ID)
+    detailed = mapping.select(PRODUCT_ID, *meta).join(hinted(first, distinct * limit <= REQUEST_ROWS), PRODUCT_ID)
     rows = parsed.where(usable).select(query_id, "token_key").join(detailed, "token_key").select(
         query_id, F.col("rank").cast("int").alias("rank"), PRODUCT_ID, *meta
     )

@@ -419,19 +419,19 @@ def alignment_sql(source: str) -> str:
                 WHERE {field} IS NOT NULL GROUP BY ALL) GROUP BY {cols})) AS purity)"""
             )
     return (
-        "SELECT taxonomy_field, prefix_length, round(share_prefix, 8) AS share_prefix, round(baseline, 8) AS baseline, "
-        "round(lift, 8) AS lift, round(prefix_purity, 8) AS prefix_purity FROM (" + " UNION ALL ".join(parts) + ")"
+        "SELECT taxonomy_field, prefix_length, round(share_prefix, 10) AS share_prefix, round(baseline, 10) AS baseline, "
+        "round(lift, 10) AS lift, round(prefix_purity, 10) AS prefix_purity FROM (" + " UNION ALL ".join(parts) + ")"
     )
 
 
 @register("alignment", with_sql(CATALOG_SQL) + alignment_sql("cat"))
 def alignment(spark, sf):
-    return rounded(ql.alignment(base(catalog(spark, sf)), LEVELS, BUCKET))
+    return rounded(ql.alignment(base(catalog(spark, sf)), LEVELS, BUCKET), 10)
 
 
 @register("alignment_lines", with_sql(LINES_SQL) + alignment_sql("big"))
 def alignment_lines(spark, sf):
-    return rounded(ql.alignment(base(lines(spark, sf)), LEVELS, BUCKET))
+    return rounded(ql.alignment(base(lines(spark, sf)), LEVELS, BUCKET), 10)
 
 
 @register(
