@@ -48,9 +48,10 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return _LOCAL_FOLDERS.setdefault(
-        spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="codeloom-")
-    )
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="codeloom-")
+    return _LOCAL_FOLDERS[app]
 
 
 def new_table_path(spark: SparkSession, label: str) -> str:
