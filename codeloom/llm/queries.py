@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from codeloom.llm import bpe, packing, quality
+from codeloom.llm import bpe, packing, pii, quality, substring
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,5 +71,18 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary()))
 
 
-QUERIES = {"op6_bpe": op6_bpe, "op7_quality": op7_quality, "op8_packing": op8_packing}
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.find_spans(table(spark, sf_dir, "documents")))
+
+
+def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substring.dedup_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = F.array_join(quality.words_of(F.coalesce("text", F.lit(""))), " ")
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(kept.cast("binary"), 256).alias("kept_sha256"))
+
+
+QUERIES = {
+    "op6_bpe": op6_bpe, "op7_quality": op7_quality, "op8_packing": op8_packing, "op9_pii": op9_pii,
+    "op10_substring": op10_substring,
+}
 ORACLE = {"op7_quality": OP7_SQL}
