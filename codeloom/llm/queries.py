@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codeloom.llm import bpe, packing, pii, quality, substring
+from codeloom.llm import bpe, minhash, packing, pii, quality, substring, vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,67 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+#: Labels spread over the links until nothing changes: the smallest id of each component.
+COMPONENTS_SQL = """
+, reach(id, low) AS (
+  SELECT id, id FROM nodes
+  UNION SELECT l.b, r.low FROM reach AS r JOIN links AS l ON r.id = l.a
+), lowest AS (SELECT id, min(low) AS component_id FROM reach GROUP BY id)
+"""
+
+OP2_SQL = (
+    """
+WITH RECURSIVE usable AS (
+  SELECT vec_id AS id, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0
+), scaled AS (SELECT id, v, sqrt(list_inner_product(v, v)) AS norm FROM usable
+), links AS (
+  SELECT a.id AS a, b.id AS b FROM scaled AS a JOIN scaled AS b ON a.id <> b.id AND len(a.v) = len(b.v)
+  WHERE list_inner_product(a.v, b.v) / (a.norm * b.norm) >= 0.95
+), nodes AS (SELECT vec_id AS id FROM embeddings)
+"""
+    + COMPONENTS_SQL
+    + """
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN lowest ON vec_id = id
+"""
+)
+
+
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+OP3_SQL = (
+    r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^ 	-]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM words, unnest(range(1, greatest(len(w) - 3, 2))) AS u(i)
+  WHERE len(w) > 0
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both FROM shingles AS x JOIN shingles AS y ON x.s = y.s AND x.doc_id <> y.doc_id
+  GROUP BY ALL
+), links AS (
+  SELECT a, b FROM pairs JOIN sizes AS p ON a = p.doc_id JOIN sizes AS q ON b = q.doc_id
+  WHERE 100 * both >= 85 * (p.n + q.n - both)
+), nodes AS (SELECT doc_id AS id FROM documents)
+"""
+    + COMPONENTS_SQL
+    + """
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents AS d JOIN lowest ON d.doc_id = id LEFT JOIN sizes AS s ON d.doc_id = s.doc_id
+"""
+)
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary()))
 
@@ -81,8 +142,23 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2(kept.cast("binary"), 256).alias("kept_sha256"))
 
 
+OP10_SQL = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS x FROM words, unnest(range(1, len(w) - 18)) AS u(i)
+), later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY x ORDER BY doc_id, i) AS r FROM windows) WHERE r > 1
+), gone AS (SELECT doc_id, list(DISTINCT i + k) AS at FROM later, unnest(range(0, 20)) AS u(k) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(len(at), 0) AS n_removed,
+       sha256(array_to_string(CASE WHEN at IS NULL THEN w ELSE list_filter(w, (x, i) -> NOT list_contains(at, i)) END, ' ')) AS kept_sha256
+FROM words LEFT JOIN gone USING (doc_id)
+"""
+
+
 QUERIES = {
+    "op2_vectors": op2_vectors, "op3_minhash": op3_minhash,
     "op6_bpe": op6_bpe, "op7_quality": op7_quality, "op8_packing": op8_packing, "op9_pii": op9_pii,
     "op10_substring": op10_substring,
 }
-ORACLE = {"op7_quality": OP7_SQL}
+ORACLE = {"op2_vectors": OP2_SQL, "op3_minhash": OP3_SQL, "op7_quality": OP7_SQL, "op10_substring": OP10_SQL}

@@ -382,3 +382,14 @@ def dedup_documents(
     )
     cells = [F.col("left").alias(c) if c == text else F.col("row")[c].alias(c) for c in names]
     return out.select(*cells, "n_words", "n_removed")
+
+
+def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: str = "n_chars") -> DataFrame:
+    """The columns of docs, with repeats cut out of `text` and `length`, if it is there, counted anew."""
+    names = docs.columns
+    inside = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"))
+    out = dedup_documents(inside, "_key", "_text")
+    cells = {c: F.col("_row")[c] for c in names} | {text: F.col("_text")}
+    if length in names:
+        cells[length] = F.when(F.col("n_removed") > 0, F.length("_text").cast(docs.schema[length].dataType)).otherwise(F.col("_row")[length])
+    return out.select(*[cells[c].alias(c) for c in names])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codeloom.llm import packing, quality
+from codeloom.llm import minhash, packing, pii, quality, substring
 from codeloom.llm.queries import vocabulary
 from codeloom.session import new_table_path
 
@@ -13,11 +13,29 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_documents(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return minhash.one_of_each(docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return substring.without_repeats(docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pii.mask_documents(docs)
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.digests(packing.pack_documents(docs, vocabulary()))
 
 
-STAGES = [("quality rules", quality_rules), ("packing", packed)]
+STAGES = [
+    ("quality rules", quality_rules),
+    ("near duplicates", near_duplicates),
+    ("repeated passages", repeated_passages),
+    ("personal data", personal_data),
+    ("packing", packed),
+]
 
 #: Tokenising and packing cannot be said in SQL; tests compare every stage with a plain version.
 ORACLE_SQL = None
