@@ -35,7 +35,7 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"
 
 #: Entries of a worker's tables of seen words; a table is emptied when it is full.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
 CACHE_ARCS = 2_000_000
 
 

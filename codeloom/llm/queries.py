@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codeloom.llm import bpe, minhash, packing, pii, quality, substring, vectors
+from codeloom.llm import bpe, chat, html, minhash, packing, pii, quality, substring, tokencount, vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op2_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -33,9 +37,9 @@ COMPONENTS_SQL = """
 OP2_SQL = (
     """
 WITH RECURSIVE usable AS (
-  SELECT vec_id AS id, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0
+  SELECT vec_id AS id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), scaled AS (SELECT id, v, sqrt(list_inner_product(v, v)) AS norm FROM usable
 ), links AS (
   SELECT a.id AS a, b.id AS b FROM scaled AS a JOIN scaled AS b ON a.id <> b.id AND len(a.v) = len(b.v)
@@ -58,17 +62,18 @@ OP3_SQL = (
     r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[^ 	-]+') AS w FROM documents
+    '[^ 	-
+]+') AS w FROM documents
 ), shingles AS (
   SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM words, unnest(range(1, greatest(len(w) - 3, 2))) AS u(i)
   WHERE len(w) > 0
 ), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
 ), pairs AS (
-  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both FROM shingles AS x JOIN shingles AS y ON x.s = y.s AND x.doc_id <> y.doc_id
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM shingles AS x JOIN shingles AS y ON x.s = y.s AND x.doc_id <> y.doc_id
   GROUP BY ALL
 ), links AS (
   SELECT a, b FROM pairs JOIN sizes AS p ON a = p.doc_id JOIN sizes AS q ON b = q.doc_id
-  WHERE 100 * both >= 85 * (p.n + q.n - both)
+  WHERE 100 * shared >= 85 * (p.n + q.n - shared)
 ), nodes AS (SELECT doc_id AS id FROM documents)
 """
     + COMPONENTS_SQL
@@ -79,6 +84,33 @@ FROM documents AS d JOIN lowest ON d.doc_id = id LEFT JOIN sizes AS s ON d.doc_i
 )
 
 
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_conversations(table(spark, sf_dir, "conversations"))
+
+
+OP4_SQL = """
+WITH whole AS (
+  SELECT conv_id, list({'r': role, 't': text} ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS turns
+  FROM conversations GROUP BY conv_id
+), prefixes AS (
+  SELECT DISTINCT turns[1:k] AS turns FROM whole, unnest(range(1, len(turns))) AS u(k)
+), kept AS (
+  SELECT min(conv_id) AS conv_id, turns, count(*) AS n_copies FROM whole
+  WHERE turns NOT IN (SELECT turns FROM prefixes) GROUP BY turns
+)
+SELECT conv_id, len(turns) AS n_turns, n_copies, array_to_string(list_transform(turns, lambda x:
+  '<|im_start|>' || replace(coalesce(x.r, ''), '<|', '< |') || chr(10) || replace(coalesce(x.t, ''), '<|', '< |') || '<|im_end|>' || chr(10)), '') AS text
+FROM kept
+"""
+
+
+def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    return tokencount.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary()))
 
@@ -144,21 +176,24 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP10_SQL = r"""
 WITH words AS (
-  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w FROM documents
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS w FROM documents
 ), windows AS (
   SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS x FROM words, unnest(range(1, len(w) - 18)) AS u(i)
 ), later AS (
   SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY x ORDER BY doc_id, i) AS r FROM windows) WHERE r > 1
-), gone AS (SELECT doc_id, list(DISTINCT i + k) AS at FROM later, unnest(range(0, 20)) AS u(k) GROUP BY doc_id)
-SELECT doc_id, len(w) AS n_words, coalesce(len(at), 0) AS n_removed,
-       sha256(array_to_string(CASE WHEN at IS NULL THEN w ELSE list_filter(w, (x, i) -> NOT list_contains(at, i)) END, ' ')) AS kept_sha256
+), gone AS (SELECT doc_id, list(DISTINCT i + k) AS places FROM later, unnest(range(0, 20)) AS u(k) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(len(places), 0) AS n_removed,
+       sha256(array_to_string(CASE WHEN places IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(places, i)) END, ' ')) AS kept_sha256
 FROM words LEFT JOIN gone USING (doc_id)
 """
 
 
 QUERIES = {
-    "op2_vectors": op2_vectors, "op3_minhash": op3_minhash,
+    "op1_html": op1_html, "op2_vectors": op2_vectors, "op3_minhash": op3_minhash, "op4_chat": op4_chat, "op5_tokens": op5_tokens,
     "op6_bpe": op6_bpe, "op7_quality": op7_quality, "op8_packing": op8_packing, "op9_pii": op9_pii,
     "op10_substring": op10_substring,
 }
-ORACLE = {"op2_vectors": OP2_SQL, "op3_minhash": OP3_SQL, "op7_quality": OP7_SQL, "op10_substring": OP10_SQL}
+ORACLE = {
+    "op2_vectors": OP2_SQL, "op3_minhash": OP3_SQL, "op4_chat": OP4_SQL, "op7_quality": OP7_SQL, "op10_substring": OP10_SQL,
+}
