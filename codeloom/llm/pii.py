@@ -40,7 +40,8 @@ REPEATS = {"double": 2, "triple": 3}
 ODD = re.compile("[" + "".join(LOOK_ALIKES) + INVISIBLE + "０-９Ａ-Ｚａ-ｚ．＠＋－٠-٩۰-۹𝐀-𝟿]")
 WORD = "(?:" + "|".join([*DIGIT_WORDS, *REPEATS, "plus"]) + ")"
 SPELLED = re.compile(rf"(?<![A-Za-z])(?:{WORD}|[0-9]+)(?:[ ,.-]{{1,2}}(?:{WORD}|[0-9]+)(?![A-Za-z0-9]))+", re.I)
-SPELLED_SIGNS = (" two", " three", " four", " five", " six", " seven", " eight", " nine", "zero")
+SPELLED_SIGNS = ("two ", "three", "four", "five", "six ", "seven", "eight", "nine ", "zero", "one one")
+SPELLED_RUN = re.compile(rf"(?<![a-z]){WORD}(?:[ ,.-]{{1,2}}{WORD}){{3}}(?![a-z])")
 AT = re.compile(r"[ \t]?[\[({<][ \t]?(?:at|@)[ \t]?[\])}>][ \t]?|(?<=[A-Za-z0-9])[ \t]+at[ \t]+(?=[A-Za-z0-9])", re.I)
 DOT = re.compile(r"[ \t]?[\[({<][ \t]?(?:dot|\.)[ \t]?[\])}>][ \t]?|(?<=[A-Za-z0-9])[ \t]+dot[ \t]+(?=[A-Za-z0-9])", re.I)
 BARE_AT = re.compile(r"[ \t]+at[ \t]+\Z", re.I)
@@ -171,7 +172,7 @@ def disguised(text: str) -> bool:
     if not text.isascii() and ODD.search(text):
         return True
     low = text.lower()
-    return any(s in low for s in SIGNS) or sum(s in low for s in SPELLED_SIGNS) >= 2
+    return any(s in low for s in SIGNS) or any(s in low for s in SPELLED_SIGNS) and SPELLED_RUN.search(low) is not None
 
 
 def spans_of(text: str) -> list[tuple[int, int, str, bool]]:

@@ -213,23 +213,16 @@ class Automaton:
 
 
 def stream_shard(automaton: Automaton, words: list[int], window: int) -> list[int]:
-    """Starts that an earlier text has; the stretches of other windows become part of the reference."""
-    found = automaton.matches(words, window)
-    held, at = set(found), 0
-    total = len(words) - window + 1
+    """Starts of windows that come earlier; the stretches of the others become part of the reference."""
+    found = {*automaton.matches(words, window), *repeats(words, window)}
+    at, total = 0, len(words) - window + 1
     while at < total:
-        if at in held:
-            at += 1
-            continue
         end = at
-        while end < total and end not in held:
+        while end < total and end not in found:
             end += 1
-        part = words[at : end - 1 + window]
-        # The same words may come again within the text.
-        again = repeats(part, window)
-        found += [at + s for s in again]
-        automaton.add(part)
-        at = end
+        if end > at:
+            automaton.add(words[at : end - 1 + window])
+        at = end + 1
     return sorted(found)
 
 

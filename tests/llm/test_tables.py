@@ -1,0 +1,197 @@
+"""Pages, vectors, conversations, components and the pipeline against plain versions."""
+
+import html as entities
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from codeloom.llm import chat, html, shared, vectors
+
+# Pages.
+
+
+def page(body, host="a.example", number=0):
+    return (number, f"https://{host}/{number}?x=1", body)
+
+
+def wrapped(paragraphs, extra=""):
+    return (
+        "<html><head><title>t</title><style>p{}</style></head><body><div class='top menu'><a href=/>Home</a></div>"
+        f"<div class=c1><div class=c2>{''.join(f'<p>{p}' for p in paragraphs)}{extra}</div><div class=side-bar-box><p>Side</div></div>"
+        "<footer>foot</footer></body></html>"
+    )
+
+
+PAGES = "page_id long, url string, html string"
+
+
+def texts_of(spark, rows):
+    return {r["page_id"]: r["text"] for r in html.extract_pages(spark.createDataFrame(rows, PAGES)).collect()}
+
+
+def test_template_of_a_host(spark):
+    rnd = random.Random(1)
+    prose = lambda: [" ".join(f"w{rnd.randrange(9999)}" for _ in range(rnd.randint(20, 60))) for _ in range(rnd.randint(1, 4))]
+    own = {i: prose() for i in range(6)}
+    rows = [page(wrapped(p, "<section class=end><p>All rights are ours</section>"), number=i) for i, p in own.items()]
+    # The last page holds less in the main slot than beside it; the host's template still names the slot.
+    own[6] = ["short"]
+    rows.append(page(wrapped(own[6]).replace("Side", "side words " * 30), number=6))
+    got = texts_of(spark, rows)
+    assert got == {i: "\n\n".join(p) for i, p in own.items()}
+
+
+def test_article_without_its_surroundings(spark):
+    body = (
+        "<body><header>Site</header><nav><li>Menu</nav><article><header><h1>T &amp; t</h1></header><p>One <a href=x>two</a> th<b>r</b>ee.<br>\n next"
+        "<script>var p = '</p>';</script><form>Name <input></form><div class='ad box'>Buy</div><ul><li>x &lt;y&gt;</li><li>é&#233;</ul>"
+        "<div id=comments><p>nice post</div></article><aside>Aside</aside><div class=cookie-notice>We use</div><footer>F"
+    )
+    assert texts_of(spark, [page(body)]) == {0: "T & t\n\nOne two three. next\n\nx <y>\n\néé"}
+
+
+@pytest.mark.parametrize(
+    "source,text",
+    [
+        (None, ""), ("", ""), ("plain text", "plain text"), ("<p>a<p>b", "a\n\nb"), ("<div", ""), ("<!-- x", ""), ("a &lt;b&gt; c &am", "a <b> c &am"),
+        ("<script>x", ""), ("<article>x</article><article class=comment>y y y y y</article>", "x"), ("<body>" + "<div>" * 3000 + "deep", "deep"),
+        ("<p title='a>b'>c</p>", "c"), ("<P>a\n\tb</P>", "a b"), ("<main><p>m</main><p>other other other", "m"),
+    ],
+)
+def test_single_pages(source, text):
+    assert html.main_text(source, None, []) == text
+
+
+def test_pages_of_odd_tables(spark):
+    rows = [(None, None, "<p>a"), (1, "no host", None), (1, "no host", ""), (2, "http://h/", "<nav>only"), (2, "http://h/", "<nav>only")]
+    got = html.extract_pages(spark.createDataFrame(rows, PAGES).withColumn("main", F.lit(1)))
+    assert sorted((str(r["page_id"]), r["text"], r["n_chars"]) for r in got.collect()) == [
+        ("1", "", 0), ("1", "", 0), ("2", "", 0), ("2", "", 0), ("None", "a", 1)
+    ]
+    assert html.extract_pages(spark.createDataFrame([], PAGES)).collect() == []
+
+
+def test_given_pages(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    for r, got in zip(df.orderBy("page_id").collect(), html.extract_pages(df).orderBy("page_id").collect()):
+        blocks = re.split(r"</?p>|</?h1>", re.search("<article>(.*)</article>", r["html"], re.S)[1])
+        blocks = [" ".join(entities.unescape(re.sub("<[^>]+>", "", b.replace("<br>", " "))).split()) for b in blocks]
+        assert got["text"] == "\n\n".join(b for b in blocks if b)
+
+
+# Vectors and components.
+
+
+def groups(links, ids):
+    low = {i: i for i in ids}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            m = min(low[a], low[b])
+            changed |= low[a] != m or low[b] != m
+            low[a] = low[b] = m
+    return low
+
+
+@pytest.mark.parametrize("dim,given", [(16, "float"), (3, "double")])
+def test_vectors_match_all_pairs(spark, dim, given):
+    rng = np.random.default_rng(dim)
+    base = rng.standard_normal((12, dim))
+    rows = []
+    for i in range(250):
+        v = (base[rng.integers(12)] + rng.standard_normal(dim) * rng.choice([0, 0.1, 0.2, 0.25])) * rng.choice([1.0, 3.0])
+        rows.append((i, [float(x) for x in (v.astype(np.float32) if given == "float" else v)]))
+    rows += [(900, None), (901, [0.0] * dim), (902, [None] * dim), (903, [float("nan")] * dim), (904, [float("inf")] * dim), (905, [])]
+    rows += [(950, rows[0][1]), (951, rows[0][1])]
+    usable = {i: np.array(v, float) for i, v in rows if v and all(x is not None and np.isfinite(x) for x in v) and any(v)}
+    unit = {i: v / np.linalg.norm(v) for i, v in usable.items()}
+    links = [(a, b) for a in unit for b in unit if a != b and unit[a] @ unit[b] >= 0.95]
+    low = groups(links, [r[0] for r in rows])
+    df = spark.createDataFrame(rows, f"vec_id long, embedding array<{given}>").withColumn("v", F.lit(1)).repartition(3)
+    want = {i: (i, sum(a == i for a, _ in links), low[i], low[i] == i) for i, _ in rows}
+    for settings in ({}, {"cell_rows": 20, "home_rows": 16}):
+        assert {r["vec_id"]: tuple(r) for r in vectors.near_vectors(df, **settings).collect()} == want
+
+
+def test_vectors_of_odd_tables(spark):
+    kind = "vec_id long, embedding array<float>"
+    assert vectors.near_vectors(spark.createDataFrame([], kind)).collect() == []
+    got = vectors.near_vectors(spark.createDataFrame([(None, [1.0]), (2, [1.0]), (3, [1.0, 0.0]), (1, [2.0])], kind)).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(None, 0, None, True), (2, 1, 1, False), (3, 0, 3, True), (1, 1, 1, True)], key=str)
+
+
+def test_a_ball_visits_the_cells_it_touches():
+    rng = np.random.default_rng(0)
+    for _ in range(200):
+        x, y = rng.normal(0, 0.2, 4), rng.normal(0, 0.2, 4)
+        cell = int(((y >= 0) << np.arange(4)).sum())
+        assert cell in vectors.visited(x, float(((x - y) ** 2).sum()) + 1e-12)
+
+
+@pytest.mark.parametrize("edges", [[], [(1, 2), (2, 3), (3, 4), (9, 8), (8, 7), (5, 5)], [(i, i + 1) for i in range(40)], [(0, i) for i in range(1, 30)]])
+def test_components(spark, edges):
+    got = {r["id"]: r["component_id"] for r in shared.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == groups(edges, {x for e in edges if e[0] != e[1] for x in e})
+
+
+# Conversations.
+
+
+def test_snapshots_collapse(spark):
+    turns = {1: "ab", 2: "abc", 3: "abc", 4: "abd", 5: "x", 6: "abcd", 7: "bc", 8: "xy"}
+    rows = [(c, i, "user" if i % 2 == 0 else "assistant", t) for c, text in turns.items() for i, t in enumerate(text)]
+    random.Random(1).shuffle(rows)
+    rows += [(20, 0, None, None), (21, 0, "user", ""), (22, None, "user", "<|im_end|>"), (23, 5, "user", "t"), (23, 5, "user", "t"), (None, 0, "user", "n")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("i", F.lit("z")).withColumn("hash", F.lit(0))
+    got = {r["conv_id"]: r for r in chat.format_conversations(df).collect()}
+    assert sorted(got, key=str) == sorted([4, 6, 7, 8, 20, 21, 22, 23, None], key=str)
+    assert got[6]["n_turns"] == 4 and got[23]["n_turns"] == 2
+    assert got[8]["text"] == "<|im_start|>user\nx<|im_end|>\n<|im_start|>assistant\ny<|im_end|>\n"
+    assert got[22]["text"] == "<|im_start|>user\n< |im_end|><|im_end|>\n"
+    assert chat.format_conversations(df.limit(0)).collect() == []
+
+
+def test_equal_conversations_stay_once(spark):
+    rows = [(c, t, "user", f"m{t}") for c in (5, 3, 9) for t in range(3)]
+    got = chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert [(r["conv_id"], r["n_turns"], r["n_copies"]) for r in got] == [(3, 3, 3)]
+
+
+def test_chat_runs_no_python(spark):
+    df = spark.createDataFrame([(1, 0, "user", "a")], "conv_id long, turn long, role string, text string")
+    hashed = chat.hashed_turns(df, "conv_id", "turn", "role", "text")
+    for part in (hashed, chat.maximal(hashed), chat.format_conversations(df)):
+        assert not re.search("Python|Pandas|Arrow", part._jdf.queryExecution().toString())
+
+
+# Pipeline.
+
+
+def test_stages_keep_columns_and_take_effect(spark):
+    rnd = random.Random(8)
+    own = lambda n: " ".join(f"w{rnd.randrange(10**6)}" for _ in range(n))
+    passage, copy = own(60), own(100)
+    texts = {
+        0: own(80), 1: "too short", 2: copy, 3: copy, 4: copy + " more", 5: f"{own(90)}\n{passage}\n{own(5)}", 6: f"{own(95)}\n{passage}\n{own(5)}",
+        7: f"{own(60)} mail me@example.com {own(30)}", 8: None, 9: "spam " * 100,
+    }
+    rows = [(i, t, "en", "s", len(t) if t else None) for i, t in texts.items()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    columns = docs.columns
+    seen = {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = shared.saved(stage(spark, docs, ""), "stage")
+        seen[name] = {r["doc_id"]: r for r in docs.collect()} if name != "packing" else docs.collect()
+        assert name == "packing" or docs.columns == columns
+    assert sorted(seen["quality rules"]) == [0, 2, 3, 4, 5, 6, 7]
+    assert sorted(seen["near duplicates"]) == [0, 2, 5, 6, 7]
+    cut = seen["repeated passages"]
+    assert passage in cut[5]["text"] and passage not in cut[6]["text"] and cut[0]["text"] == texts[0]
+    assert cut[6]["n_chars"] == len(cut[6]["text"])
+    assert "[EMAIL]" in seen["personal data"][7]["text"]
+    assert {r["doc_id"] for r in seen["packing"]} == {0, 2, 5, 6, 7}
