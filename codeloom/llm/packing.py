@@ -14,6 +14,7 @@ and a repeated task gives the same pieces, because sequences are numbered within
 
 from __future__ import annotations
 
+import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -23,55 +24,64 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from codeloom.llm.bpe import WORD_PATTERN, byte_symbols
+
 WINDOW = 2048
 END_ID = 1
 POOL_TOKENS = 1 << 21
-CACHE_WORDS = 500_000
-#: Splits unknown chunks from each other in one call of the tokenizer; chunks that hold it are encoded alone.
-MARK = "<|endoftext|>"
+CACHE_WORDS = 1_000_000
 
 
 class Ids:
-    """Token ids of texts as little-endian unsigned 32-bit numbers, by the tokenizers library, with a table of chunks.
+    """Token ids of texts as little-endian unsigned 32-bit numbers, by the tokenizers library.
 
-    ASCII white space ends every token of this vocabulary, so the chunks between it can be encoded one by one.
+    ASCII white space ends every token of this vocabulary, so the chunks between it are encoded one by one, and words
+    of a chunk by the model of the tokenizer. `state` keeps what was seen for the worker's next task.
     """
 
-    def __init__(self, spec: str):
+    def __init__(self, state: dict):
+        import regex
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_str(spec)
-        self.tokenizer.no_padding()
-        self.tokenizer.no_truncation()
-        self.mark = self.tokenizer.token_to_id(MARK)
-        self.known: dict[bytes, bytes] = {}
-
-    def encode(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
-
-    def learn(self, chunks: list[bytes]) -> None:
-        texts = [c.decode() for c in chunks]
-        plain = [(c, t) for c, t in zip(chunks, texts) if "<|" not in t]
-        for c, t in zip(chunks, texts):
-            if "<|" in t:
-                self.known[c] = self.encode(t).tobytes()
-        for at in range(0, len(plain), 5000):
-            part = plain[at : at + 5000]
-            ids = self.encode(MARK.join([t for _, t in part]))
-            cuts = np.flatnonzero(ids == self.mark)
-            raw, begin = ids.tobytes(), 0
-            for (chunk, _), end in zip(part, [*cuts.tolist(), len(ids)]):
-                self.known[chunk] = raw[4 * begin : 4 * end]
-                begin = end + 1
-
-    def of(self, texts: list[bytes | None]) -> Iterator[bytes]:
-        split = [t.split() if t else [] for t in texts]
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        new = {c for parts in split for c in parts if c not in self.known}
-        self.learn(sorted(new))
-        for parts in split:
-            yield b"".join(map(self.known.__getitem__, parts))
+        if "tokenizer" not in state:
+            state["tokenizer"] = Tokenizer.from_str(state["spec"])
+            state["tokenizer"].no_padding()
+            state["tokenizer"].no_truncation()
+        self.tokenizer, self.model = state["tokenizer"], state["tokenizer"].model
+        self.find = regex.compile(WORD_PATTERN).findall
+        self.symbols = byte_symbols()
+        owner = self
+
+        class Chunks(dict):
+            def __missing__(self, chunk: bytes) -> bytes:
+                if len(self) >= CACHE_WORDS:
+                    self.clear()
+                value = self[chunk] = owner.chunk(chunk.decode())
+                return value
+
+        class Words(dict):
+            def __missing__(self, word: str) -> bytes:
+                if len(self) >= CACHE_WORDS:
+                    self.clear()
+                text = word if word.isascii() and word.isprintable() else "".join([owner.symbols[b] for b in word.encode()])
+                value = self[word] = np.array([t.id for t in owner.model.tokenize(text)], "<u4").tobytes()
+                return value
+
+        self.known, self.words = Chunks(state.get("known", ())), Words(state.get("words", ()))
+        state["known"], state["words"] = self.known, self.words
+
+    def chunk(self, text: str) -> bytes:
+        if "<|" in text:  # perhaps a special token
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        if not text.isascii():
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # sigma has no final form here
+        text = text.lower()
+        if text.isascii() and text.isalpha():
+            return self.words[text]
+        return b"".join(map(self.words.__getitem__, self.find(text)))
+
+    def of(self, raw: bytes | None) -> bytes:
+        return b"".join(map(self.known.__getitem__, raw.split())) if raw else b""
 
 
 def fill(counts: dict[int, int], window: int) -> Iterator[tuple[list[int], int]]:
@@ -182,7 +192,7 @@ def pack_documents(
     no pieces. `pool_tokens` bounds a task's memory, not the result.
     """
     with open(path, encoding="utf-8") as file:
-        spec = docs.sparkSession.sparkContext.broadcast(file.read())
+        spec = docs.sparkSession.sparkContext.broadcast({"spec": file.read()})
     kind = docs.schema[key].dataType.simpleString()
     names = [key, "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
     schema = f"`{key}` {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -208,13 +218,12 @@ def pack_documents(
         key_type = None
         for batch in batches:
             key_type = batch.schema.field(0).type
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                for name, ids in zip(part.column(0).to_pylist(), ids_of.of(part.column(1).to_pylist())):
-                    packer.add((name, len(ids) // 4 + 1), ids + tail)
-                    packer.settle(pool_tokens)
-                    if len(packer.out) >= 4000:
-                        yield from pieces(packer.out, key_type)
+            for name, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
+                ids = ids_of.of(raw.as_py())
+                packer.add((name, len(ids) // 4 + 1), ids + tail)
+                packer.settle(pool_tokens)
+                if len(packer.out) >= 4000:
+                    yield from pieces(packer.out, key_type)
         if key_type is not None:
             packer.pack()
             packer.cut(last=True)
