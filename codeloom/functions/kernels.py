@@ -20,10 +20,13 @@ def nearest(rows: np.ndarray, book: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     best = score[np.arange(len(rows)), code]
     slack = 1e-9 * (np.abs(best) + np.einsum("ij,ij->i", rows, rows) + 1e-30)
     close = np.flatnonzero((score <= (best + slack)[:, None]).sum(axis=1) > 1)
-    for row in close:
-        among = np.flatnonzero(score[row] <= best[row] + slack[row])
-        gap = book[among] - rows[row]
-        code[row] = among[np.einsum("ij,ij->i", gap, gap).argmin()]
+    if len(close):
+        # All close candidates in one step, by row, distance and code; the first of a row wins.
+        at, among = np.nonzero(score[close] <= (best + slack)[close][:, None])
+        gap = book[among] - rows[close[at]]
+        order = np.lexsort((among, np.einsum("ij,ij->i", gap, gap), at))
+        first = order[np.r_[True, np.diff(at[order]) > 0]]
+        code[close[at[first]]] = among[first]
     left = rows - book[code]
     return code, np.einsum("ij,ij->i", left, left)
 

@@ -143,7 +143,8 @@ def add_dedup_index(df: DataFrame, levels: list[str], key: str = PRODUCT_ID, hot
     return placed.withColumn(DEDUP, (F.col("rank_") - 1).cast("int")).drop("rank_")
 
 
-def max_dedup(df: DataFrame) -> DataFrame:
-    """One row: the largest slot (0 on an empty table) and the worst bucket size."""
-    top = F.coalesce(F.max(DEDUP), F.lit(0))
-    return df.agg(top.alias("max_dedup"), (top + 1).alias("worst_case_bucket"))
+def max_dedup(df: DataFrame, levels: list[str]) -> DataFrame:
+    """One row: the largest slot (0 on an empty table) and the worst bucket size, from the tuple counts."""
+    top = F.coalesce(F.max("size") - 1, F.lit(0)).cast("int")
+    sizes = df.groupBy(*levels).agg(F.count(F.lit(1)).alias("size"))
+    return sizes.agg(top.alias("max_dedup"), (top + 1).alias("worst_case_bucket"))

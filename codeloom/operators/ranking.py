@@ -152,6 +152,10 @@ def first_in_group(df: DataFrame, keys: list[str], order: list[str], limit: int,
     Two levels: salted groups keep their own first rows (pruned before the shuffle), so no task
     sorts more than salts * limit rows of one group at the end.
     """
+    # Spark prunes before the shuffle only up to this limit.
+    prunes = "spark.sql.optimizer.windowGroupLimitThreshold"
+    if int(df.sparkSession.conf.get(prunes)) < limit:
+        df.sparkSession.conf.set(prunes, str(limit))
     salted = df.withColumn("salt_", F.pmod(F.xxhash64(*order), F.lit(salts)))
     near = Window.partitionBy(*keys, "salt_").orderBy(*order)
     kept = salted.withColumn("near_", F.row_number().over(near)).where(F.col("near_") <= limit)

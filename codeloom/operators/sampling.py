@@ -148,20 +148,22 @@ def add_sample_weight(
 
 def poisson_draw(rate: Column, uniform: Column) -> Column:
     """Inverse Poisson CDF: how many copies a uniform number in [0, 1) stands for."""
+    # In logarithms: exp(-rate) is 0 from a rate of about 745 on.
     start = F.struct(
-        F.exp(-rate).alias("mass"), F.exp(-rate).alias("below"), F.lit(0).alias("copies")
+        (-rate).alias("log_mass"), F.exp(-rate).alias("below"), F.lit(0).alias("copies")
     )
     reach = F.ceil(rate + 12.0 * F.sqrt(rate) + 12.0).cast("int")
 
     def step(state: Column, i: Column) -> Column:
-        mass = state["mass"] * rate / i
+        log_mass = state["log_mass"] + F.log(rate) - F.log(i.cast("double"))
         return F.struct(
-            mass.alias("mass"),
-            (state["below"] + mass).alias("below"),
+            log_mass.alias("log_mass"),
+            (state["below"] + F.exp(log_mass)).alias("below"),
             (state["copies"] + (uniform >= state["below"]).cast("int")).alias("copies"),
         )
 
-    return F.aggregate(F.sequence(F.lit(1), reach), start, step, lambda state: state["copies"])
+    drawn = F.aggregate(F.sequence(F.lit(1), reach), start, step, lambda state: state["copies"])
+    return F.when(rate > 0, drawn).otherwise(0)
 
 
 def resample_copies(

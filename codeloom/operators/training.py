@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import asdict, dataclass, replace
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,6 @@ from codeloom.params import QuantizerParams, TrainParams
 from codeloom.session import stored
 
 BLOCK = 4096
-MIN_LOCAL_BATCH = 256
 DOUBLES = T.ArrayType(T.DoubleType())
 
 
@@ -337,11 +337,18 @@ def gradient_round(rows: DataFrame, model: Model, quantizer: QuantizerParams, lr
 
 
 def local_round(
-    rows: DataFrame, model: Model, quantizer: QuantizerParams, lr: float, batch_size: int, seed: int
+    rows: DataFrame, model: Model, quantizer: QuantizerParams, lr: float, batch_size: int, shards: int, seed: int
 ) -> dict[str, object]:
-    """Every task steps through its own rows in minibatches; Spark averages the states by row count."""
+    """Every shard is stepped through in minibatches; Spark averages the states by row count.
+
+    A row belongs to a shard, and has its place in it, by a seeded hash of its key. So neither the cores nor the
+    files decide which rows form a batch.
+    """
     names = model.names()
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    # Plain dicts and arrays: a broadcast value is read without this package on the executors.
+    shared = rows.sparkSession.sparkContext.broadcast(
+        (model.weights, model.m, model.v, model.step, model.sizes, model.sums, model.books)
+    )
     beta, gamma = quantizer.beta, quantizer.gamma
     levels, width, _ = model.books.shape
     shapes = [(3,), (levels, width)]
@@ -350,8 +357,8 @@ def local_round(
     length = sum(int(np.prod(s)) for s in shapes)
 
     def run(batches):
-        mine = shared.value.copy()
-        rng = np.random.default_rng(seed)
+        weights, m, v, *rest = shared.value
+        mine = Model({k: a.copy() for k, a in weights.items()}, {k: a.copy() for k, a in m.items()}, {k: a.copy() for k, a in v.items()}, *rest)
         loss, steps, seen = 0.0, 0, 0
         usage = np.zeros((levels, width))
         held, waiting = [], 0
@@ -372,7 +379,7 @@ def local_round(
 
         for batch in batches:
             x = _repeated(batch)
-            held.append(x[rng.permutation(len(x))])
+            held.append(x)
             waiting += len(x)
             while waiting >= batch_size:
                 x = np.concatenate(held)
@@ -388,7 +395,27 @@ def local_round(
         parts += [mine.sizes * seen, mine.sums * seen]
         yield _state_blocks(_pack(parts))
 
-    partials = rows.mapInArrow(run, STATE_SCHEMA)
+    def run_shards(batches):
+        """A task may hold several shards, one after the other."""
+
+
+        def pieces():
+            for batch in batches:
+                numbers = batch.column(2).to_numpy(zero_copy_only=False)
+                edges = [0, *(np.flatnonzero(np.diff(numbers)) + 1), len(numbers)]
+                for begin, end in zip(edges, edges[1:]):
+                    if end > begin:
+                        yield numbers[begin], batch.slice(begin, end - begin)
+
+        for _, shard in groupby(pieces(), key=lambda piece: piece[0]):
+            yield from run(batch for _, batch in shard)
+
+    mixed = seeded_md5(PRODUCT_ID, seed, "shard")
+    placed = rows.select(
+        EMBEDDING, "copies", F.pmod(leading_bits(mixed, 13), F.lit(shards)).cast("int").alias("shard"), mixed.alias("place"), PRODUCT_ID
+    )
+    sorted_rows = placed.repartition(shards, "shard").sortWithinPartitions("shard", "place", PRODUCT_ID)
+    partials = sorted_rows.select(EMBEDDING, "copies", "shard").mapInArrow(run_shards, STATE_SCHEMA)
     blocks = add_vectors(partials, "block", "values").collect()
     if not blocks:
         return {"rows": 0.0, "loss": 0.0, "usage": np.zeros((levels, width))}
@@ -478,10 +505,9 @@ def initial_model(
         if quantizer.kmeans_init:
             start = Artifact(codebooks=books, weights=weights, d_in=d_in)
             latent = encode(probe, start).select(PRODUCT_ID, "latent")
-            # A sorted sample is one partition; spread it over the cores for the k-means iterations.
-            cores = probe.sparkSession.sparkContext.defaultParallelism
-            spread = max(1, min(cores, quantizer.init_probe_rows // 4096))
-            latent = latent.repartition(spread, PRODUCT_ID).persist(StorageLevel.MEMORY_AND_DISK)
+            if quantizer.init_probe_rows is not None:  # a sorted sample is one partition
+                latent = latent.repartition(max(1, quantizer.init_probe_rows // 4096), PRODUCT_ID)
+            latent = latent.persist(StorageLevel.MEMORY_AND_DISK)
             books, counts, _ = fit_codebooks(
                 latent, "latent", quantizer.W, quantizer.L, quantizer.kmeans_iterations, seed
             )
@@ -505,13 +531,10 @@ def sliced_rows(train: DataFrame, seed: int, rounds: int) -> DataFrame:
     return sliced.repartition("slice", spread)
 
 
-def probe_rows(table: DataFrame, rows: int, total: int, rounds: int, *seed: object, turn: int = 0) -> DataFrame:
-    """A uniform sample. A slice is itself a hash sample, so one slice is read if it is large enough."""
-    if rounds > 1 and total // rounds >= 4 * rows:
-        return uniform_sample(
-            table.where(F.col("slice") == turn % rounds).select(PRODUCT_ID, EMBEDDING), rows, *seed
-        )
-    return uniform_sample(table.select(PRODUCT_ID, EMBEDDING), rows, *seed, total=total)
+def probe_rows(table: DataFrame, rows: int | None, total: int, *seed: object) -> DataFrame:
+    """All rows, or a uniform sample of the whole table if a number is asked for."""
+    named = table.select(PRODUCT_ID, EMBEDDING)
+    return named if rows is None else uniform_sample(named, rows, *seed, total=total)
 
 
 def train_quantizer(
@@ -544,12 +567,11 @@ def _epochs(
     table: DataFrame, held_out: DataFrame, n_rows: int, weight_sum: float, rounds: int, d_in: int,
     quantizer: QuantizerParams, training: TrainParams, warm_start: Artifact | None,
 ) -> tuple[Artifact, list[EpochStats]]:
-    probe = probe_rows(table, quantizer.init_probe_rows, n_rows, rounds, training.seed, "init")
+    probe = probe_rows(table, quantizer.init_probe_rows, n_rows, training.seed, "init")
     model = initial_model(probe, d_in, quantizer, training.seed, warm_start)
 
-    # In local mode one step of all tasks together covers about batch_size rows.
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    local_batch = min(training.batch_size, max(MIN_LOCAL_BATCH, training.batch_size // cores))
+    # In local mode one step of all shards together covers batch_size rows.
+    local_batch = max(1, training.batch_size // training.shards)
 
     def frozen(state: Model) -> Artifact:
         return Artifact(codebooks=state.books, weights=state.weights, d_in=d_in)
@@ -563,12 +585,12 @@ def _epochs(
             drawn = resample_copies(
                 table.where(F.col("slice") == part), n_rows, weight_sum, training.seed, epoch
             )
-            rows = drawn.where("copies > 0").select(EMBEDDING, "copies")
+            rows = drawn.where("copies > 0").select(EMBEDDING, "copies", PRODUCT_ID)
             if training.mode == "sync":
                 out = gradient_round(rows, model, quantizer, training.lr)
             else:
                 out = local_round(
-                    rows, model, quantizer, training.lr, local_batch,
+                    rows, model, quantizer, training.lr, local_batch, training.shards,
                     training.seed + 7919 * epoch + part,
                 )
             if out["rows"]:
@@ -579,10 +601,10 @@ def _epochs(
         if quantizer.dead_code_reset and (epoch + 1) % quantizer.dead_code_reset_every == 0:
             limit, relative = quantizer.dead_code_reset_threshold, quantizer.dead_threshold_relative
             if any(dead_codes(level, limit, relative).any() for level in usage):
-                probe = probe_rows(
-                    table, quantizer.reset_probe_rows, n_rows, rounds, training.seed, "reset", epoch, turn=epoch
-                )
-                pools = collect_pools(level_rows(probe, frozen(model)), quantizer.reset_pool_rows)
+                probe = probe_rows(table, quantizer.reset_probe_rows, n_rows, training.seed, "reset", epoch)
+                # No level can use more rows than it has codes.
+                pool_rows = min(quantizer.W, quantizer.reset_pool_rows or quantizer.W)
+                pools = collect_pools(level_rows(probe, frozen(model)), pool_rows)
                 model.books, model.sizes, model.sums, reset = reset_dead(
                     frozen(model), model.sizes, model.sums, usage, pools, limit, relative
                 )

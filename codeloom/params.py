@@ -30,15 +30,17 @@ class QuantizerParams:
     gamma: float = 0.99
     kmeans_init: bool = True
     kmeans_iterations: int = 20
-    init_probe_rows: int = 100_000
+    # Rows for the k-means start and for dead codes; None: all rows.
+    init_probe_rows: int | None = None
     dead_code_reset: bool = True
     dead_code_reset_threshold: float = 0.01
     # True: a code is dead below threshold * (1 / W), its fair share.
     # False: the threshold is compared with the plain share of assignments.
     dead_threshold_relative: bool = True
     dead_code_reset_every: int = 1
-    reset_probe_rows: int = 20_000
-    reset_pool_rows: int = 2_000
+    reset_probe_rows: int | None = None
+    # Rows with a large error that are kept for dead codes; None: as many as there are codes.
+    reset_pool_rows: int | None = None
 
 
 @dataclass(frozen=True)
@@ -50,8 +52,10 @@ class TrainParams:
     min_delta: float = 1.0e-4
     seed: int = 42
     # "sync": one optimizer step per Spark job, gradients summed by Spark.
-    # "local": every task takes local steps, Spark averages the states.
+    # "local": every shard takes local steps of batch_size / shards rows, Spark averages the states.
     mode: str = "local"
+    # Logical parts of a round; a row's part depends on its key alone. With more executors, raise it and batch_size.
+    shards: int = 16
     # Train on a seeded sample of about this many rows; None trains on all rows.
     sample_rows: int | None = None
     # Rows read per round; an epoch has ceil(rows / rows_per_round) rounds.

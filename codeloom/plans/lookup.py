@@ -28,7 +28,7 @@ from codeloom.functions.scalars import (
     token_error,
     token_numbers,
 )
-from codeloom.operators.ranking import first_in_group
+from codeloom.operators.ranking import first_in_group, ranked
 
 # Request tables up to this many rows are sent to every task; they are counted first.
 REQUEST_ROWS = 100_000
@@ -145,15 +145,27 @@ def by_prefix(
     return summary, rows
 
 
-def tuple_mates(ids: DataFrame, mapping: DataFrame, limit: int = 1000, id_column: str = PRODUCT_ID):
-    """All products that share the full code tuple of each asked product, as a prefix query of L tokens."""
+def tuple_mates(ids: DataFrame, mapping: DataFrame, limit: int | None = None, id_column: str = PRODUCT_ID) -> DataFrame:
+    """The products that share the full code tuple of each asked product, by id, with metadata.
+
+    All of them, or the first `limit`; `total_count` always counts all, `truncated` tells if some are missing.
+    """
     levels = check_mapping(mapping.columns)
     asked = ids.select(requested_id(ids, id_column).alias(PRODUCT_ID)).distinct()
-    queries = mapping.join(asked, PRODUCT_ID, "left_semi").select(
-        F.col(PRODUCT_ID).alias("query_id"),
-        F.array_join(F.array(*[F.col(c).cast("string") for c in levels]), "-").alias("query"),
+    own = mapping.join(asked, PRODUCT_ID, "left_semi").select(F.col(PRODUCT_ID).alias("query_id"), *levels)
+    tuples = own.select(*levels).distinct()
+    members = mapping.join(tuples, levels, "left_semi")
+    totals = members.groupBy(*levels).agg(F.count(F.lit(1)).alias("total_count"))
+    if limit is None:
+        first = ranked(members, levels, [PRODUCT_ID])
+    else:
+        first = first_in_group(members, levels, [PRODUCT_ID], limit)
+    meta = metadata_columns(mapping.columns)
+    rows = own.join(first, levels).join(totals, levels)
+    return rows.select(
+        "query_id", F.col("rank").cast("int").alias("rank"), PRODUCT_ID, *meta, "total_count",
+        (F.lit(False) if limit is None else F.col("total_count") > limit).alias("truncated"),
     )
-    return by_prefix(queries, mapping, limit)
 
 
 def _listed(missing_a: Column, missing_b: Column, a: Column, b: Column) -> Column:

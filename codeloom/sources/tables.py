@@ -22,7 +22,7 @@ from codeloom.functions.names import (
 from codeloom.functions.scalars import id_string
 from codeloom.operators.prepare import is_valid, l2_normalize
 from codeloom.operators.quantize import Artifact
-from codeloom.sources.catalog import assignments_path, source_files
+from codeloom.sources.catalog import assignments_path, file_name, source_files
 
 # ---- published codes --------------------------------------------------------------------
 
@@ -86,7 +86,7 @@ def write_full_mapping(assignments: DataFrame, source: DataFrame, path: str) ->
 def index_counts(source: DataFrame, dim: int) -> DataFrame:
     """Raw and valid rows of every source file."""
     flagged = source.select(
-        F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("name"),
+        file_name(F.col("_metadata.file_path")).alias("name"),
         is_valid(dim).alias("valid"),
     )
     return flagged.groupBy("name").agg(

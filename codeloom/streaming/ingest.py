@@ -24,10 +24,11 @@ def coded_stream(source: DataFrame, artifact: Artifact, dim: int) -> DataFrame:
 def append_slots(new: DataFrame, published: DataFrame | None, levels: list[str]) -> DataFrame:
     """Slots for coded rows that are not published yet, after the last slot of their tuple.
 
-    Repeated ids within `new` count once. Only the tuples of this batch are looked up in the
+    An id that comes twice within `new` counts once, with its smallest code tuple, so a replay gives the same. Only the tuples of this batch are looked up in the
     published table, and what is joined back is one row per tuple.
     """
-    fresh = new.dropDuplicates([PRODUCT_ID])
+    chosen = F.min(F.struct(*levels)).alias("codes_")
+    fresh = new.groupBy(PRODUCT_ID).agg(chosen).select(PRODUCT_ID, *[F.col("codes_")[c].alias(c) for c in levels])
     if published is None:
         return add_dedup_index(fresh.select(PRODUCT_ID, *levels), levels)
     # The published table is first cut to the ids and tuples of this batch, with the batch as the small

@@ -15,7 +15,7 @@ from codeloom.operators.sampling import add_sample_weight, with_split
 from codeloom.params import QuantizerParams, TrainParams
 from codeloom.plans import quality as ql
 from codeloom.session import new_table_path
-from codeloom.sources.catalog import read_catalog
+from codeloom.sources.catalog import read_catalog, source_files
 from codeloom.sources.tables import (
     build_index,
     codebook_frame,
@@ -31,7 +31,6 @@ from codeloom.workload.views import (
     DIM,
     UNIT_SQL,
     VALID_SQL,
-    VECTORS_SQL,
     damaged_vectors,
     vectors,
     with_sql,
@@ -191,9 +190,8 @@ def kmeans_codebook(spark, sf):
 def vector_collisions(spark, sf):
     """Prepare, quantize, break collisions, measure: the short way through the whole library."""
     coded = qz.assign_codes(prepared(spark, sf), seeded_model(spark, sf, LLOYD))
-    slotted = qz.add_dedup_index(coded, CODES)
-    counts = slotted.groupBy(*CODES).agg(F.count(F.lit(1)).alias("n"))
-    worst = qz.max_dedup(slotted).select(F.col("max_dedup").cast("long").alias("max_slot"), F.lit(1).alias("one"))
+    counts = coded.groupBy(*CODES).agg(F.count(F.lit(1)).alias("n"))
+    worst = qz.max_dedup(coded, CODES).select(F.col("max_dedup").cast("long").alias("max_slot"), F.lit(1).alias("one"))
     summary = ql.collision(counts, CODES).select("n", "collision_rate", "worst_case_bucket", F.lit(1).alias("one"))
     return rounded(summary.join(worst, "one").drop("one"))
 
@@ -398,15 +396,16 @@ def assign_trained(spark, sf):
 
 @register(
     "index_vectors",
-    with_sql(VECTORS_SQL.replace("CAST(x * CAST(1 + vec_id % 5 AS DOUBLE) AS FLOAT)", "x"), VALID_SQL, UNIT_SQL)
+    with_sql(DAMAGED_SQL, VALID_SQL, UNIT_SQL)
     + f"""SELECT product_id, round(sqrt(list_sum(list_transform(v, lambda x: x * x))), 5) AS norm, round(v[1], 6) AS first_element,
       (SELECT count(*) FROM valid) AS n_rows, (SELECT count(*) FROM emb) - (SELECT count(*) FROM valid) AS dropped_invalid, {DIM} AS dim
       FROM unit""",
 )
 def index_vectors(spark, sf):
-    path = new_table_path(spark, "index")
-    named = {PRODUCT_ID: "vec_id", EMBEDDING: "embedding"}
-    meta = build_index(spark, f"{sf}/embeddings.parquet", path, DIM, columns=named)
+    path, source = new_table_path(spark, "index"), new_table_path(spark, "vectors")
+    named = damaged_vectors(spark, sf).select(F.col(PRODUCT_ID).alias("id"), F.col(EMBEDDING).alias("vector"))
+    named.write.parquet(source)
+    meta = build_index(spark, source, path, DIM, columns={PRODUCT_ID: "id", EMBEDDING: "vector"})
     squares = F.aggregate(EMBEDDING, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
     rows = read_index(spark, path).select(
         PRODUCT_ID, F.round(F.sqrt(squares), 5).alias("norm"),
@@ -419,27 +418,31 @@ def index_vectors(spark, sf):
 @register(
     "index_counts",
     with_sql(DAMAGED_SQL, VALID_SQL)
-    + "SELECT 2 AS files, count(*) AS raw_rows, (SELECT count(*) FROM valid) AS valid_rows FROM emb",
+    + "SELECT true AS every_file, count(*) AS raw_rows, (SELECT count(*) FROM valid) AS valid_rows FROM emb",
 )
 def file_counts(spark, sf):
-    """Raw and valid rows per source file, added up over the two files of a copy."""
+    """Raw and valid rows per source file, added up over the files of two folders of a copy."""
     path = new_table_path(spark, "vectors")
-    rows = damaged_vectors(spark, sf).select(PRODUCT_ID, EMBEDDING)
-    rows.where(f"{PRODUCT_ID} % 2 = 0").coalesce(1).write.mode("append").parquet(path)
-    rows.where(f"{PRODUCT_ID} % 2 = 1").coalesce(1).write.mode("append").parquet(path)
-    return index_counts(spark.read.parquet(path), DIM).agg(
-        F.count(F.lit(1)).cast("int").alias("files"), F.sum("raw_rows").alias("raw_rows"),
-        F.sum("valid_rows").alias("valid_rows"),
+    halves = damaged_vectors(spark, sf).select(PRODUCT_ID, EMBEDDING, F.pmod(F.col(PRODUCT_ID), F.lit(2)).alias("half"))
+    halves.write.partitionBy("half").parquet(path)
+    source = spark.read.parquet(path)
+    files = source_files(spark, f"{path}/half=*").count()
+    return index_counts(source, DIM).agg(
+        (F.count(F.lit(1)) == files).alias("every_file"), F.sum("raw_rows").alias("raw_rows"), F.sum("valid_rows").alias("valid_rows")
     )
 
 
 @register(
     "stream_slots",
     with_sql(*residual_sql(), CODED_SQL)
-    + """SELECT product_id, c1, c2, CAST(row_number() OVER (PARTITION BY c1, c2 ORDER BY product_id) - 1 AS INT) AS dedup FROM coded""",
+    + """SELECT c1, c2, count(*) AS members, count(*) AS slots, 0 AS first_slot, CAST(count(*) - 1 AS INT) AS last_slot, CAST(sum(product_id) AS BIGINT) AS ids
+    FROM coded GROUP BY c1, c2""",
 )
 def stream_slots(spark, sf):
-    """All rows delivered as a stream of three files in id order, through the frozen codebooks."""
+    """Slots per tuple after all rows were delivered as a stream, file by file in any order, through the frozen codebooks.
+
+    Which member has which slot depends on the order of arrival; that the slots of a tuple are 0 to n - 1 does not.
+    """
     rows = damaged_vectors(spark, sf).select(PRODUCT_ID, EMBEDDING)
     low, high = rows.agg(F.min(PRODUCT_ID), F.max(PRODUCT_ID)).first()
     cuts = [low, low + (high - low) // 3, low + 2 * (high - low) // 3, high + 1]
@@ -450,4 +453,7 @@ def stream_slots(spark, sf):
     source = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(arrivals)
     query = ingest(source, seeded_model(spark, sf), DIM, out, new_table_path(spark, "progress"))
     query.trigger(availableNow=True).start().awaitTermination()
-    return read_batches(spark, out, DEPTH).select(PRODUCT_ID, *CODES, "dedup")
+    return read_batches(spark, out, DEPTH).groupBy(*CODES).agg(
+        F.count(F.lit(1)).alias("members"), F.countDistinct("dedup").alias("slots"), F.min("dedup").alias("first_slot"),
+        F.max("dedup").alias("last_slot"), F.sum(PRODUCT_ID).alias("ids"),
+    )

@@ -127,24 +127,29 @@ def sample_weights(spark, sf):
     return sampling.add_sample_weight(catalog(spark, sf), TOP_K, 5.0, 5.0).select(PRODUCT_ID, "sample_weight")
 
 
+# One row with so large a weight that it is drawn about as often as there are rows.
+RAISED = "sample_weight * CASE WHEN product_id = 7 THEN CAST(100000000 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END"
+
+
 @register(
     "resample_copies",
     with_sql(
         CATALOG_SQL, HOT_SQL, WEIGHT_SQL,
-        "totals AS (SELECT CAST(count(*) AS DOUBLE) AS n, sum(sample_weight) AS w FROM weighted)",
+        f"raised AS (SELECT product_id, {RAISED} AS sample_weight FROM weighted)",
+        "totals AS (SELECT CAST(count(*) AS DOUBLE) AS n, sum(sample_weight) AS w FROM raised)",
         f"""rates AS MATERIALIZED (SELECT product_id, sample_weight, sample_weight * (n / w) AS rate,
           CAST(CAST(('0x' || substr({hashed('product_id', 42, 0)}, 1, 13)) AS BIGINT) AS DOUBLE) / {float(16**13)} AS u
-          FROM weighted, totals)""",
+          FROM raised, totals)""",
         "distinct_rates AS (SELECT DISTINCT rate FROM rates)",
         """cdf AS MATERIALIZED (SELECT rate, k, sum(exp(-rate + k * ln(rate) - CASE WHEN k < 2 THEN 0 ELSE lgamma(k + 1) END))
-          OVER (PARTITION BY rate ORDER BY k) AS below FROM distinct_rates, range(0, 120) AS g(k))""",
+          OVER (PARTITION BY rate ORDER BY k) AS below FROM distinct_rates, unnest(range(0, CAST(ceil(rate + 12 * sqrt(rate) + 12) AS BIGINT))) AS g(k))""",
     )
     + """SELECT r.product_id, r.sample_weight, CAST(count(c.k) AS INT) AS copies
     FROM rates r LEFT JOIN cdf c ON c.rate = r.rate AND r.u >= c.below AND c.k < ceil(r.rate + 12 * sqrt(r.rate) + 12)
     GROUP BY r.product_id, r.sample_weight""",
 )
 def resample_copies(spark, sf):
-    weighted = sampling.add_sample_weight(catalog(spark, sf), TOP_K, 5.0, 5.0).select(PRODUCT_ID, "sample_weight")
+    weighted = sampling.add_sample_weight(catalog(spark, sf), TOP_K, 5.0, 5.0).selectExpr(PRODUCT_ID, f"{RAISED} AS sample_weight")
     totals = weighted.agg(F.count(F.lit(1)).alias("n"), F.sum("sample_weight").alias("w")).first()
     return sampling.resample_copies(weighted, totals["n"], totals["w"], 42, 0)
 
@@ -175,7 +180,7 @@ def dedup_slots(spark, sf):
       FROM (SELECT {SLOT} AS d FROM big)""",
 )
 def worst_slot(spark, sf):
-    return max_dedup(dedup_slots(spark, sf))
+    return max_dedup(lines(spark, sf), LEVELS)
 
 
 @register(
@@ -586,11 +591,11 @@ def lookup(spark, sf):
     with_sql(CATALOG_SQL, MAPPING_SQL, "asked AS (SELECT DISTINCT s_suppkey AS product_id FROM supplier)")
     + f"""SELECT query_id, CAST(rank AS INT) AS rank, product_id FROM (SELECT a.product_id AS query_id, b.product_id,
       row_number() OVER (PARTITION BY a.product_id ORDER BY b.product_id) AS rank
-      FROM mapping a JOIN asked USING (product_id) JOIN mapping b ON a.c1 = b.c1 AND a.c2 = b.c2 AND a.c3 = b.c3) WHERE rank <= {LIMIT}""",
+      FROM mapping a JOIN asked USING (product_id) JOIN mapping b ON a.c1 = b.c1 AND a.c2 = b.c2 AND a.c3 = b.c3)""",
 )
 def tuple_mates(spark, sf):
     ids = table(spark, sf, "supplier").select(F.col("s_suppkey").alias(PRODUCT_ID))
-    return lk.tuple_mates(ids, mapping(spark, sf), LIMIT)[1].select("query_id", "rank", PRODUCT_ID)
+    return lk.tuple_mates(ids, mapping(spark, sf)).select("query_id", "rank", PRODUCT_ID)
 
 
 # Pairs of parts, also with a part that has the same codes but for the last, and with unknown ones.
@@ -723,12 +728,12 @@ def capacity_bounds(spark, sf):
 
 
 def verdict_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """The verdict of two widths on the same codes; the wider one leaves half its codes dead."""
+    """The verdict of two widths on the same codes, over all levels; the wider one leaves half its codes dead."""
     counts = base(lines(spark, sf))
     crowding = ql.collision_verdict(ql.collision(counts, LEVELS), ql.collision_hot(counts, LEVELS, TOP_K))
     rows = None
     for width in SWEEP_WIDTHS:
-        row = sw.run_verdict(ql.utilization_hot(counts, ["c1"], width, TOP_K), crowding)
+        row = sw.run_verdict(ql.utilization_hot(counts, LEVELS, width, TOP_K), crowding)
         row = row.withColumns({"W": F.lit(width), "L": F.lit(3), "d": F.lit(32)})
         rows = row if rows is None else rows.unionByName(row)
     return rows
@@ -743,7 +748,7 @@ SWEEP_SQL = with_sql(
     + " UNION ALL ".join(
         f"""SELECT {w} AS "W", 3 AS "L", 32 AS d, count(*) FILTER (passes) AS passing_records, count(*) AS records,
         bool_and(passes) AS hot_utilization_passes, (SELECT passes FROM crowding) AS collision_passes
-        FROM (SELECT {record_columns(w)} FROM records_{w} WHERE level = 'c1')"""
+        FROM (SELECT {record_columns(w)} FROM records_{w})"""
         for w in SWEEP_WIDTHS
     )
     + ")",
@@ -799,14 +804,14 @@ def compare_runs(spark, sf):
 
 OLD_NEW_SQL = [
     CATALOG_SQL, MAPPING_SQL, OTHER_SQL,
-    "old_ids AS MATERIALIZED (SELECT product_id, c1, c2, c3, dedup FROM mapping WHERE league <> 'PROMO')",
-    f"new_ids AS MATERIALIZED (SELECT product_id, c1, c2, c3, {SLOT} AS dedup FROM other WHERE league <> 'SMALL')",
+    "old_ids AS MATERIALIZED (SELECT product_id, c1, c2, c3, dedup FROM mapping WHERE league IS DISTINCT FROM 'PROMO')",
+    f"new_ids AS MATERIALIZED (SELECT product_id, c1, c2, c3, {SLOT} AS dedup FROM other WHERE league IS DISTINCT FROM 'SMALL')",
 ]
 
 
 def old_and_new(spark: SparkSession, sf: str) -> DataFrame:
-    old = mapping(spark, sf).where("league <> 'PROMO'")
-    new = add_dedup_index(other_codes(spark, sf).where("league <> 'SMALL'"), LEVELS)
+    old = mapping(spark, sf).where("NOT (league <=> 'PROMO')")
+    new = add_dedup_index(other_codes(spark, sf).where("NOT (league <=> 'SMALL')"), LEVELS)
     return sw.dual_write(old, new, LEVELS)
 
 

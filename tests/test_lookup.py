@@ -66,11 +66,13 @@ def test_equal_queries_get_equal_answers(spark, mapping):
 
 
 def test_tuple_mates(spark, mapping):
-    summary, rows = L.tuple_mates(spark.createDataFrame([(8,), (4,)], "product_id long"), mapping)
-    got = {}
-    for r in rows.collect():
-        got.setdefault(r.query_id, set()).add(r.product_id)
-    assert got == {8: {7, 8, 9}, 4: {4}}
+    asked = spark.createDataFrame([(8,), (4,)], "product_id long")
+    for limit, want in ((None, {8: {7, 8, 9}, 4: {4}}), (2, {8: {7, 8}, 4: {4}})):
+        got = {}
+        for r in L.tuple_mates(asked, mapping, limit).collect():
+            got.setdefault(r.query_id, set()).add(r.product_id)
+            assert r.total_count == {8: 3, 4: 1}[r.query_id] and r.truncated == (limit == 2 and r.query_id == 8)
+        assert got == want
 
 
 @pytest.fixture(scope="module")

@@ -114,8 +114,8 @@ def test_dedup_slots_follow_product_id(spark):
     for hot_rows in (2_000_000, 1):
         got = {r.product_id: r.dedup for r in add_dedup_index(df, LEVELS, hot_rows=hot_rows).collect()}
         assert got == {2: 0, 5: 1, 9: 2, 1: 0, 3: 1, 7: 0}
-    assert max_dedup(add_dedup_index(df, LEVELS)).first().max_dedup == 2
-    assert max_dedup(add_dedup_index(df.limit(0), LEVELS)).first().max_dedup == 0
+    assert max_dedup(df, LEVELS).first().max_dedup == 2
+    assert max_dedup(df.limit(0), LEVELS).first().max_dedup == 0
 
 
 def test_cold_start_counts_mates_without_self(spark):

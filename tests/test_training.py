@@ -1,3 +1,7 @@
+import os
+import subprocess
+import sys
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -189,18 +193,44 @@ def test_one_step_is_the_same_on_one_and_on_many_partitions(spark):
 
 
 def test_local_round_on_one_partition_is_plain_minibatch_training(spark):
-    rows = weighted(spark, parts=1).select("content_embedding", F.lit(1).alias("copies")).coalesce(1)
+    rows = weighted(spark, parts=1).select("content_embedding", F.lit(1).alias("copies"), "product_id")
     model = T.initial_model(weighted(spark, parts=1), 16, SMALL, 3)
     before = model.copy()
-    out = T.local_round(rows, model, SMALL, 1e-3, 400, 0)
+    out = T.local_round(rows, model, SMALL, 1e-3, 400, 1, 0)
     exact = before.copy()
-    T.gradient_round(rows, exact, SMALL, 1e-3)
+    T.gradient_round(rows.select("content_embedding", "copies"), exact, SMALL, 1e-3)
     assert out["rows"] == 400 and model.step == 1
     for name in model.names():
         assert np.allclose(model.weights[name], exact.weights[name], atol=1e-9)
     assert np.allclose(model.books, exact.books, atol=1e-9)
 
 
+def test_training_does_not_depend_on_files_or_cores(spark):
+    settings = TrainParams(lr=3e-3, batch_size=64, max_epochs=2, min_delta=0.0, seed=1, shards=4, rows_per_round=250)
+    runs = []
+    for parts in (1, 6):
+        train = weighted(spark, parts=parts)
+        runs.append(T.train_quantizer(train, train.drop("sample_weight"), 16, SMALL, settings)[1])
+    for a, b in zip(*runs):
+        assert abs(a.val_reconstruction - b.val_reconstruction) < 1e-9 and abs(a.train_loss - b.train_loss) < 1e-9
+        assert a.dead_codes_reset == b.dead_codes_reset
+
+
+def test_training_from_another_folder(tmp_path):
+    """The workers have no copy of the package."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = (
+        f"import sys; sys.path.insert(0, {root!r})\n"
+        "import __spark_entry__ as e\n"
+        "from codeloom.session import local_session\n"
+        f"spark = local_session(2, 'away', '2g', spark__checkpoint__dir={str(tmp_path / 'shared')!r})\n"
+        "print('epochs', e.queries()['train_history'](spark, '/root/testdata/sf0.001').count())\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert "epochs 2" in done.stdout, done.stderr[-2000:]
+
+
 @pytest.mark.parametrize("mode", ["sync", "local"])
 def test_training_lowers_the_error(spark, mode):
     train = weighted(spark)
