@@ -12,9 +12,9 @@ TEAM = "team"
 HOT_MARKET = "is_hot_market"
 LAUNCH_AGE = "launch_age_bucket"
 DEDUP = "dedup"
-ID_STRING = "semantic_id"
+ID_STRING = "code_id"
 SET_VERSION = "embedding_set_version"
-ID_VERSION = "semantic_id_version"
+ID_VERSION = "code_version"
 INPUT_COLUMNS = ["product_id", "content_embedding", "league", "team", "is_hot_market"]
 METADATA_COLUMNS = [
     "league", "team", "brand", "color", "product_name", "price_band",

@@ -27,7 +27,7 @@ class Artifact:
     d_in: int = 0
     normalize: bool = True
     embedding_set_version: str = ""
-    semantic_id_version: str = ""
+    code_version: str = ""
     metadata: dict[str, str] = field(default_factory=dict)
 
     @property

@@ -75,4 +75,4 @@ class RunParams:
     quantizer: QuantizerParams = field(default_factory=QuantizerParams)
     training: TrainParams = field(default_factory=TrainParams)
     evaluation: EvalParams = field(default_factory=EvalParams)
-    semantic_id_version: str = "v1"
+    code_version: str = "v1"

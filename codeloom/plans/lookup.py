@@ -231,11 +231,11 @@ def compare(
         agreement.append(F.when(both, x.eqNullSafe(y)).alias(f"{field}_match"))
     return joined.select(
         a, b,
-        F.col(f"{ID_STRING}__a").alias("semantic_id_a"), F.col(f"{ID_STRING}__b").alias("semantic_id_b"),
+        F.col(f"{ID_STRING}__a").alias("code_id_a"), F.col(f"{ID_STRING}__b").alias("code_id_b"),
         F.col("bucket_size__a").alias("bucket_size_a"), F.col("bucket_size__b").alias("bucket_size_b"),
         depth.cast("int").alias("shared_prefix_depth"),
         (both & (depth == len(levels))).alias("same_code_tuple"),
-        (both & F.col(f"{ID_STRING}__a").eqNullSafe(F.col(f"{ID_STRING}__b"))).alias("same_semantic_id"),
+        (both & F.col(f"{ID_STRING}__a").eqNullSafe(F.col(f"{ID_STRING}__b"))).alias("same_code_id"),
         similarity.alias("cosine_similarity"), reason.alias("cosine_unavailable_reason"),
         *agreement,
         *[F.col(f"{f}__{t}").alias(f"{f}_{t}") for f in fields for t in ("a", "b")],

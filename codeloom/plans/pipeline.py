@@ -31,8 +31,8 @@ def run_training(
     columns: Columns = None, warm_start: str | None = None,
 ) -> tuple[str, list[EpochStats]]:
     """Prepare, split, weight, train, save. `warm_start` names an earlier version under `output`."""
-    if artifact_exists(spark, output, params.semantic_id_version):
-        raise FileExistsError(f"version {params.semantic_id_version} already exists under {output}")
+    if artifact_exists(spark, output, params.code_version):
+        raise FileExistsError(f"version {params.code_version} already exists under {output}")
     prep, weights = params.prep, params.weights
     ready = prepare(read_catalog(spark, source, columns), prep.embedding_dim)
     split = with_split(ready, prep.val_fraction, prep.split_seed, list(prep.strata_columns))
@@ -46,7 +46,7 @@ def run_training(
             train, rows.where("is_val"), prep.embedding_dim, params.quantizer, params.training, prior
         )
     path = save_artifact(
-        spark, artifact, output, params.semantic_id_version, prep.embedding_set_version, artifact.metadata
+        spark, artifact, output, params.code_version, prep.embedding_set_version, artifact.metadata
     )
     history_frame(spark, history).coalesce(1).write.mode("overwrite").parquet(f"{path}/history")
     return path, history
@@ -56,15 +56,15 @@ def run_assignment(
     spark: SparkSession, source: str, output: str, params: RunParams = RunParams(), columns: Columns = None
 ) -> DataFrame:
     """Code every valid row, break collisions, publish; returns the published version."""
-    artifact = load_artifact(spark, output, params.semantic_id_version)
+    artifact = load_artifact(spark, output, params.code_version)
     ready = prepare(read_catalog(spark, source, columns), params.prep.embedding_dim)
     with stored(assign_codes(ready, artifact), "codes") as coded:
         assert_unique(coded)
         slotted = add_dedup_index(coded, level_columns(artifact.num_levels))
         publish_assignment(
-            slotted, output, params.semantic_id_version, params.prep.embedding_set_version, artifact.num_levels
+            slotted, output, params.code_version, params.prep.embedding_set_version, artifact.num_levels
         )
-    return read_assignments(spark, output, params.semantic_id_version)
+    return read_assignments(spark, output, params.code_version)
 
 
 def joined_assignments(assignments: DataFrame, taxonomy: DataFrame) -> DataFrame:
@@ -78,9 +78,9 @@ def run_evaluation(
     """Count once, write the report tables and texts, return the nested report."""
     fields = list(dict.fromkeys([LEAGUE, TEAM, *params.evaluation.taxonomy_fields]))
     taxonomy = read_catalog(spark, source, columns).select(PRODUCT_ID, *fields)
-    published = read_assignments(spark, output, params.semantic_id_version)
+    published = read_assignments(spark, output, params.code_version)
     levels = level_columns(params.quantizer.L)
-    report = f"{output.rstrip('/')}/report/semantic_id_version={params.semantic_id_version}"
+    report = f"{output.rstrip('/')}/report/code_version={params.code_version}"
     with stored(base_counts(joined_assignments(published, taxonomy), levels, fields), "counts") as counts:
         tables = report_tables(
             counts, params.quantizer.W, params.quantizer.L, params.quantizer.d,

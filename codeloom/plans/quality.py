@@ -410,7 +410,7 @@ def to_json(report: dict) -> str:
 def to_markdown(report: dict) -> str:
     run, use, crowd = report["run_config"], report["utilization"], report["collision"]["global"]
     # Headings and line formats of the report text.
-    heading = "# Semantic ID eval report — W={W}, L={L}, d={d}"
+    heading = "# Code report — W={W}, L={L}, d={d}"
     level_line = (
         "- **{level}**: U={normalized_utilization:.3f}, dead_code_rate={dead_code_rate:.3f}, "
         "M={max_code_share:.4f}, scope_size={scope_size}, passes={passes}"
@@ -425,14 +425,14 @@ def to_markdown(report: dict) -> str:
         "- {taxonomy_field} @ l={prefix_length}: lift={lift:.2f} (share={share_prefix:.4f}, "
         "baseline={baseline:.4f}), purity={prefix_purity:.3f}"
     )
-    text = [heading.format(**run), "", "## §11.1 Utilization (global)"]
+    text = [heading.format(**run), "", "## Utilization (global)"]
     text += [level_line.format(level=name, **use["global"][name]) for name in use["level_cols"]]
-    text += ["", "## §11.1 Utilization (hot buckets)"]
+    text += ["", "## Utilization (hot buckets)"]
     for bucket in use["hot_buckets"]:
         text.append(bucket_line.format(**bucket))
         text += [inner_line.format(level=name, **bucket[name]) for name in use["level_cols"]]
-    text += ["", "## §11.2 Collision (global)"]
+    text += ["", "## Collision (global)"]
     text.append(collision_line.format(**crowd) if crowd["n"] else "- no rows")
-    text += ["", "## §11.3 Taxonomy-prefix alignment"]
+    text += ["", "## Taxonomy-prefix alignment"]
     text += [alignment_line.format(**row) for row in report["taxonomy_alignment"]]
     return "\n".join(text)

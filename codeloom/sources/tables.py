@@ -242,7 +242,7 @@ def load_artifact(spark: SparkSession, output_path: str, version: str) -> Artifa
         array.setflags(write=False)
     return Artifact(
         codebooks=books, weights=weights, d_in=meta["d_in"], normalize=meta["normalize"],
-        embedding_set_version=meta[SET_VERSION], semantic_id_version=version,
+        embedding_set_version=meta[SET_VERSION], code_version=version,
         metadata=json.loads(meta["metadata"]),
     )
 

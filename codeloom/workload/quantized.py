@@ -232,7 +232,7 @@ def decoded_vectors(spark, sf):
     "artifact_roundtrip",
     with_sql(*residual_sql(LLOYD))
     + " UNION ALL ".join(
-        f"""SELECT {level} AS level, code, round(list_sum(v), 6) AS element_sum, round(v[1], 6) AS first_element, '007' AS semantic_id_version
+        f"""SELECT {level} AS level, code, round(list_sum(v), 6) AS element_sum, round(v[1], 6) AS first_element, '007' AS code_version
         FROM book{level}"""
         for level in (1, 2)
     ),
@@ -246,7 +246,7 @@ def artifact_roundtrip(spark, sf):
     return rounded(
         codebook_frame(spark, loaded).select(
             "level", "code", total.alias("element_sum"), F.col("vector")[0].alias("first_element"),
-            F.lit(loaded.semantic_id_version).alias("semantic_id_version"),
+            F.lit(loaded.code_version).alias("code_version"),
         ),
         6,
     )

@@ -195,13 +195,13 @@ def bucket_size_per_row(spark, sf):
 @register(
     "id_strings",
     with_sql(CATALOG_SQL, MAPPING_SQL)
-    + f"""SELECT product_id, concat(c1, '-', c2, '-', c3, '-', dedup) AS semantic_id, concat(c1, '_', c2) AS prefix,
+    + f"""SELECT product_id, concat(c1, '-', c2, '-', c3, '-', dedup) AS code_id, concat(c1, '_', c2) AS prefix,
       CAST((c1 * {CATALOG_WIDTH} + c2) AS BIGINT) AS feature_2, CAST((c1 * {CATALOG_WIDTH} + c2) * {CATALOG_WIDTH} + c3 AS BIGINT)
       AS feature_3 FROM mapping""",
 )
 def id_strings(spark, sf):
     return mapping(spark, sf).select(
-        PRODUCT_ID, id_string(LEVELS).alias("semantic_id"), prefix_string(LEVELS[:2]).alias("prefix"),
+        PRODUCT_ID, id_string(LEVELS).alias("code_id"), prefix_string(LEVELS[:2]).alias("prefix"),
         prefix_number(LEVELS[:2], CATALOG_WIDTH).alias("feature_2"),
         prefix_number(LEVELS, CATALOG_WIDTH).alias("feature_3"),
     )
@@ -228,7 +228,7 @@ def metadata_for_ids(spark, sf):
 @register(
     "publish_roundtrip",
     with_sql(CATALOG_SQL, MAPPING_SQL)
-    + """SELECT product_id, c1, c2, c3, dedup, 'set-1' AS embedding_set_version, v AS semantic_id_version
+    + """SELECT product_id, c1, c2, c3, dedup, 'set-1' AS embedding_set_version, v AS code_version
       FROM mapping, (VALUES ('v1'), ('v2')) AS versions(v)""",
 )
 def publish_roundtrip(spark, sf):
@@ -242,7 +242,7 @@ def publish_roundtrip(spark, sf):
 @register(
     "full_mapping",
     with_sql(CATALOG_SQL, MAPPING_SQL, "known AS (SELECT * FROM cat WHERE league IS NOT NULL)")
-    + """SELECT m.product_id, concat(m.c1, '-', m.c2, '-', m.c3, '-', m.dedup) AS semantic_id, m.c1, m.c2, m.c3, m.dedup,
+    + """SELECT m.product_id, concat(m.c1, '-', m.c2, '-', m.c3, '-', m.dedup) AS code_id, m.c1, m.c2, m.c3, m.dedup,
       k.league, k.team, k.brand, k.color, k.product_name, k.price_band, k.is_hot_market, k.launch_age_bucket
       FROM mapping m LEFT JOIN known k USING (product_id)""",
 )
@@ -478,18 +478,18 @@ REPORT_SQL = (
         collision_sql("big"),
         f"aligned AS ({alignment_sql('big')})",
         f"""parts(a, b, c, line) AS (
-          SELECT 0, 0, 0, '# Semantic ID eval report — W={LINES_WIDTH}, L={len(LEVELS)}, d=32' UNION ALL SELECT 1, 0, 0, ''
-          UNION ALL SELECT 2, 0, 0, '## §11.1 Utilization (global)'
+          SELECT 0, 0, 0, '# Code report — W={LINES_WIDTH}, L={len(LEVELS)}, d=32' UNION ALL SELECT 1, 0, 0, ''
+          UNION ALL SELECT 2, 0, 0, '## Utilization (global)'
           UNION ALL SELECT 3, 0, CAST(substr(level, 2) AS INT), printf('- **%s**: U=%.3f, dead_code_rate=%.3f, M=%.4f, scope_size=%d, passes=%s',
             level, normalized_utilization, dead_code_rate, max_code_share, scope_size, {_yes('passes')}) FROM g
-          UNION ALL SELECT 4, 0, 0, '' UNION ALL SELECT 5, 0, 0, '## §11.1 Utilization (hot buckets)'
+          UNION ALL SELECT 4, 0, 0, '' UNION ALL SELECT 5, 0, 0, '## Utilization (hot buckets)'
           UNION ALL SELECT 6, place, 0, printf('- %s/%s (n=%d):', league, team, bucket_count) FROM ordered
           UNION ALL SELECT 6, place, CAST(substr(level, 2) AS INT), printf('    - %s: dead_code_rate=%.3f, M=%.4f, passes=%s',
             level, dead_code_rate, max_code_share, {_yes('passes')}) FROM h JOIN ordered USING (league, team)
-          UNION ALL SELECT 7, 0, 0, '' UNION ALL SELECT 8, 0, 0, '## §11.2 Collision (global)'
+          UNION ALL SELECT 7, 0, 0, '' UNION ALL SELECT 8, 0, 0, '## Collision (global)'
           UNION ALL SELECT 9, 0, 0, printf('- collision_rate=%.4f, dedup_fraction=%.4f, worst_case_bucket=%d, p50/p90/p99=%.1f/%.1f/%.1f',
             collision_rate, dedup_fraction, worst_case_bucket, p50, p90, p99) FROM collisions
-          UNION ALL SELECT 10, 0, 0, '' UNION ALL SELECT 11, 0, 0, '## §11.3 Taxonomy-prefix alignment'
+          UNION ALL SELECT 10, 0, 0, '' UNION ALL SELECT 11, 0, 0, '## Taxonomy-prefix alignment'
           UNION ALL SELECT 12, CASE taxonomy_field WHEN 'league' THEN 0 ELSE 1 END, prefix_length,
             printf('- %s @ l=%d: lift=%.2f (share=%.4f, baseline=%.4f), purity=%.3f', taxonomy_field, prefix_length, lift,
               share_prefix, baseline, prefix_purity) FROM aligned)""",
@@ -576,14 +576,14 @@ def prefix_rows(spark, sf):
 @register(
     "lookup",
     with_sql(CATALOG_SQL, MAPPING_SQL, "asked AS (SELECT DISTINCT o_custkey * 3 AS product_id FROM orders)")
-    + """SELECT m.product_id, concat(m.c1, '-', m.c2, '-', m.c3, '-', m.dedup) AS semantic_id, m.c1, m.c2, m.c3, m.dedup, m.bucket_size,
+    + """SELECT m.product_id, concat(m.c1, '-', m.c2, '-', m.c3, '-', m.dedup) AS code_id, m.c1, m.c2, m.c3, m.dedup, m.bucket_size,
       m.league, m.team, m.brand, m.launch_age_bucket
       FROM (SELECT *, count(*) OVER (PARTITION BY c1, c2, c3) AS bucket_size FROM mapping) m JOIN asked USING (product_id)""",
 )
 def lookup(spark, sf):
     ids = table(spark, sf, "orders").select((F.col("o_custkey") * 3).cast("string").alias(PRODUCT_ID))
     found = lk.lookup(ids, mapping(spark, sf))
-    return found.select(PRODUCT_ID, "semantic_id", *LEVELS, "dedup", "bucket_size", *BUCKET, "brand", "launch_age_bucket")
+    return found.select(PRODUCT_ID, "code_id", *LEVELS, "dedup", "bucket_size", *BUCKET, "brand", "launch_age_bucket")
 
 
 @register(
@@ -628,7 +628,7 @@ DEPTH_SQL = "CASE WHEN a.c1 <> b.c1 THEN 0 WHEN a.c2 <> b.c2 THEN 1 WHEN a.c3 <>
     + f"""SELECT pa AS product_id_a, pb AS product_id_b,
       CAST(CASE WHEN b.product_id IS NULL THEN 0 ELSE {DEPTH_SQL} END AS INT) AS shared_prefix_depth,
       coalesce({DEPTH_SQL} = 3 AND b.product_id IS NOT NULL, false) AS same_code_tuple,
-      coalesce({DEPTH_SQL} = 3 AND b.product_id IS NOT NULL AND a.dedup = b.dedup, false) AS same_semantic_id,
+      coalesce({DEPTH_SQL} = 3 AND b.product_id IS NOT NULL AND a.dedup = b.dedup, false) AS same_code_id,
       CASE WHEN b.product_id IS NOT NULL AND ea IS NOT NULL AND eb IS NOT NULL THEN round({COSINE_SQL}, 6) END AS cosine_similarity,
       CASE WHEN b.product_id IS NOT NULL AND (ea IS NULL OR eb IS NULL) THEN concat('No embedding in index for product_id(s): ',
         concat_ws(', ', CASE WHEN ea IS NULL THEN CAST(pa AS VARCHAR) END, CASE WHEN eb IS NULL THEN CAST(pb AS VARCHAR) END),
@@ -643,7 +643,7 @@ def compare(spark, sf):
     out = lk.compare(pairs(spark, sf), mapping(spark, sf), index)
     return rounded(
         out.select(
-            "product_id_a", "product_id_b", "shared_prefix_depth", "same_code_tuple", "same_semantic_id",
+            "product_id_a", "product_id_b", "shared_prefix_depth", "same_code_tuple", "same_code_id",
             "cosine_similarity", "cosine_unavailable_reason", "league_match", "brand_match", "is_hot_market_match", "error",
         ),
         6,

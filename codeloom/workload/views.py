@@ -14,10 +14,10 @@ CATALOG = [
     "p_partkey AS product_id",
     "CASE WHEN p_size = 50 THEN NULL ELSE p_type END AS league",
     "p_brand AS team",
-    "concat('brand_', CAST(p_partkey % 10 AS STRING)) AS brand",
-    "concat('color_', CAST(p_size % 8 AS STRING)) AS color",
+    "concat('maker ', CAST(p_partkey % 12 AS STRING)) AS brand",
+    "concat('tone ', CAST(p_size % 9 AS STRING)) AS color",
     "p_name AS product_name",
-    "concat('band_', CAST(p_partkey % 5 AS STRING)) AS price_band",
+    "concat('tier ', CAST(p_partkey % 6 AS STRING)) AS price_band",
     "CASE p_size % 5 WHEN 0 THEN ' TRUE ' WHEN 1 THEN 'false' WHEN 2 THEN 'yes' "
     "WHEN 3 THEN concat('True', chr(9)) END AS is_hot_market",
     "CASE p_size % 4 WHEN 0 THEN '0-7d' WHEN 1 THEN '8-30d' WHEN 2 THEN '31-90d' ELSE '91+d' END "

@@ -22,7 +22,7 @@ def mapping(spark):
     schema = (
         "product_id long, c1 int, c2 int, c3 int, dedup int, league string, team string, brand string, "
         "color string, product_name string, price_band string, is_hot_market string, "
-        "launch_age_bucket string, semantic_id string"
+        "launch_age_bucket string, code_id string"
     )
     codes = {
         0: (1, 1, 1, 0), 1: (1, 1, 1, 1), 2: (1, 1, 2, 0), 3: (1, 2, 5, 0), 4: (11, 5, 5, 0),

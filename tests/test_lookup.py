@@ -15,7 +15,7 @@ def test_lookup(spark, mapping):
     ids = spark.createDataFrame([("0",), ("7",), ("-1",), ("not-an-int",), ("7",), (None,)], "product_id string")
     got = {r.product_id: r for r in L.lookup(ids, mapping).collect()}
     assert set(got) == {0, 7}
-    assert (got[0].semantic_id, got[0].bucket_size, got[0].brand) == ("1-1-1-0", 2, "Alpha")
+    assert (got[0].code_id, got[0].bucket_size, got[0].brand) == ("1-1-1-0", 2, "Alpha")
     assert got[7].bucket_size == 3
 
 
@@ -89,13 +89,13 @@ def pair(spark, mapping, a, b, vectors=None):
 def test_compare_same_product(spark, mapping, vectors):
     r = pair(spark, mapping, 0, 0, vectors)
     assert r.cosine_similarity == pytest.approx(1, abs=1e-5)
-    assert r.shared_prefix_depth == 3 and r.same_code_tuple and r.same_semantic_id
+    assert r.shared_prefix_depth == 3 and r.same_code_tuple and r.same_code_id
     assert all(r[f"{f}_match"] for f in ("league", "team", "brand", "color", "price_band", "is_hot_market"))
 
 
 def test_compare_tuple_mates_and_flag_case(spark, mapping, vectors):
     r = pair(spark, mapping, 0, 1, vectors)
-    assert r.same_code_tuple and not r.same_semantic_id and r.is_hot_market_match
+    assert r.same_code_tuple and not r.same_code_id and r.is_hot_market_match
 
 
 def test_compare_different_products(spark, mapping, vectors):
@@ -127,9 +127,9 @@ def test_agreement_long(spark, mapping):
 
 def test_full_mapping_keeps_products_without_metadata(spark, mapping):
     codes = mapping.select("product_id", "c1", "c2", "c3", "dedup")
-    source = mapping.where("product_id <> 999").drop("c1", "c2", "c3", "dedup", "semantic_id")
+    source = mapping.where("product_id <> 999").drop("c1", "c2", "c3", "dedup", "code_id")
     rows = {r.product_id: r for r in full_mapping(codes, source).collect()}
-    assert len(rows) == 11 and rows[999].league is None and rows[999].semantic_id == "5-5-5-0"
+    assert len(rows) == 11 and rows[999].league is None and rows[999].code_id == "5-5-5-0"
 
 
 def test_code_filter_reaches_the_scan(spark, mapping, tmp_path):

@@ -18,7 +18,7 @@ PARAMS = RunParams(
     ),
     training=TrainParams(batch_size=256, max_epochs=4, patience=3, min_delta=1e-5, seed=0),
     evaluation=EvalParams(hot_bucket_top_k=5),
-    semantic_id_version="run-v1",
+    code_version="run-v1",
 )
 
 
@@ -39,7 +39,7 @@ def test_end_to_end(spark, trained, tmp_path):
 
     published = run_assignment(spark, source, output, PARAMS)
     assert published.count() == 4000
-    assert set(published.columns) == {"product_id", "c1", "c2", "dedup", "embedding_set_version", "semantic_id_version"}
+    assert set(published.columns) == {"product_id", "c1", "c2", "dedup", "embedding_set_version", "code_version"}
     slots = published.groupBy("c1", "c2").agg(F.count("*").alias("n"), F.max("dedup").alias("m"), F.countDistinct("dedup").alias("k"))
     assert slots.where("n <> m + 1 OR n <> k").isEmpty()
 
@@ -91,7 +91,7 @@ def test_warm_started_retrain(spark, trained):
     source, output, _, history = trained
     from dataclasses import replace
 
-    params = replace(PARAMS, semantic_id_version="run-v2", training=replace(PARAMS.training, max_epochs=1))
+    params = replace(PARAMS, code_version="run-v2", training=replace(PARAMS.training, max_epochs=1))
     _, more = run_training(spark, source, output, params, warm_start="run-v1")
     assert more[0].val_reconstruction < history[0].val_reconstruction * 1.2
     assert load_artifact(spark, output, "run-v2").codebooks.shape == (2, 16, 8)

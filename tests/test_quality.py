@@ -145,7 +145,7 @@ def test_dense_usage_sums_to_the_rows(spark):
 
 
 def test_column_lists():
-    assert output_columns(2) == ["product_id", "c1", "c2", "dedup", "embedding_set_version", "semantic_id_version"]
+    assert output_columns(2) == ["product_id", "c1", "c2", "dedup", "embedding_set_version", "code_version"]
     assert discover_levels(["c2", "x", "c1", "c10x"]) == level_columns(2)
     for bad in (["x"], ["c1", "c3"]):
         with pytest.raises(ValueError):
