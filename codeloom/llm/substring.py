@@ -243,9 +243,11 @@ def identity(key: str, text: str) -> list[Column]:
     return [F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64(text).alias("sum")]
 
 
-def find_spans(docs: DataFrame, key: str, text: str, window: int, gram: int, chunk_words: int) -> DataFrame:
-    """Rows (doc, sum, spans): spans of words that occur earlier, as flat pairs of 32-bit numbers; several per document."""
-    source = docs.where(F.col(text).isNotNull()).select(*identity(key, text), F.col(text).cast("binary").alias("raw"))
+def find_spans(rows: DataFrame, window: int, gram: int, chunk_words: int) -> DataFrame:
+    """Rows (doc, sum, spans): spans of words that occur earlier, as flat pairs of 32-bit numbers; several per document.
+
+    rows: doc, sum, raw, row.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 24
@@ -301,7 +303,7 @@ def find_spans(docs: DataFrame, key: str, text: str, window: int, gram: int, chu
             )
 
     scanned = saved(
-        source.mapInArrow(scan, "anchor long, doc long, sum long, begin int, end int, chunk long, spans binary"), "anchors"
+        rows.where("raw is not null").select("doc", "sum", "raw").mapInArrow(scan, "anchor long, doc long, sum long, begin int, end int, chunk long, spans binary"), "anchors"
     )
     same = Window.partitionBy("anchor")
     named = (
@@ -310,7 +312,8 @@ def find_spans(docs: DataFrame, key: str, text: str, window: int, gram: int, chu
         .where(F.col("_lo") < F.col("_hi"))
     )
     places = named.groupBy("doc", "sum").agg(F.collect_list(F.struct("begin", "end", "ref")).alias("places"))
-    met = source.join(places, ["doc", "sum"]).select("doc", "sum", "raw", "places")
+    # All columns, as in the last join of dedup_documents: so the texts are shuffled once for both.
+    met = rows.join(places, ["doc", "sum"]).select("doc", "sum", "raw", "places", "row")
     routed = met.mapInArrow(stretches, "ref_doc long, ref_sum long, doc long, sum long, begin int, words binary")
     by_shard = routed.repartition("ref_doc", "ref_sum").sortWithinPartitions("ref_doc", "ref_sum", "doc", "sum", "begin")
     matched = by_shard.mapInArrow(shards, "doc long, sum long, spans binary")
@@ -353,10 +356,10 @@ def dedup_documents(
     one document and lose the same words. A null text stays null and has no words; texts shorter than a window stay
     as they are. Other columns pass through; `n_words` and `n_removed` must not be among them.
     """
-    spans = find_spans(docs, key, text, window, gram, chunk_words)
-    per_doc = spans.groupBy("doc", "sum").agg(F.collect_list("spans").alias("all_spans"))
     names = docs.columns
     rows = docs.select(*identity(key, text), F.col(text).cast("binary").alias("raw"), F.struct(*[F.col(f"`{c}`") for c in names if c != text]).alias("row"))
+    spans = find_spans(rows, window, gram, chunk_words)
+    per_doc = spans.groupBy("doc", "sum").agg(F.collect_list("spans").alias("all_spans"))
     row_type = rows.schema["row"].dataType.simpleString()
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
