@@ -299,8 +299,10 @@ def _repeated(batch: pa.RecordBatch) -> np.ndarray:
     return np.repeat(matrix_of(batch.column(0)), batch.column(1).to_numpy(zero_copy_only=False), axis=0)
 
 
-def gradient_round(rows: DataFrame, model: Model, quantizer: QuantizerParams, lr: float) -> dict[str, float]:
-    """One exact step on all `rows` (vector, copies): Spark sums the gradients, the driver steps."""
+def gradient_sums(
+    rows: DataFrame, model: Model, quantizer: QuantizerParams
+) -> tuple[np.ndarray, dict[str, np.ndarray], np.ndarray, np.ndarray]:
+    """Sums over all `rows` (vector, copies): (rows, reconstruction, quantization per level), gradients, code counts, code sums."""
     names = model.names()
     shared = rows.sparkSession.sparkContext.broadcast((model.weights, list(model.books)))
     beta, width, levels = quantizer.beta, model.books.shape[1], model.books.shape[0]
@@ -322,17 +324,21 @@ def gradient_round(rows: DataFrame, model: Model, quantizer: QuantizerParams, lr
 
     total = _sum_states(rows.mapInArrow(run, STATE_SCHEMA))
     head, *rest = _unpack(total, shapes)
+    return head, dict(zip(names, rest)), rest[len(names)], rest[len(names) + 1]
+
+
+def gradient_round(rows: DataFrame, model: Model, quantizer: QuantizerParams, lr: float) -> dict[str, float]:
+    """One exact step on all `rows` (vector, copies): Spark sums the gradients, the driver steps."""
+    head, total, counts, sums = gradient_sums(rows, model, quantizer)
     n = head[0]
     if n == 0:
         return {"rows": 0.0, "loss": 0.0}
-    gradients = {name: g / n for name, g in zip(names, rest)}
     model.step += 1
-    adamw(model.weights, model.m, model.v, gradients, model.step, lr)
-    counts, sums = rest[len(names)], rest[len(names) + 1]
+    adamw(model.weights, model.m, model.v, {name: g / n for name, g in total.items()}, model.step, lr)
     model.sizes, model.sums, model.books = ema_codebooks(
         model.sizes, model.sums, counts, sums, quantizer.gamma
     )
-    loss = (head[1] + (1 + beta) * head[2:].sum()) / n
+    loss = (head[1] + (1 + quantizer.beta) * head[2:].sum()) / n
     return {"rows": float(n), "loss": float(loss), "usage": counts}
 
 
