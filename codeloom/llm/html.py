@@ -21,10 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from codeloom.llm.shared import saved
+
 #: A class of one token must occur in so many percent of the host's pages.
 FREQUENT_PERCENT = 20
 #: A slot below the main one is fixed text only if so many pages agree.
 FIXED_PAGES = 3
+#: Hosts whose templates are sent to every executor, a few hundred bytes each.
+BROADCAST_HOSTS = 50_000
 
 PIECE = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|[^<]+|<", re.S
@@ -288,7 +292,9 @@ def extract_pages(
     without a host form one host. Rows with equal keys are extracted one by one; other columns are ignored.
     """
     lean = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(html).alias("html"))
-    template = templates(lean, "key", "url", "html", frequent_percent, fixed_pages)
+    template = saved(templates(lean, "key", "url", "html", frequent_percent, fixed_pages), "templates")
+    if template.count() <= BROADCAST_HOSTS:  # else the pages are shuffled by host
+        template = F.broadcast(template)
     rows = lean.withColumn("host", host_of(F.col("url"))).join(template, "host", "left")
     kinds = {c: lean.schema[c].dataType.simpleString() for c in ("key", "url")}
 
