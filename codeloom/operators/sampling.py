@@ -16,13 +16,9 @@ from codeloom.session import write_and_read
 BROADCAST_ROWS = 10_000
 
 
-# Tables from this size on are cut by a hash threshold before a sample is sorted.
-LARGE_TABLE = 1_000_000
 HASH_SPACE = float(16**15)
 # Half-widths, in standard deviations, of the range in which the threshold of a stratum is looked for.
 REACHES = (6.0, 60.0, float("inf"))
-# Strata up to this size are sorted whole.
-SORTABLE_ROWS = 100_000
 
 
 def _on(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
@@ -82,11 +78,8 @@ def with_split(
     sizes = write_and_read(
         counted.select(*[F.col(c).alias(f"{c}__") for c in strata], "size__", wanted), "split-sizes"
     )
-    if reaches is None:
-        largest = sizes.agg(F.max("size__")).first()[0] or 0
-        reaches = REACHES if largest > SORTABLE_ROWS else REACHES[-1:]
     limits = None
-    for reach in reaches:
+    for reach in reaches or REACHES:
         missing = sizes
         if limits is not None:
             known = limits.select(*[F.col(f"{c}__").alias(f"{c}____") for c in strata])
@@ -190,15 +183,15 @@ def uniform_sample(
 ) -> DataFrame:
     """Exactly min(rows, N) rows without replacement: those with the smallest seeded hash.
 
-    On a large table a threshold on the hash drops nearly everything before the sort, so the final
-    task sees about `rows` rows. It is only used after a count shows that enough rows are below it.
+    A threshold on the hash drops nearly everything before the sort, so the final task sees about
+    `rows` rows. It is only used after a count shows that enough rows are below it.
     """
     total = df.count() if total is None else total
     if total <= rows:
         return df
     hashed = df.withColumn("hash_", seeded_md5(key, *seed))
     margin = rows + 8.0 * math.sqrt(rows) + 64.0
-    while total >= LARGE_TABLE and margin < total:
+    while margin < total:
         below = hashed.where(leading_bits(F.col("hash_"), 13) < F.lit(int(16**13 * (margin / total))))
         if below.count() >= rows:
             hashed = below

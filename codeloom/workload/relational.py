@@ -173,6 +173,15 @@ def dedup_slots(spark, sf):
     return add_dedup_index(lines(spark, sf).select(PRODUCT_ID, *LEVELS), LEVELS)
 
 
+@register(
+    "dedup_slots_split",
+    with_sql(LINES_SQL) + "SELECT product_id, c3, CAST(row_number() OVER (PARTITION BY c3 ORDER BY product_id) - 1 AS INT) AS dedup FROM big",
+)
+def dedup_slots_split(spark, sf):
+    """Seven groups, each above the limit: all are cut along the key and ranked chunk by chunk."""
+    return add_dedup_index(lines(spark, sf).select(PRODUCT_ID, "c3"), ["c3"], hot_rows=100)
+
+
 @register(
     "max_dedup",
     with_sql(LINES_SQL)
