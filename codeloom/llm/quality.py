@@ -11,9 +11,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from codeloom.llm.shared import saved
+
 SPACES = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
+#: Frequent lines that are sent to every executor; a line takes about 50 bytes there.
+BROADCAST_LINES = 200_000
 
 
 @dataclass(frozen=True)
@@ -119,11 +123,13 @@ def judge(
     """
     t = F.coalesce(F.col(text), F.lit(""))
     lean = docs.select(*dict.fromkeys([key, text, host]))
-    often = frequent_lines(lean, params, key, text, host)
+    often = saved(frequent_lines(lean, params, key, text, host), "lines")
+    if often.count() <= BROADCAST_LINES:  # else both sides are shuffled by line
+        often = F.broadcast(often)
     lines = lean.where(F.col(text).isNotNull()).select(
         F.col(host).alias("_host"), F.col(key).alias("_doc"), F.xxhash64(text, F.length(text)).alias("_text"),
         F.explode(F.transform(lines_of(F.col(text)), lambda x: F.struct(F.xxhash64(x).alias("h"), F.size(F.split(x, " ")).alias("n")))).alias("_l"),
-    ).groupBy("_host", "_doc", "_text", F.col("_l.h").alias("_line")).agg(F.sum("_l.n").alias("_n"), F.count(F.lit(1)).alias("_times"))
+    ).select("_host", "_doc", "_text", F.col("_l.h").alias("_line"), F.col("_l.n").alias("_n"))
     removed = (
         lines.alias("a").join(often.alias("o"), (F.col("a._line") == F.col("o._line")) & F.col("a._host").eqNullSafe(F.col("o._host")))
         .where(~F.col("a._doc").eqNullSafe(F.col("o._owner")))
@@ -155,7 +161,8 @@ def judge(
         "left",
     )
     lost = F.coalesce(F.col("lost_words"), F.lit(0))
-    kept = ~F.col("base_failed") & ((lost == 0) | (F.col("n_words") - lost >= params.min_words))
+    depleted = (lost > 0) & (F.col("n_words") - lost < params.min_words)
+    kept = ~F.col("base_failed") & ~depleted
     added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     return out.select(*[F.col(f"d.`{c}`") for c in docs.columns], *added, lost.cast("long").alias("lost_words"), kept.alias("kept"))
 
