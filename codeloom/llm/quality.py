@@ -169,5 +169,10 @@ def judge(
 
 def keep_documents(docs: DataFrame, params: QualityParams = QualityParams(), key: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
     """The rows that are kept, with the columns of docs."""
-    verdicts = judge(docs.select(*[F.col(f"`{c}`").alias(f"_in_{i}") for i, c in enumerate(docs.columns)]), params, *[f"_in_{docs.columns.index(c)}" for c in (key, text, host)])
-    return verdicts.where("kept").select(*[F.col(f"_in_{i}").alias(c) for i, c in enumerate(docs.columns)])
+    lean = docs.select(F.col(key).alias("key"), F.col(text).alias("body"), F.col(host).alias("host"))
+    verdicts = judge(lean, params, "key", "body", "host")
+    # Written before the filter: pushed into the counts, it would repeat their expressions many times over.
+    verdicts = saved(verdicts.select("key", "host", F.xxhash64("body", F.length("body")).alias("sum"), "kept"), "verdicts")
+    gone = verdicts.where(~F.col("kept")).select(F.col("key").alias("_key"), F.col("host").alias("_host"), F.col("sum").alias("_sum")).distinct()
+    same = docs[key].eqNullSafe(gone["_key"]) & docs[host].eqNullSafe(gone["_host"])
+    return docs.join(gone, same & (F.xxhash64(docs[text], F.length(docs[text])) == gone["_sum"]), "left_anti")
