@@ -28,7 +28,8 @@ def components(edges: DataFrame) -> DataFrame:
     for _ in range(MOST_ROUNDS):
         # Large star: the larger neighbours of v hang on the smallest of v and its neighbours.
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        # Written, so that the join shuffles both sides anew and Spark can split a vertex with many neighbours.
+        least = saved(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         # Small star: the smaller neighbours of v, and v, hang on the smallest of them.
         large = large.distinct()
