@@ -73,7 +73,7 @@ def compile_automaton(path: str) -> dict:
         left[w], right[w], made[w] = vocab[u], vocab[v], step
         cut[vocab[u] * len(labels) + vocab[v]] = step
     tables = {"labels": labels, "left": left, "right": right, "made": made, "cut": cut, "arcs": {}}
-    trie: dict = {}  # of the tokens inside a word
+    trie: dict = {}  # of the tokens inside a word: symbol -> [token or -1, what follows]
     whole = {}  # of those that end it
     for token, number in vocab.items():
         # A gadget without a path u v adds no arc.
@@ -84,8 +84,9 @@ def compile_automaton(path: str) -> dict:
         else:
             node = trie
             for symbol in token:
-                node = node.setdefault(symbol, {})
-            node[""] = number
+                entry = node.setdefault(symbol, [-1, {}])
+                node = entry[1]
+            entry[0] = number
     return tables | {
         "special": special, "longest": max(map(len, vocab)), "trie": trie, "whole": whole, "words": {}, "chunks": {},
     }
@@ -127,81 +128,100 @@ class Automaton:
 
     def path(self, word: str) -> list[int]:
         """The tokens of one pre-split word."""
+        plain = word.isascii() and word.isprintable()  # these characters stand for themselves
+        symbols = word if plain else "".join([self.symbols[b] for b in word.encode()])
         t = self.t
-        symbols = "".join([self.symbols[b] for b in word.encode()])
-        n, whole, arc, root = len(symbols), self.t["whole"], self.arc, self.t["trie"]
-        longest = self.t["longest"]
-
-        def arcs_from(begin: int) -> list[tuple[int, int]]:
-            found, node = [], root
-            for end in range(begin + 1, n):
-                node = node.get(symbols[end - 1])
-                if node is None:
+        whole, arcs, size, longest = t["whole"], t["arcs"], len(t["labels"]), t["longest"]
+        token = whole.get(symbols)
+        if token is not None or not symbols:  # one arc is a path, and there is only one path
+            return [token] if symbols else []
+        n, tokens, last = len(symbols), [], -1
+        at, above, dead = 0, [], set()
+        while True:
+            # The arcs from here, by length.
+            found, node, end = [], t["trie"], at
+            for symbol in symbols[at : n - 1]:
+                entry = node.get(symbol)
+                if entry is None:
                     break
-                if "" in node:
-                    found.append((end, node[""]))
-            if n - begin <= longest:
-                token = whole.get(symbols[begin:])
+                end += 1
+                if entry[0] >= 0:
+                    found.append((end, entry[0]))
+                node = entry[1]
+            if n - at <= longest:
+                token = whole.get(symbols[at:])
                 if token is not None:
                     found.append((n, token))
-            return found
-
-        tokens: list[int] = []
-        at, left_to_try, above, dead = 0, arcs_from(0), [], set()
-        while n:
-            while left_to_try:
-                end, token = left_to_try.pop()
-                if end not in dead and (not tokens or arc(tokens[-1], token)):
+            while True:
+                if found:
+                    end, token = found.pop()
+                    if end in dead:
+                        continue
+                    if last >= 0:
+                        known = arcs.get(last * size + token)
+                        if not (self.arc(last, token) if known is None else known):
+                            continue
                     tokens.append(token)
                     if end == n:
                         return tokens
-                    above.append((at, left_to_try))
-                    at, left_to_try = end, arcs_from(end)
-            dead.add(at)  # one path only leads here, so no other is lost
-            tokens.pop()
-            at, left_to_try = above.pop()
-        return tokens
+                    above.append((at, found))
+                    at, last = end, token
+                    break
+                dead.add(at)  # one path only leads here, so no other is lost
+                tokens.pop()
+                at, found = above.pop()
+                last = tokens[-1] if tokens else -1
 
     def words(self, text: str) -> list[str]:
         """Normalise and pre-split a text without special tokens."""
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # sigma has no final form here
-        return self.find(text.lower())
+        text = text.lower()
+        return [text] if text.isascii() and text.isalpha() else self.find(text)
 
-    def encode(self, text: str) -> list[int]:
-        ids, seen, at = [], self.t["words"], 0
-        spans = [(m.start(), m.end()) for m in self.specials.finditer(text)] if "<" in text else []
+    def parts(self, text: str) -> list[tuple[list[int], str, str]]:
+        """Ids of each word and special token of a text, also as joined numbers and labels."""
+        out, seen, at = [], self.t["words"], 0
+        spans = [m.span() for m in self.specials.finditer(text)] if "<|" in text else []
         for begin, end in [*spans, (len(text), len(text))]:
             for word in self.words(text[at:begin]):
                 found = seen.get(word)
                 if found is None:
                     if len(seen) >= CACHE_WORDS:
                         seen.clear()
-                    found = seen[word] = self.path(word)
-                ids += found
+                    found = seen[word] = self.shown(self.path(word))
+                out.append(found)
             if end > begin:
-                ids.append(self.t["special"][text[begin:end]])
+                out.append(self.shown([self.t["special"][text[begin:end]]]))
             at = end
-        return ids
+        return out
+
+    def shown(self, ids: list[int]) -> tuple[list[int], str, str]:
+        return ids, " ".join(map(str, ids)), self.decode(ids)
+
+    def encode(self, text: str) -> list[int]:
+        return [i for ids, _, _ in self.parts(text) for i in ids]
+
+    def chunks(self) -> dict:
+        """A table from chunks between ASCII white space (UTF-8) to their joined ids and labels.
 
-    def chunks(self, kind: str, made) -> dict:
-        """A table from chunks between ASCII white space (UTF-8) to made(ids); no token spans white space."""
-        automaton, tables = self, self.t["chunks"].setdefault(kind, {})
+        No token spans white space. Chunks without a token are empty strings.
+        """
+        automaton = self
 
         class Chunks(dict):
-            def __missing__(self, chunk: bytes):
+            def __missing__(self, chunk: bytes) -> tuple[str, str]:
                 if len(self) >= CACHE_WORDS:
                     self.clear()
-                value = self[chunk] = made(automaton.encode(chunk.decode()))
+                parts = automaton.parts(chunk.decode())
+                if len(parts) == 1:
+                    value = parts[0][1:]
+                else:
+                    value = " ".join([p[1] for p in parts]), " ".join([p[2] for p in parts])
+                self[chunk] = value
                 return value
 
-        if "table" not in tables:
-            tables["table"] = Chunks()
-        return tables["table"]
-
-    def split(self, raw: bytes) -> list[bytes]:
-        """Chunks of a text; a special token may not be torn, and none holds white space."""
-        return raw.split()
+        return self.t["chunks"].setdefault("table", Chunks())
 
     def decode(self, ids: list[int]) -> str:
         """The labels of the arcs, joined by spaces: the vocabulary file has no decoder of its own."""
@@ -224,21 +244,19 @@ def encode_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str
     schema = f"`{key}` {docs.schema[key].dataType.simpleString()}, n_tokens long, ids string, decoded string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = Automaton(tables.value)
-        labels = automaton.t["labels"]
-        as_ids = automaton.chunks("ids", lambda ids: " ".join(map(str, ids)))
-        as_text = automaton.chunks("labels", lambda ids: " ".join([labels[i] for i in ids]))
+        chunks = Automaton(tables.value).chunks()
         for batch in batches:
-            counts, ids, decoded = [], [], []
-            for raw in batch.column(1).to_pylist():
-                parts = raw.split() if raw else []
-                coded = " ".join(filter(None, map(as_ids.__getitem__, parts)))
-                ids.append(coded)
-                counts.append(coded.count(" ") + 1 if coded else 0)
-                decoded.append(" ".join(filter(None, map(as_text.__getitem__, parts))))
-                if sum(map(len, ids[-1:])) > 1 << 20 or len(ids) >= 256:
+            counts, ids, decoded, size = [], [], [], 0
+            for raw in batch.column(1):
+                raw = raw.as_py()
+                parts = [p for p in map(chunks.__getitem__, raw.split()) if p[0]] if raw else []
+                ids.append(" ".join([p[0] for p in parts]))
+                counts.append(ids[-1].count(" ") + 1 if parts else 0)
+                decoded.append(" ".join([p[1] for p in parts]))
+                size += len(ids[-1])
+                if size > 1 << 22:
                     yield make(batch, len(counts), ids, counts, decoded)
-                    batch, counts, ids, decoded = batch.slice(len(counts)), [], [], []
+                    batch, counts, ids, decoded, size = batch.slice(len(counts)), [], [], [], 0
             if counts:
                 yield make(batch, len(counts), ids, counts, decoded)
 
