@@ -252,10 +252,12 @@ def templates(pages: DataFrame, key: str, url: str, html: str, frequent_percent:
     found = source.mapInArrow(tokens, "host string, page long, path string, times long, prose long, linked long, text string")
     # Decimal sums do not overflow; the sum of the hashes is the occurrence vector's name.
     name = F.sum(F.xxhash64("page", "times").cast("decimal(20,0)"))
-    token = found.withColumn("text", F.when(F.col("text") == "", None).otherwise(F.xxhash64("text"))).groupBy("host", "path").agg(
+    hashed = found.withColumn("text", F.when(F.col("text") == "", None).otherwise(F.xxhash64("text")))
+    token = hashed.groupBy("host", "path").agg(
         F.count(F.lit(1)).alias("pages"), name.alias("vector"), F.sum("prose").alias("prose"), F.sum("linked").alias("linked"),
         F.min("text").alias("least"), F.max("text").alias("most"), F.count("text").alias("texts"),
     )
+    token = saved(token, "tokens")  # read three times below
     all_pages = source.groupBy("host").agg(F.count(F.lit(1)).alias("all_pages"))
     classes = token.groupBy("host", "pages", "vector").agg(F.count(F.lit(1)).alias("members"))
     valid = (
