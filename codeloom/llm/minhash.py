@@ -237,7 +237,7 @@ def near_duplicates(
     )
 
 
-def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs that represent their component."""
-    gone = near_duplicates(docs, key, text).where(~F.col("kept")).select(F.col(key).alias("_gone")).distinct()
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """The rows of docs that represent their component of links of at least percent."""
+    gone = near_duplicates(docs, key, text, percent=percent).where(~F.col("kept")).select(F.col(key).alias("_gone")).distinct()
     return docs.join(gone, F.col(key) == F.col("_gone"), "left_anti")

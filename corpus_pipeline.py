@@ -8,13 +8,16 @@ from codeloom.llm import minhash, packing, pii, quality, substring
 from codeloom.llm.queries import vocabulary
 from codeloom.session import new_table_path
 
+#: Five-word similarity from which documents are near duplicates; 85 is the contract of op3 only.
+NEAR_PERCENT = 80
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep_documents(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return minhash.one_of_each(docs)
+    return minhash.one_of_each(docs, percent=NEAR_PERCENT)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

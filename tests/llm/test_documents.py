@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from codeloom.llm import bpe, minhash, packing, pii, quality, queries, substring, tokencount
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -111,6 +112,22 @@ def test_one_of_each_keeps_columns(spark, texts):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(i for i, r in top.items() if r["kept"])
 
 
+def test_pipeline_stage_links_from_80_percent(spark):
+    rnd = random.Random(8)
+    texts = []
+    for n in (60, 120, 300):
+        for changed in range(n // 40, n // 8):
+            base = [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+            texts += [" ".join(base), " ".join([*base[: n - changed], *[f"v{rnd.randrange(10**6)}" for _ in range(changed)]])]
+    sets = plain_sets(texts)
+    share = [(i, j, len(sets[i] & sets[j]) / len(sets[i] | sets[j])) for j in range(len(sets)) for i in range(j)]
+    assert sum(0.8 <= s < 0.85 for _, _, s in share) > 5 and sum(0.75 < s < 0.8 for _, _, s in share) > 5
+    links = [(i, j) for i, j, _ in share if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    top = union(links, range(len(texts)))
+    got = corpus_pipeline.near_duplicates(spark, documents(spark, texts), "")
+    assert sorted(r["doc_id"] for r in got.collect()) == [i for i in range(len(texts)) if top[i] == i]
+
+
 def test_estimates_do_not_lose_links():
     rng = np.random.default_rng(3)
     lost = 0
