@@ -1,18 +1,22 @@
 """Main text of web pages by equivalence classes of template tokens (operator 1).
 
-A token is a container element with its path: tag, class and id of every container down from the root. Its occurrence
-vector says how often each page of a host holds it. Tokens with equal vectors form a class; a class is valid if it
-holds more than one token, or occurs in a good part of the pages, and nests below the token above it. The valid
+A token is a block-level element, a text block or the whole text of a container, each with its path: a running hash of
+tag, class and id of every container down from the root. Its occurrence vector says how often each page of a host holds
+it. Tokens with equal vectors form a class; a class is valid if it holds more than one token, or occurs in a good part
+of the pages, and if the token above it is valid too (a join of the tokens with themselves by the path above). The valid
 tokens of a host are its template; what lies between them are the slots. Vectors are as long as a host has pages, so
 they are never collected: they are summed as hashes, combined before the shuffle, and equal sums are equal vectors.
 
-The slot with the main text is the one whose pages put the most prose there, outside of what is marked as a menu,
-sidebar, form, advert and the like. A slot below it whose text is the same on all its pages is part of the template.
-Pages of a host without a template, such as its only page, are judged by the same rules on their own.
+A text block that is on every page that holds its container is part of the template and goes. A container whose text
+is the same on most of its pages is steady and does not count as a main slot. The main text is all that is left below
+the article and main elements of a page, or else below the lowest container that holds all of its main slots, outside
+of what is marked as a menu, sidebar, form, advert and the like. Pages of a host without a template, such as its only
+page, are judged by the same rules on their own.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from html import unescape
@@ -25,7 +29,7 @@ from codeloom.llm.shared import saved
 
 #: A class of one token must occur in so many percent of the host's pages.
 FREQUENT_PERCENT = 20
-#: A slot below the main one is fixed text only if so many pages agree.
+#: Text is part of the template only if so many different pages agree.
 FIXED_PAGES = 3
 #: Hosts whose templates are sent to every executor, a few hundred bytes each.
 BROADCAST_HOSTS = 50_000
@@ -53,16 +57,17 @@ DROPPED_NAMES = frozenset(
     "related recommended recommendations comment comments disqus respond replies popup modal overlay widget toolbar pagination pager skip".split()
 )
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
-WEIGHTS = {"article": 16, "main": 8}
+PARTS = frozenset("blockquote ul ol dl table tbody thead tfoot tr th figure details center section".split())
+#: An article element counts so many times its prose against the rest of the page.
+ARTICLE_WEIGHT = 16
 
 
 class Container:
-    __slots__ = ("parent", "tag", "path", "dropped", "main", "prose", "linked", "texts")
+    __slots__ = ("parent", "tag", "path", "dropped", "named", "main", "article", "prose", "linked")
 
-    def __init__(self, parent, tag, path, dropped, main):
-        self.parent, self.tag, self.path, self.dropped, self.main = parent, tag, path, dropped, main
+    def __init__(self, parent, tag, path, dropped, named, main, article):
+        self.parent, self.tag, self.path, self.dropped, self.named, self.main, self.article = parent, tag, path, dropped, named, main, article
         self.prose = self.linked = 0
-        self.texts: list[str] = []
 
 
 def attributes(source: str) -> dict[str, str]:
@@ -70,14 +75,29 @@ def attributes(source: str) -> dict[str, str]:
 
 
 def is_dropped(tag: str, attrs: dict[str, str], inside_main: bool) -> bool:
+    """By tag, role or a hidden state: what holds for all that is below."""
     if tag in DROPPED_TAGS or tag == "header" and not inside_main:
         return True
-    if not attrs or tag in ("html", "body", "article", "main") and attrs.get("role", "main") in ("main", "article") and not comment(attrs):
+    if not attrs or exempt(tag, attrs):
         return False
     if "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", ""):
         return True
-    names = set(NAME_PART.findall(f"{attrs.get('class', '')} {attrs.get('id', '')}".lower()))
-    return bool(names & DROPPED_NAMES) or attrs.get("role", "").lower() in DROPPED_ROLES or not inside_main and "header" in names
+    return attrs.get("role", "").lower() in DROPPED_ROLES
+
+
+def is_named(tag: str, attrs: dict[str, str], inside_main: bool) -> int:
+    """By class or id: 2 if one of them is such a name, 1 if it is a part of one, else 0."""
+    if not attrs or exempt(tag, attrs):
+        return 0
+    whole = f"{attrs.get('class', '')} {attrs.get('id', '')}".lower().split()
+    names = {part for name in whole for part in NAME_PART.findall(name)}
+    if not (names & DROPPED_NAMES or not inside_main and "header" in names):
+        return 0
+    return 2 if not DROPPED_NAMES.isdisjoint(whole) else 1
+
+
+def exempt(tag: str, attrs: dict[str, str]) -> bool:
+    return tag in ("html", "body", "article", "main") and attrs.get("role", "main") in ("main", "article") and not comment(attrs)
 
 
 def comment(attrs: dict[str, str]) -> bool:
@@ -85,10 +105,40 @@ def comment(attrs: dict[str, str]) -> bool:
     return "comment" in names or "comments" in names or attrs.get("role") == "comment"
 
 
-def outline(source: str) -> tuple[list[Container], list[tuple[int, str]]]:
-    """Containers in page order and the blocks (container, text) in it."""
-    nodes = [Container(-1, "", "", False, False)]
-    blocks: list[tuple[int, str]] = []
+def hashed(*parts: object) -> int:
+    return int.from_bytes(hashlib.blake2b("\0".join(map(str, parts)).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
+def label_of(tag: str, attrs: dict[str, str]) -> str:
+    name = tag + "".join("." + c for c in sorted(attrs.get("class", "").split()))
+    return name + ("#" + re.sub(r"\d+", "0", attrs["id"]) if attrs.get("id") else "")
+
+
+def totals(nodes: list[Container]) -> tuple[list[int], list[int]]:
+    """Prose and linked characters of and below each container; dropped and named parts are not added to those above."""
+    prose, linked = [n.prose for n in nodes], [n.linked for n in nodes]
+    for i in range(len(nodes) - 1, 0, -1):
+        n = nodes[i]
+        if not n.dropped and not n.named:
+            prose[n.parent] += prose[i]
+            linked[n.parent] += linked[i]
+    return prose, linked
+
+
+def settle(nodes: list[Container]) -> None:
+    """Drops what is named, except for containers that hold the article or the main slot; then all below what is dropped."""
+    for n in nodes[1:]:
+        n.dropped = n.dropped or nodes[n.parent].dropped
+    for n in nodes[1:]:
+        n.dropped = n.dropped or n.named > 0 or nodes[n.parent].dropped
+
+
+def outline(source: str) -> tuple[list[Container], list[tuple[int, str, str]], dict[tuple[int, str], int]]:
+    """Containers in page order, blocks (container, text, label of its element), counts of other elements in containers."""
+    nodes = [Container(-1, "", 0, False, 0, False, "")]
+    blocks: list[tuple[int, str, str]] = []
+    others: dict[tuple[int, str], int] = {}
+    element = ""
     stack, words, links, linked = [0], [], 0, 0
     hidden: list[str] = []  # dropped elements that are no containers
 
@@ -98,7 +148,7 @@ def outline(source: str) -> tuple[list[Container], list[tuple[int, str]]]:
             text = " ".join(unescape("".join(words)).split())
             if text:
                 node = nodes[stack[-1]]
-                blocks.append((stack[-1], text))
+                blocks.append((stack[-1], text, element))
                 node.prose += len(text)
                 node.linked += min(linked, len(text))
             words = []
@@ -127,6 +177,7 @@ def outline(source: str) -> tuple[list[Container], list[tuple[int, str]]]:
             if tag in INLINE:
                 continue
             flush()
+            element = ""
             if tag in CONTAINERS:
                 for depth in range(len(stack) - 1, 0, -1):
                     if nodes[stack[depth]].tag == tag:
@@ -151,136 +202,166 @@ def outline(source: str) -> tuple[list[Container], list[tuple[int, str]]]:
         above = nodes[stack[-1]]
         if tag in CONTAINERS:
             flush()
+            element = ""
             attrs = attributes(m[3])
-            label = tag + "".join("." + c for c in sorted(attrs.get("class", "").split())) + ("#" + re.sub(r"\d+", "0", attrs["id"]) if attrs.get("id") else "")
-            main = above.main or tag in ("article", "main") or attrs.get("role") == "main"
-            nodes.append(Container(stack[-1], tag, f"{above.path}>{label}"[-600:], above.dropped or is_dropped(tag, attrs, above.main), main))
+            article = "main" if tag == "main" or attrs.get("role") == "main" else tag if tag == "article" else ""
+            nodes.append(
+                Container(
+                    stack[-1], tag, hashed(above.path, label_of(tag, attrs)), is_dropped(tag, attrs, above.main), is_named(tag, attrs, above.main),
+                    above.main or article != "", article,
+                )
+            )
             stack.append(len(nodes) - 1)
             continue
+        attrs = attributes(m[3])
         if tag not in INLINE:
             flush()
-        if tag not in VOID and not closed and (tag in DROPPED_TAGS or m[3].strip() and is_dropped(tag, attributes(m[3]), above.main)):
+            element = label_of(tag, attrs)
+            others[stack[-1], element] = others.get((stack[-1], element), 0) + 1
+        if tag not in VOID and not closed and (tag in DROPPED_TAGS or attrs and (is_dropped(tag, attrs, above.main) or is_named(tag, attrs, above.main))):
             hidden.append(tag)
     flush()
-    return nodes, blocks
-
-
-def score(path: str, prose: int, linked: int) -> int:
-    """Prose outside links, weighed by what the innermost element says it is."""
-    tag = re.match(r"[a-z0-9]*", path.rpartition(">")[2])[0]
-    return max(0, prose - 2 * linked) * WEIGHTS.get(tag, 8 if "role=main" in path else 1)
-
-
-def slots(nodes: list[Container]) -> list[tuple[str, int, int, int]]:
-    """Per path: containers, prose and linked characters of what lies below, dropped parts left out.
-
-    A path is credited with all prose below it if it is an article or main element, else with its own blocks.
-    """
-    total: dict[str, list[int]] = {}
-    below = [[n.prose, n.linked] if not n.dropped else [0, 0] for n in nodes]
-    for i in range(len(nodes) - 1, 0, -1):
-        if nodes[i].parent >= 0 and not nodes[i].dropped:
-            below[nodes[i].parent][0] += below[i][0]
-            below[nodes[i].parent][1] += below[i][1]
-    for n, (prose, linked) in zip(nodes[1:], below[1:]):
-        entry = total.setdefault(n.path, [0, 0, 0])
-        entry[0] += 1
-        if not n.dropped:
-            whole = n.tag in WEIGHTS
-            entry[1] += prose if whole else n.prose
-            entry[2] += linked if whole else n.linked
-    return [(path, *v) for path, v in total.items()]
-
-
-def best(found: list[tuple[str, int, int, int]]) -> str:
-    ranked = [(score(p, prose, linked), -i, p) for i, (p, _, prose, linked) in enumerate(found)]
-    return max(ranked)[2] if ranked and max(ranked)[0] > 0 else ""
-
-
-def main_text(source: str | None, main: str | None, fixed: list[str]) -> str:
-    """The blocks of the main slot: the one with the most prose, if a page holds several of its path."""
+    settle(nodes)
+    return nodes, blocks, others
+
+
+def tokens_of(source: str) -> tuple[int, list[tuple[int, int, int, str]]]:
+    """Hash of the page's texts, and its tokens (path, path above, times, kind): tags, texts, slots (texts of containers)."""
+    nodes, blocks, others = outline(source)
+    found: dict[tuple[int, int, str], int] = {}
+    for n in nodes[1:]:
+        token = (n.path, nodes[n.parent].path, "tag")
+        found[token] = found.get(token, 0) + 1
+    for (i, element), times in others.items():
+        token = (hashed(nodes[i].path, element), nodes[i].path, "tag")
+        found[token] = found.get(token, 0) + times
+    slots: dict[int, list[str]] = {}
+    for i, text, element in blocks:
+        if not nodes[i].dropped:
+            path = nodes[i].path
+            token = (text_token(path, element, text), path, "text")
+            found[token] = found.get(token, 0) + 1
+            slots.setdefault(path, []).append(text)
+    for path, texts in slots.items():
+        found[hashed(path, "slot", *texts), path, "slot"] = 1
+    # The root is a token of every page, so that what is outside of all elements has a path above.
+    found[0, 0, "root"] = 1
+    return hashed(*[t for v in slots.values() for t in v]), [(p, above, times, kind) for (p, above, kind), times in found.items()]
+
+
+def text_token(path: int, element: str, text: str) -> int:
+    return hashed(path, "text", element, text)
+
+
+def region(nodes: list[Container], steady: set[int]) -> list[int]:
+    """The containers whose text is the main text: articles and main elements, else the one that holds all main slots."""
+    prose, linked = totals(nodes)
+    named = [i for i, n in enumerate(nodes) if n.article and not n.dropped and prose[i]]
+    if named:
+        outermost = []
+        for i in named:
+            at = nodes[i].parent
+            while at >= 0 and not nodes[at].article:
+                at = nodes[at].parent
+            if at < 0:
+                outermost.append(i)
+        score = sum(max(0, prose[i] - 2 * linked[i]) for i in outermost)
+        rest = max(0, prose[0] - 2 * linked[0]) - score
+        if any(nodes[i].article == "main" for i in named) or ARTICLE_WEIGHT * score > rest:
+            return outermost
+    slots = [i for i, n in enumerate(nodes) if not n.dropped and n.prose > 2 * n.linked and n.path not in steady]
+    if not slots:
+        return [0] if not steady else []
+    chain: list[int] = []
+    for i in slots:
+        above = []
+        while i >= 0:
+            above.append(i)
+            i = nodes[i].parent
+        above.reverse()
+        if not chain:
+            chain = above
+        else:
+            same = 0
+            while same < min(len(chain), len(above)) and chain[same] == above[same]:
+                same += 1
+            chain = chain[:same]
+    at = chain[-1]
+    # A quote, list, table or section is a part of a text, as are the headings beside it.
+    while nodes[at].tag in PARTS and nodes[at].parent > 0:
+        at = nodes[at].parent
+    return [at]
+
+
+def main_text(source: str | None, steady: list[int] | None, fixed: list[int]) -> str:
+    """All blocks of the main region that are not dropped and not part of the template."""
     if not source:
         return ""
-    nodes, blocks = outline(source)
-    have = {n.path for n in nodes if not n.dropped}
-    own = best(slots(nodes))
-    # An article or main element on the page itself says more than the host's habit.
-    if not main or main not in have or own and score(own, 100, 0) > score(main, 100, 0):
-        main = own
+    nodes, blocks, _ = outline(source)
+    roots = set(region(nodes, set(steady or [])))
     cut = set(fixed)
-    if main in cut:
-        cut = set()
-    prose: dict[int, int] = {}
-    root: list[int] = [-1] * len(nodes)
-    gone = [False] * len(nodes)
+    prose, linked = totals(nodes)
+    inside, gone = [False] * len(nodes), [False] * len(nodes)
     for i, n in enumerate(nodes):
         above = n.parent
-        gone[i] = n.dropped or n.path in cut or above >= 0 and gone[above]
-        root[i] = root[above] if above >= 0 and root[above] >= 0 else i if n.path == main and i or i == 0 and not main else -1
-    for i, text in blocks:
-        if root[i] >= 0 and not gone[i]:
-            prose[root[i]] = prose.get(root[i], 0) + len(text)
-    if not prose:
-        return ""
-    chosen = max(prose, key=lambda i: (prose[i], -i))
-    return "\n\n".join([text for i, text in blocks if root[i] == chosen and not gone[i]])
+        inside[i] = i in roots or above >= 0 and inside[above]
+        # Links only, and not in the midst of prose: a menu without a name.
+        menu = i > 0 and not n.main and prose[i] > 0 and 10 * linked[i] >= 9 * prose[i] and nodes[above].prose <= 2 * nodes[above].linked
+        gone[i] = n.dropped or menu or above >= 0 and gone[above]
+    return "\n\n".join(
+        [text for i, text, element in blocks if inside[i] and not gone[i] and not (cut and text_token(nodes[i].path, element, text) in cut)]
+    )
 
 
 def host_of(url):
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1)
 
 
-def templates(pages: DataFrame, key: str, url: str, html: str, frequent_percent: int, fixed_pages: int) -> DataFrame:
-    """Per host: `main`, the path of the slot with the main text, and `fixed`, paths of slots with fixed text."""
+def templates(pages: DataFrame, url: str, html: str, frequent_percent: int, fixed_pages: int) -> DataFrame:
+    """Per host: `steady`, paths of containers with the same text on most pages, and `fixed`, text tokens of the template.
+
+    Both are parts of frequent containers, so the lists are as long as a few pages have parts.
+    """
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for host, page, source in zip(*[batch.column(c).to_pylist() for c in range(3)]):
-                nodes, blocks = outline(source or "")
-                texts: dict[str, list[str]] = {}
-                for i, text in blocks:
-                    if not nodes[i].dropped:
-                        texts.setdefault(nodes[i].path, []).append(text)
-                out += [(host, page, *slot, "\n".join(texts.get(slot[0], []))) for slot in slots(nodes)]
-            cols = list(zip(*out)) if out else [[]] * 7
-            kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+            for host, source in zip(*[batch.column(c).to_pylist() for c in range(2)]):
+                page, found = tokens_of(source or "")
+                out += [(host, page, *token) for token in found]
+            cols = list(zip(*out)) if out else [[]] * 6
+            kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
 
-    names = ["host", "page", "path", "times", "prose", "linked", "text"]
-    source = pages.select(host_of(F.col(url)).alias("host"), F.xxhash64(key, html).alias("page"), F.col(html).alias("html"))
-    found = source.mapInArrow(tokens, "host string, page long, path string, times long, prose long, linked long, text string")
+    names = ["host", "page", "path", "above", "times", "kind"]
+    source = pages.select(host_of(F.col(url)).alias("host"), F.col(html).alias("html"))
+    found = source.mapInArrow(tokens, "host string, page long, path long, above long, times long, kind string")
     # Decimal sums do not overflow; the sum of the hashes is the occurrence vector's name.
     name = F.sum(F.xxhash64("page", "times").cast("decimal(20,0)"))
-    hashed = found.withColumn("text", F.when(F.col("text") == "", None).otherwise(F.xxhash64("text")))
-    token = hashed.groupBy("host", "path").agg(
-        F.count(F.lit(1)).alias("pages"), name.alias("vector"), F.sum("prose").alias("prose"), F.sum("linked").alias("linked"),
-        F.min("text").alias("least"), F.max("text").alias("most"), F.count("text").alias("texts"),
+    p = F.col("page").bitwiseAND(F.lit(0xFFFF))
+    token = found.groupBy("host", "path", "above", "kind").agg(
+        F.count(F.lit(1)).alias("pages"), name.alias("vector"), F.min(p).alias("a"), F.max(p).alias("b"), F.sum(p).alias("s"), F.sum(p * p).alias("q"),
     )
-    token = saved(token, "tokens")  # read three times below
-    all_pages = source.groupBy("host").agg(F.count(F.lit(1)).alias("all_pages"))
+    # Copies of a page agree by themselves: the sum of (p - a)(b - p) is above zero if there are three different ones.
+    several = F.col("q") < (F.col("a") + F.col("b")) * F.col("s") - F.col("pages") * F.col("a") * F.col("b")
+    token = token.where((F.col("kind").isin("tag", "root")) | (F.col("pages") >= fixed_pages))
+    token = saved(token.select("host", "path", "above", "kind", "pages", "vector", several.alias("several")), "tokens")
+    all_pages = token.where("kind = 'root'").select("host", F.col("pages").alias("all_pages"))
     classes = token.groupBy("host", "pages", "vector").agg(F.count(F.lit(1)).alias("members"))
     valid = (
         token.join(classes, ["host", "pages", "vector"]).join(all_pages, "host")
         .where((F.col("members") > 1) | (F.col("pages") * 100 >= F.col("all_pages") * frequent_percent))
-        .where("all_pages > 1")
-    )
-    weight = F.lit(1)
-    innermost = F.regexp_extract("path", r"([a-z0-9]*)[^>]*$", 1)
-    for tag, factor in WEIGHTS.items():
-        weight = F.when(innermost == tag, F.lit(factor)).otherwise(weight)
-    scored = valid.withColumn("score", F.greatest(F.col("prose") - 2 * F.col("linked"), F.lit(0)) * weight)
-    top = scored.where("score > 0").groupBy("host").agg(F.max_by("path", F.struct("score", "path")).alias("main"))
-    # Only slots below the main one matter, so the list is as long as an article has parts.
-    below = (
-        scored.where((F.col("texts") >= fixed_pages) & (F.col("texts") == F.col("pages")) & (F.col("least") == F.col("most")))
-        .join(top, "host").where(F.col("path").startswith(F.concat("main", F.lit(">"))))
-        .groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("fixed"))
     )
-    varied = scored.join(top, "host").where((F.col("path") == F.col("main")) & (F.col("least") < F.col("most"))).select("host").distinct()
-    return top.join(below.join(varied, "host", "left_semi"), "host", "left").select(
-        "host", "main", F.coalesce("fixed", F.expr("cast(array() as array<string>)")).alias("fixed")
+    around = valid.where(F.col("kind").isin("tag", "root") & (F.col("pages") * 100 >= F.col("all_pages") * frequent_percent)).select(
+        "host", F.col("path").alias("above"), F.col("pages").alias("around")
     )
+    # Nested: the token above is in the template too.
+    nested = valid.where("kind in ('text', 'slot') and several").where(F.col("pages") >= fixed_pages).join(around, ["host", "above"])
+    part = nested.select(
+        "host", F.when((F.col("kind") == "text") & (F.col("pages") == F.col("around")), F.col("path")).alias("fixed"),
+        F.when((F.col("kind") == "slot") & (2 * F.col("pages") > F.col("around")), F.col("above")).alias("steady"),
+    ).where("fixed is not null or steady is not null")
+    return part.groupBy("host").agg(F.sort_array(F.collect_set("steady")).alias("steady"), F.sort_array(F.collect_set("fixed")).alias("fixed"))
 
 
 def extract_pages(
@@ -289,12 +370,12 @@ def extract_pages(
 ) -> DataFrame:
     """Key, url, text and n_chars (code points) of every page.
 
-    Blocks of the main slot in page order, joined by two line feeds; in a block, character references are decoded and
+    All blocks of the main region in page order, joined by two line feeds; in a block, character references are decoded and
     white space is one space. A null or empty page, or one without prose, has an empty text. Pages with a null url or
     without a host form one host. Rows with equal keys are extracted one by one; other columns are ignored.
     """
     lean = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(html).alias("html"))
-    template = saved(templates(lean, "key", "url", "html", frequent_percent, fixed_pages), "templates")
+    template = saved(templates(lean, "url", "html", frequent_percent, fixed_pages), "templates")
     if template.count() <= BROADCAST_HOSTS:  # else the pages are shuffled by host
         template = F.broadcast(template)
     rows = lean.withColumn("host", host_of(F.col("url"))).join(template, "host", "left")
@@ -305,5 +386,5 @@ def extract_pages(
             texts = [main_text(h, m, f or []) for h, m, f in zip(*[batch.column(c).to_pylist() for c in (2, 3, 4)])]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["key", "url", "text"])
 
-    out = rows.select("key", "url", "html", "main", "fixed").mapInArrow(run, f"key {kinds['key']}, url {kinds['url']}, text string")
+    out = rows.select("key", "url", "html", "steady", "fixed").mapInArrow(run, f"key {kinds['key']}, url {kinds['url']}, text string")
     return out.select(F.col("key").alias(key), F.col("url").alias(url), "text", F.length("text").cast("long").alias("n_chars"))

@@ -66,6 +66,23 @@ def test_single_pages(source, text):
     assert html.main_text(source, None, []) == text
 
 
+@pytest.mark.parametrize(
+    "body,text",
+    [
+        ("<div class=post><div class=row><p>A one two</div><div class=row><p>B three</div></div>", "A one two|B three"),
+        ("<div class=post><section id=intro><p>Short</section><section id=rest><p>Long long long long long</section></div>", "Short|Long long long long long"),
+        ("<div class=content><p>In.<blockquote><p>A very long quote of many words indeed</blockquote><p>Out.</div>", "In.|A very long quote of many words indeed|Out."),
+        ("<div class=content><h2>Head</h2><ul><li>a long first item</li><li>b</li></ul></div>", "Head|a long first item|b"),
+        ("<div class=content><p>Figures<table><tr><td>many more words here</td><td>22</td></tr></table></div>", "Figures|many more words here|22"),
+        ("<article><p>Part one</article><div class=ad>Buy</div><article><p>The longer part two</article>", "Part one|The longer part two"),
+        ("<main><h1>Title</h1><article><p>Text</article><p>After</main><footer>f</footer>", "Title|Text|After"),
+        ("<div class=x><ul><li><a href=/>Home</a><li><a href=/b>All news</a></ul><div class=y><p>Prose of the page</div></div>", "Prose of the page"),
+    ],
+)
+def test_all_slots_of_the_main_region(body, text):
+    assert html.main_text(f"<html><body><nav>Menu</nav>{body}</body></html>", None, []) == text.replace("|", "\n\n")
+
+
 def test_pages_of_odd_tables(spark):
     rows = [(None, None, "<p>a"), (1, "no host", None), (1, "no host", ""), (2, "http://h/", "<nav>only"), (2, "http://h/", "<nav>only")]
     got = html.extract_pages(spark.createDataFrame(rows, PAGES).withColumn("main", F.lit(1)))
