@@ -58,6 +58,8 @@ DROPPED_NAMES = frozenset(
 )
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 PARTS = frozenset("blockquote ul ol dl table tbody thead tfoot tr th figure details center section".split())
+#: Class names that say what a container has beside or below its text, not what it is.
+MODIFIER = re.compile(r"(?:has|with|no|without|show|hide|is|not)[-_]")
 #: An article element counts so many times its prose against the rest of the page.
 ARTICLE_WEIGHT = 16
 
@@ -90,7 +92,7 @@ def is_named(tag: str, attrs: dict[str, str], inside_main: bool) -> int:
     if not attrs or exempt(tag, attrs):
         return 0
     whole = f"{attrs.get('class', '')} {attrs.get('id', '')}".lower().split()
-    names = {part for name in whole for part in NAME_PART.findall(name)}
+    names = {part for name in whole if not MODIFIER.match(name) for part in NAME_PART.findall(name)}
     if not (names & DROPPED_NAMES or not inside_main and "header" in names):
         return 0
     return 2 if not DROPPED_NAMES.isdisjoint(whole) else 1
@@ -129,6 +131,27 @@ def settle(nodes: list[Container]) -> None:
     """Drops what is named, except for containers that hold the article or the main slot; then all below what is dropped."""
     for n in nodes[1:]:
         n.dropped = n.dropped or nodes[n.parent].dropped
+    if any(n.named for n in nodes):
+        prose, linked = totals(nodes)
+        score = [max(0, p - 2 * q) if not n.dropped else 0 for n, p, q in zip(nodes, prose, linked)]
+        articles = [i for i, n in enumerate(nodes) if n.article and not n.named and not n.dropped and prose[i]]
+        if articles:
+            # The longest one and all main elements; shorter articles in a related part or in comments go with it.
+            longest = max(articles, key=lambda i: (prose[i], -i))
+            kept = [i for i in articles if i == longest or nodes[i].article == "main"]
+        else:
+            best = max((i for i, n in enumerate(nodes) if n.named), key=lambda i: (score[i], -i))
+            weak = nodes[best].named == 1 and score[best] > 4 * score[0]
+            kept = [best] if weak or score[best] and not score[0] and prose[best] > nodes[best].prose else []
+        spared = set()
+        for i in kept:
+            while i > 0:
+                if nodes[i].named:
+                    spared.add(nodes[i].path)
+                i = nodes[i].parent
+        for n in nodes:
+            if n.named and n.path in spared:
+                n.named = 0
     for n in nodes[1:]:
         n.dropped = n.dropped or n.named > 0 or nodes[n.parent].dropped
 

@@ -83,6 +83,22 @@ def test_all_slots_of_the_main_region(body, text):
     assert html.main_text(f"<html><body><nav>Menu</nav>{body}</body></html>", None, []) == text.replace("|", "\n\n")
 
 
+@pytest.mark.parametrize(
+    "wrapper", ["div class='layout has-sidebar'", "div class='content with-comments'", "section id='social-history'", "div class='page widget'", "div id=promo-page"]
+)
+@pytest.mark.parametrize("inner", ["<article><p>Prose of it.</article>", "<main><p>Prose of it.</main>", "<div class=text><p>Prose of it.</div>"])
+def test_names_of_wrappers_do_not_drop_the_main_text(wrapper, inner):
+    body = f"<body><nav>Menu</nav><{wrapper}>{inner}<div class=sidebar><p>Side by side</div></{wrapper.split()[0]}><div class=comments><p>nice</div>"
+    assert html.main_text(body.replace("<div class=comments><p>nice</div>", ""), None, []) == "Prose of it."
+    assert html.main_text(body, None, []) == "Prose of it."
+
+
+def test_names_still_drop_what_is_beside_the_article():
+    body = "<article><p>Prose of the page</article><div class=related><article><p>Teaser</article></div><div class=comment-list><p>nice post and more words</div>"
+    assert html.main_text(body, None, []) == "Prose of the page"
+    assert html.main_text("<div class=text><p>Prose</div><div class=comments><div><p>many many many words</div></div>", None, []) == "Prose"
+
+
 def test_pages_of_odd_tables(spark):
     rows = [(None, None, "<p>a"), (1, "no host", None), (1, "no host", ""), (2, "http://h/", "<nav>only"), (2, "http://h/", "<nav>only")]
     got = html.extract_pages(spark.createDataFrame(rows, PAGES).withColumn("main", F.lit(1)))
