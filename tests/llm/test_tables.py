@@ -99,6 +99,22 @@ def test_names_still_drop_what_is_beside_the_article():
     assert html.main_text("<div class=text><p>Prose</div><div class=comments><div><p>many many many words</div></div>", None, []) == "Prose"
 
 
+@pytest.mark.parametrize("depth", [0, 60])
+def test_template_texts_without_a_name(spark, depth):
+    own = {i: [f"Own text {i} of this page.", f"More {i * i}."] for i in range(6)}
+    around = "".join(f"<div class='level-of-the-layout number-{'abcdefgh'[d % 8]}'>" for d in range(depth))
+    rows = [
+        page(f"<body>{around}<div class=main-part><h2>From our desk</h2><p>{own[i][0]}<p>Read more in our paper.<p>{own[i][1]}<div><p>Bye</div></div>", number=i)
+        for i in own
+    ]
+    # What only some pages share, or copies of one page, is no template.
+    rows += [page(f"<p>{t}", "b.example", 10 + i) for i, t in enumerate(["same", "same", "same", "other"])]
+    rows += [page("<p>copy<p>again", "c.example", 20 + i) for i in range(4)]
+    got = texts_of(spark, rows)
+    assert {i: got[i] for i in own} == {i: "\n\n".join(t) for i, t in own.items()}
+    assert [got[i] for i in range(10, 14)] == ["same", "same", "same", "other"] and {got[i] for i in range(20, 24)} == {"copy\n\nagain"}
+
+
 def test_pages_of_odd_tables(spark):
     rows = [(None, None, "<p>a"), (1, "no host", None), (1, "no host", ""), (2, "http://h/", "<nav>only"), (2, "http://h/", "<nav>only")]
     got = html.extract_pages(spark.createDataFrame(rows, PAGES).withColumn("main", F.lit(1)))
