@@ -11,7 +11,9 @@ that a document meets only those that can hold one of its windows:
    reference; all places of a window thus name the same one. A reference and what names it form a shard.
 3. Documents that name a reference are read again, and the stretches in question go to its shard. There they
    stream, in document order, through a suffix automaton over words: where the matching statistic reaches the
-   window, an earlier place holds the same words; what is new is added to the automaton.
+   window, an earlier place holds the same words; what is new is added to the automaton. A reference with more words
+   than a shard may have, such as that of many near copies, is cut by the hash of the window: equal windows still meet,
+   and each part streams through a set of window hashes instead of an automaton.
 4. The spans found in 1 and 3 are brought to their documents and cut out.
 
 A passage of a third of all rows reaches its shard at most once per chunk. Words are compared by 64-bit hashes.
@@ -26,13 +28,16 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from codeloom.llm.shared import saved
 
 WINDOW = 20
 GRAM = 8
 CHUNK_WORDS = 3_000_000
+#: Words in the shard of a reference; 365 bytes each in an automaton.
+SHARD_WORDS = 200_000
+#: Cut references that are sent to every executor.
+BROADCAST_REFERENCES = 50_000
 NO_ID = (1 << 63) - 1  # a null key counts as the largest
 
 
@@ -243,11 +248,8 @@ def identity(key: str, text: str) -> list[Column]:
     return [F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64(text).alias("sum")]
 
 
-def find_spans(rows: DataFrame, window: int, gram: int, chunk_words: int) -> DataFrame:
-    """Rows (doc, sum, spans): spans of words that occur earlier, as flat pairs of 32-bit numbers; several per document.
-
-    rows: doc, sum, raw, row.
-    """
+def scan_chunks(rows: DataFrame, window: int, gram: int, chunk_words: int) -> DataFrame:
+    """Anchors of the stretches that are new in their chunk, and spans (null anchor) of what is not."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 24
@@ -262,6 +264,34 @@ def find_spans(rows: DataFrame, window: int, gram: int, chunk_words: int) -> Dat
                     chunk = Chunk(number, window, gram)
         yield from chunk.rows()
 
+    return saved(
+        rows.where("raw is not null").select("doc", "sum", "raw").mapInArrow(scan, "anchor long, doc long, sum long, begin int, end int, chunk long, spans binary"), "anchors"
+    )
+
+
+def named_places(scanned: DataFrame, window: int, shard_words: int) -> DataFrame:
+    """doc, sum and `places` (begin, end, ref, parts of the reference's shard) of anchors that several chunks hold.
+
+    Counts are combined before every shuffle and joined, so that an anchor in many documents is spread.
+    """
+    anchors = scanned.where(F.col("anchor").isNotNull())
+    several = anchors.groupBy("anchor").agg(F.min("chunk").alias("lo"), F.max("chunk").alias("hi")).where("lo < hi").select("anchor")
+    shared = saved(anchors.join(several, "anchor").select("anchor", "doc", "sum", "begin", "end"), "shared-anchors")
+    heads = shared.groupBy("anchor").agg(F.min(F.struct("doc", "sum")).alias("ref"), F.sum(F.col("end") - F.col("begin") + window).alias("n"))
+    heads = saved(heads.select("anchor", F.col("ref.doc").alias("ref_doc"), F.col("ref.sum").alias("ref_sum"), "n"), "references")
+    large = heads.groupBy("ref_doc", "ref_sum").agg(F.ceil(F.sum("n") / shard_words).cast("int").alias("parts")).where("parts > 1")
+    large = saved(large, "large-references")
+    if large.count() <= BROADCAST_REFERENCES:
+        large = F.broadcast(large)
+    heads = heads.join(large, ["ref_doc", "ref_sum"], "left").select(
+        "anchor", F.struct(F.col("ref_doc").alias("doc"), F.col("ref_sum").alias("sum")).alias("ref"), F.coalesce("parts", F.lit(1)).alias("parts")
+    )
+    return shared.join(heads, "anchor").groupBy("doc", "sum").agg(F.collect_list(F.struct("begin", "end", "ref", "parts")).alias("places"))
+
+
+def stretches_of(rows: DataFrame, places: DataFrame, window: int) -> DataFrame:
+    """Stretches by reference and part; `words` has the hashes of the words, or of the windows at `starts` in a part."""
+
     def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
@@ -274,48 +304,64 @@ def find_spans(rows: DataFrame, window: int, gram: int, chunk_words: int) -> Dat
                         open_[ref][1] = max(open_[ref][1], p["end"])
                     else:
                         open_[ref] = [p["begin"], p["end"]]
-                        at.append((ref, open_[ref]))
-                out += [(*ref, row["doc"], row["sum"], b, hashes[b : e + window].tobytes()) for ref, (b, e) in at]
-            cols = list(zip(*out)) if out else [[]] * 6
-            kinds = [pa.int64()] * 4 + [pa.int32(), pa.binary()]
+                        at.append((ref, p["parts"], open_[ref]))
+                for ref, parts, (b, e) in at:
+                    if parts == 1:
+                        out.append((*ref, 0, row["doc"], row["sum"], b, hashes[b : e + window].tobytes(), None))
+                        continue
+                    full = runs_hash(hashes[b : e + window], window)
+                    part = (mixed(full, full) % np.uint64(parts)).astype(np.int64)
+                    for i in np.unique(part).tolist():
+                        starts = np.flatnonzero(part == i)
+                        out.append((*ref, i, row["doc"], row["sum"], b + int(starts[0]), full[starts].tobytes(), (b + starts).astype("<i4").tobytes()))
+            cols = list(zip(*out)) if out else [[]] * 8
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(cols, kinds)], names=["ref_doc", "ref_sum", "doc", "sum", "begin", "words"]
+                [pa.array(c, k) for c, k in zip(cols, kinds)], names=["ref_doc", "ref_sum", "part", "doc", "sum", "begin", "words", "starts"]
             )
 
+    # All columns, as in the last join of dedup_documents: so the texts are shuffled once for both.
+    met = rows.join(places, ["doc", "sum"]).select("doc", "sum", "raw", "places", "row")
+    return met.mapInArrow(stretches, "ref_doc long, ref_sum long, part int, doc long, sum long, begin int, words binary, starts binary")
+
+
+def find_spans(rows: DataFrame, window: int, gram: int, chunk_words: int, shard_words: int = SHARD_WORDS) -> DataFrame:
+    """Rows (doc, sum, spans): spans of words that occur earlier, as flat pairs of 32-bit numbers; several per document.
+
+    rows: doc, sum, raw, row.
+    """
+
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ref, automaton = None, Automaton()
+        shard, automaton, seen, before = None, Automaton(), set(), None
         for batch in batches:
             out = []
             for row in batch.to_pylist():
-                if (row["ref_doc"], row["ref_sum"]) != ref:
-                    ref, automaton, before = (row["ref_doc"], row["ref_sum"]), Automaton(), None
+                if (row["ref_doc"], row["ref_sum"], row["part"]) != shard:
+                    shard, automaton, seen, before = (row["ref_doc"], row["ref_sum"], row["part"]), Automaton(), set(), None
                 this = (row["doc"], row["sum"], row["begin"])
                 if this == before:
                     continue  # the same document once more
                 before = this
                 words = np.frombuffer(row["words"], "<u8").tolist()
-                found = stream_shard(automaton, words, window)
-                if found:
-                    out.append((row["doc"], row["sum"], ranges_of(np.array(found) + row["begin"], window).tobytes()))
+                if row["starts"] is None:
+                    found = np.array(stream_shard(automaton, words, window), np.int64) + row["begin"]
+                else:
+                    found = []
+                    for word, start in zip(words, np.frombuffer(row["starts"], "<i4").tolist()):
+                        if word in seen:
+                            found.append(start)
+                        seen.add(word)
+                    found = np.array(found, np.int64)
+                if len(found):
+                    out.append((row["doc"], row["sum"], ranges_of(found, window).tobytes()))
             cols = list(zip(*out)) if out else [[]] * 3
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.binary()))], names=["doc", "sum", "spans"]
             )
 
-    scanned = saved(
-        rows.where("raw is not null").select("doc", "sum", "raw").mapInArrow(scan, "anchor long, doc long, sum long, begin int, end int, chunk long, spans binary"), "anchors"
-    )
-    same = Window.partitionBy("anchor")
-    named = (
-        scanned.where(F.col("anchor").isNotNull())
-        .withColumns({"ref": F.min(F.struct("doc", "sum")).over(same), "_lo": F.min("chunk").over(same), "_hi": F.max("chunk").over(same)})
-        .where(F.col("_lo") < F.col("_hi"))
-    )
-    places = named.groupBy("doc", "sum").agg(F.collect_list(F.struct("begin", "end", "ref")).alias("places"))
-    # All columns, as in the last join of dedup_documents: so the texts are shuffled once for both.
-    met = rows.join(places, ["doc", "sum"]).select("doc", "sum", "raw", "places", "row")
-    routed = met.mapInArrow(stretches, "ref_doc long, ref_sum long, doc long, sum long, begin int, words binary")
-    by_shard = routed.repartition("ref_doc", "ref_sum").sortWithinPartitions("ref_doc", "ref_sum", "doc", "sum", "begin")
+    scanned = scan_chunks(rows, window, gram, chunk_words)
+    routed = stretches_of(rows, named_places(scanned, window, shard_words), window)
+    by_shard = routed.repartition("ref_doc", "ref_sum", "part").sortWithinPartitions("ref_doc", "ref_sum", "part", "doc", "sum", "begin")
     matched = by_shard.mapInArrow(shards, "doc long, sum long, spans binary")
     return scanned.where(F.col("anchor").isNull()).select("doc", "sum", "spans").unionByName(matched)
 
@@ -347,7 +393,8 @@ def cut(raw: bytes, spans: list[bytes]) -> tuple[int, int, str]:
 
 
 def dedup_documents(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, gram: int = GRAM, chunk_words: int = CHUNK_WORDS
+    docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, gram: int = GRAM, chunk_words: int = CHUNK_WORDS,
+    shard_words: int = SHARD_WORDS,
 ) -> DataFrame:
     """Columns of docs with the removed words cut out of `text`, and `n_words`, `n_removed`.
 
@@ -358,7 +405,7 @@ def dedup_documents(
     """
     names = docs.columns
     rows = docs.select(*identity(key, text), F.col(text).cast("binary").alias("raw"), F.struct(*[F.col(f"`{c}`") for c in names if c != text]).alias("row"))
-    spans = find_spans(rows, window, gram, chunk_words)
+    spans = find_spans(rows, window, gram, chunk_words, shard_words)
     per_doc = spans.groupBy("doc", "sum").agg(F.collect_list("spans").alias("all_spans"))
     row_type = rows.schema["row"].dataType.simpleString()
 

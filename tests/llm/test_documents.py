@@ -166,6 +166,33 @@ def test_substrings_match_plain_search(spark, texts, chunk_words):
     assert all(got[i]["text"] == texts[i] for i in got if not got[i]["n_removed"])
 
 
+def test_shards_of_near_copies_are_cut(spark):
+    rnd = random.Random(6)
+    base = [f"w{rnd.randrange(10**6)}" for _ in range(300)]
+    texts = []
+    for _ in range(60):
+        copy = list(base)
+        for _ in range(3):
+            copy[rnd.randrange(300)] = f"v{rnd.randrange(40)}"
+        texts.append(" ".join(copy))
+    docs = documents(spark, texts, 6)
+    whole = docs.select(*substring.identity("doc_id", "text"), F.col("text").cast("binary").alias("raw"), F.struct("doc_id").alias("row"))
+    places = substring.named_places(substring.scan_chunks(whole, 20, 8, 1500), 20, 1000)
+    routed = substring.stretches_of(whole, places, 20).groupBy("ref_doc", "ref_sum", "part").agg(F.sum(F.length("words") / 8).alias("n"))
+    sizes = sorted(r["n"] for r in routed.collect())
+    assert sum(sizes) > 5000 and sizes[-1] < sum(sizes) / 4 and sizes[-1] < 2000
+    got = [collected(substring.dedup_documents(docs, chunk_words=1500, shard_words=n)) for n in (1000, 10**9)]
+    assert {i: r["text"] for i, r in got[0].items()} == {i: r["text"] for i, r in got[1].items()}
+    assert sum(r["n_removed"] for r in got[0].values()) > 10000
+
+
+@pytest.mark.parametrize("shard_words", [30, 400])
+def test_cut_shards_match_plain_search(spark, texts, shard_words):
+    got = collected(substring.dedup_documents(documents(spark, texts), chunk_words=500, shard_words=shard_words))
+    whole = collected(substring.dedup_documents(documents(spark, texts)))
+    assert {i: (r["text"], r["n_removed"]) for i, r in got.items()} == {i: (r["text"], r["n_removed"]) for i, r in whole.items()}
+
+
 def test_substrings_of_small_alphabets(spark):
     rnd = random.Random(5)
     bases = [[str(rnd.randint(0, 3)) for _ in range(60)] for _ in range(5)]
