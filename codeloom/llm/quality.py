@@ -25,13 +25,15 @@ class QualityParams:
     """min_words: fewer fail, also after line removal; max_repeat_percent: of words in repeated windows.
 
     A line is frequent if more than `min_line_docs` distinct documents of a host hold it and they are more than
-    `max_line_percent` of the host's distinct documents.
+    `max_line_percent` of the host's distinct documents, or more than `max_line_docs` if that is set: on a host with
+    a large part of all rows a percentage would let boilerplate of any number of documents pass.
     """
 
     min_words: int = 20
     max_repeat_percent: int = 30
     min_line_docs: int = 10
     max_line_percent: int = 5
+    max_line_docs: int | None = None
 
 
 def words_of(text: Column) -> Column:
@@ -45,6 +47,12 @@ def lines_of(text: Column) -> Column:
     return F.array_remove(lines, "")
 
 
+def without_lines(text: Column, gone: Column) -> Column:
+    """The text without the lines whose normalised form has one of the hashes."""
+    normal = lambda x: F.trim(F.translate(F.regexp_replace(x, SPACES, " "), *letters()))
+    return F.array_join(F.filter(F.split(text, "\n"), lambda x: ~F.array_contains(gone, F.xxhash64(normal(x)))), "\n")
+
+
 def letters() -> tuple[str, str]:
     upper = "".join(map(chr, range(65, 91)))
     return upper, upper.lower()
@@ -107,13 +115,17 @@ def frequent_lines(docs: DataFrame, params: QualityParams, key: str, text: str,
     often = per_line.where(F.col("_docs") > params.min_line_docs).alias("l").join(
         hosts.alias("h"), F.col("l._host").eqNullSafe(F.col("h._host"))
     )
-    return often.where(F.col("_docs") * 100 > F.col("_all") * params.max_line_percent).select("l._host", "_line", "_owner")
+    above = F.col("_docs") * 100 > F.col("_all") * params.max_line_percent
+    if params.max_line_docs is not None:
+        above |= F.col("_docs") > params.max_line_docs
+    return often.where(above).select("l._host", "_line", "_owner")
 
 
 def judge(
     docs: DataFrame, params: QualityParams = QualityParams(), key: str = "doc_id", text: str = "text", host: str = "source"
 ) -> DataFrame:
-    """All columns of docs and the base counts, `base_failed`, `lost_words` (in removed lines) and `kept`.
+    """All columns of docs and the base counts, `base_failed`, `lost_words` and `lost_lines` (in removed lines; their
+    hashes, null without any), `kept` and `left_text`, the text without the removed lines.
 
     A line above the limit is removed from every document but the first (smallest key) of its host that has it, so
     no passage is lost everywhere. A document is rejected if it fails the base rules, or if lines were removed and
@@ -128,12 +140,13 @@ def judge(
         often = F.broadcast(often)
     lines = lean.where(F.col(text).isNotNull()).select(
         F.col(host).alias("_host"), F.col(key).alias("_doc"), F.xxhash64(text, F.length(text)).alias("_text"),
-        F.explode(F.transform(lines_of(F.col(text)), lambda x: F.struct(F.xxhash64(x).alias("h"), F.size(F.split(x, " ")).alias("n")))).alias("_l"),
-    ).select("_host", "_doc", "_text", F.col("_l.h").alias("_line"), F.col("_l.n").alias("_n"))
+        F.explode(F.transform(lines_of(F.col(text)), lambda x, i: F.struct(i.alias("i"), F.xxhash64(x).alias("h"), F.size(F.split(x, " ")).alias("n")))).alias("_l"),
+    ).select("_host", "_doc", "_text", F.col("_l.i").alias("_i"), F.col("_l.h").alias("_line"), F.col("_l.n").alias("_n"))
     removed = (
         lines.alias("a").join(often.alias("o"), (F.col("a._line") == F.col("o._line")) & F.col("a._host").eqNullSafe(F.col("o._host")))
         .where(~F.col("a._doc").eqNullSafe(F.col("o._owner")))
-        .groupBy("a._host", "a._doc", "a._text").agg(F.sum("_n").alias("lost_words"))
+        .select("a._host", "a._doc", "a._text", "_i", "a._line", "_n").distinct()  # a document that is stored twice loses a line once
+        .groupBy("_host", "_doc", "_text").agg(F.sum("_n").alias("lost_words"), F.sort_array(F.collect_set("_line")).alias("lost_lines"))
     )
     base = docs.withColumns(
         {
@@ -163,16 +176,28 @@ def judge(
     lost = F.coalesce(F.col("lost_words"), F.lit(0))
     depleted = (lost > 0) & (F.col("n_words") - lost < params.min_words)
     kept = ~F.col("base_failed") & ~depleted
+    own = F.col(f"d.`{text}`")
+    left = F.when(F.col("lost_lines").isNull(), own).otherwise(without_lines(own, F.col("lost_lines")))
     added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    return out.select(*[F.col(f"d.`{c}`") for c in docs.columns], *added, lost.cast("long").alias("lost_words"), kept.alias("kept"))
+    return out.select(*[F.col(f"d.`{c}`") for c in docs.columns], *added, lost.cast("long").alias("lost_words"), "lost_lines", kept.alias("kept"), left.alias("left_text"))
 
 
-def keep_documents(docs: DataFrame, params: QualityParams = QualityParams(), key: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
-    """The rows that are kept, with the columns of docs."""
+def keep_documents(
+    docs: DataFrame, params: QualityParams = QualityParams(), key: str = "doc_id", text: str = "text", host: str = "source", length: str = "n_chars",
+) -> DataFrame:
+    """The rows that are kept, with the columns of docs, `text` without the removed lines and `length`, if there, counted anew."""
     lean = docs.select(F.col(key).alias("key"), F.col(text).alias("body"), F.col(host).alias("host"))
     verdicts = judge(lean, params, "key", "body", "host")
     # Written before the filter: pushed into the counts, it would repeat their expressions many times over.
-    verdicts = saved(verdicts.select("key", "host", F.xxhash64("body", F.length("body")).alias("sum"), "kept"), "verdicts")
-    gone = verdicts.where(~F.col("kept")).select(F.col("key").alias("_key"), F.col("host").alias("_host"), F.col("sum").alias("_sum")).distinct()
-    same = docs[key].eqNullSafe(gone["_key"]) & docs[host].eqNullSafe(gone["_host"])
-    return docs.join(gone, same & (F.xxhash64(docs[text], F.length(docs[text])) == gone["_sum"]), "left_anti")
+    verdicts = saved(verdicts.select("key", "host", F.xxhash64("body", F.length("body")).alias("sum"), "kept", "lost_lines"), "verdicts")
+    sums = [F.col("key").alias("_key"), F.col("host").alias("_host"), F.col("sum").alias("_sum")]
+    changed = verdicts.where(~F.col("kept") | F.col("lost_lines").isNotNull()).select(*sums, F.col("kept").alias("_kept"), F.col("lost_lines").alias("_gone")).distinct()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    own = F.col("_row")[text]
+    same = F.col("_row")[key].eqNullSafe(F.col("_key")) & F.col("_row")[host].eqNullSafe(F.col("_host")) & (F.xxhash64(own, F.length(own)) == F.col("_sum"))
+    left = F.when(F.col("_gone").isNull(), own).otherwise(without_lines(own, F.col("_gone")))
+    out = rows.join(changed, same, "left").where(F.coalesce("_kept", F.lit(True))).withColumn("_left", left)
+    cells = {c: F.col("_row")[c] for c in docs.columns} | {text: F.col("_left")}
+    if length in docs.columns:
+        cells[length] = F.when(F.col("_gone").isNull(), F.col("_row")[length]).otherwise(F.length("_left").cast(docs.schema[length].dataType))
+    return out.select(*[cells[c].alias(c) for c in docs.columns])

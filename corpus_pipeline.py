@@ -10,10 +10,12 @@ from codeloom.session import new_table_path
 
 #: Five-word similarity from which documents are near duplicates; 85 is the contract of op3 only.
 NEAR_PERCENT = 80
+#: Documents of a host with a line from which it is boilerplate on a host of any size; op7's SQL knows only the 5 %.
+MAX_LINE_DOCS = 1000
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.keep_documents(docs)
+    return quality.keep_documents(docs, quality.QualityParams(max_line_docs=MAX_LINE_DOCS))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

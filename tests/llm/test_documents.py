@@ -265,6 +265,31 @@ def test_frequent_lines_deplete_all_but_the_first(spark):
     assert got[0]["lost_words"] == 0 and got[2]["lost_words"] == 40
 
 
+def test_frequent_lines_are_removed_from_the_text(spark):
+    rnd = random.Random(5)
+    own = lambda n: " ".join(f"w{rnd.randrange(10**6)}" for _ in range(n))
+    first = [own(30) for _ in range(30)]
+    rows = [(i, f"{t}\n \n  All\tRIGHTS  are ours \nend {i}", "h", 0) for i, t in enumerate(first)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars int")
+    got = collected(quality.keep_documents(docs))
+    assert got[0]["text"] == rows[0][1] and got[0]["n_chars"] == 0
+    want = {i: f"{first[i]}\n \nend {i}" for i in range(1, 30)}
+    assert {i: (got[i]["text"], got[i]["n_chars"]) for i in want} == {i: (t, len(t)) for i, t in want.items()}
+    # A share of 5 % is never reached on a large host; a number of documents is.
+    more = docs.unionByName(spark.createDataFrame([(100 + i, own(30), "h", 0) for i in range(700)], docs.schema))
+    assert collected(quality.keep_documents(more))[1]["text"] == rows[1][1]
+    assert collected(quality.keep_documents(more, quality.QualityParams(max_line_docs=20)))[1]["text"] == want[1]
+
+
+def test_rows_that_are_stored_twice_lose_words_once(spark):
+    rnd = random.Random(7)
+    own = lambda n: " ".join(f"w{rnd.randrange(10**6)}" for _ in range(n))
+    footer = own(15)
+    rows = [(i, f"{own(30)}\n{footer}", "h") for i in range(20)]
+    got = quality.judge(spark.createDataFrame(rows + rows[5:] + rows[5:], "doc_id long, text string, source string")).collect()
+    assert len(got) == 50 and all(r["kept"] and r["lost_words"] == (15 if r["doc_id"] else 0) for r in got)
+
+
 def test_copies_do_not_make_lines_frequent(spark):
     rnd = random.Random(3)
     text = "\n".join(" ".join(f"w{rnd.randrange(10**6)}" for _ in range(30)) for _ in range(4))
