@@ -39,9 +39,12 @@ REPEATS = {"double": 2, "triple": 3}
 
 ODD = re.compile("[" + "".join(LOOK_ALIKES) + INVISIBLE + "０-９Ａ-Ｚａ-ｚ．＠＋－٠-٩۰-۹𝐀-𝟿]")
 WORD = "(?:" + "|".join([*DIGIT_WORDS, *REPEATS, "plus"]) + ")"
-SPELLED = re.compile(rf"(?<![A-Za-z])(?:{WORD}|[0-9]+)(?:[ ,.-]{{1,2}}(?:{WORD}|[0-9]+)(?![A-Za-z0-9]))+", re.I)
-SPELLED_SIGNS = ("two ", "three", "four", "five", "six ", "seven", "eight", "nine ", "zero", "one one")
+ITEM = f"(?:{WORD}|[0-9]+)"
+JOINT = r"(?:[ \t]?[\[({<][ \t]?(?:dot|\.)[ \t]?[\])}>][ \t]?|[ \t]+dot[ \t]+|[ ,.()-]{1,2})"
+SPELLED = re.compile(rf"(?<![A-Za-z]){ITEM}(?:{JOINT}{ITEM}(?![A-Za-z0-9]))+", re.I)
+SPELLED_SIGNS = ("two ", "three", "four", "five", "six ", "seven", "eight", "nine ", "zero", "one ")
 SPELLED_RUN = re.compile(rf"(?<![a-z]){WORD}(?:[ ,.-]{{1,2}}{WORD}){{3}}(?![a-z])")
+SPELLED_BESIDE = re.compile(rf"[0-9][ ,.()-]{{1,2}}{WORD}(?![a-z])|(?<![a-z]){WORD}[ ,.()-]{{1,2}}[0-9]")
 AT = re.compile(r"[ \t]?[\[({<][ \t]?(?:at|@)[ \t]?[\])}>][ \t]?|(?<=[A-Za-z0-9])[ \t]+at[ \t]+(?=[A-Za-z0-9])", re.I)
 DOT = re.compile(r"[ \t]?[\[({<][ \t]?(?:dot|\.)[ \t]?[\])}>][ \t]?|(?<=[A-Za-z0-9])[ \t]+dot[ \t]+(?=[A-Za-z0-9])", re.I)
 BARE_AT = re.compile(r"[ \t]+at[ \t]+\Z", re.I)
@@ -124,28 +127,68 @@ def plain_letters(tape: Tape) -> None:
     tape.replace(edits)
 
 
+def dot_of(gap: str) -> int:
+    """2 for a disguised dot, 1 for a plain one, else 0."""
+    core = gap.lower().strip(" \t[](){}<>")
+    return 2 if core == "dot" or core == "." and gap.strip() != "." else int(gap == ".")
+
+
+def cut_at(parts: list[tuple[int, int, str, int]], least: int) -> list[list[tuple[int, int, str, int]]]:
+    out: list[list[tuple[int, int, str, int]]] = []
+    for p in parts:
+        if not out or p[3] >= least:
+            out.append([])
+        out[-1].append(p)
+    return out
+
+
+def spelled_out(parts: list[tuple[int, int, str, int]]) -> str:
+    out, times = "", 1
+    for _, _, p, _ in parts:
+        if p in REPEATS:
+            times = REPEATS[p]
+        elif p == "plus":
+            out += "+"
+        else:
+            out, times = out + DIGIT_WORDS.get(p, p) * times, 1
+    return out
+
+
 def plain_digits(tape: Tape) -> list[tuple[int, int]]:
-    """Spelled digits become digits; returns the runs that were spelled throughout and hold 10 to 15 digits."""
+    """Spelled digits become digits; returns the runs of 10 to 15 digits that are phones without a plus sign.
+
+    A run is taken if it holds four spelled digits or if the whole of it, figures included, is an address of four
+    parts, a phone or a card.
+    """
     edits, sizes = [], []
     for m in SPELLED.finditer(tape.text):
-        parts = [(p.start() + m.start(), p.end() + m.start(), p.group().lower()) for p in re.finditer(r"[A-Za-z]+|[0-9]+", m.group())]
-        spelled = [p for p in parts if p[2] in DIGIT_WORDS]
-        if len(spelled) < 4:
+        parts, end = [], m.start()
+        for p in re.finditer(r"[A-Za-z]+|[0-9]+", m.group()):
+            word, a, b = p.group().lower(), p.start() + m.start(), p.end() + m.start()
+            if word != "dot":
+                parts.append((a, b, word, dot_of(tape.text[end:a])))
+                end = b
+        if not any(p[2] in DIGIT_WORDS for p in parts):
+            continue
+        address = [spelled_out(g) for g in cut_at(parts, 1)]
+        if len(address) == 4 and all(g.isdigit() and len(g) <= 3 and int(g) <= 255 for g in address):
+            edits.append((parts[0][0], parts[-1][1], ".".join(address)))
+            sizes.append("")
             continue
-        out, times = "", 1
-        for _, _, p in parts:
-            if p in REPEATS:
-                times = REPEATS[p]
-            elif p == "plus":
-                out += "+"
-            else:
-                out, times = out + DIGIT_WORDS.get(p, p) * times, 1
-        edits.append((parts[0][0], parts[-1][1], out))
-        sizes.append(out if len(spelled) + sum(p[2] in REPEATS for p in parts) == len(parts) else "")
+        for run in cut_at(parts, 2):
+            spelled = sum(p[2] in DIGIT_WORDS for p in run)
+            out = spelled_out(run)
+            digits = out.lstrip("+")
+            signed = tape.text[run[0][0] - 1 : run[0][0]] == "+"
+            phone = 10 <= len(digits) <= 15 and digits.isdigit()
+            card = 14 <= len(digits) <= 19 and digits.isdigit() and luhn(digits)
+            if spelled >= 4 or spelled and (card or phone and (signed or out != digits or spelled == 3)):
+                edits.append((run[0][0], run[-1][1], out))
+                sizes.append(out if phone and not signed and spelled >= 3 else "")
     tape.replace(edits)
     runs, shift = [], 0
     for (a, b, out), kept in zip(edits, sizes):
-        if 10 <= len(kept) <= 15:
+        if kept:
             runs.append((a + shift, a + shift + len(out)))
         shift += len(out) - (b - a)
     return runs
@@ -172,7 +215,7 @@ def disguised(text: str) -> bool:
     if not text.isascii() and ODD.search(text):
         return True
     low = text.lower()
-    return any(s in low for s in SIGNS) or any(s in low for s in SPELLED_SIGNS) and SPELLED_RUN.search(low) is not None
+    return any(s in low for s in SIGNS) or any(s in low for s in SPELLED_SIGNS) and (SPELLED_RUN.search(low) or SPELLED_BESIDE.search(low)) is not None
 
 
 def spans_of(text: str) -> list[tuple[int, int, str, bool]]:
@@ -250,7 +293,9 @@ def joined(spans: Column) -> Column:
 def digests(found: DataFrame, key: str = "doc_id") -> DataFrame:
     """Counts and digest of the base spans; `spans` lists all."""
     base = F.filter("spans", lambda s: ~s["added"])
-    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    # A second parameter of the lambda, even with a default, would be the position in the array.
+    of = lambda kind: F.filter(base, lambda s: s["kind"] == kind)
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in KINDS]
     return found.select(
         key, *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans")
     )

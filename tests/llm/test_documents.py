@@ -359,6 +359,28 @@ def test_disguises_map_back_to_the_source(text, found, kind):
         assert [(text[a:b], k) for a, b, k, _ in spans] == [(found, kind)]
 
 
+@pytest.mark.parametrize(
+    "text,found,kind",
+    [
+        ("host one nine two dot one six eight dot zero dot one is up", "one nine two dot one six eight dot zero dot one", "ip"),
+        ("ten dot no, one zero [dot] 0 [dot] zero [dot] seven yes", "one zero [dot] 0 [dot] zero [dot] seven", "ip"),
+        ("see one nine two.one six eight.1.one", "one nine two.one six eight.1.one", "ip"),
+        ("call +1 555 one two three 4567 now", "+1 555 one two three 4567", "phone"),
+        ("call +1 (555) one 23 4567 now", "+1 (555) one 23 4567", "phone"),
+        ("call plus 1 555 123 four 567 now", "plus 1 555 123 four 567", "phone"),
+        ("call 555 one two three 4567 now", "555 one two three 4567", "phone"),
+        ("card 4111 1111 1111 11 one one ok", "4111 1111 1111 11 one one", "card"),
+    ],
+)
+def test_short_spelled_parts_are_judged_with_their_neighbours(text, found, kind):
+    assert [(text[a:b], k) for a, b, k, new in pii.spans_of(text) if new] == [(found, kind)]
+
+
+@pytest.mark.parametrize("text", ["one dot two dot three", "nine nine nine dot one dot one dot one", "in 1999 two of 2000 and three 2001", "version 4 one 2 two"])
+def test_runs_that_are_nothing_stay(text):
+    assert pii.spans_of(text) == []
+
+
 @pytest.mark.parametrize("text", ["look at example.com and dot it", "we met at the red dot com", "one two three go", "она сказала да", "naïve café", "at 10.30 I met two or three"])
 def test_clean_text_has_no_spans(text):
     assert pii.spans_of(text) == []
