@@ -3,7 +3,7 @@
 Each task tokenises its documents once and cuts off whole windows; what remains of each document goes to a pool.
 When the pool holds `pool_tokens` tokens, windows are filled from it: the longest remaining length opens a window,
 and a subset-sum dynamic program over the multiset of the other lengths, kept as the bits of one integer per
-length, finds the sum closest to the capacity; the counts are found by going back through the integers, and the
+length, looks for a sum that fills the window exactly; the counts are found by going back through the integers, and the
 same multiset fills as many windows as the counts allow. A length that leaves slack waits for more documents.
 
 Only lengths that cannot be combined without slack, or that are left at the end of a task, are cut: they are laid
