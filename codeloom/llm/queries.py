@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codeloom.llm import bpe, chat, html, minhash, packing, pii, quality, substring, tokencount, vectors
+from codeloom.llm import bpe, chat, html, licences, minhash, packing, phrases, pii, quality, substring, tokencount, vectors, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -189,11 +189,59 @@ FROM words LEFT JOIN gone USING (doc_id)
 """
 
 
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.digests(licences.scan_licences(table(spark, sf_dir, "documents")))
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine_phrases(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(p, '[^\x20\x09]+') AS w
+  FROM documents, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS u(p)
+), sizes AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang
+), one AS (SELECT lang, w[i] AS x, count(*) AS f FROM pieces, unnest(range(1, len(w) + 1)) AS u(i) GROUP BY ALL
+), two AS (
+  SELECT lang, w[i] AS x, w[i + 1] AS y, count(*) AS f FROM pieces, unnest(range(1, len(w))) AS u(i) GROUP BY ALL HAVING count(*) >= 10
+), three AS (
+  SELECT lang, w[i] AS x, w[i + 1] AS y, w[i + 2] AS z, count(*) AS f FROM pieces, unnest(range(1, len(w) - 1)) AS u(i) GROUP BY ALL HAVING count(*) >= 10
+), held AS (
+  SELECT lang, x, y, max(f) AS f FROM (SELECT lang, x, y, f FROM three UNION ALL SELECT lang, y, z, f FROM three) GROUP BY ALL
+), cuts AS (
+  SELECT t.lang, t.x || ' ' || t.y AS phrase, 1 AS k, t.f AS a, p.f AS l, q.f AS r FROM two AS t
+  JOIN one AS p ON p.lang = t.lang AND p.x = t.x JOIN one AS q ON q.lang = t.lang AND q.x = t.y
+  LEFT JOIN held AS h ON h.lang = t.lang AND h.x = t.x AND h.y = t.y WHERE h.f IS NULL OR 100 * h.f < 50 * t.f
+  UNION ALL
+  SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z, 1, t.f, p.f, q.f FROM three AS t
+  JOIN one AS p ON p.lang = t.lang AND p.x = t.x JOIN two AS q ON q.lang = t.lang AND q.x = t.y AND q.y = t.z
+  UNION ALL
+  SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z, 2, t.f, p.f, q.f FROM three AS t
+  JOIN two AS p ON p.lang = t.lang AND p.x = t.x AND p.y = t.y JOIN one AS q ON q.lang = t.lang AND q.x = t.z
+), scored AS (
+  SELECT *, CAST((1000000::HUGEINT * a * a) // (l::HUGEINT * r) AS BIGINT) AS score FROM cuts
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM placed JOIN sizes USING (lang) WHERE rank <= 2000
+"""
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return made.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 QUERIES = {
     "op1_html": op1_html, "op2_vectors": op2_vectors, "op3_minhash": op3_minhash, "op4_chat": op4_chat, "op5_tokens": op5_tokens,
     "op6_bpe": op6_bpe, "op7_quality": op7_quality, "op8_packing": op8_packing, "op9_pii": op9_pii,
-    "op10_substring": op10_substring,
+    "op10_substring": op10_substring, "op11_licenses": op11_licenses, "op12_phrases": op12_phrases, "op13_whitening": op13_whitening,
 }
 ORACLE = {
     "op2_vectors": OP2_SQL, "op3_minhash": OP3_SQL, "op4_chat": OP4_SQL, "op7_quality": OP7_SQL, "op10_substring": OP10_SQL,
+    "op12_phrases": OP12_SQL,
 }
