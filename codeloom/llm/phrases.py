@@ -32,9 +32,9 @@ MIN_COUNT = 10
 MAX_WORDS = 3
 CONTAINED_PERCENT = 50
 TOP = 2000
-CHUNK_WORDS = 1 << 20
+CHUNK_WORDS = 1 << 19
 #: Words and list entries that a task holds in its open chunks, whatever the number of languages.
-OPEN_WORDS, OPEN_ENTRIES = 3 << 20, 600_000
+OPEN_WORDS, OPEN_ENTRIES = 3 << 19, 300_000
 SIDE = 256
 #: Tiles of the first NEAR x NEAR can be dense; they are if they hold so many of a chunk's pairs.
 NEAR, DENSE = 64, 1 << 13
@@ -117,6 +117,7 @@ def chunked_words(docs: DataFrame, text: str, lang: str, chunk_words: int = CHUN
                         del open_chunks[full.lang]
                         if full is chunk:
                             break
+            pa.default_memory_pool().release_unused()
         for chunk in open_chunks.values():
             yield batch_of(chunk.row(done))
             done += 1
@@ -181,18 +182,17 @@ def ranked_chunks(chunks: DataFrame, items: DataFrame, ranks: DataFrame, keys: l
 
 def count_pairs(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct pairs of two rank arrays, and how often each comes; tile by tile where tiles are dense."""
-    left, right = left.astype(np.int64), right.astype(np.int64)
     row, column = left // SIDE, right // SIDE
     tile = np.where((row < NEAR) & (column < NEAR), row * NEAR + column, NEAR * NEAR)
+    del row, column
     filled = np.bincount(tile, minlength=NEAR * NEAR + 1)
     filled[-1] = 0
     dense = filled >= DENSE
     inside = dense[tile]
     lefts, rights, counts = [], [], []
     if inside.any():
-        cell = ((left % SIDE) * SIDE + right % SIDE)[inside]
-        chosen = tile[inside].astype(np.int16)
-        order = np.argsort(chosen, kind="stable")
+        cell = (left[inside] % SIDE) * SIDE + right[inside] % SIDE
+        order = np.argsort(tile[inside].astype(np.int16), kind="stable")
         cell, numbers = cell[order], np.flatnonzero(dense)
         for number, part in zip(numbers, np.split(cell, np.cumsum(filled[numbers])[:-1])):
             cells = np.bincount(part, minlength=SIDE * SIDE)
@@ -200,7 +200,11 @@ def count_pairs(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.nda
             lefts.append(number // NEAR * SIDE + used // SIDE)
             rights.append(number % NEAR * SIDE + used % SIDE)
             counts.append(cells[used])
-    sparse = np.sort(left[~inside] << 31 | right[~inside])
+        del cell, order
+    del tile
+    sparse = left[~inside].astype(np.int64) << 31
+    sparse |= right[~inside]
+    sparse.sort()
     first = np.flatnonzero(np.diff(sparse, prepend=-1))
     lefts.append(sparse[first] >> 31)
     rights.append(sparse[first] & MOST_RANKS - 1)
@@ -219,8 +223,9 @@ def pair_counts(ranked: DataFrame) -> DataFrame:
                 columns = count_pairs(codes[:-1][both], codes[1:][both])
                 for begin in range(0, len(columns[0]), SLICE):
                     part = [pa.array(c[begin : begin + SLICE]) for c in columns]
-                    lang = pa.array([batch.column(0)[at].as_py()] * len(part[0]), pa.string())
+                    lang = pa.repeat(batch.column(0)[at], len(part[0]))
                     yield pa.RecordBatch.from_arrays([lang, *part], names=["lang", "left", "right", "c"])
+            pa.default_memory_pool().release_unused()
 
     counted = ranked.select("lang", "codes").mapInArrow(run, "lang string, left long, right long, c long")
     return counted.groupBy("lang", "left", "right").agg(F.sum("c").alias("f"))
