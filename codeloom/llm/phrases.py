@@ -52,6 +52,19 @@ END = b"\xff"
 # ---- texts to chunks --------------------------------------------------------------------
 
 
+def packed(codes: np.ndarray) -> bytes:
+    """32-bit numbers, compressed byte plane by byte plane: most of the high bytes are zero."""
+    planes = np.ascontiguousarray(codes, np.dtype("<i4")).view(np.uint8).reshape(-1, 4).T.tobytes()
+    return len(codes).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def unpacked(value: pa.BinaryScalar) -> np.ndarray:
+    raw = value.as_py()
+    size = int.from_bytes(raw[:8], "little")
+    planes = pa.decompress(raw[8:], 4 * size, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, size).T).view(np.dtype("<i4")).reshape(-1)
+
+
 class Chunk:
     """Words of one language as numbers; number 0 ends a piece."""
 
@@ -71,11 +84,11 @@ class Chunk:
         codes = np.concatenate(self.parts)
         counts = np.bincount(codes, minlength=len(self.numbers))[1:]
         words = list(self.numbers)[1:]
-        return number, self.lang, int(counts.sum()), (codes - 1).tobytes(), words, counts
+        return number, self.lang, int(counts.sum()), packed(codes - 1), words, counts
 
 
 def chunked_words(docs: DataFrame, text: str, lang: str, chunk_words: int = CHUNK_WORDS) -> DataFrame:
-    """Rows (chunk, lang, n, codes, words, counts): 32-bit numbers of the chunk's words, -1 between pieces."""
+    """Rows (chunk, lang, n, codes, words, counts): packed numbers of the chunk's words, -1 between pieces."""
 
     def batch_of(row: tuple) -> pa.RecordBatch:
         number, name, n, codes, words, counts = row
@@ -130,115 +143,108 @@ def chunked_words(docs: DataFrame, text: str, lang: str, chunk_words: int = CHUN
 
 
 def with_ranks(counted: DataFrame, ties: list[str], stack: ExitStack) -> DataFrame:
-    """`id`, the place of a row among those of its language by falling count `f`, from 0.
+    """`id`, the place of a row by language and falling count `f`, from 0.
 
     The rows are sorted over all tasks; places follow from the sizes of the sorted parts.
     """
-    spark = counted.sparkSession
-    place = stack.enter_context(
+    placed = stack.enter_context(
         stored(counted.orderBy("lang", F.desc("f"), *ties).withColumn("at_", F.monotonically_increasing_id()), "ranks")
     )
     part = F.shiftright("at_", 33)
-    sizes = {r["part"]: r["count"] for r in place.groupBy(part.alias("part")).count().collect()}
+    sizes = {r["part"]: r["count"] for r in placed.groupBy(part.alias("part")).count().collect()}
     shifts, total = [], 0
     for number in sorted(sizes):
         shifts.append((number, total))
         total += sizes[number]
-    shift = spark.createDataFrame(shifts, "part_ long, shift_ long")
-    whole = place.withColumn("part_", part).join(F.broadcast(shift), "part_").withColumn("at_", F.col("at_").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("shift_"))
-    first = whole.groupBy("lang").agg(F.min("at_").alias("first_"), F.max("at_").alias("last_"))
-    if first.where(F.col("last_") - F.col("first_") >= MOST_RANKS).limit(1).count():
-        raise ValueError("a language has more frequent phrases than 32-bit ranks")
-    return whole.join(first, "lang").withColumn("id", F.col("at_") - F.col("first_")).drop("at_", "part_", "shift_", "first_", "last_")
+    if total > MOST_RANKS:
+        raise ValueError("there are more frequent phrases than 32-bit ranks")
+    shift = counted.sparkSession.createDataFrame(shifts, "part_ long, shift_ long")
+    inside = F.col("at_").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.withColumn("part_", part).join(F.broadcast(shift), "part_").withColumn("id", inside + F.col("shift_")).drop("at_", "part_", "shift_")
 
 
-def ranked_chunks(chunks: DataFrame, items: DataFrame, ranks: DataFrame, keys: list[str], label: str, stack: ExitStack) -> DataFrame:
+def ranked_chunks(chunks: DataFrame, items: DataFrame, ranks: DataFrame, keys: list[str], stack: ExitStack) -> DataFrame:
     """The chunks with ranks in place of their own numbers; -1 for what is not frequent.
 
-    `items` has a row for each number of a chunk, so no rank is asked for more than once per chunk.
+    `items` has a row for each number of a chunk, so no rank is asked for more than once per chunk. The join is the
+    same at every size.
     """
-    known = items.join(ranks.select("lang", *keys, F.col("id").cast("int").alias("id")), ["lang", *keys]).select("chunk", "number", "id")
-    lists = known.groupBy("chunk").agg(F.collect_list(F.struct("number", "id")).alias("ranks"))
+    known = items.join(ranks.select(*keys, "id").hint("merge"), keys)
+    lists = known.groupBy("chunk").agg(F.collect_list(F.shiftleft(F.col("number").cast("long"), 32) + F.col("id")).alias("ranks"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
-                codes = np.frombuffer(batch.column(2)[at].as_buffer(), np.int32)
-                number, rank = batch.column(3)[at].values.flatten()
+                codes, ranks = unpacked(batch.column(1)[at]), batch.column(2)[at].values.to_numpy()
                 table = np.full(int(codes.max(initial=-1)) + 2, -1, np.int32)  # the last entry stands for -1
-                number, rank = number.to_numpy(), rank.to_numpy()
-                table[number] = rank
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, 1), batch.column(1).slice(at, 1), pa.array([table[codes].tobytes()], pa.binary())],
-                    names=["chunk", "lang", "codes"],
-                )
+                table[ranks >> 32] = ranks & MOST_RANKS - 1
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 1), pa.array([packed(table[codes])], pa.binary())], names=["chunk", "codes"])
 
-    joined = chunks.select("chunk", "lang", "codes").join(lists, "chunk").select("chunk", "lang", "codes", "ranks")
-    return stack.enter_context(stored(joined.mapInArrow(run, "chunk long, lang string, codes binary"), label))
+    joined = chunks.select("chunk", "codes").join(lists.hint("merge"), "chunk").select("chunk", "codes", "ranks")
+    return stack.enter_context(stored(joined.mapInArrow(run, "chunk long, codes binary"), "ranked"))
 
 
 # ---- tiles ------------------------------------------------------------------------------
 
 
-def count_pairs(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct pairs of two rank arrays, and how often each comes; tile by tile where tiles are dense."""
-    row, column = left // SIDE, right // SIDE
+def count_pairs(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs of two rank arrays, as left * 2^31 + right, and how often each comes.
+
+    Tiles are counted from the smallest rank, which is that of the language's most frequent item.
+    """
+    first = int(min(left.min(), right.min())) if len(left) else 0
+    row, column = (left - first) // SIDE, (right - first) // SIDE
     tile = np.where((row < NEAR) & (column < NEAR), row * NEAR + column, NEAR * NEAR)
     del row, column
     filled = np.bincount(tile, minlength=NEAR * NEAR + 1)
     filled[-1] = 0
     dense = filled >= DENSE
     inside = dense[tile]
-    lefts, rights, counts = [], [], []
+    pairs, counts = [], []
     if inside.any():
-        cell = (left[inside] % SIDE) * SIDE + right[inside] % SIDE
+        cell = (left[inside] - first) % SIDE * SIDE + (right[inside] - first) % SIDE
         order = np.argsort(tile[inside].astype(np.int16), kind="stable")
         cell, numbers = cell[order], np.flatnonzero(dense)
         for number, part in zip(numbers, np.split(cell, np.cumsum(filled[numbers])[:-1])):
             cells = np.bincount(part, minlength=SIDE * SIDE)
             used = np.flatnonzero(cells)
-            lefts.append(number // NEAR * SIDE + used // SIDE)
-            rights.append(number % NEAR * SIDE + used % SIDE)
+            pairs.append((number // NEAR * SIDE + used // SIDE + first) << 31 | number % NEAR * SIDE + used % SIDE + first)
             counts.append(cells[used])
         del cell, order
     del tile
     sparse = left[~inside].astype(np.int64) << 31
     sparse |= right[~inside]
     sparse.sort()
-    first = np.flatnonzero(np.diff(sparse, prepend=-1))
-    lefts.append(sparse[first] >> 31)
-    rights.append(sparse[first] & MOST_RANKS - 1)
-    counts.append(np.diff(first, append=len(sparse)))
-    return np.concatenate(lefts), np.concatenate(rights), np.concatenate(counts)
+    begin = np.flatnonzero(np.diff(sparse, prepend=-1))
+    pairs.append(sparse[begin])
+    counts.append(np.diff(begin, append=len(sparse)))
+    return np.concatenate(pairs), np.concatenate(counts)
 
 
 def pair_counts(ranked: DataFrame) -> DataFrame:
-    """(lang, left, right, f) of neighbouring ranks in the chunks of `codes`."""
+    """(pair, f) of neighbouring ranks in the chunks of `codes`; a pair is left * 2^31 + right."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
-                codes = np.frombuffer(batch.column(1)[at].as_buffer(), np.int32)
+                codes = unpacked(batch.column(0)[at])
                 both = (codes[:-1] >= 0) & (codes[1:] >= 0)
-                columns = count_pairs(codes[:-1][both], codes[1:][both])
-                for begin in range(0, len(columns[0]), SLICE):
-                    part = [pa.array(c[begin : begin + SLICE]) for c in columns]
-                    lang = pa.repeat(batch.column(0)[at], len(part[0]))
-                    yield pa.RecordBatch.from_arrays([lang, *part], names=["lang", "left", "right", "c"])
+                pairs, counts = count_pairs(codes[:-1][both], codes[1:][both])
+                for begin in range(0, len(pairs), SLICE):
+                    yield pa.RecordBatch.from_arrays([pa.array(c[begin : begin + SLICE]) for c in (pairs, counts)], names=["pair", "c"])
             pa.default_memory_pool().release_unused()
 
-    counted = ranked.select("lang", "codes").mapInArrow(run, "lang string, left long, right long, c long")
-    return counted.groupBy("lang", "left", "right").agg(F.sum("c").alias("f"))
+    return ranked.select("codes").mapInArrow(run, "pair long, c long").groupBy("pair").agg(F.sum("c").alias("f"))
 
 
-def bit_of(lang, left, right):
+def bit_of(pair):
     """Place of a pair in the bit table; the same for columns and for arrays."""
-    return (lang % 1021 * 65537 + left % 16777213 * 1000003 + right % 16777213 * 7919) % BIT_TABLE
+    return (pair % 1073741789 * 1000003 + pair % 16777213) % BIT_TABLE
 
 
 def bit_table(pairs: DataFrame) -> bytes:
-    """One bit for each place that some frequent pair has: at most 512 rows of 4 KB reach the driver."""
-    place = pairs.select(bit_of(F.crc32("lang"), F.col("left"), F.col("right")).alias("place"))
+    """One bit for each place that some frequent pair has: at most 513 rows of 4 KB reach the driver."""
+    place = pairs.select(bit_of(F.col("pair")).alias("place"))
     rows = place.groupBy(F.expr("bitmap_bucket_number(place)").alias("bucket")).agg(
         F.expr("bitmap_construct_agg(bitmap_bit_position(place))").alias("bits")
     )
@@ -258,29 +264,29 @@ def has_bit(table: np.ndarray, place: np.ndarray) -> np.ndarray:
 
 def chunked_pairs(ranked: DataFrame, pairs: DataFrame) -> DataFrame:
     """The chunks with their own numbers for the pair that starts at each place, and lists of those pairs."""
-    import zlib
-
     shared = ranked.sparkSession.sparkContext.broadcast(bit_table(pairs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(shared.value, np.uint8)
         for batch in batches:
             for at in range(batch.num_rows):
-                codes = np.frombuffer(batch.column(2)[at].as_buffer(), np.int32).astype(np.int64)
+                codes = unpacked(batch.column(1)[at])
                 left, right = codes[:-1], codes[1:]
                 asked = (left >= 0) & (right >= 0)
-                name = zlib.crc32(batch.column(1)[at].as_py().encode())
-                asked[asked] = has_bit(table, bit_of(name, left[asked], right[asked]))
-                keys, numbers = np.unique(left[asked] << 31 | right[asked], return_inverse=True)
+                keys = left[asked].astype(np.int64) << 31
+                keys |= right[asked]
+                admitted = has_bit(table, bit_of(keys))
+                asked[asked] = admitted
+                keys, numbers = np.unique(keys[admitted], return_inverse=True)
                 own = np.full(len(left), -1, np.int32)
                 own[asked] = numbers
-                lists = [pa.array([keys >> 31], pa.list_(pa.int64())), pa.array([keys & MOST_RANKS - 1], pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, 1), batch.column(1).slice(at, 1), pa.array([own.tobytes()], pa.binary()), *lists],
-                    names=["chunk", "lang", "codes", "lefts", "rights"],
+                    [batch.column(0).slice(at, 1), pa.array([packed(own)], pa.binary()), pa.array([keys], pa.list_(pa.int64()))],
+                    names=["chunk", "codes", "pairs"],
                 )
+            pa.default_memory_pool().release_unused()
 
-    return ranked.select("chunk", "lang", "codes").mapInArrow(run, "chunk long, lang string, codes binary, lefts array<long>, rights array<long>")
+    return ranked.select("chunk", "codes").mapInArrow(run, "chunk long, codes binary, pairs array<long>")
 
 
 # ---- phrases ----------------------------------------------------------------------------
@@ -320,31 +326,28 @@ def mine_phrases(
         words = items.groupBy("lang", "word").agg(F.sum("c").alias("f")).where(F.col("f") >= min_count)
         none = F.array().cast("array<long>")
         level = with_ranks(words, ["word"], stack).withColumns({"words": F.array("word"), "firsts": none, "lasts": none})
-        level = keep(level, "words")
-        ranked = ranked_chunks(chunks, items.drop("c"), level, ["word"], "ranked", stack)
+        ranked = ranked_chunks(chunks, items.drop("c"), level, ["lang", "word"], stack)
 
         found = []
         for length in range(2, max_words + 1):
-            frequent = with_ranks(pair_counts(ranked).where(F.col("f") >= min_count), ["left", "right"], stack)
-            part = lambda side, *names: level.select("lang", F.col("id").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in names])
-            joined = frequent.join(part("left", "words", "firsts", "f"), ["lang", "left"]).join(part("right", "words", "lasts", "f"), ["lang", "right"])
-            level = keep(
-                joined.select(
-                    "lang", "id", "left", "right", "f", F.concat("left_words", F.slice("right_words", -1, 1)).alias("words"),
-                    F.concat("left_firsts", F.array("left_f")).alias("firsts"), F.concat("right_lasts", F.array("right_f")).alias("lasts"),
-                ),
-                "pairs",
+            frequent = pair_counts(ranked).where(F.col("f") >= min_count)
+            left, right = F.shiftright("pair", 31), F.col("pair").bitwiseAND(F.lit(MOST_RANKS - 1))
+            one = level.select("lang", F.col("id").alias("left"), F.col("words").alias("head"), "firsts", F.col("f").alias("left_f"))
+            two = level.select(F.col("id").alias("right"), F.element_at("words", -1).alias("tail"), "lasts", F.col("f").alias("right_f"))
+            joined = frequent.withColumns({"left": left, "right": right}).join(one, "left").join(two, "right").select(
+                "lang", "pair", "left", "right", "f", F.concat("head", F.array("tail")).alias("words"),
+                F.concat("firsts", F.array("left_f")).alias("firsts"), F.concat("lasts", F.array("right_f")).alias("lasts"),
             )
+            level = with_ranks(joined, ["pair"], stack)
             if found:  # the phrases of the level before that a longer one holds
-                held = level.select("lang", "f", F.explode(F.array("left", "right")).alias("id")).groupBy("lang", "id").agg(F.max("f").alias("held_"))
-                before = found.pop().join(held, ["lang", "id"], "left")
+                held = level.select("f", F.explode(F.array("left", "right")).alias("id")).groupBy("id").agg(F.max("f").alias("held_"))
+                before = found.pop().join(held, "id", "left")
                 found.append(before.where(F.coalesce(100 * F.col("held_") < contained_percent * F.col("f"), F.lit(True))).drop("held_"))
-            found.append(level.withColumn("cut", lowest_cut(length)).select("lang", "id", F.array_join("words", " ").alias("phrase"), "f", "cut"))
+            found.append(level.withColumn("cut", lowest_cut(length)).select("id", "lang", F.array_join("words", " ").alias("phrase"), "f", "cut"))
             if length < max_words:
                 numbered = keep(chunked_pairs(ranked, level), "numbered")
-                listed = numbered.select("chunk", "lang", F.posexplode(F.arrays_zip("lefts", "rights")).alias("number", "pair"))
-                pairs = listed.select("chunk", "lang", "number", F.col("pair.lefts").alias("left"), F.col("pair.rights").alias("right"))
-                ranked = ranked_chunks(numbered, pairs, level, ["left", "right"], "ranked", stack)
+                pairs = numbered.select("chunk", F.posexplode("pairs").alias("number", "pair"))
+                ranked = ranked_chunks(numbered, pairs, level, ["pair"], stack)
 
         every = found[0]
         for more in found[1:]:
