@@ -3,19 +3,21 @@
 Each task tokenises its documents once and cuts off whole windows; what remains of each document goes to a pool.
 When the pool holds `pool_tokens` tokens, windows are filled from it: the longest remaining length opens a window,
 and a subset-sum dynamic program over the multiset of the other lengths, kept as the bits of one integer per
-length, looks for a sum that fills the window exactly; the counts are found by going back through the integers, and the
-same multiset fills as many windows as the counts allow. A length that leaves slack waits for more documents.
-
-Only lengths that cannot be combined without slack, or that are left at the end of a task, are cut: they are laid
-end to end and cut at window borders, and what is then left of the task, less than one window, at powers of two.
-So no sequence needs padding. Nothing is shuffled, no task holds more than its pool, one batch and one document,
-and a repeated task gives the same pieces, because sequences are numbered within the partition of the scan.
+length, finds the largest sum that still fits, so the window with the least slack; the counts are found by going back
+through the integers, and the same multiset fills as many windows as the counts allow. Slack that no length can
+fill is filled by the head of one more piece, the longest left, whose tail stays in the pool. So no window needs padding,
+and at most one piece per window is cut.
+
+What is left at the end of a task, less than one window and its pieces, is laid end to end and cut at powers of two.
+Nothing is shuffled, no task holds more than its pool, one batch and one document, and a repeated task gives the
+same pieces, because sequences are numbered within the partition of the scan.
 """
 
 from __future__ import annotations
 
 import unicodedata
-from collections import defaultdict
+from bisect import insort
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,48 +31,62 @@ from codeloom.llm.bpe import WORD_PATTERN, byte_symbols
 WINDOW = 2048
 END_ID = 1
 POOL_TOKENS = 1 << 21
-CACHE_WORDS = 1_000_000
+#: Bytes that each of a worker's two tables of seen texts may take, with an estimate for an entry besides its texts.
+CACHE_BYTES, ENTRY_BYTES = 32 << 20, 200
+#: Longer texts are not kept.
+KEPT_BYTES = 64
+
+
+class Seen(dict):
+    """What a function gave for the texts it has seen, as bytes; emptied when it holds CACHE_BYTES."""
+
+    def __init__(self, give):
+        super().__init__()
+        self.give, self.held = give, 0
+
+    def __missing__(self, text) -> bytes:
+        value = self.give(text)
+        if len(text) <= KEPT_BYTES:
+            if self.held >= CACHE_BYTES:
+                self.clear()
+                self.held = 0
+            self.held += ENTRY_BYTES + len(text) + len(value)
+            self[text] = value
+        return value
 
 
 class Ids:
     """Token ids of texts as little-endian unsigned 32-bit numbers, by the tokenizers library.
 
     ASCII white space ends every token of this vocabulary, so the chunks between it are encoded one by one, and words
-    of a chunk by the model of the tokenizer. `state` keeps what was seen for the worker's next task.
+    of a chunk by the model of the tokenizer.
     """
 
-    def __init__(self, state: dict):
+    def __init__(self, spec: str):
         import regex
         from tokenizers import Tokenizer
 
-        if "tokenizer" not in state:
-            state["tokenizer"] = Tokenizer.from_str(state["spec"])
-            state["tokenizer"].no_padding()
-            state["tokenizer"].no_truncation()
-        self.tokenizer, self.model = state["tokenizer"], state["tokenizer"].model
+        self.tokenizer = Tokenizer.from_str(spec)
+        self.tokenizer.no_padding()
+        self.tokenizer.no_truncation()
+        self.model = self.tokenizer.model
         self.find = regex.compile(WORD_PATTERN).findall
         self.symbols = byte_symbols()
-        owner = self
-
-        class Chunks(dict):
-            def __missing__(self, chunk: bytes) -> bytes:
-                if len(self) >= CACHE_WORDS:
-                    self.clear()
-                value = self[chunk] = owner.chunk(chunk.decode())
-                return value
-
-        class Words(dict):
-            def __missing__(self, word: str) -> bytes:
-                if len(self) >= CACHE_WORDS:
-                    self.clear()
-                text = word if word.isascii() and word.isprintable() else "".join([owner.symbols[b] for b in word.encode()])
-                value = self[word] = np.array([t.id for t in owner.model.tokenize(text)], "<u4").tobytes()
-                return value
-
-        self.known, self.words = Chunks(state.get("known", ())), Words(state.get("words", ()))
-        state["known"], state["words"] = self.known, self.words
-
-    def chunk(self, text: str) -> bytes:
+        self.known, self.words = Seen(self.chunk), Seen(self.word)
+
+    @staticmethod
+    def of_worker(state: dict) -> Ids:
+        """The one of this worker: `state` is a broadcast value, which the worker keeps for its next task."""
+        if "ids" not in state:
+            state["ids"] = Ids(state["spec"])
+        return state["ids"]
+
+    def word(self, word: str) -> bytes:
+        text = word if word.isascii() and word.isprintable() else "".join([self.symbols[b] for b in word.encode()])
+        return np.array([t.id for t in self.model.tokenize(text)], "<u4").tobytes()
+
+    def chunk(self, raw: bytes) -> bytes:
+        text = raw.decode()
         if "<|" in text:  # perhaps a special token
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if not text.isascii():
@@ -84,42 +100,66 @@ class Ids:
         return b"".join(map(self.known.__getitem__, raw.split())) if raw else b""
 
 
-def fill(counts: dict[int, int], window: int) -> Iterator[tuple[list[int], int]]:
-    """Multisets of lengths that fill a window exactly, each with the number of windows; counts keeps the rest.
-
-    A length whose best window has slack is left in counts.
+def closest(counts: dict[int, int], lengths: list[int], room: int) -> list[int]:
+    """The lengths, with repetition, whose sum is the largest that fits into `room`; `lengths` rises."""
+    everything = (1 << (room + 1)) - 1
+    reach, steps = 1, []  # bit s: a sum of s can be made
+    for length in reversed(lengths):
+        if reach >> room & 1:
+            break
+        left = counts.get(length, 0)
+        if length > room or not left:
+            continue
+        steps.append((length, reach))
+        most, take = min(left, room // length), 1
+        while most > 0:
+            take = min(take, most)
+            reach |= reach << (length * take) & everything
+            most, take = most - take, take * 2
+    best, chosen = reach.bit_length() - 1, []
+    for length, before in reversed(steps):
+        while not before >> best & 1:
+            best -= length
+            chosen.append(length)
+    return chosen
+
+
+def fill(counts: dict[int, int], window: int) -> Iterator[tuple[list[int], int, int]]:
+    """Multisets of lengths with the least slack in a window, a length to cut, and the number of such windows.
+
+    The head of a piece of the length to cut fills the slack, and `counts` gets its tail; it is 0 if there is no slack.
+    `counts` ends with less than a window.
     """
-    lengths = sorted(counts, reverse=True)
-    for longest in lengths:
-        while counts.get(longest):
-            room = window - longest
-            counts[longest] -= 1
-            reach, steps = 1, []  # bit s: a sum of s can be made
-            for length in lengths:
-                if reach >> room & 1:
-                    break
-                left = counts.get(length, 0)
-                if length > room or not left:
-                    continue
-                steps.append((length, reach))
-                most, take = min(left, room // length), 1
-                while most > 0:
-                    take = min(take, most)
-                    reach |= reach << (length * take) & (1 << (room + 1)) - 1
-                    most, take = most - take, take * 2
-            counts[longest] += 1
-            if not reach >> room & 1:
-                break  # slack; shorter lengths may still fill their own windows
-            chosen = [longest]
-            for length, before in reversed(steps):
-                while not before >> room & 1:
-                    room -= length
-                    chosen.append(length)
-            need = {length: chosen.count(length) for length in chosen}
-            times = min(counts[length] // n for length, n in need.items())
+    lengths = sorted(length for length, n in counts.items() if n)
+    while lengths:
+        longest = lengths[-1]
+        if not counts[longest]:
+            lengths.pop()
+            continue
+        counts[longest] -= 1
+        chosen = [longest, *closest(counts, lengths, window - longest)]
+        counts[longest] += 1
+        need, slack = Counter(chosen), window - sum(chosen)
+        times = min(counts[length] // n for length, n in need.items())
+        if not slack:
             for length, n in need.items():
                 counts[length] -= n * times
-            yield chosen, times
+            yield chosen, 0, times
+            continue
+        # No length left fits into the slack, so each is longer; the longest is cut.
+        for length, n in need.items():
+            counts[length] -= n
+        spare = next((length for length in reversed(lengths) if counts[length]), 0)
+        if not spare:  # less than a window is left
+            for length, n in need.items():
+                counts[length] += n
+            return
+        tail = spare - slack
+        if tail not in counts or not counts[tail] and tail not in lengths:
+            insort(lengths, tail)
+        counts[spare] -= 1
+        counts[tail] = counts.get(tail, 0) + 1
+        yield chosen, spare, 1
 
 
 class Packer:
@@ -143,41 +183,39 @@ class Packer:
 
     def pack(self) -> None:
         counts = {length: len(items) for length, items in self.pool.items() if items}
-        for chosen, times in fill(counts, self.window):
+        for chosen, spare, times in fill(counts, self.window):
             for _ in range(times):
                 offset = 0
                 for length in chosen:
                     row, start, ids = self.pool[length].pop()
                     self.out.append((row, start, ids, self.sequence, offset))
                     offset += length
+                if spare:
+                    row, start, ids = self.pool[spare].pop()
+                    slack = self.window - offset
+                    self.out.append((row, start, ids[: 4 * slack], self.sequence, offset))
+                    self.pool[spare - slack].append((row, start + slack, ids[4 * slack :]))
                 self.sequence += 1
                 self.held -= self.window
 
-    def cut(self, last: bool) -> None:
-        """Lay what is left end to end and cut it at window borders; at the very end also at powers of two."""
+    def finish(self) -> None:
+        """Lay what is left end to end and cut it at powers of two."""
+        self.pack()
         items = [item for length in sorted(self.pool, reverse=True) for item in self.pool[length]]
         self.pool.clear()
-        total = sum(len(ids) for _, _, ids in items) // 4
-        sizes = [self.window] * (total // self.window)
-        rest = total % self.window
-        sizes += [1 << bit for bit in range(rest.bit_length() - 1, -1, -1) if rest >> bit & 1] if last else []
-        at = offset = 0
+        sizes = [1 << bit for bit in range(self.held.bit_length() - 1, -1, -1) if self.held >> bit & 1]
+        at = offset = self.held = 0
         for row, start, ids in items:
-            while ids and at < len(sizes):
+            while ids:
                 piece = ids[: 4 * (sizes[at] - offset)]
                 self.out.append((row, start, piece, self.sequence, offset))
                 start, ids, offset = start + len(piece) // 4, ids[len(piece) :], offset + len(piece) // 4
                 if offset == sizes[at]:
                     at, offset, self.sequence = at + 1, 0, self.sequence + 1
-            if ids:
-                self.pool[len(ids) // 4].append((row, start, ids))
-        self.held = sum(length * len(items) for length, items in self.pool.items())
 
     def settle(self, pool_tokens: int) -> None:
         if self.held >= pool_tokens:
             self.pack()
-            if self.held >= pool_tokens // 2:
-                self.cut(last=False)
 
 
 def pack_documents(
@@ -199,8 +237,8 @@ def pack_documents(
     tail = np.array([end_id], dtype="<u4").tobytes()
 
     def pieces(out: list[tuple], key_type: pa.DataType) -> Iterator[pa.RecordBatch]:
-        for at in range(0, len(out), 2000):
-            part = out[at : at + 2000]
+        for at in range(0, len(out), 1000):
+            part = out[at : at + 1000]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([p[0][0] for p in part], key_type), pa.array([p[1] for p in part], pa.int64()),
@@ -213,7 +251,7 @@ def pack_documents(
         out.clear()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = Ids(spec.value)
+        ids_of = Ids.of_worker(spec.value)
         packer = Packer(window, TaskContext.get().partitionId() << 36)
         key_type = None
         for batch in batches:
@@ -222,11 +260,10 @@ def pack_documents(
                 ids = ids_of.of(raw.as_py())
                 packer.add((name, len(ids) // 4 + 1), ids + tail)
                 packer.settle(pool_tokens)
-                if len(packer.out) >= 4000:
+                if len(packer.out) >= 1000:
                     yield from pieces(packer.out, key_type)
         if key_type is not None:
-            packer.pack()
-            packer.cut(last=True)
+            packer.finish()
             yield from pieces(packer.out, key_type)
 
     return docs.select(F.col(key), F.col(text).cast("binary").alias("raw")).mapInArrow(run, schema)
