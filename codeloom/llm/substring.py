@@ -33,7 +33,9 @@ from codeloom.llm.shared import saved
 
 WINDOW = 20
 GRAM = 8
-CHUNK_WORDS = 3_000_000
+CHUNK_WORDS = 1_500_000
+#: Rows of a batch that leaves a chunk.
+SLICE = 10_000
 #: Words in the shard of a reference; 365 bytes each in an automaton.
 SHARD_WORDS = 200_000
 #: Cut references that are sent to every executor.
@@ -110,38 +112,51 @@ class Chunk:
             return
         sizes = np.array([len(self.hashes[i]) for i in order])
         h = np.concatenate([self.hashes[i] for i in order])
-        off = np.r_[0, np.cumsum(sizes)]
+        self.hashes.clear()
+        off = np.r_[0, np.cumsum(sizes)].astype(np.int32)
         width = self.window
         full = runs_hash(h, width)
-        doc = np.repeat(np.arange(len(keys)), sizes)
-        at = np.flatnonzero(doc[: len(full)] == doc[width - 1 :])  # windows that lie in one document
+        doc = np.repeat(np.arange(len(keys), dtype=np.int32), sizes)
+        at = np.flatnonzero(doc[: len(full)] == doc[width - 1 :]).astype(np.int32)  # windows that lie in one document
         full, doc = full[at], doc[at]
         begin = at - off[doc]
         anchor = smallest(runs_hash(h, self.gram), width - self.gram + 1)[at]
-        by_hash = np.argsort(full, kind="stable")
-        new = np.r_[True, full[by_hash][1:] != full[by_hash][:-1]]
-        first = np.empty(len(full), np.int64)
+        del h, at
+        by_hash = np.argsort(full, kind="stable").astype(np.int32)
+        full = full[by_hash]
+        new = np.r_[True, full[1:] != full[:-1]]
+        del full
+        first = np.empty(len(by_hash), np.int32)
         first[by_hash] = by_hash[new][np.cumsum(new) - 1]
-        is_first = first == np.arange(len(full))
+        del by_hash, new
+        is_first = first == np.arange(len(first), dtype=np.int32)
         twin = np.array([i and keys[i] == keys[i - 1] for i in range(len(keys))], bool)
         if twin.any():  # rows equal in key and text are one document
             same = np.cumsum(~twin)
             repeat = ~is_first & ((same[doc] != same[doc[first]]) | (begin != begin[first]))
         else:
             repeat = ~is_first
+        del first
         # Stretches of windows with one anchor, as far as they are new in this chunk.
         a, d, s = anchor[is_first], doc[is_first], begin[is_first]
+        hit = np.flatnonzero(repeat)
+        doc, begin = doc[hit], begin[hit]
+        del anchor, is_first, repeat, hit
         if len(a):
             edge = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (d[1:] != d[:-1])])
             last = np.r_[edge[1:], len(a)] - 1
-            yield self.batch(a[edge].view(np.int64), [keys[i] for i in d[edge]], s[edge], s[last], None)
-        hit = np.flatnonzero(repeat)
-        if len(hit):
-            edge = np.flatnonzero(np.r_[True, np.diff(doc[hit]) > 0])
-            ends = np.r_[edge[1:], len(hit)]
-            spans = [ranges_of(begin[hit[i:j]], width).tobytes() for i, j in zip(edge, ends)]
-            nothing = np.full(len(spans), -1)
-            yield self.batch(None, [keys[i] for i in doc[hit[edge]]], nothing, nothing, spans)
+            a, d, s, last = a[edge].view(np.int64), d[edge], s[edge], s[last]
+            for i in range(0, len(a), SLICE):
+                part = slice(i, i + SLICE)
+                yield self.batch(a[part], [keys[j] for j in d[part]], s[part], last[part], None)
+        del a, d, s
+        if len(doc):
+            edge = np.flatnonzero(np.r_[True, np.diff(doc) > 0])
+            ends = np.r_[edge[1:], len(doc)]
+            for i in range(0, len(edge), SLICE):
+                spans = [ranges_of(begin[b:e], width).tobytes() for b, e in zip(edge[i : i + SLICE], ends[i : i + SLICE])]
+                nothing = np.full(len(spans), -1)
+                yield self.batch(None, [keys[j] for j in doc[edge[i : i + SLICE]]], nothing, nothing, spans)
 
     def batch(self, anchors, keys, begins, ends, spans) -> pa.RecordBatch:
         n = len(keys)
@@ -262,6 +277,7 @@ def scan_chunks(rows: DataFrame, window: int, gram: int, chunk_words: int) -> Da
                     yield from chunk.rows()
                     number += 1
                     chunk = Chunk(number, window, gram)
+                    pa.default_memory_pool().release_unused()
         yield from chunk.rows()
 
     return saved(
@@ -401,9 +417,9 @@ def dedup_documents(
     A word goes if it lies in a window whose words also start earlier: in a document with a smaller key (a null key
     is the largest, equal keys go by a hash of the text) or earlier in the same one. Rows equal in key and text are
     one document and lose the same words. A null text stays null and has no words; texts shorter than a window stay
-    as they are. Other columns pass through; `n_words` and `n_removed` must not be among them.
+    as they are. Other columns pass through, whatever their names, but the new counts replace columns of their names.
     """
-    names = docs.columns
+    names = [c for c in docs.columns if c not in ("n_words", "n_removed")]
     rows = docs.select(*identity(key, text), F.col(text).cast("binary").alias("raw"), F.struct(*[F.col(f"`{c}`") for c in names if c != text]).alias("row"))
     spans = find_spans(rows, window, gram, chunk_words, shard_words)
     per_doc = spans.groupBy("doc", "sum").agg(F.collect_list("spans").alias("all_spans"))
