@@ -25,6 +25,7 @@ from codeloom.sources.tables import (
     save_artifact,
 )
 from codeloom.streaming.ingest import ingest, read_batches
+from codeloom.streaming.state import PROVIDER, ROCKSDB, ingest_by_state
 from codeloom.workload.relational import hashed, register, rounded
 from codeloom.workload.views import (
     DAMAGED_SQL,
@@ -432,28 +433,50 @@ def file_counts(spark, sf):
     )
 
 
-@register(
-    "stream_slots",
-    with_sql(*residual_sql(), CODED_SQL)
-    + """SELECT c1, c2, count(*) AS members, count(*) AS slots, 0 AS first_slot, CAST(count(*) - 1 AS INT) AS last_slot, CAST(sum(product_id) AS BIGINT) AS ids
-    FROM coded GROUP BY c1, c2""",
-)
-def stream_slots(spark, sf):
-    """Slots per tuple after all rows were delivered as a stream, file by file in any order, through the frozen codebooks.
+STREAM_SQL = with_sql(*residual_sql(), CODED_SQL) + """
+    SELECT c1, c2, count(*) AS members, count(*) AS slots, 0 AS first_slot, CAST(count(*) - 1 AS INT) AS last_slot, CAST(sum(product_id) AS BIGINT) AS ids
+    FROM coded GROUP BY c1, c2"""
 
-    Which member has which slot depends on the order of arrival; that the slots of a tuple are 0 to n - 1 does not.
-    """
+
+def arrivals(spark: SparkSession, sf: str) -> DataFrame:
+    """All rows as a stream of files."""
     rows = damaged_vectors(spark, sf).select(PRODUCT_ID, EMBEDDING)
     low, high = rows.agg(F.min(PRODUCT_ID), F.max(PRODUCT_ID)).first()
     cuts = [low, low + (high - low) // 3, low + 2 * (high - low) // 3, high + 1]
-    arrivals, out = new_table_path(spark, "arrivals"), new_table_path(spark, "slots")
+    path = new_table_path(spark, "arrivals")
     for start, end in zip(cuts, cuts[1:]):
         part = rows.where((F.col(PRODUCT_ID) >= start) & (F.col(PRODUCT_ID) < end))
-        part.write.mode("append").parquet(arrivals)
-    source = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(arrivals)
-    query = ingest(source, seeded_model(spark, sf), DIM, out, new_table_path(spark, "progress"))
-    query.trigger(availableNow=True).start().awaitTermination()
-    return read_batches(spark, out, DEPTH).groupBy(*CODES).agg(
+        part.write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def slot_summary(slots: DataFrame) -> DataFrame:
+    return slots.groupBy(*CODES).agg(
         F.count(F.lit(1)).alias("members"), F.countDistinct("dedup").alias("slots"), F.min("dedup").alias("first_slot"),
         F.max("dedup").alias("last_slot"), F.sum(PRODUCT_ID).alias("ids"),
     )
+
+
+@register("stream_slots", STREAM_SQL)
+def stream_slots(spark, sf):
+    """Slots per tuple after all rows were delivered as a stream, file by file in any order, through the frozen codebooks.
+
+    Which member has which slot depends on the order of arrival; that the slots of a tuple are 0 to n - 1 does not.
+    """
+    out = new_table_path(spark, "slots")
+    query = ingest(arrivals(spark, sf), seeded_model(spark, sf), DIM, out, new_table_path(spark, "progress"))
+    query.trigger(availableNow=True).start().awaitTermination()
+    return slot_summary(read_batches(spark, out, DEPTH))
+
+
+@register("stream_state_slots", STREAM_SQL)
+def stream_state_slots(spark, sf):
+    """The same with the seen ids and the next slots as streaming state."""
+    out, before = new_table_path(spark, "slots"), spark.conf.get(PROVIDER)
+    spark.conf.set(PROVIDER, ROCKSDB)
+    try:
+        query = ingest_by_state(arrivals(spark, sf), seeded_model(spark, sf), DIM, out, new_table_path(spark, "progress"))
+        query.trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(PROVIDER, before)
+    return slot_summary(spark.read.parquet(out))

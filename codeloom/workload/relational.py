@@ -18,6 +18,7 @@ from codeloom.plans import sweep as sw
 from codeloom.session import new_table_path, stored
 from codeloom.sources.catalog import read_assignments
 from codeloom.sources.tables import code_filter, full_mapping, publish_assignment, write_csv
+from codeloom.streaming.buckets import SlotTable
 from codeloom.streaming.ingest import append_slots
 from codeloom.workload.views import (
     CATALOG_SQL,
@@ -705,6 +706,28 @@ def appended(spark, sf):
     return append_slots(codes.select(PRODUCT_ID, "c1", "c2"), published, ["c1", "c2"])
 
 
+@register(
+    "bucketed_slots",
+    with_sql(
+        LINES_SQL,
+        f"first AS (SELECT product_id, c1, c2, CAST({SLOT.replace(', c3', '')} AS INT) AS dedup FROM big WHERE c3 <= 2)",
+        f"second AS (SELECT product_id, c1, c2, {SLOT.replace(', c3', '')} + coalesce((SELECT count(*) FROM first f WHERE f.c1 = b.c1 AND f.c2 = b.c2), 0) AS dedup "
+        "FROM big b WHERE c3 IN (3, 4))",
+        f"third AS (SELECT product_id, c1, c2, {SLOT.replace(', c3', '')} + coalesce((SELECT count(*) FROM big f WHERE f.c3 <= 4 AND f.c1 = b.c1 AND f.c2 = b.c2), 0) AS dedup "
+        "FROM big b WHERE c3 > 4)",
+    )
+    + """SELECT product_id, c1, c2, CAST(dedup AS INT) AS dedup
+      FROM (SELECT * FROM first UNION ALL SELECT * FROM second UNION ALL SELECT * FROM third)""",
+)
+def bucketed_slots(spark, sf):
+    """Three batches into a table of hash buckets, the last one with everything once more, merged after each second batch."""
+    codes = lines(spark, sf).select(PRODUCT_ID, "c1", "c2", "c3")
+    slots = SlotTable(spark, new_table_path(spark, "slot-table"), ["c1", "c2"], buckets=16, fan=2)
+    for number, part in enumerate([codes.where("c3 <= 2"), codes.where("c3 in (3, 4)"), codes]):
+        slots.append(part, number)
+    return slots.read()
+
+
 # ---- sweep and versions -----------------------------------------------------------------
 
 GRID_SQL = "grid AS (SELECT * FROM (VALUES (256), (512), (1024)) AS w(W), (VALUES (3), (4)) AS l(L))"
