@@ -13,6 +13,7 @@ HOT_MARKET = "is_hot_market"
 LAUNCH_AGE = "launch_age_bucket"
 DEDUP = "dedup"
 ID_STRING = "code_id"
+PREFIX_KEY = "prefix_key"
 SET_VERSION = "embedding_set_version"
 ID_VERSION = "code_version"
 INPUT_COLUMNS = ["product_id", "content_embedding", "league", "team", "is_hot_market"]
@@ -50,6 +51,6 @@ def check_mapping(columns: list[str]) -> list[str]:
 
 
 def metadata_columns(columns: list[str]) -> list[str]:
-    """Everything that is neither key, code, slot nor id string, in table order."""
-    own = {PRODUCT_ID, DEDUP, ID_STRING, *discover_levels(columns)}
+    """Everything that is neither key, code, slot, id string nor packed key, in table order."""
+    own = {PRODUCT_ID, DEDUP, ID_STRING, PREFIX_KEY, *discover_levels(columns)}
     return [name for name in columns if name not in own]

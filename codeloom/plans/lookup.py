@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +27,7 @@ from codeloom.functions.scalars import (
     token_numbers,
 )
 from codeloom.operators.ranking import first_in_group, ranked
+from codeloom.sources.prefixes import PrefixLayout
 
 # Request tables up to this many rows are sent to every task; they are counted first.
 REQUEST_ROWS = 100_000
@@ -90,59 +89,68 @@ def parse_queries(queries: DataFrame, num_levels: int, column: str = "query") ->
 
 
 def prefix_matches(
-    mapping: DataFrame, asked: DataFrame, levels: list[str], counts: list[int] | None = None, small: bool = False
+    mapping: DataFrame, asked: DataFrame, levels: list[str], counts: list[int], keep: list[str], small: bool = False,
+    layout: PrefixLayout | None = None,
 ) -> DataFrame:
-    """(token_key, product_id) for every match: one equi-join per token count in `counts`."""
+    """token_key and the columns `keep` of every match, for queries with the token counts `counts`.
+
+    One scan: a row is compared by its prefixes of all asked lengths. With a layout the prefixes are parts of the packed
+    key, and a small table of requests also limits the scan to the ranges it asks for.
+    """
     columns = [*levels, DEDUP]
-    codes = mapping.select(PRODUCT_ID, *columns)
-    parts = []
-    for count in counts or range(1, len(columns) + 1):
-        short = asked.where(F.size("tokens") == count).select(
-            "token_key", *[F.col("tokens")[i].alias(f"t{i}") for i in range(count)]
-        )
-        same = reduce(
-            lambda a, b: a & b,
-            [codes[name].cast("long") == short[f"t{i}"] for i, name in enumerate(columns[:count])],
-        )
-        parts.append(codes.join(hinted(short, small), same).select("token_key", PRODUCT_ID))
-    return reduce(DataFrame.unionByName, parts)
+    counts = counts or [1]
+    if layout is None:
+        codes = F.array(*[F.col(c).cast("long") for c in columns])
+        parts = {k: F.slice(codes, 1, k) for k in counts}
+        wanted = F.col("tokens")
+    else:
+        parts = {k: layout.prefix(k) for k in counts}
+        wanted = F.coalesce(*[F.when(F.size("tokens") == k, layout.value("tokens", k)) for k in counts])
+    short = asked.select("token_key", F.size("tokens").alias("count_"), wanted.alias("part_")).where("part_ is not null")
+    if layout is not None and small:
+        ends = [F.when(F.col("count_") == k, F.shiftleft(F.col("part_") + more, layout.below(k)) - more) for more in (0, 1) for k in counts]
+        low, high = F.coalesce(*ends[: len(counts)]), F.coalesce(*ends[len(counts) :])
+        mapping = mapping.where(layout.inside([tuple(r) for r in short.select(low, high).distinct().collect()]))
+    prefixes = F.explode(F.array(*[F.struct(F.lit(k).alias("count_"), part.alias("part_")) for k, part in parts.items()]))
+    rows = mapping.select(*keep, prefixes.alias("prefix_")).select(*keep, "prefix_.count_", "prefix_.part_")
+    return rows.join(hinted(short, small), ["count_", "part_"]).select("token_key", *keep)
 
 
 def by_prefix(
-    queries: DataFrame, mapping: DataFrame, limit: int = 1000, query_id: str = "query_id", column: str = "query"
+    queries: DataFrame, mapping: DataFrame, limit: int = 1000, query_id: str = "query_id", column: str = "query",
+    layout: PrefixLayout | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Products under a code prefix, for a table of queries.
 
     Returns (summary, rows). Summary: one row per query with total, truncated flag, matched levels and
     error. Rows: the first `limit` products of each query by id, with metadata. The totals count all
-    matches. Equal queries are answered once; metadata is read for the returned rows only.
+    matches. Equal queries are answered once; each of the two reads the mapping once. `layout` belongs to a mapping
+    that `sources.prefixes` has stored sorted.
     """
     levels = check_mapping(mapping.columns)
     parsed = parse_queries(queries, len(levels), column)
     asked = parsed.where(F.col("error").isNull()).select("token_key", "tokens").distinct()
     # At most L + 1 rows: how many different queries there are of each token count.
     found = {row["k"]: row["count"] for row in asked.groupBy(F.size("tokens").alias("k")).count().collect()}
-    distinct = sum(found.values())
-    matches = prefix_matches(mapping, asked, levels, sorted(found), distinct <= REQUEST_ROWS)
+    meta = metadata_columns(mapping.columns)
+    matches = prefix_matches(mapping, asked, levels, sorted(found), [PRODUCT_ID, *meta], sum(found.values()) <= REQUEST_ROWS, layout)
     totals = matches.groupBy("token_key").agg(F.count(F.lit(1)).alias("matched"))
-    usable = F.col("error").isNull()
+    size = F.size("tokens")
     total = F.coalesce("matched", F.lit(0)).cast("long")
-    size = F.coalesce(F.size("tokens"), F.lit(0))
-    summary = parsed.join(totals, "token_key", "left").select(
-        query_id, column,
-        F.when(usable, F.least(size, F.lit(len(levels)))).otherwise(0).alias("matched_levels"),
-        (usable & (size == len(levels) + 1)).alias("is_exact"),
-        total.alias("total_count"),
-        (total > limit).alias("truncated"),
-        "error",
+    usable = parsed.where(F.col("error").isNull()).join(totals, "token_key", "left").select(
+        query_id, column, F.least(size, F.lit(len(levels))).alias("matched_levels"), (size == len(levels) + 1).alias("is_exact"),
+        total.alias("total_count"), (total > limit).alias("truncated"), "error",
+    )
+    # Not in the join: they have no key, so they would all meet in one task.
+    unusable = parsed.where(F.col("error").isNotNull()).select(
+        query_id, column, F.lit(0).alias("matched_levels"), F.lit(False).alias("is_exact"),
+        F.lit(0).cast("long").alias("total_count"), F.lit(False).alias("truncated"), "error",
     )
     first = first_in_group(matches, ["token_key"], [PRODUCT_ID], limit)
-    meta = metadata_columns(mapping.columns)
-    detailed = mapping.select(PRODUCT_ID, *meta).join(hinted(first, distinct * limit <= REQUEST_ROWS), PRODUCT_ID)
-    rows = parsed.where(usable).select(query_id, "token_key").join(detailed, "token_key").select(
+    rows = parsed.where(F.col("error").isNull()).select(query_id, "token_key").join(first, "token_key").select(
         query_id, F.col("rank").cast("int").alias("rank"), PRODUCT_ID, *meta
     )
-    return summary, rows
+    return usable.unionByName(unusable), rows
 
 
 def tuple_mates(ids: DataFrame, mapping: DataFrame, limit: int | None = None, id_column: str = PRODUCT_ID) -> DataFrame:

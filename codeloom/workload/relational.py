@@ -17,6 +17,7 @@ from codeloom.plans import quality as ql
 from codeloom.plans import sweep as sw
 from codeloom.session import new_table_path, stored
 from codeloom.sources.catalog import read_assignments
+from codeloom.sources.prefixes import read_prefix_table, write_prefix_table
 from codeloom.sources.tables import code_filter, full_mapping, publish_assignment, write_csv
 from codeloom.streaming.buckets import SlotTable
 from codeloom.streaming.ingest import append_slots
@@ -559,30 +560,50 @@ def parse_queries(spark, sf):
     )
 
 
-@register(
-    "prefix_summary",
+SUMMARY_SQL = (
     with_sql(CATALOG_SQL, MAPPING_SQL, *PARSED_SQL, MATCH_SQL)
     + f"""SELECT q.query_id, q.query, CAST(CASE WHEN q.error IS NULL THEN least(len(q.tokens), 3) ELSE 0 END AS INT) AS matched_levels,
       coalesce(q.error IS NULL AND len(q.tokens) = 4, false) AS is_exact, count(m.product_id) AS total_count,
       count(m.product_id) > {LIMIT} AS truncated, q.error
-      FROM parsed q LEFT JOIN matches m USING (query_id) GROUP BY ALL""",
+      FROM parsed q LEFT JOIN matches m USING (query_id) GROUP BY ALL"""
 )
-def prefix_summary(spark, sf):
-    return lk.by_prefix(asked_queries(spark, sf), mapping(spark, sf), LIMIT)[0]
-
-
-@register(
-    "prefix_rows",
+ROWS_SQL = (
     with_sql(CATALOG_SQL, MAPPING_SQL, *PARSED_SQL, MATCH_SQL)
     + f"""SELECT query_id, CAST(rank AS INT) AS rank, product_id, c.team, c.product_name FROM
       (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY product_id) AS rank FROM matches)
-      JOIN cat c USING (product_id) WHERE rank <= {LIMIT}""",
+      JOIN cat c USING (product_id) WHERE rank <= {LIMIT}"""
 )
+
+
+@register("prefix_summary", SUMMARY_SQL)
+def prefix_summary(spark, sf):
+    return lk.by_prefix(asked_queries(spark, sf), mapping(spark, sf), LIMIT)[0]
+
+
+@register("prefix_rows", ROWS_SQL)
 def prefix_rows(spark, sf):
     rows = lk.by_prefix(asked_queries(spark, sf), mapping(spark, sf), LIMIT)[1]
     return rows.select("query_id", "rank", PRODUCT_ID, "team", "product_name")
 
 
+def sorted_answers(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    path = new_table_path(spark, "prefixes")
+    write_prefix_table(mapping(spark, sf), path)
+    rows, layout = read_prefix_table(spark, path)
+    return lk.by_prefix(asked_queries(spark, sf), rows, LIMIT, layout=layout)
+
+
+@register("prefix_range_summary", SUMMARY_SQL)
+def prefix_range_summary(spark, sf):
+    """The same on a mapping stored sorted by its packed key."""
+    return sorted_answers(spark, sf)[0]
+
+
+@register("prefix_range_rows", ROWS_SQL)
+def prefix_range_rows(spark, sf):
+    return sorted_answers(spark, sf)[1].select("query_id", "rank", PRODUCT_ID, "team", "product_name")
+
+
 @register(
     "lookup",
     with_sql(CATALOG_SQL, MAPPING_SQL, "asked AS (SELECT DISTINCT o_custkey * 3 AS product_id FROM orders)")

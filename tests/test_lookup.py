@@ -1,7 +1,9 @@
 import pytest
 
 from codeloom.plans import lookup as L
+from codeloom.session import new_table_path
 from codeloom.sources.catalog import synthetic_catalog
+from codeloom.sources.prefixes import PrefixLayout, covered, read_prefix_table, write_prefix_table
 from codeloom.sources.tables import code_filter, full_mapping
 
 
@@ -65,6 +67,50 @@ def test_equal_queries_get_equal_answers(spark, mapping):
     assert {r.brand for r in rows.where("query_id = 1").collect()} == {"Alpha", "Beta"}
 
 
+@pytest.fixture(scope="module")
+def stored(spark, mapping):
+    path = new_table_path(spark, "prefixes")
+    write_prefix_table(mapping.repartition(3), path)
+    return read_prefix_table(spark, path)
+
+
+@pytest.mark.parametrize("text", ["1", "1-1", "1-1-1", "1-1-1-1", "11", "2-9-9-0", "77", "99999999999999999999", "16", "3-3-3-9", "x"])
+def test_stored_ranges_answer_alike(spark, mapping, stored, text):
+    rows, layout = stored
+    queries = spark.createDataFrame([(1, text), (2, "5")], "query_id int, query string")
+    for plain, ranged in zip(L.by_prefix(queries, mapping, 2), L.by_prefix(queries, rows, 2, layout=layout)):
+        assert plain.columns == ranged.columns
+        assert sorted(map(tuple, plain.collect()), key=repr) == sorted(map(tuple, ranged.collect()), key=repr)
+
+
+def test_one_pruned_scan(spark, stored, capsys):
+    rows, layout = stored
+    queries = spark.createDataFrame([(1, "1-1"), (2, "3"), (3, "2-9-9-1")], "query_id int, query string")
+    for answer in L.by_prefix(queries, rows, 5, layout=layout):
+        answer.explain("formatted")
+        plan = capsys.readouterr().out
+        scans = [part for part in plan.split("\n\n") if "Scan parquet" in part and "ReadSchema" in part]
+        assert len(scans) == 1 and "GreaterThanOrEqual(prefix_key" in scans[0] and "LessThanOrEqual(prefix_key" in scans[0]
+
+
+def test_keys_keep_the_order_of_the_codes(spark, stored):
+    rows, layout = stored
+    assert layout.bits == (4, 4, 4, 2)
+    by_key = [tuple(r) for r in rows.orderBy("prefix_key").select("c1", "c2", "c3", "dedup").collect()]
+    assert by_key == sorted(by_key)
+    with pytest.raises(ValueError, match="63"):
+        PrefixLayout((32, 32))
+    with pytest.raises(ValueError, match="negative"):
+        write_prefix_table(spark.createDataFrame([(1, -1, 0)], "product_id long, c1 int, dedup int"), "unused")
+
+
+def test_cover_of_intervals():
+    assert covered([], 3) == []
+    assert covered([(5, 6), (1, 2), (3, 3), (10, 10)], 5) == [(1, 3), (5, 6), (10, 10)]
+    assert covered([(1, 1), (3, 3), (10, 10), (30, 40), (35, 50)], 2) == [(1, 10), (30, 50)]
+    assert covered([(1, 1), (100, 100)], 1) == [(1, 100)]
+
+
 def test_tuple_mates(spark, mapping):
     asked = spark.createDataFrame([(8,), (4,)], "product_id long")
     for limit, want in ((None, {8: {7, 8, 9}, 4: {4}}), (2, {8: {7, 8}, 4: {4}})):
