@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -139,38 +140,95 @@ def add_sample_weight(
     return flagged.withColumn("sample_weight", bucket * market).drop("is_hot_bucket")
 
 
-def poisson_draw(rate: Column, uniform: Column) -> Column:
-    """Inverse Poisson CDF: how many copies a uniform number in [0, 1) stands for."""
-    # In logarithms: exp(-rate) is 0 from a rate of about 745 on.
-    start = F.struct(
-        (-rate).alias("log_mass"), F.exp(-rate).alias("below"), F.lit(0).alias("copies")
-    )
+#: Rates from here on are drawn by rejection, smaller ones by the inverse distribution.
+LARGE_RATE = 10.0
+#: Trials of a draw; each is accepted with a probability above 0.85, so all fail once in 10^19 draws.
+TRIALS = 24
+
+
+def small_poisson(rate: Column, uniform: Column) -> Column:
+    """Inverse Poisson distribution, summed up from 0: at most 60 steps below LARGE_RATE."""
+    start = F.struct(F.exp(-rate).alias("mass"), F.exp(-rate).alias("below"), F.lit(0).cast("long").alias("copies"))
     reach = F.ceil(rate + 12.0 * F.sqrt(rate) + 12.0).cast("int")
 
     def step(state: Column, i: Column) -> Column:
-        log_mass = state["log_mass"] + F.log(rate) - F.log(i.cast("double"))
+        mass = state["mass"] * rate / i.cast("double")
         return F.struct(
-            log_mass.alias("log_mass"),
-            (state["below"] + F.exp(log_mass)).alias("below"),
-            (state["copies"] + (uniform >= state["below"]).cast("int")).alias("copies"),
+            mass.alias("mass"), (state["below"] + mass).alias("below"),
+            (state["copies"] + (uniform >= state["below"]).cast("long")).alias("copies"),
         )
 
-    drawn = F.aggregate(F.sequence(F.lit(1), reach), start, step, lambda state: state["copies"])
-    return F.when(rate > 0, drawn).otherwise(0)
+    return F.aggregate(F.sequence(F.lit(1), reach), start, step, lambda state: state["copies"])
+
+
+def log_factorial(k: Column) -> Column:
+    """Exact up to 20, beyond that by Stirling's series with three terms (error below 10^-12)."""
+    x = k.cast("double") + 1.0
+    series = (x - 0.5) * F.log(x) - x + 0.5 * math.log(2 * math.pi) + 1.0 / (12.0 * x) - 1.0 / (360.0 * x * x * x) + 1.0 / (1260.0 * F.pow(x, F.lit(5.0)))
+    return F.when(k <= 20, F.log(F.factorial(k.cast("int")).cast("double"))).otherwise(series)
+
+
+def large_poisson(rate: Column, uniform: Callable[[Column, str], Column]) -> Column:
+    """A Poisson draw by transformed rejection with squeeze, in constant time for any rate from LARGE_RATE on.
+
+    `uniform(trial, name)` gives the numbers of a trial in (0, 1). The first accepted trial counts.
+    """
+    # Fixed values of the published method (W. Hoermann, 1993).
+    b = 0.931 + 2.53 * F.sqrt(rate)
+    a = -0.059 + 0.02483 * b
+    inverse_alpha = 1.1239 + 1.1328 / (b - 3.4)
+    squeeze = 0.9277 - 3.6224 / (b - 2.0)
+
+    def trial(number: Column) -> Column:
+        def judge(p: Column) -> Column:
+            u, v = p["u"] - 0.5, p["v"]
+            us = 0.5 - F.abs(u)
+            k = F.floor((2.0 * p["a"] / us + p["b"]) * u + rate + 0.43)
+            exact = F.log(v * p["inverse_alpha"] / (p["a"] / (us * us) + p["b"])) <= k * F.log(rate) - rate - log_factorial(k)
+            taken = (us >= 0.07) & (v <= p["squeeze"]) | (k >= 0) & ~((us < 0.013) & (v > us)) & exact
+            return F.when(taken, k)
+
+        # An array of one, so that the numbers are computed once.
+        numbers = F.struct(
+            uniform(number, "u").alias("u"), uniform(number, "v").alias("v"), a.alias("a"), b.alias("b"),
+            inverse_alpha.alias("inverse_alpha"), squeeze.alias("squeeze"),
+        )
+        return F.transform(F.array(numbers), judge)[0]
+
+    found = F.aggregate(
+        F.sequence(F.lit(0), F.lit(TRIALS - 1)), F.lit(None).cast("long"),
+        lambda state, number: F.when(state.isNotNull(), state).otherwise(trial(number)),
+    )
+    return F.coalesce(found, F.floor(rate))
 
 
 def resample_copies(
     df: DataFrame, rows: float, total_weight: float, *seed: object,
     weight: str = "sample_weight", key: str = PRODUCT_ID,
 ) -> DataFrame:
-    """Weighted draws with replacement as Poisson copies; the total is `rows` in expectation."""
+    """Weighted draws with replacement as Poisson copies; the total is `rows` in expectation.
+
+    The time for a row does not depend on its rate. `copies` is a LONG.
+    """
     rate = F.col(weight).cast("double") * F.lit(float(rows) / float(total_weight))
-    bound = df.withColumn("rate_", rate).withColumn("uniform_", seeded_uniform(key, *seed))
-    # Bind both numbers once per row; a plain reference would be evaluated again in every step.
+    bound = df.withColumn("rate_", rate).withColumn("uniform_", seeded_uniform(key, *seed)).withColumn("key_", F.col(key).cast("string"))
+    tail = "".join(f":{part}" for part in seed)
+
+    def uniform(p: Column):
+        def of(trial: Column, name: str) -> Column:
+            mixed = F.md5(F.concat(p["key_"], F.lit(tail + ":"), trial.cast("string"), F.lit(f":{name}")))
+            return (leading_bits(mixed, 13).cast("double") + 0.5) / F.lit(float(16**13))
+
+        return of
+
+    # Bind the numbers once per row; a plain reference would be evaluated again in every step.
     draw = F.transform(
-        F.array(F.struct("rate_", "uniform_")), lambda p: poisson_draw(p["rate_"], p["uniform_"])
+        F.array(F.struct("rate_", "uniform_", "key_")),
+        lambda p: F.when(p["rate_"] >= LARGE_RATE, large_poisson(p["rate_"], uniform(p)))
+        .when(p["rate_"] > 0, small_poisson(p["rate_"], p["uniform_"]))
+        .otherwise(F.lit(0).cast("long")),
     )[0]
-    return bound.withColumn("copies", draw).drop("rate_", "uniform_")
+    return bound.withColumn("copies", draw).drop("rate_", "uniform_", "key_")
 
 
 def thin(df: DataFrame, fraction: float, *seed: object, key: str = PRODUCT_ID) -> DataFrame:

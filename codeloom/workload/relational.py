@@ -133,27 +133,53 @@ def sample_weights(spark, sf):
 RAISED = "sample_weight * CASE WHEN product_id = 7 THEN CAST(100000000 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END"
 
 
-@register(
-    "resample_copies",
-    with_sql(
+def drawn_sql(weight: str, rows: str) -> str:
+    """Poisson copies in SQL: the distribution summed up below a rate of 10, the first accepted trial from there on."""
+    number = lambda text: f"(CAST(CAST(('0x' || substr({text}, 1, 13)) AS BIGINT) AS DOUBLE) + {{half}}) / {float(16**13)}"
+    trial = lambda name: number(f"md5(concat(CAST(product_id AS VARCHAR), ':42:0:', CAST(t AS VARCHAR), ':{name}'))").format(half=0.5)
+    return with_sql(
         CATALOG_SQL, HOT_SQL, WEIGHT_SQL,
-        f"raised AS (SELECT product_id, {RAISED} AS sample_weight FROM weighted)",
+        f"raised AS (SELECT product_id, {weight} AS sample_weight FROM weighted)",
         "totals AS (SELECT CAST(count(*) AS DOUBLE) AS n, sum(sample_weight) AS w FROM raised)",
-        f"""rates AS MATERIALIZED (SELECT product_id, sample_weight, sample_weight * (n / w) AS rate,
-          CAST(CAST(('0x' || substr({hashed('product_id', 42, 0)}, 1, 13)) AS BIGINT) AS DOUBLE) / {float(16**13)} AS u
-          FROM raised, totals)""",
-        "distinct_rates AS (SELECT DISTINCT rate FROM rates)",
+        f"""rates AS MATERIALIZED (SELECT product_id, sample_weight, sample_weight * ({rows} / w) AS rate,
+          {number(hashed('product_id', 42, 0)).format(half=0.0)} AS u FROM raised, totals)""",
+        "distinct_rates AS (SELECT DISTINCT rate FROM rates WHERE rate < 10)",
         """cdf AS MATERIALIZED (SELECT rate, k, sum(exp(-rate + k * ln(rate) - CASE WHEN k < 2 THEN 0 ELSE lgamma(k + 1) END))
           OVER (PARTITION BY rate ORDER BY k) AS below FROM distinct_rates, unnest(range(0, CAST(ceil(rate + 12 * sqrt(rate) + 12) AS BIGINT))) AS g(k))""",
-    )
-    + """SELECT r.product_id, r.sample_weight, CAST(count(c.k) AS INT) AS copies
-    FROM rates r LEFT JOIN cdf c ON c.rate = r.rate AND r.u >= c.below AND c.k < ceil(r.rate + 12 * sqrt(r.rate) + 12)
-    GROUP BY r.product_id, r.sample_weight""",
-)
-def resample_copies(spark, sf):
-    weighted = sampling.add_sample_weight(catalog(spark, sf), TOP_K, 5.0, 5.0).selectExpr(PRODUCT_ID, f"{RAISED} AS sample_weight")
+        f"""trials AS (SELECT product_id, rate, t, {trial('u')} - 0.5 AS u, {trial('v')} AS v, 0.931 + 2.53 * sqrt(rate) AS b
+          FROM rates, unnest(range(0, 24)) AS g(t) WHERE rate >= 10)""",
+        "shaped AS (SELECT *, -0.059 + 0.02483 * b AS a, 0.5 - abs(u) AS us FROM trials)",
+        "tried AS (SELECT *, floor((2 * a / us + b) * u + rate + 0.43) AS k FROM shaped)",
+        """taken AS (SELECT product_id, CAST(arg_min(k, t) AS BIGINT) AS copies FROM tried
+          WHERE (us >= 0.07 AND v <= 0.9277 - 3.6224 / (b - 2)) OR (k >= 0 AND NOT (us < 0.013 AND v > us)
+            AND ln(v * (1.1239 + 1.1328 / (b - 3.4)) / (a / (us * us) + b)) <= k * ln(rate) - rate - lgamma(CASE WHEN k >= 0 THEN k + 1 ELSE 1 END))
+          GROUP BY product_id)""",
+    ) + """SELECT r.product_id, r.sample_weight, count(c.k) AS copies FROM rates r
+      LEFT JOIN cdf c ON c.rate = r.rate AND r.u >= c.below AND c.k < ceil(r.rate + 12 * sqrt(r.rate) + 12) WHERE r.rate < 10 GROUP BY ALL
+      UNION ALL SELECT product_id, sample_weight, copies FROM rates JOIN taken USING (product_id)"""
+
+
+def drawn(spark: SparkSession, sf: str, weight: str, rows: int | None = None) -> DataFrame:
+    weighted = sampling.add_sample_weight(catalog(spark, sf), TOP_K, 5.0, 5.0).selectExpr(PRODUCT_ID, f"{weight} AS sample_weight")
     totals = weighted.agg(F.count(F.lit(1)).alias("n"), F.sum("sample_weight").alias("w")).first()
-    return sampling.resample_copies(weighted, totals["n"], totals["w"], 42, 0)
+    return sampling.resample_copies(weighted, rows or totals["n"], totals["w"], 42, 0)
+
+
+@register("resample_copies", drawn_sql(RAISED, "n"))
+def resample_copies(spark, sf):
+    return drawn(spark, sf, RAISED)
+
+
+MIXED_RATES = (
+    "sample_weight * CASE WHEN product_id = 7 THEN CAST(1000000 AS DOUBLE) WHEN product_id % 3 = 0 THEN CAST(0.01 AS DOUBLE) "
+    "ELSE CAST(1 + product_id % 50 AS DOUBLE) END"
+)
+
+
+@register("resample_many", drawn_sql(MIXED_RATES, "1e6"))
+def resample_many(spark, sf):
+    """A million draws: rates from below one to about a million."""
+    return drawn(spark, sf, MIXED_RATES, 1_000_000)
 
 
 @register(

@@ -157,6 +157,22 @@ def test_resampling_follows_the_weights(spark):
     assert drawn.exceptAll(resample_copies(df.repartition(7), 20000, total, 1, 0)).isEmpty()
 
 
+@pytest.mark.parametrize("rate", [0.0, 0.3, 9.9, 10.0, 30.0, 745.0, 1e6, 1e12])
+def test_draws_follow_the_distribution(spark, rate):
+    """Mean and variance of a Poisson draw are its rate; the shape is compared where it is narrow."""
+    n = 4000
+    df = spark.range(n).selectExpr("id AS product_id", "1.0D AS sample_weight")
+    copies = [r.copies for r in resample_copies(df, n * rate, n, 5, 1).collect()]
+    mean = sum(copies) / n
+    variance = sum((c - mean) ** 2 for c in copies) / (n - 1)
+    assert abs(mean - rate) <= 5 * math.sqrt(rate / n) and abs(variance - rate) <= 0.15 * rate
+    if 0 < rate <= 30:
+        mass, low = math.exp(-rate), 0.0
+        for k in range(60):
+            assert abs(sum(c <= k for c in copies) / n - (low := low + mass)) < 0.035
+            mass *= rate / (k + 1)
+
+
 def test_uniform_sample_size(spark):
     df = spark.range(1000).withColumnRenamed("id", "product_id")
     assert uniform_sample(df, 100, 3).distinct().count() == 100
