@@ -11,7 +11,8 @@
    forest of the links it found, never the pairs.
 4. The components of the forests are those of all links.
 
-An estimate may lose a link only if it lies six deviations below its mean.
+An estimate may lose a link only if it lies six deviations below its mean, and step 2 one that shares less than half of
+a sketch; sets that fit a sketch are compared whole. Both are binomial: see the README for their probabilities.
 """
 
 from __future__ import annotations
@@ -29,8 +30,10 @@ from codeloom.llm.substring import mixed, runs_hash, word_hashes
 SHINGLE = 5
 RETAINED = 64
 PERCENT = 85
-#: Shingles in one block of a group.
+#: Shingles in one block of a group; a set counts as SET_SHINGLES more, so a block has about 1,000 sets at most and the
+#: matrices of two blocks take about 250 MB.
 BLOCK_SHINGLES = 400_000
+SET_SHINGLES = 400
 COLUMNS = 4096
 
 
@@ -81,9 +84,13 @@ def likely(sets: list[np.ndarray], retained: int, share: float) -> np.ndarray:
     sketches = [s[:retained] for s in sets]
     both = overlaps(sketches)
     top = np.array([s[-1] if len(f) > retained else np.iinfo(np.uint64).max for s, f in zip(sketches, sets)], np.uint64)
-    below = np.stack([np.searchsorted(s, top, "right") for s in sketches])
+    below = np.stack([np.searchsorted(s, top, "right").astype(np.float32) for s in sketches])
     union = below + below.T - both
-    return (both > 0) & (both >= share * union - 6 * np.sqrt(share * (1 - share) * union))
+    del below
+    least = np.sqrt(share * (1 - share) * union)
+    least *= -6
+    least += share * union
+    return (both > 0) & (both >= least)
 
 
 def forest(links: np.ndarray) -> list[tuple[int, int]]:
@@ -160,11 +167,11 @@ def group_links(groups: DataFrame, reps: DataFrame, docs: DataFrame, key: str, t
     step = float(np.log(100 / percent))
     members = groups.select(F.col("id").alias("rep"), F.col("component_id").alias("g")).join(reps.select("rep", "n", "f1", "f2"), "rep")
     # A group that fits a task is one block; else size classes, of which neighbours are compared, and blocks of each.
-    whole = members.groupBy("g").agg(F.sum("n").alias("total"))
+    whole = members.groupBy("g").agg(F.sum(F.col("n") + SET_SHINGLES).alias("total"))
     members = members.join(whole, "g").withColumn(
         "size", F.when(F.col("total") <= block, F.lit(-9)).otherwise(F.floor(F.log("n") / step)).cast("int")
     )
-    blocks = members.groupBy("g", "size").agg(F.ceil(F.sum("n") / block).cast("int").alias("blocks"))
+    blocks = members.groupBy("g", "size").agg(F.ceil(F.sum(F.col("n") + SET_SHINGLES) / block).cast("int").alias("blocks"))
     own = members.join(blocks, ["g", "size"]).withColumn("i", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     other = blocks.where("size >= 0")
     own = own.join(other.select("g", (F.col("size") - 1).alias("size"), F.col("blocks").alias("above")), ["g", "size"], "left")
@@ -240,4 +247,6 @@ def near_duplicates(
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows of docs that represent their component of links of at least percent."""
     gone = near_duplicates(docs, key, text, percent=percent).where(~F.col("kept")).select(F.col(key).alias("_gone")).distinct()
-    return docs.join(gone, F.col(key) == F.col("_gone"), "left_anti")
+    rows = docs.select(F.col(key).alias("_key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    left = rows.join(gone, F.col("_key") == F.col("_gone"), "left_anti")
+    return left.select(*[F.col("_row")[c].alias(c) for c in docs.columns])

@@ -18,6 +18,10 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 #: Frequent lines that are sent to every executor; a line takes about 50 bytes there.
 BROADCAST_LINES = 200_000
+#: What judge adds.
+ADDED = [
+    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "lost_words", "lost_lines", "kept", "left_text",
+]
 
 
 @dataclass(frozen=True)
@@ -25,15 +29,15 @@ class QualityParams:
     """min_words: fewer fail, also after line removal; max_repeat_percent: of words in repeated windows.
 
     A line is frequent if more than `min_line_docs` distinct documents of a host hold it and they are more than
-    `max_line_percent` of the host's distinct documents, or more than `max_line_docs` if that is set: on a host with
-    a large part of all rows a percentage would let boilerplate of any number of documents pass.
+    `max_line_percent` of the host's distinct documents, or more than `max_line_docs` (None: without that): on a host
+    with a large part of all rows a percentage would let boilerplate of any number of documents pass.
     """
 
     min_words: int = 20
     max_repeat_percent: int = 30
     min_line_docs: int = 10
     max_line_percent: int = 5
-    max_line_docs: int | None = None
+    max_line_docs: int | None = 1000
 
 
 def words_of(text: Column) -> Column:
@@ -130,10 +134,9 @@ def judge(
     A line above the limit is removed from every document but the first (smallest key) of its host that has it, so
     no passage is lost everywhere. A document is rejected if it fails the base rules, or if lines were removed and
     fewer than min_words words are left. A null text has no words and fails. Null hosts form one host. Rows with
-    equal keys are judged one by one, rows equal in key, text and host alike. The added names must not clash with
-    columns of docs; other columns pass through.
+    equal keys are judged one by one, rows equal in key, text and host alike. Other columns pass through, whatever
+    their names, but what is added replaces columns of the same name.
     """
-    t = F.coalesce(F.col(text), F.lit(""))
     lean = docs.select(*dict.fromkeys([key, text, host]))
     often = saved(frequent_lines(lean, params, key, text, host), "lines")
     if often.count() <= BROADCAST_LINES:  # else both sides are shuffled by line
@@ -148,7 +151,12 @@ def judge(
         .select("a._host", "a._doc", "a._text", "_i", "a._line", "_n").distinct()  # a document that is stored twice loses a line once
         .groupBy("_host", "_doc", "_text").agg(F.sum("_n").alias("lost_words"), F.sort_array(F.collect_set("_line")).alias("lost_lines"))
     )
-    base = docs.withColumns(
+    # The columns of docs stay in one, so that none of them meets a name used here.
+    passed = [c for c in docs.columns if c not in ADDED]
+    t = F.coalesce(F.col("_body"), F.lit(""))
+    base = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in passed]).alias("_row"), F.col(key).alias("_key"), F.col(text).alias("_body"), F.col(host).alias("_at")
+    ).withColumns(
         {
             "_words": words_of(t),
             "_lines": F.array_remove(F.transform(F.split(t, "\n"), lambda x: F.when(F.translate(x, " \t\x0b\x0c\r", "") == "", "").otherwise(x)), ""),
@@ -165,21 +173,22 @@ def judge(
     base = base.withColumns(
         {
             "base_failed": (F.col("n_words") < params.min_words) | (100 * F.col("n_repeat_words") > params.max_repeat_percent * F.col("n_words")),
-            "_text": F.xxhash64(text, F.length(text)),
+            "_text": F.xxhash64("_body", F.length("_body")),
         }
     )
     out = base.alias("d").join(
         removed.alias("r"),
-        F.col("d._text").eqNullSafe(F.col("r._text")) & F.col(f"d.`{key}`").eqNullSafe(F.col("r._doc")) & F.col(f"d.`{host}`").eqNullSafe(F.col("r._host")),
+        F.col("d._text").eqNullSafe(F.col("r._text")) & F.col("d._key").eqNullSafe(F.col("r._doc")) & F.col("d._at").eqNullSafe(F.col("r._host")),
         "left",
     )
     lost = F.coalesce(F.col("lost_words"), F.lit(0))
     depleted = (lost > 0) & (F.col("n_words") - lost < params.min_words)
     kept = ~F.col("base_failed") & ~depleted
-    own = F.col(f"d.`{text}`")
-    left = F.when(F.col("lost_lines").isNull(), own).otherwise(without_lines(own, F.col("lost_lines")))
-    added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    return out.select(*[F.col(f"d.`{c}`") for c in docs.columns], *added, lost.cast("long").alias("lost_words"), "lost_lines", kept.alias("kept"), left.alias("left_text"))
+    left = F.when(F.col("lost_lines").isNull(), F.col("_body")).otherwise(without_lines(F.col("_body"), F.col("lost_lines")))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    return out.select(
+        *[F.col("_row")[c].alias(c) for c in passed], *counts, lost.cast("long").alias("lost_words"), "lost_lines", kept.alias("kept"), left.alias("left_text")
+    )
 
 
 def keep_documents(

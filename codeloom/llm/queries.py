@@ -142,7 +142,8 @@ WITH d AS (
   SELECT source, count(DISTINCT text) AS n FROM d GROUP BY source
 ), often AS (
   SELECT l.source, l.x, min(l.doc_id) AS owner FROM lines AS l JOIN hosts AS h ON l.source IS NOT DISTINCT FROM h.source
-  WHERE l.x <> '' GROUP BY l.source, l.x, h.n HAVING count(DISTINCT l.text) > 10 AND 100 * count(DISTINCT l.text) > 5 * h.n
+  WHERE l.x <> '' GROUP BY l.source, l.x, h.n HAVING count(DISTINCT l.text) > 10
+    AND (100 * count(DISTINCT l.text) > 5 * h.n OR count(DISTINCT l.text) > 1000)
 ), lost AS (
   SELECT l.doc_id, sum(len(string_split(l.x, ' '))) AS n FROM lines AS l
   JOIN often AS o ON l.x = o.x AND l.source IS NOT DISTINCT FROM o.source WHERE l.doc_id <> o.owner GROUP BY l.doc_id

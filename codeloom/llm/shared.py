@@ -42,5 +42,7 @@ def components(edges: DataFrame) -> DataFrame:
         now = after
         if counts["n"] == counts["starts"] and not chained:
             break
+    else:
+        raise RuntimeError(f"the components are not settled after {MOST_ROUNDS} rounds")
     tops = now.select(F.col("b").alias("id")).distinct().select("id", F.col("id").alias("component_id"))
     return now.select(F.col("a").alias("id"), F.col("b").alias("component_id")).unionByName(tops)

@@ -559,3 +559,45 @@ def test_piece_digests(spark, texts):
 def test_queries_are_registered():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in queries.QUERIES)
     assert numbers == list(range(1, 14)) and set(queries.ORACLE) <= set(queries.QUERIES)
+
+
+CLASHING = "doc_id long, text string, source string, kept string, lost_words string, n_words string, _gone string, _row int, _key int, n_removed int"
+
+
+def test_columns_of_any_name(spark):
+    """What an operator adds replaces a column of its name; a stage keeps all columns as they are."""
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(30)), "a", "k", "l", "n", "g", 1, 2, 3) for i in range(3)] + [(3, None, None, "k", "l", "n", "g", 1, 2, 3)]
+    rows.append((4, rows[0][1], "a", "k", "l", "n", "g", 1, 2, 3))
+    docs = spark.createDataFrame(rows, CLASHING)
+    judged = {r["doc_id"]: r for r in quality.judge(docs).collect()}
+    assert judged[0]["kept"] is True and judged[3]["kept"] is False and judged[0]["n_words"] == 30 and judged[0]["_gone"] == "g"
+    assert quality.judge(docs).columns.count("kept") == 1
+    assert sorted(quality.keep_documents(docs).collect()) == sorted(r for r in docs.collect() if r["doc_id"] != 3)
+    assert minhash.one_of_each(docs).columns == docs.columns
+    assert {tuple(r) for r in minhash.one_of_each(docs).collect()} == {r for r in rows if r[0] != 4}
+    cut = {r["doc_id"]: r for r in substring.dedup_documents(docs).collect()}
+    assert cut[4]["n_removed"] == 30 and cut[0]["n_words"] == 30 and cut[0]["_gone"] == "g"
+    assert substring.without_repeats(docs).columns == docs.columns
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_filters_of_near_duplicates_lose_nothing(percent):
+    """Pairs at the threshold, of equal and of unequal sizes."""
+    rng = np.random.default_rng(percent)
+    for size in (30, 64, 70, 100, 500, 3000):
+        for _ in range(150):
+            shared = -(-size * percent // 100)
+            extra = int(rng.integers(0, size - shared + 1))  # of the first set; the second has the rest of the union
+            values = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+            a, b = np.sort(values[: shared + extra]), np.sort(np.r_[values[:shared], values[shared + extra :]])
+            assert minhash.likely([a, b], minhash.RETAINED, percent / 100)[0, 1]
+            for s in (a, b):
+                sketch = s[: minhash.RETAINED]
+                assert 2 * len(np.intersect1d(a[: minhash.RETAINED], b[: minhash.RETAINED])) >= len(sketch)
+
+
+def test_blocks_are_bounded_by_sets(spark):
+    """Many short texts with one shared beginning: a block holds about 1,000 of them, however few their shingles."""
+    rows = [(i, f"thank you for visiting page x{i // 2}") for i in range(3000)]
+    got = {r["doc_id"]: r for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i]["component_id"] == i - i % 2 for i in range(3000))
