@@ -31,25 +31,30 @@ from codeloom.llm.bpe import WORD_PATTERN, byte_symbols
 WINDOW = 2048
 END_ID = 1
 POOL_TOKENS = 1 << 21
-#: Bytes that each of a worker's two tables of seen texts may take, with an estimate for an entry besides its texts.
-CACHE_BYTES, ENTRY_BYTES = 32 << 20, 200
+#: Bytes that a worker's tables of seen chunks and words may take, with an estimate for an entry besides its texts.
+CHUNK_BYTES, WORD_BYTES, ENTRY_BYTES = 128 << 20, 64 << 20, 200
 #: Longer texts are not kept.
 KEPT_BYTES = 64
 
 
 class Seen(dict):
-    """What a function gave for the texts it has seen, as bytes; emptied when it holds CACHE_BYTES."""
+    """What a function gave for the texts it has seen, as bytes.
 
-    def __init__(self, give):
+    When the table holds half of `most` bytes it becomes the older one, and what is asked of that comes back.
+    """
+
+    def __init__(self, give, most: int):
         super().__init__()
-        self.give, self.held = give, 0
+        self.give, self.half, self.held, self.older = give, most // 2, 0, {}
 
     def __missing__(self, text) -> bytes:
-        value = self.give(text)
+        value = self.older.get(text)
+        if value is None:
+            value = self.give(text)
         if len(text) <= KEPT_BYTES:
-            if self.held >= CACHE_BYTES:
+            if self.held >= self.half:
+                self.older, self.held = dict(self), 0
                 self.clear()
-                self.held = 0
             self.held += ENTRY_BYTES + len(text) + len(value)
             self[text] = value
         return value
@@ -72,7 +77,7 @@ class Ids:
         self.model = self.tokenizer.model
         self.find = regex.compile(WORD_PATTERN).findall
         self.symbols = byte_symbols()
-        self.known, self.words = Seen(self.chunk), Seen(self.word)
+        self.known, self.words = Seen(self.chunk, CHUNK_BYTES), Seen(self.word, WORD_BYTES)
 
     @staticmethod
     def of_worker(state: dict) -> Ids:

@@ -541,12 +541,11 @@ def test_fill_takes_the_closest_sum_and_uses_what_is_there():
     assert cuts < 0.4 * windows  # 184 of these lengths have a partner that fills the window with them
 
 
-def test_kept_ids_are_bounded(monkeypatch):
-    monkeypatch.setattr(packing, "CACHE_BYTES", 1000)
-    seen = packing.Seen(lambda text: text * 2)
+def test_kept_ids_are_bounded():
+    seen = packing.Seen(lambda text: text * 2, 2000)
     for i in range(100):
-        assert seen[b"%d" % i] == b"%d%d" % (i, i) and len(seen) <= 6
-    assert seen[b"x" * 65] == b"x" * 130 and b"x" * 65 not in seen
+        assert seen[b"%d" % i] == b"%d%d" % (i, i) and len(seen) <= 6 and len(seen.older) <= 6
+    assert seen[b"98"] == b"9898" and seen[b"x" * 65] == b"x" * 130 and b"x" * 65 not in seen
 
 
 def test_piece_digests(spark, texts):
