@@ -32,7 +32,7 @@ WINDOW = 2048
 END_ID = 1
 POOL_TOKENS = 1 << 21
 #: Bytes that a worker's tables of seen chunks and words may take, with an estimate for an entry besides its texts.
-CHUNK_BYTES, WORD_BYTES, ENTRY_BYTES = 128 << 20, 64 << 20, 200
+CHUNK_BYTES, WORD_BYTES, ENTRY_BYTES = 224 << 20, 96 << 20, 200
 #: Longer texts are not kept.
 KEPT_BYTES = 64
 
