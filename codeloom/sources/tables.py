@@ -94,18 +94,34 @@ def index_counts(source: DataFrame, dim: int) -> DataFrame:
     )
 
 
+def _builds(spark: SparkSession, index_path: str) -> dict[int, bool]:
+    """The numbers of the builds of an index, and whether each is finished: its facts are written last."""
+    base = index_path.rstrip("/")
+    where = spark._jvm.org.apache.hadoop.fs.Path(base)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(where)] if fs.exists(where) else []
+    return {int(n[6:]): _is_complete(spark, f"{base}/{n}/meta") for n in names if n.startswith("build=")}
+
+
+def index_build(spark: SparkSession, index_path: str) -> str | None:
+    """Folder of the newest finished build; None if there is none."""
+    finished = [number for number, done in _builds(spark, index_path).items() if done]
+    return f"{index_path.rstrip('/')}/build={max(finished)}" if finished else None
+
+
 def build_index(
     spark: SparkSession, source_path: str, index_path: str, dim: int = 128, force: bool = False,
     columns: dict[str, str] | None = None,
 ) -> DataFrame:
     """Write normalised valid vectors by key, the file list and one row of build facts.
 
-    Without `force` an existing index is an error. Counts are observed during the write.
+    Without `force` an existing index is an error. Every build has a folder of its own and counts from the moment its
+    facts are there, so a build that breaks off leaves the one before as it was. That one stays for its readers
+    until the next build; older ones are deleted. Counts are observed during the write.
     """
-    base = index_path.rstrip("/")
-    if index_exists(spark, base) and not force:
-        raise FileExistsError(f"the index {base} already exists; pass force to replace it")
-    mode = "overwrite"
+    builds = _builds(spark, index_path)
+    if any(builds.values()) and not force:
+        raise FileExistsError(f"the index {index_path} already exists; pass force to replace it")
     named = columns or {}
     raw = spark.read.parquet(source_path).select(
         F.col(named.get(PRODUCT_ID, PRODUCT_ID)).alias(PRODUCT_ID),
@@ -114,13 +130,14 @@ def build_index(
     listed = source_files(spark, source_path)
     if listed.isEmpty():
         raise FileNotFoundError(f"no parquet files under {source_path}")
+    base = f"{index_path.rstrip('/')}/build={max(builds, default=0) + 1}"
     seen = Observation("index")
     valid = is_valid(dim)
     counted = raw.observe(
         seen, F.count(F.lit(1)).alias("raw_rows"), F.count_if(valid).alias("valid_rows")
     )
-    l2_normalize(counted.where(valid), checked=True).write.mode(mode).parquet(f"{base}/vectors")
-    listed.write.mode(mode).parquet(f"{base}/files")
+    listed.write.parquet(f"{base}/files")  # before the vectors are read: a file that changes meanwhile makes the index stale
+    l2_normalize(counted.where(valid), checked=True).write.parquet(f"{base}/vectors")
     meta = spark.range(1).select(
         F.lit(dim).alias("dim"),
         F.lit(seen.get["valid_rows"]).cast("long").alias("n_rows"),
@@ -129,12 +146,20 @@ def build_index(
         F.current_timestamp().alias("built_at"),
         F.lit(seen.get["raw_rows"] - seen.get["valid_rows"]).cast("long").alias("dropped_invalid"),
     )
-    meta.write.mode(mode).parquet(f"{base}/meta")
+    meta.write.parquet(f"{base}/meta")
+    before = max((number for number, done in builds.items() if done), default=None)
+    for number in builds:
+        if number != before:
+            where = spark._jvm.org.apache.hadoop.fs.Path(f"{index_path.rstrip('/')}/build={number}")
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
     return spark.read.parquet(f"{base}/meta")
 
 
 def read_index(spark: SparkSession, index_path: str) -> DataFrame:
-    return spark.read.parquet(f"{index_path.rstrip('/')}/vectors")
+    build = index_build(spark, index_path)
+    if build is None:
+        raise FileNotFoundError(f"no finished index at {index_path}")
+    return spark.read.parquet(f"{build}/vectors")
 
 
 def changed_files(recorded: DataFrame, current: DataFrame, tolerance: float = 1e-6) -> DataFrame:
@@ -155,14 +180,14 @@ def changed_files(recorded: DataFrame, current: DataFrame, tolerance: float = 1e
 
 
 def index_exists(spark: SparkSession, index_path: str) -> bool:
-    return _is_complete(spark, f"{index_path.rstrip('/')}/meta")
+    return index_build(spark, index_path) is not None
 
 
 def is_stale(spark: SparkSession, index_path: str, source_path: str) -> bool:
     """True if there is no index or its source files differ from the recorded ones."""
     if not index_exists(spark, index_path):
         return True
-    recorded = spark.read.parquet(f"{index_path.rstrip('/')}/files")
+    recorded = spark.read.parquet(f"{index_build(spark, index_path)}/files")
     return not changed_files(recorded, source_files(spark, source_path)).isEmpty()
 
 

@@ -20,6 +20,7 @@ from codeloom.sources.tables import (
     build_index,
     codebook_frame,
     index_counts,
+    is_stale,
     load_artifact,
     read_index,
     save_artifact,
@@ -433,6 +434,26 @@ def file_counts(spark, sf):
     )
 
 
+@register(
+    "index_rebuilt",
+    with_sql(DAMAGED_SQL, VALID_SQL)
+    + """SELECT step, true AS stale_before, false AS stale_after, (SELECT count(*) FROM valid WHERE step = 2 OR product_id % 2 = 0) AS n_rows,
+      (SELECT count(*) FROM emb WHERE step = 2 OR product_id % 2 = 0) - (SELECT count(*) FROM valid WHERE step = 2 OR product_id % 2 = 0) AS dropped_invalid
+      FROM (VALUES (1), (2)) AS s(step)""",
+)
+def index_rebuilt(spark, sf):
+    """An index of half of the rows, which the other half makes stale until it is built anew."""
+    path, source = new_table_path(spark, "index"), new_table_path(spark, "vectors")
+    rows = damaged_vectors(spark, sf).select(PRODUCT_ID, EMBEDDING)
+    out = []
+    for step, half in enumerate([0, 1], 1):
+        rows.where(F.pmod(F.col(PRODUCT_ID), F.lit(2)) == half).write.mode("append").parquet(source)
+        before = is_stale(spark, path, source)
+        facts = build_index(spark, source, path, DIM, force=step == 2).first()
+        out.append((step, before, is_stale(spark, path, source), read_index(spark, path).count(), facts["dropped_invalid"]))
+    return spark.createDataFrame(out, "step int, stale_before boolean, stale_after boolean, n_rows long, dropped_invalid long")
+
+
 STREAM_SQL = with_sql(*residual_sql(), CODED_SQL) + """
     SELECT c1, c2, count(*) AS members, count(*) AS slots, 0 AS first_slot, CAST(count(*) - 1 AS INT) AS last_slot, CAST(sum(product_id) AS BIGINT) AS ids
     FROM coded GROUP BY c1, c2"""

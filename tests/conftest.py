@@ -24,17 +24,13 @@ def mapping(spark):
         "color string, product_name string, price_band string, is_hot_market string, "
         "launch_age_bucket string, code_id string"
     )
-    codes = {
-        0: (1, 1, 1, 0), 1: (1, 1, 1, 1), 2: (1, 1, 2, 0), 3: (1, 2, 5, 0), 4: (11, 5, 5, 0),
-        5: (2, 9, 9, 0), 6: (2, 9, 9, 1), 7: (3, 3, 3, 0), 8: (3, 3, 3, 1), 9: (3, 3, 3, 2),
-        999: (5, 5, 5, 0),
+    members = {
+        (1, 4, 2): [0, 1], (1, 4, 7): [2], (1, 6, 3): [3], (11, 4, 2): [4], (8, 0, 5): [5, 6], (6, 2, 2): [7, 8, 9], (0, 0, 9): [999],
     }
     rows = []
-    for pid, code in codes.items():
-        brand = "Alpha" if pid in (0, 1) else "Beta"
-        flag = {0: "true", 1: "True"}.get(pid, "false")
-        rows.append(
-            (pid, *code, "NFL", "Cowboys", brand, "Blue", f"item {pid}", "mid", flag, "91+d",
-             "-".join(str(x) for x in code))
-        )
+    for codes, ids in members.items():
+        for slot, number in enumerate(ids):
+            brand, flag = ("Alpha" if number < 2 else "Beta"), {0: "true", 1: "True"}.get(number, "false")
+            named = ("inland", "harbour", brand, "teal", f"product {number}", "tier 2", flag, "31-90d")
+            rows.append((number, *codes, slot, *named, "-".join(map(str, (*codes, slot)))))
     return spark.createDataFrame(rows, schema)

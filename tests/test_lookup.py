@@ -17,7 +17,7 @@ def test_lookup(spark, mapping):
     ids = spark.createDataFrame([("0",), ("7",), ("-1",), ("not-an-int",), ("7",), (None,)], "product_id string")
     got = {r.product_id: r for r in L.lookup(ids, mapping).collect()}
     assert set(got) == {0, 7}
-    assert (got[0].code_id, got[0].bucket_size, got[0].brand) == ("1-1-1-0", 2, "Alpha")
+    assert (got[0].code_id, got[0].bucket_size, got[0].brand) == ("1-4-2-0", 2, "Alpha")
     assert got[7].bucket_size == 3
 
 
@@ -27,9 +27,9 @@ def test_lookup_takes_numbers_as_they_are(spark, mapping):
 
 @pytest.mark.parametrize(
     "text,ids",
-    [("1", [0, 1, 2, 3]), ("1-1", [0, 1, 2]), ("1, 1", [0, 1, 2]), ("1 1", [0, 1, 2]), ("1/1", [0, 1, 2]),
-     ("1-1-1", [0, 1]), ("1-1-1-1", [1]), (" 11 ", [4]), ("-1", [0, 1, 2, 3]), ("+1", [0, 1, 2, 3]), ("1_1", [4]),
-     ("77", []), ("99999999999999999999", []), ("1-1-1-9", [])],
+    [("1", [0, 1, 2, 3]), ("1-4", [0, 1, 2]), ("1, 4", [0, 1, 2]), ("1 4", [0, 1, 2]), ("1/4", [0, 1, 2]),
+     ("1-4-2", [0, 1]), ("1-4-2-1", [1]), (" 11 ", [4]), ("-1", [0, 1, 2, 3]), ("+1", [0, 1, 2, 3]), ("1_1", [4]),
+     ("77", []), ("99999999999999999999", []), ("1-4-2-9", [])],
 )
 def test_prefix(spark, mapping, text, ids):
     summary, got = ask(spark, mapping, text)
@@ -37,12 +37,12 @@ def test_prefix(spark, mapping, text, ids):
 
 
 def test_prefix_levels_and_exactness(spark, mapping):
-    assert ask(spark, mapping, "1-1-1-1")[0].is_exact
-    summary, _ = ask(spark, mapping, "1-1")
+    assert ask(spark, mapping, "1-4-2-1")[0].is_exact
+    summary, _ = ask(spark, mapping, "1-4")
     assert (summary.matched_levels, summary.is_exact) == (2, False)
 
 
-@pytest.mark.parametrize("text", ["1-1-1-1-1", "abc", "1-x", "", "   ", "--"])
+@pytest.mark.parametrize("text", ["1-4-2-1-1", "abc", "1-x", "", "   ", "--"])
 def test_prefix_errors_are_values(spark, mapping, text):
     summary, got = ask(spark, mapping, text)
     assert summary.error and got == [] and summary.matched_levels == 0 and summary.total_count == 0
@@ -51,7 +51,7 @@ def test_prefix_errors_are_values(spark, mapping, text):
 def test_error_texts(spark, mapping):
     assert ask(spark, mapping, "")[0].error == "Query is empty."
     assert ask(spark, mapping, "1-x")[0].error == "'x' is not an integer token."
-    assert ask(spark, mapping, "1-1-1-1-1")[0].error == "Too many tokens (5); expected at most 4 (c1..c3 + dedup)."
+    assert ask(spark, mapping, "1-4-2-1-1")[0].error == "Too many tokens (5); expected at most 4 (c1..c3 + dedup)."
 
 
 def test_prefix_limit_reports_the_total(spark, mapping):
@@ -60,7 +60,7 @@ def test_prefix_limit_reports_the_total(spark, mapping):
 
 
 def test_equal_queries_get_equal_answers(spark, mapping):
-    queries = spark.createDataFrame([(1, "1-1"), (2, "1 1"), (3, "3")], "query_id int, query string")
+    queries = spark.createDataFrame([(1, "1-4"), (2, "1 4"), (3, "6")], "query_id int, query string")
     summary, rows = L.by_prefix(queries, mapping)
     assert {r.query_id: r.total_count for r in summary.collect()} == {1: 3, 2: 3, 3: 3}
     assert rows.count() == 9
@@ -74,7 +74,7 @@ def stored(spark, mapping):
     return read_prefix_table(spark, path)
 
 
-@pytest.mark.parametrize("text", ["1", "1-1", "1-1-1", "1-1-1-1", "11", "2-9-9-0", "77", "99999999999999999999", "16", "3-3-3-9", "x"])
+@pytest.mark.parametrize("text", ["1", "1-4", "1-4-2", "1-4-2-1", "11", "8-0-5-0", "77", "99999999999999999999", "16", "6-2-2-9", "x"])
 def test_stored_ranges_answer_alike(spark, mapping, stored, text):
     rows, layout = stored
     queries = spark.createDataFrame([(1, text), (2, "5")], "query_id int, query string")
@@ -85,7 +85,7 @@ def test_stored_ranges_answer_alike(spark, mapping, stored, text):
 
 def test_one_pruned_scan(spark, stored, capsys):
     rows, layout = stored
-    queries = spark.createDataFrame([(1, "1-1"), (2, "3"), (3, "2-9-9-1")], "query_id int, query string")
+    queries = spark.createDataFrame([(1, "1-4"), (2, "6"), (3, "8-0-5-1")], "query_id int, query string")
     for answer in L.by_prefix(queries, rows, 5, layout=layout):
         answer.explain("formatted")
         plan = capsys.readouterr().out
@@ -95,7 +95,7 @@ def test_one_pruned_scan(spark, stored, capsys):
 
 def test_keys_keep_the_order_of_the_codes(spark, stored):
     rows, layout = stored
-    assert layout.bits == (4, 4, 4, 2)
+    assert layout.bits == (4, 3, 4, 2)
     by_key = [tuple(r) for r in rows.orderBy("prefix_key").select("c1", "c2", "c3", "dedup").collect()]
     assert by_key == sorted(by_key)
     with pytest.raises(ValueError, match="63"):
@@ -175,15 +175,15 @@ def test_full_mapping_keeps_products_without_metadata(spark, mapping):
     codes = mapping.select("product_id", "c1", "c2", "c3", "dedup")
     source = mapping.where("product_id <> 999").drop("c1", "c2", "c3", "dedup", "code_id")
     rows = {r.product_id: r for r in full_mapping(codes, source).collect()}
-    assert len(rows) == 11 and rows[999].league is None and rows[999].code_id == "5-5-5-0"
+    assert len(rows) == 11 and rows[999].league is None and rows[999].code_id == "0-0-9-0"
 
 
 def test_code_filter_reaches_the_scan(spark, mapping, tmp_path):
     path = str(tmp_path / "m")
     mapping.write.parquet(path)
-    stored = spark.read.parquet(path).where(code_filter(["c1", "c2", "c3"], [1, 1]))
+    stored = spark.read.parquet(path).where(code_filter(["c1", "c2", "c3"], [1, 4]))
     assert stored.count() == 3
     plan = stored._jdf.queryExecution().executedPlan().toString()
-    assert "EqualTo(c1,1)" in plan and "EqualTo(c2,1)" in plan
+    assert "EqualTo(c1,1)" in plan and "EqualTo(c2,4)" in plan
     with pytest.raises(ValueError):
         code_filter(["c1"], [1, 2, 3])

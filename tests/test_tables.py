@@ -69,6 +69,23 @@ def test_index_build_counts_and_staleness(spark, tmp_path):
     assert source_files(spark, source).columns == ["name", "size", "modified"]
 
 
+def test_a_broken_build_leaves_the_index_before(spark, tmp_path):
+    source, index = str(tmp_path / "src"), str(tmp_path / "index")
+    rows = synthetic_catalog(spark, 30, 2, 1, 2, dim=8, partitions=2).select("product_id", "content_embedding")
+    rows.where("product_id < 20").write.parquet(source)
+    B.build_index(spark, source, index, 8)
+    first = B.index_build(spark, index)
+    rows.where("product_id >= 20").write.mode("append").parquet(source)
+    # A build that broke off after its vectors, before its facts.
+    rows.limit(1).write.parquet(f"{index}/build=2/vectors")
+    assert B.index_build(spark, index) == first and B.read_index(spark, index).count() == 20 and B.is_stale(spark, index, source)
+    assert B.build_index(spark, source, index, 8, force=True).first().n_rows == 30
+    assert B.index_build(spark, index).endswith("build=3") and B.read_index(spark, index).count() == 30
+    assert spark.read.parquet(f"{first}/vectors").count() == 20  # still there for its readers
+    B.build_index(spark, source, index, 8, force=True)
+    assert sorted(p.name for p in (tmp_path / "index").iterdir()) == ["build=3", "build=4"]
+
+
 def test_artifact_round_trip_and_immutability(spark, tmp_path):
     out = str(tmp_path / "out")
     model = Artifact(codebooks=np.random.default_rng(0).normal(size=(2, 4, 3)), weights=fresh_weights(8, 3, 0), d_in=8)
