@@ -7,7 +7,8 @@ of the pages, and if the token above it is valid too (a join of the tokens with
 tokens of a host are its template; what lies between them are the slots. Vectors are as long as a host has pages, so
 they are never collected: they are summed as hashes, combined before the shuffle, and equal sums are equal vectors.
 
-A text block that is on every page that holds its container is part of the template and goes. A container whose text
+A text block that is on every page that holds its container is part of the template and goes, unless it is a heading of
+text that stays. A container whose text
 is the same on most of its pages is steady and does not count as a main slot. The main text is all that is left below
 the article and main elements of a page, or else below the lowest container that holds all of its main slots, outside
 of what is marked as a menu, sidebar, form, advert and the like. Pages of a host without a template, such as its only
@@ -20,6 +21,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from html import unescape
+from itertools import takewhile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,19 +37,22 @@ FIXED_PAGES = 3
 BROADCAST_HOSTS = 50_000
 
 PIECE = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|[^<]+|<", re.S
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*+)(?:>|\Z)|[^<]+|<", re.S
 )
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 NAME_PART = re.compile(r"[a-z]+")
 
-RAW = frozenset("script style noscript template iframe textarea title svg math object select xmp".split())
+RAW = frozenset("script style noscript template iframe textarea title svg select xmp annotation annotation-xml".split())
+#: Raw elements that end the block they stand in.
+RAW_BLOCKS = frozenset("title xmp".split())
 CONTAINERS = frozenset(
     "html body main article section div nav header footer aside form ul ol dl table tbody thead tfoot tr td th details dialog "
     "menu fieldset figure center blockquote".split()
 )
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img input ins kbd label mark q s samp small span strike strong "
-    "sub sup time tt u var wbr".split()
+    "sub sup time tt u var wbr object ruby rb rp rt math semantics maction merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom "
+    "mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED_TAGS = frozenset("head nav footer aside form dialog menu button".split())
@@ -58,8 +63,15 @@ DROPPED_NAMES = frozenset(
 )
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 PARTS = frozenset("blockquote ul ol dl table tbody thead tfoot tr th figure details center section".split())
-#: Class names that say what a container has beside or below its text, not what it is.
-MODIFIER = re.compile(r"(?:has|with|no|without|show|hide|is|not)[-_]")
+#: Words in class names that say what a container has beside or below its text, not what it is.
+MODIFIERS = frozenset("has with no without show hide is not".split())
+#: Words in class names that say of what kind or where a part is: the word before them names it.
+NEUTRAL_NAMES = frozenset(
+    "area article articles bar block body bottom box button buttons col column container content entry form frame group header holder icon icons "
+    "inline inner item items label left link links list main middle outer panel part post posts right row section side slot story text thread "
+    "title top unit wrap wrapper".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: An article element counts so many times its prose against the rest of the page.
 ARTICLE_WEIGHT = 16
 
@@ -88,14 +100,29 @@ def is_dropped(tag: str, attrs: dict[str, str], inside_main: bool) -> bool:
 
 
 def is_named(tag: str, attrs: dict[str, str], inside_main: bool) -> int:
-    """By class or id: 2 if one of them is such a name, 1 if it is a part of one, else 0."""
+    """By class or id: 2 if one of them is such a name, 1 if it is a part of one, else 0.
+
+    In an article the part must be what the name ends with ("post-comments", "ad-slot"); a part before another noun
+    ("login-guide", "share-price") gives -1, to be decided by the links.
+    """
     if not attrs or exempt(tag, attrs):
         return 0
     whole = f"{attrs.get('class', '')} {attrs.get('id', '')}".lower().split()
-    names = {part for name in whole if not MODIFIER.match(name) for part in NAME_PART.findall(name)}
-    if not (names & DROPPED_NAMES or not inside_main and "header" in names):
-        return 0
-    return 2 if not DROPPED_NAMES.isdisjoint(whole) else 1
+    if not DROPPED_NAMES.isdisjoint(whole):
+        return 2
+    found = 0
+    for name in whole:
+        parts = list(takewhile(lambda part: part not in MODIFIERS, NAME_PART.findall(name)))
+        if not inside_main:
+            if not DROPPED_NAMES.isdisjoint(parts) or "header" in parts:
+                return 1
+        elif not DROPPED_NAMES.isdisjoint(parts):
+            while len(parts) > 1 and parts[-1] in NEUTRAL_NAMES:
+                parts.pop()
+            if parts[-1] in DROPPED_NAMES:
+                return 1
+            found = -1
+    return found
 
 
 def exempt(tag: str, attrs: dict[str, str]) -> bool:
@@ -133,6 +160,10 @@ def settle(nodes: list[Container]) -> None:
         n.dropped = n.dropped or nodes[n.parent].dropped
     if any(n.named for n in nodes):
         prose, linked = totals(nodes)
+        for i, n in enumerate(nodes):
+            if n.named < 0:
+                n.named = 1 if 2 * linked[i] > prose[i] else 0
+        prose, linked = totals(nodes)
         score = [max(0, p - 2 * q) if not n.dropped else 0 for n, p, q in zip(nodes, prose, linked)]
         articles = [i for i, n in enumerate(nodes) if n.article and not n.named and not n.dropped and prose[i]]
         if articles:
@@ -208,7 +239,8 @@ def outline(source: str) -> tuple[list[Container], list[tuple[int, str, str]], d
                         break
             continue
         if tag in RAW:
-            flush()
+            if tag in RAW_BLOCKS:
+                flush()
             close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(source, at)
             at = close.end() if close else end
             continue
@@ -241,7 +273,7 @@ def outline(source: str) -> tuple[list[Container], list[tuple[int, str, str]], d
             flush()
             element = label_of(tag, attrs)
             others[stack[-1], element] = others.get((stack[-1], element), 0) + 1
-        if tag not in VOID and not closed and (tag in DROPPED_TAGS or attrs and (is_dropped(tag, attrs, above.main) or is_named(tag, attrs, above.main))):
+        if tag not in VOID and not closed and (tag in DROPPED_TAGS or attrs and (is_dropped(tag, attrs, above.main) or is_named(tag, attrs, above.main) > 0)):
             hidden.append(tag)
     flush()
     settle(nodes)
@@ -331,9 +363,36 @@ def main_text(source: str | None, steady: list[int] | None, fixed: list[int]) ->
         # Links only, and not in the midst of prose: a menu without a name.
         menu = i > 0 and not n.main and prose[i] > 0 and 10 * linked[i] >= 9 * prose[i] and nodes[above].prose <= 2 * nodes[above].linked
         gone[i] = n.dropped or menu or above >= 0 and gone[above]
-    return "\n\n".join(
-        [text for i, text, element in blocks if inside[i] and not gone[i] and not (cut and text_token(nodes[i].path, element, text) in cut)]
-    )
+    part = [(i, text, element, bool(cut) and text_token(nodes[i].path, element, text) in cut) for i, text, element in blocks if inside[i]]
+    # From the end, as a fixed heading stays if what it heads does.
+    kept: list[str] = []
+    below = None
+    varying = [k for k, (i, _, _, fixed) in enumerate(part) if not fixed and not gone[i]]
+    for k in range(len(part) - 1, -1, -1):
+        i, text, element, fixed = part[k]
+        stays = not gone[i] and (not fixed or below is not None and heads(nodes, part[k], below, varying[0] < k))
+        if stays:
+            kept.append(text)
+        below = part[k] if stays else None
+    return "\n\n".join(reversed(kept))
+
+
+def heads(nodes: list[Container], heading: tuple[int, str, str, bool], below: tuple[int, str, str, bool], inner: bool) -> bool:
+    """Is a text of the template a heading of the article, such as "Method" on a host of recipes? It must be a heading element, the
+    next block must stay, be no article of its own and lie in the same container or below it; and text that is no template
+    must be before it (`inner`), or, in an article, what it heads is no heading."""
+    i, _, element, _ = heading
+    if level_of(element) is None:
+        return False
+    at = below[0]
+    while at > i and not nodes[at].article:
+        at = nodes[at].parent
+    return at == i and (inner or nodes[i].main and level_of(below[2]) is None)
+
+
+def level_of(element: str) -> str | None:
+    tag = re.split(r"[.#]", element, maxsplit=1)[0]
+    return tag if tag in HEADINGS else None
 
 
 def host_of(url):

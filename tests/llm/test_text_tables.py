@@ -99,6 +99,90 @@ def test_names_still_drop_what_is_beside_the_article():
     assert html.main_text("<div class=text><p>Prose</div><div class=comments><div><p>many many many words</div></div>", None, []) == "Prose"
 
 
+@pytest.mark.parametrize(
+    "body,text",
+    [
+        ("<p title=don't>Hello world</p><p>It's here</p><p>Third para</p>", "Hello world|It's here|Third para"),
+        ("<p title = \"a>b\" id='c>d' e=f'g>Text</p><p x=\"no end>More</p>", "Text|More"),
+        ("<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> be.</p>", "Let x=2 be."),
+        ("<p>One <object data=a>two</object> <svg><text>no</text></svg>three<script>no</script> four.</p>", "One two three four."),
+        ("<section id='login-guide'><p>How to log in.</section><div class='share-price'><p>It rose.</div><p class=social-history>Then.", "How to log in.|It rose.|Then."),
+        ("<div class='post-comments'><p>nice</div><div class='ad-slot-inline'><p>Buy</div><div class='newsletter-signup'>Join</div>", ""),
+        ("<div class='share-tools'><a href=/>On this</a> <a href=/>On that</a></div><div class='comment-has-replies'>nice</div>", ""),
+    ],
+)
+def test_inside_an_article(body, text):
+    blocks = ["Prose before.", *[t for t in text.split("|") if t], "Prose after."]
+    assert html.main_text(f"<body><nav>Menu</nav><article><p>Prose before.</p>{body}<p>Prose after.</p></article>", None, []) == "\n\n".join(blocks)
+
+
+def test_a_tag_without_an_end_is_read_in_linear_time():
+    assert html.main_text("<p " + "a=' " * 200_000 + "='", None, []) == "" and html.main_text("<p " + "= " * 200_000, None, []) == ""
+
+
+@pytest.mark.parametrize("outer", ["main", "article", "div class=recipe"])
+def test_headings_that_recur_stay(spark, outer):
+    def recipe(i):
+        return (
+            f"<nav>Menu</nav><{outer}><h1>Recipe {i}</h1><h2>Ingredients</h2><ul><li>{i} eggs<li>milk of farm {i}</ul><h2>Method</h2><p>Stir {i} times."
+            f"<section><h2>Notes</h2><p>Note {i}.</section><h2>Our shop</h2><p>Buy our spoons.</{outer.split()[0]}>"
+        )
+
+    got = texts_of(spark, [page(recipe(i), number=i) for i in range(6)])
+    assert got == {
+        i: f"Recipe {i}\n\nIngredients\n\n{i} eggs\n\nmilk of farm {i}\n\nMethod\n\nStir {i} times.\n\nNotes\n\nNote {i}." for i in range(6)
+    }
+
+
+def plain_templates(rows):
+    """Steady and fixed paths of each host from whole occurrence vectors."""
+    hosts = {}
+    for number, url, source in rows:
+        hosts.setdefault(url.split("/")[2], []).append(html.tokens_of(source))
+    found = {}
+    for host, pages in hosts.items():
+        vectors = {}
+        for at, (_, tokens) in enumerate(pages):
+            for path, above, times, kind in tokens:
+                vectors.setdefault((path, above, kind), {})[at] = times
+        sizes = {}
+        for v in vectors.values():
+            sizes[tuple(v.items())] = sizes.get(tuple(v.items()), 0) + 1
+        often = {t: 5 * len(v) >= len(pages) for t, v in vectors.items()}
+        frames = {t[0]: len(v) for t, v in vectors.items() if t[2] in ("tag", "root") and often[t]}
+        steady, fixed = set(), set()
+        for t, v in vectors.items():
+            valid = sizes[tuple(v.items())] > 1 or often[t]
+            if not valid or t[2] in ("tag", "root") or t[1] not in frames or len(v) < 3 or len({pages[at][0] for at in v}) < 3:
+                continue
+            if t[2] == "text" and len(v) == frames[t[1]]:
+                fixed.add(t[0])
+            if t[2] == "slot" and 2 * len(v) > frames[t[1]]:
+                steady.add(t[1])
+        if steady or fixed:
+            found[host] = (sorted(steady), sorted(fixed))
+    return found
+
+
+def test_templates_match_whole_occurrence_vectors(spark):
+    rnd = random.Random(5)
+    rows = []
+    for i in range(60):
+        host = rnd.choice("abc")
+        layout = random.Random(host)
+        parts = []
+        for k in range(layout.randint(3, 6)):
+            kind, share = layout.choice(["div class=x", "section", "div id=y1", "ul", "article"]), layout.choice([0.2, 0.6, 1.0])
+            if rnd.random() < share:
+                text = f"fixed {k}" if layout.random() < 0.6 else f"own {rnd.randrange(10**6)}"
+                parts.append(f"<{kind}><h3>part {k}</h3><p>{text}<div><b>{'deep' if rnd.random() < 0.9 else i}</b></div></{kind.split()[0]}>")
+        rows.append((i, f"http://{host}.example/{i}", f"<body>{''.join(parts)}<p>{i} end</body>"))
+    df = spark.createDataFrame(rows, PAGES)
+    got = {r["host"]: (r["steady"], r["fixed"]) for r in html.templates(df, "url", "html", html.FREQUENT_PERCENT, html.FIXED_PAGES).collect()}
+    want = {f"{h}": v for h, v in plain_templates(rows).items()}
+    assert len(want) == 3 and got == want
+
+
 @pytest.mark.parametrize("depth", [0, 60])
 def test_template_texts_without_a_name(spark, depth):
     own = {i: [f"Own text {i} of this page.", f"More {i * i}."] for i in range(6)}
