@@ -35,6 +35,7 @@ from codeloom.functions.names import EMBEDDING, PRODUCT_ID
 from codeloom.functions.scalars import leading_bits, seeded_md5
 from codeloom.operators.quantize import Artifact, encode
 from codeloom.operators.ranking import first_in_group
+from codeloom.operators.resume import arrays_digest, fingerprint, last_epoch, rows_checksum, save_epoch
 from codeloom.operators.sampling import resample_copies, thin, uniform_sample
 from codeloom.params import QuantizerParams, TrainParams
 from codeloom.session import stored
@@ -293,6 +294,22 @@ class Model:
             self.sizes.copy(), self.sums.copy(), self.books.copy(),
         )
 
+    def arrays(self, name: str) -> dict[str, np.ndarray]:
+        """Every array under its own name, for a table."""
+        parts = {"weights": self.weights, "m": self.m, "v": self.v}
+        named = {f"{name}/{part}/{k}": a for part, d in parts.items() for k, a in d.items()}
+        return named | {f"{name}/sizes": self.sizes, f"{name}/sums": self.sums, f"{name}/books": self.books}
+
+    @staticmethod
+    def from_arrays(name: str, arrays: dict[str, np.ndarray], step: int) -> Model:
+        def part(label):
+            start = f"{name}/{label}/"
+            return {k.removeprefix(start): a for k, a in arrays.items() if k.startswith(start)}
+
+        return Model(
+            part("weights"), part("m"), part("v"), step, arrays[f"{name}/sizes"], arrays[f"{name}/sums"], arrays[f"{name}/books"]
+        )
+
 
 def _repeated(batch: pa.RecordBatch) -> np.ndarray:
     """Vectors of a batch, each as often as its copies say."""
@@ -550,8 +567,13 @@ def train_quantizer(
     quantizer: QuantizerParams = QuantizerParams(),
     training: TrainParams = TrainParams(),
     warm_start: Artifact | None = None,
+    state_path: str | None = None,
 ) -> tuple[Artifact, list[EpochStats]]:
-    """Train on prepared rows with `sample_weight`; returns the best state by validation error."""
+    """Train on prepared rows with `sample_weight`; returns the best state by validation error.
+
+    With a `state_path` every epoch is written there, and a run with the same rows, settings (but for the number of epochs and
+    the patience) and start goes on after the last complete one.
+    """
     if quantizer.d >= d_in:
         raise ValueError("the latent width d must stay below the embedding width")
     weights = [F.count(F.lit(1)).alias("n"), F.sum("sample_weight").alias("w")]
@@ -566,15 +588,35 @@ def train_quantizer(
     layout = ["slice"] if rounds > 1 else None
     with stored(sliced_rows(train, training.seed, rounds), "train", layout) as table:
         with stored(val.select(PRODUCT_ID, EMBEDDING), "val") as held_out:
-            return _epochs(table, held_out, totals["n"], totals["w"], rounds, d_in, quantizer, training, warm_start)
+            state = None
+            if state_path:
+                sums = [
+                    table.agg(rows_checksum(PRODUCT_ID, EMBEDDING, "sample_weight")).first()[0],
+                    held_out.agg(rows_checksum(PRODUCT_ID, EMBEDDING)).first()[0],
+                ]
+                settings = {k: v for k, v in asdict(training).items() if k not in ("max_epochs", "patience")}
+                start = warm_start and arrays_digest({"": warm_start.codebooks, **warm_start.weights})
+                name = fingerprint(sums, totals["n"], rounds, d_in, asdict(quantizer), settings, start)
+                state = f"{state_path.rstrip('/')}/run={name}"
+            return _epochs(table, held_out, totals["n"], totals["w"], rounds, d_in, quantizer, training, warm_start, state)
 
 
 def _epochs(
     table: DataFrame, held_out: DataFrame, n_rows: int, weight_sum: float, rounds: int, d_in: int,
-    quantizer: QuantizerParams, training: TrainParams, warm_start: Artifact | None,
+    quantizer: QuantizerParams, training: TrainParams, warm_start: Artifact | None, state: str | None,
 ) -> tuple[Artifact, list[EpochStats]]:
-    probe = probe_rows(table, quantizer.init_probe_rows, n_rows, training.seed, "init")
-    model = initial_model(probe, d_in, quantizer, training.seed, warm_start)
+    spark = table.sparkSession
+    before = last_epoch(spark, state) if state else None
+    history: list[EpochStats] = []
+    if before is None:
+        probe = probe_rows(table, quantizer.init_probe_rows, n_rows, training.seed, "init")
+        model = initial_model(probe, d_in, quantizer, training.seed, warm_start)
+        best, best_error, stale = model.copy(), float("inf"), 0
+    else:
+        arrays, facts = before
+        model, best = (Model.from_arrays(name, arrays, facts[f"{name}_step"]) for name in ("model", "best"))
+        best_error, stale = facts["best_error"], facts["stale"]
+        history = [EpochStats(**h) for h in facts["history"]]
 
     # In local mode one step of all shards together covers batch_size rows.
     local_batch = max(1, training.batch_size // training.shards)
@@ -582,9 +624,9 @@ def _epochs(
     def frozen(state: Model) -> Artifact:
         return Artifact(codebooks=state.books, weights=state.weights, d_in=d_in)
 
-    history: list[EpochStats] = []
-    best, best_error, stale = model.copy(), float("inf"), 0
-    for epoch in range(training.max_epochs):
+    for epoch in range(len(history), training.max_epochs):
+        if stale and stale >= training.patience:
+            break
         usage = np.zeros(model.books.shape[:2])
         losses = []
         for part in range(rounds):
@@ -625,8 +667,12 @@ def _epochs(
             best, best_error, stale = model.copy(), error, 0
         else:
             stale += 1
-            if stale >= training.patience:
-                break
+        if state:
+            facts = {
+                "model_step": model.step, "best_step": best.step, "best_error": best_error, "stale": stale,
+                "history": [asdict(h) for h in history],
+            }
+            save_epoch(spark, state, epoch, model.arrays("model") | best.arrays("best"), facts)
     artifact = replace(
         frozen(best),
         metadata={"trained_epochs": str(len(history)), "best_val_reconstruction": repr(best_error)},

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codeloom.functions.names import LEAGUE, PRODUCT_ID, TEAM, level_columns
+from codeloom.functions.names import ID_VERSION, LEAGUE, PRODUCT_ID, TEAM, level_columns
 from codeloom.operators.prepare import prepare
 from codeloom.operators.quantize import add_dedup_index, assign_codes
+from codeloom.operators.resume import forget
 from codeloom.operators.sampling import add_sample_weight, with_split
 from codeloom.operators.training import EpochStats, history_frame, train_quantizer
 from codeloom.params import RunParams
@@ -16,6 +17,7 @@ from codeloom.session import stored
 from codeloom.sources.catalog import read_assignments, read_catalog
 from codeloom.sources.tables import (
     artifact_exists,
+    artifact_path,
     assert_unique,
     load_artifact,
     publish_assignment,
@@ -30,25 +32,29 @@ def run_training(
     spark: SparkSession, source: str, output: str, params: RunParams = RunParams(),
     columns: Columns = None, warm_start: str | None = None,
 ) -> tuple[str, list[EpochStats]]:
-    """Prepare, split, weight, train, save. `warm_start` names an earlier version under `output`."""
+    """Prepare, split, weight, train, save. `warm_start` names an earlier version under `output`.
+
+    Epochs are kept under `training/` until the artifact is complete: a job that was stopped goes on when it is run again.
+    """
     if artifact_exists(spark, output, params.code_version):
         raise FileExistsError(f"version {params.code_version} already exists under {output}")
     prep, weights = params.prep, params.weights
     ready = prepare(read_catalog(spark, source, columns), prep.embedding_dim)
     split = with_split(ready, prep.val_fraction, prep.split_seed, list(prep.strata_columns))
     prior = load_artifact(spark, output, warm_start) if warm_start else None
+    state = f"{output.rstrip('/')}/training/{ID_VERSION}={params.code_version}"
     with stored(split, "split", ["is_val"]) as rows:
         train = add_sample_weight(
             rows.where(~F.col("is_val")),
             weights.hot_bucket_top_k, weights.hot_bucket_weight, weights.hot_market_weight,
         )
         artifact, history = train_quantizer(
-            train, rows.where("is_val"), prep.embedding_dim, params.quantizer, params.training, prior
+            train, rows.where("is_val"), prep.embedding_dim, params.quantizer, params.training, prior, state
         )
-    path = save_artifact(
-        spark, artifact, output, params.code_version, prep.embedding_set_version, artifact.metadata
-    )
+    path = artifact_path(output, params.code_version)
     history_frame(spark, history).coalesce(1).write.mode("overwrite").parquet(f"{path}/history")
+    save_artifact(spark, artifact, output, params.code_version, prep.embedding_set_version, artifact.metadata)
+    forget(spark, state)
     return path, history
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from codeloom.functions.names import EMBEDDING, PRODUCT_ID, level_columns
 from codeloom.operators import quantize as qz
 from codeloom.operators import training as tr
 from codeloom.operators.prepare import drop_invalid_embeddings, prepare, reject_counts
+from codeloom.operators.resume import forget
 from codeloom.operators.sampling import add_sample_weight, with_split
 from codeloom.params import QuantizerParams, TrainParams
 from codeloom.plans import quality as ql
@@ -371,11 +374,11 @@ SMALL = QuantizerParams(W=WIDTH, L=DEPTH, d=8, gamma=0.9, kmeans_iterations=3)
 SHORT = TrainParams(batch_size=512, max_epochs=2, patience=2, min_delta=1e-6, seed=0)
 
 
-def trained(spark: SparkSession, sf: str):
+def trained(spark: SparkSession, sf: str, training: TrainParams = SHORT, state_path: str | None = None):
     ready = prepare(vectors(spark, sf), DIM)
     split = with_split(ready, 0.1, 42, ["league", "team"])
     train = add_sample_weight(split.where(~F.col("is_val")), 5, 3.0, 3.0)
-    return tr.train_quantizer(train, split.where("is_val"), DIM, SMALL, SHORT)
+    return tr.train_quantizer(train, split.where("is_val"), DIM, SMALL, training, state_path=state_path)
 
 
 @register("train_history")
@@ -393,6 +396,29 @@ def assign_trained(spark, sf):
     return qz.add_dedup_index(coded, CODES)
 
 
+@register(
+    "train_resumed",
+    """SELECT CAST(range AS INT) AS epoch, range >= 1 AS resumed, TRUE AS same_as_unbroken, (SELECT count(*) FROM embeddings) AS n_vectors
+      FROM range(2)""",
+)
+def train_resumed(spark, sf):
+    """Is a run that was stopped after its first epoch the same as an unbroken one, epoch by epoch?"""
+    state = new_table_path(spark, "training")
+    _, first = trained(spark, sf, replace(SHORT, max_epochs=1), state)
+    _, resumed = trained(spark, sf, SHORT, state)
+    _, unbroken = trained(spark, sf)
+    forget(spark, state)
+    a, b = (tr.history_frame(spark, h) for h in (resumed, unbroken))
+    near = F.lit(True)
+    for name in ("train_loss", "val_reconstruction", "val_dead_code_rate", "val_normalized_utilization"):
+        near = near & (F.abs(F.col(f"a.{name}") - F.col(f"b.{name}")) <= 1e-9)
+    n_vectors = prepare(vectors(spark, sf), DIM).count()
+    return a.alias("a").join(b.alias("b"), "epoch", "full").select(
+        "epoch", (F.col("epoch") >= len(first)).alias("resumed"), F.coalesce(near, F.lit(False)).alias("same_as_unbroken"),
+        F.lit(n_vectors).cast("long").alias("n_vectors"),
+    )
+
+
 # ---- vector index and stream ------------------------------------------------------------
 
 

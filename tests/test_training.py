@@ -1,6 +1,8 @@
 import os
 import subprocess
 import sys
+from dataclasses import replace
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -15,6 +17,7 @@ from codeloom.functions.kernels import (
     quantize_rows,
     run_layers,
 )
+from codeloom.operators import resume
 from codeloom.operators import training as T
 from codeloom.operators.quantize import (
     Artifact,
@@ -259,3 +262,60 @@ def test_early_stop(spark):
         train, train.drop("sample_weight"), 16, QuantizerParams(W=4, L=1, d=4, kmeans_iterations=1, dead_code_reset=False), settings
     )
     assert len(history) == 3
+
+
+class Stopped(Exception):
+    pass
+
+
+@pytest.mark.parametrize("mode", ["local", "sync"])
+def test_a_stopped_training_goes_on(spark, tmp_path, monkeypatch, mode):
+    settings = TrainParams(lr=3e-3, batch_size=200, max_epochs=4, patience=4, min_delta=0.0, seed=1, mode=mode, shards=4, rows_per_round=250)
+    train, state = weighted(spark), str(tmp_path / "state")
+
+    def run(path=None, training=settings, rows=train):
+        return T.train_quantizer(rows, rows.drop("sample_weight"), 16, SMALL, training, state_path=path)
+
+    whole, history = run()
+    check, calls = T.validation, []
+
+    def stops(*given):
+        calls.append(1)
+        if len(calls) == 3:
+            raise Stopped
+        return check(*given)
+
+    with monkeypatch.context() as m:
+        m.setattr(T, "validation", stops)
+        with pytest.raises(Stopped):
+            run(state)
+    folder = next(Path(state).iterdir())
+    assert resume.complete_epochs(spark, str(folder)) == [1]
+    # What a broken write leaves behind does not count.
+    (folder / "epoch=2").mkdir()
+    with monkeypatch.context() as m:
+        m.setattr(T, "initial_model", None)
+        again, more = run(state)
+        # A run that had ended only returns its result.
+        m.setattr(T, "local_round", None)
+        m.setattr(T, "gradient_round", None)
+        assert run(state)[1] == more
+    assert [h.epoch for h in more] == [0, 1, 2, 3]
+    for a, b in zip(history, more):
+        np.testing.assert_allclose(
+            [a.train_loss, a.val_reconstruction, a.val_normalized_utilization], [b.train_loss, b.val_reconstruction, b.val_normalized_utilization],
+            rtol=1e-9,
+        )
+        assert a.dead_codes_reset == b.dead_codes_reset
+    np.testing.assert_allclose(whole.codebooks, again.codebooks, rtol=1e-8, atol=1e-10)
+    # Other rows or settings do not meet this state.
+    one = replace(settings, max_epochs=1)
+    assert len(run(state, replace(one, lr=1e-3))[1]) == 1 and len(run(state, one, train.where("product_id > 0"))[1]) == 1
+    assert len(list(Path(state).iterdir())) == 3
+
+
+def test_an_early_stop_stays_one(spark, tmp_path):
+    settings = TrainParams(lr=0.0, max_epochs=9, patience=2, min_delta=1.0, seed=1)
+    train, state = weighted(spark), str(tmp_path / "state")
+    runs = [T.train_quantizer(train, train.drop("sample_weight"), 16, SMALL, settings, state_path=state)[1] for _ in range(2)]
+    assert runs[0] == runs[1] and len(runs[0]) < 9
