@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codeloom.functions.names import ID_VERSION, LEAGUE, PRODUCT_ID, TEAM, level_columns
 from codeloom.operators.prepare import prepare
-from codeloom.operators.quantize import add_dedup_index, assign_codes
+from codeloom.operators.quantize import Artifact, add_dedup_index, assign_codes
 from codeloom.operators.resume import forget
 from codeloom.operators.sampling import add_sample_weight, with_split
 from codeloom.operators.training import EpochStats, history_frame, train_quantizer
@@ -38,19 +41,34 @@ def run_training(
     """
     if artifact_exists(spark, output, params.code_version):
         raise FileExistsError(f"version {params.code_version} already exists under {output}")
-    prep, weights = params.prep, params.weights
+    prior = load_artifact(spark, output, warm_start) if warm_start else None
+    with split_rows(spark, source, params, columns) as rows:
+        return train_version(spark, rows, output, params, prior)
+
+
+@contextmanager
+def split_rows(spark: SparkSession, source: str, params: RunParams, columns: Columns = None) -> Iterator[DataFrame]:
+    """Prepared rows with `is_val`, as a table inside the block."""
+    prep = params.prep
     ready = prepare(read_catalog(spark, source, columns), prep.embedding_dim)
     split = with_split(ready, prep.val_fraction, prep.split_seed, list(prep.strata_columns))
-    prior = load_artifact(spark, output, warm_start) if warm_start else None
-    state = f"{output.rstrip('/')}/training/{ID_VERSION}={params.code_version}"
     with stored(split, "split", ["is_val"]) as rows:
-        train = add_sample_weight(
-            rows.where(~F.col("is_val")),
-            weights.hot_bucket_top_k, weights.hot_bucket_weight, weights.hot_market_weight,
-        )
-        artifact, history = train_quantizer(
-            train, rows.where("is_val"), prep.embedding_dim, params.quantizer, params.training, prior, state
-        )
+        yield rows
+
+
+def train_version(
+    spark: SparkSession, rows: DataFrame, output: str, params: RunParams, prior: Artifact | None = None
+) -> tuple[str, list[EpochStats]]:
+    """Weight and train on split rows, save the artifact with its history."""
+    prep, weights = params.prep, params.weights
+    state = f"{output.rstrip('/')}/training/{ID_VERSION}={params.code_version}"
+    train = add_sample_weight(
+        rows.where(~F.col("is_val")),
+        weights.hot_bucket_top_k, weights.hot_bucket_weight, weights.hot_market_weight,
+    )
+    artifact, history = train_quantizer(
+        train, rows.where("is_val"), prep.embedding_dim, params.quantizer, params.training, prior, state
+    )
     path = artifact_path(output, params.code_version)
     history_frame(spark, history).coalesce(1).write.mode("overwrite").parquet(f"{path}/history")
     save_artifact(spark, artifact, output, params.code_version, prep.embedding_set_version, artifact.metadata)

@@ -16,6 +16,7 @@ from codeloom.operators.prepare import drop_invalid_embeddings, prepare, reject_
 from codeloom.operators.resume import forget
 from codeloom.operators.sampling import add_sample_weight, with_split
 from codeloom.params import QuantizerParams, TrainParams
+from codeloom.plans import grid
 from codeloom.plans import quality as ql
 from codeloom.session import new_table_path
 from codeloom.sources.catalog import read_catalog, source_files
@@ -170,6 +171,19 @@ def assign_kmeans(spark, sf):
     return qz.assign_codes(prepared(spark, sf), seeded_model(spark, sf, LLOYD))
 
 
+@register(
+    "code_grid",
+    with_sql(*residual_sql(), CODED_SQL, "tagged AS (SELECT * FROM coded JOIN unit USING (product_id))")
+    + f"""SELECT {WIDTH} AS "W", 1 AS "L", {DIM} AS d, league, CAST(c1 AS VARCHAR) AS codes, count(*) AS n FROM tagged GROUP BY league, c1
+      UNION ALL SELECT {WIDTH}, 2, {DIM}, league, concat_ws('-', c1, c2), count(*) FROM tagged GROUP BY league, c1, c2""",
+)
+def code_grid(spark, sf):
+    """Rows of each league and tuple of codes under two configurations, coded in one scan."""
+    models = {(WIDTH, depth, DIM): seeded_model(spark, sf, depth=depth) for depth in (1, DEPTH)}
+    counts = grid.grid_counts(grid.code_grid(prepared(spark, sf), models, ["league"]), ["league"])
+    return counts.withColumn("codes", F.concat_ws("-", F.col("codes").cast("array<string>")))
+
+
 @register(
     "kmeans_codebook",
     with_sql(*residual_sql(LLOYD))

@@ -3,10 +3,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from codeloom.functions.names import level_columns
-from codeloom.operators.quantize import Artifact, add_dedup_index
+from codeloom.operators.prepare import prepare
+from codeloom.operators.quantize import Artifact, add_dedup_index, assign_codes
 from codeloom.params import EvalParams, PrepParams, QuantizerParams, RunParams, TrainParams, WeightParams
+from codeloom.plans import grid
 from codeloom.plans.pipeline import run_assignment, run_evaluation, run_training
-from codeloom.sources.catalog import read_taxonomy, synthetic_catalog
+from codeloom.sources.catalog import read_catalog, read_taxonomy, synthetic_catalog
 from codeloom.sources.tables import load_artifact, write_full_mapping
 from codeloom.streaming.ingest import append_slots, coded_stream, ingest, read_batches
 
@@ -95,3 +97,28 @@ def test_warm_started_retrain(spark, trained):
     _, more = run_training(spark, source, output, params, warm_start="run-v1")
     assert more[0].val_reconstruction < history[0].val_reconstruction * 1.2
     assert load_artifact(spark, output, "run-v2").codebooks.shape == (2, 16, 8)
+
+
+def test_a_sweep_runs(spark, trained, tmp_path, monkeypatch):
+    source, output = trained[0], str(tmp_path / "out")
+    from dataclasses import replace
+
+    params = replace(PARAMS, training=replace(PARAMS.training, max_epochs=1))
+    configs = [(16, 2, 8), (8, 1, 4)]
+    table = grid.run_grid(spark, source, output, configs, params)
+    rows = {(r.W, r.L, r.d): r for r in table.collect()}
+    assert set(rows) == set(configs) and all(r.records == 5 * k[1] for k, r in rows.items())
+    # Codes of the one scan are those of each model alone.
+    ready = prepare(read_catalog(spark, source), 128)
+    models = {c: load_artifact(spark, output, grid.version_of(params, c)) for c in configs}
+    coded = grid.code_grid(ready, models, ["product_id"])
+    for config in configs:
+        alone = assign_codes(ready, models[config])
+        names = [F.col("codes")[i].alias(c) for i, c in enumerate(level_columns(config[1]))]
+        own = coded.where((F.col("W") == config[0]) & (F.size("codes") == config[1])).select("product_id", *names)
+        assert own.count() == 4000 and own.exceptAll(alone).isEmpty()
+    assert coded._jdf.queryExecution().toString().count("FileScan") == 1
+    # A second run trains nothing.
+    monkeypatch.setattr(grid, "train_version", None)
+    again = grid.run_grid(spark, source, output, configs, params)
+    assert {(r.W, r.L, r.d): r for r in again.collect()} == rows
