@@ -7,7 +7,6 @@ the chunks before it. The result is the same row_number, from one shuffle of the
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, Window
@@ -19,6 +18,8 @@ from pyspark.sql import types as T
 HOT_ROWS = 2_000_000
 GROUP_SHARE = 1000
 SKETCH_ITEMS = 20_000
+# Sampled sort keys for each chunk; chunks then differ by about a sixteenth.
+CUT_SAMPLES = 256
 
 
 def hot_groups(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> tuple[list[Row], int]:
@@ -51,44 +52,44 @@ def _same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
-def _cut_points(df: DataFrame, keys: list[str], spread: Column, hot: list[Row], limit: int) -> DataFrame:
-    """One row per hot group: total, and approximate quantiles of the sort key in blocks."""
+def _cut_points(df: DataFrame, keys: list[str], order: list[str], hot: list[Row], limit: int) -> DataFrame:
+    """One row per hot group: total, and bounds of the whole sort key in blocks.
+
+    The bounds come from a sample by hash of the sort key, about CUT_SAMPLES distinct keys for each `limit` rows
+    with their counts; rows with equal sort keys are combined before the shuffle and never cut apart.
+    """
     spark = df.sparkSession
     key_fields = [df.schema[k] for k in keys]
-    most = max(math.ceil(row["total"] / limit) for row in hot)
-    points = [i / most for i in range(1, most)] or [0.5]
     listed = spark.createDataFrame(
-        [tuple(row[k] for k in keys) for row in hot], T.StructType(key_fields)
+        [(*[row[k] for k in keys], row["total"]) for row in hot], T.StructType([*key_fields, T.StructField("total_", T.LongType())])
+    )
+    share = min(1.0, CUT_SAMPLES / limit)
+    picked = df.where(F.pmod(F.xxhash64(*order, F.lit("cut")), F.lit(1 << 30)) < int(share * (1 << 30))).select(
+        *keys, F.struct(*[F.col(c) for c in order]).alias("at_")
     )
-    inside = df.select(*keys, spread.cast("long").alias("spread_"))
-    joined = inside.join(F.broadcast(listed), _same_keys(inside, listed, keys), "left_semi")
-    cuts = joined.groupBy(*keys).agg(
-        F.percentile_approx("spread_", points, F.lit(10_000)).alias("cuts"), F.count(F.lit(1)).alias("total")
+    sample = (
+        picked.join(F.broadcast(listed), _same_keys(picked, listed, keys), "left_semi")
+        .groupBy(*keys, "at_")
+        .agg(F.count(F.lit(1)).alias("n_"))
     )
-    side = max(1, math.isqrt(len(points)))
-    records = []
-    for row in cuts.collect():
-        values = sorted(set(row["cuts"]))
-        step = max(1, math.floor(len(values) * limit / row["total"]))
-        values = values[::step]
-        blocks = [values[i : i + side] for i in range(0, len(values), side)]
-        records.append((*[row[k] for k in keys], row["total"], [b[0] for b in blocks], blocks, side))
-    schema = T.StructType(
-        key_fields
-        + [
-            T.StructField("total_", T.LongType()),
-            T.StructField("heads_", T.ArrayType(T.LongType())),
-            T.StructField("blocks_", T.ArrayType(T.ArrayType(T.LongType()))),
-            T.StructField("side_", T.IntegerType()),
-        ]
+    before = Window.partitionBy(*keys).orderBy("at_").rowsBetween(Window.unboundedPreceding, -1)
+    piece = F.floor(F.coalesce(F.sum("n_").over(before), F.lit(0)) / F.lit(max(1.0, share * limit)))
+    bounds = sample.withColumn("piece_", piece).groupBy(*keys, "piece_").agg(F.max("at_").alias("cut_"))
+    cuts = bounds.groupBy(*keys).agg(F.sort_array(F.collect_list("cut_")).alias("cuts_"))
+    cuts = cuts.withColumn("side_", F.ceil(F.sqrt(F.size("cuts_"))).cast("int"))
+    starts = F.sequence(F.lit(1), F.size("cuts_"), F.col("side_"))
+    cuts = cuts.withColumn("blocks_", F.transform(starts, lambda at: F.slice("cuts_", at, F.col("side_"))))
+    known = cuts.select(*keys, F.transform("blocks_", lambda block: block[0]).alias("heads_"), "blocks_", "side_")
+    both = listed.join(known, _same_keys(listed, known, keys), "left").select(
+        *[listed[k] for k in keys], "total_", "heads_", "blocks_", "side_"
     )
-    return spark.createDataFrame(records, schema)
+    return spark.createDataFrame(both.collect(), both.schema)
 
 
-def _chunk(spread: Column) -> Column:
-    """Number of cut points below the sort key, found block by block."""
-    before = F.size(F.filter("heads_", lambda head: head < spread))
-    inner = F.size(F.filter(F.element_at("blocks_", before), lambda cut: cut < spread))
+def _chunk(at: Column) -> Column:
+    """Number of bounds below the sort key, found block by block."""
+    before = F.size(F.filter("heads_", lambda head: head < at))
+    inner = F.size(F.filter(F.element_at("blocks_", before), lambda cut: cut < at))
     return (
         F.when(F.col("heads_").isNull(), 0)
         .when(before == 0, 0)
@@ -100,29 +101,27 @@ def ranked(
     df: DataFrame,
     keys: list[str],
     order: list[str],
-    spread: Column | None = None,
     rank: str = "rank",
     size: str | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add the 1-based rank of a row in its group by `order`, and the group size if named.
 
-    `spread` is a whole number that never falls along `order` (default: the first order column).
-    The input should be a table or a cheap plan: finding the hot groups reads the key columns.
+    The order columns may have any type that Spark sorts; the first of them may be constant. Rows that agree in all
+    of them stay in one chunk. The input should be a table or a cheap plan: finding the hot groups reads the key columns.
     """
-    spread = F.col(order[0]) if spread is None else spread
     hot, limit = hot_groups(df, keys, hot_rows)
     if not hot:
         group = Window.partitionBy(*keys)
         out = df.withColumn(rank, F.row_number().over(group.orderBy(*order)).cast("long"))
         return out.withColumn(size, F.count(F.lit(1)).over(group)) if size else out
 
-    cuts = _cut_points(df, keys, spread, hot, limit)
+    cuts = _cut_points(df, keys, order, hot, limit)
     helper = ["total_", "heads_", "blocks_", "side_"]
     tagged = (
         df.join(F.broadcast(cuts), _same_keys(df, cuts, keys), "left")
         .select(*[df[c] for c in df.columns], *[cuts[c] for c in helper])
-        .withColumn("chunk_", _chunk(spread.cast("long")))
+        .withColumn("chunk_", _chunk(F.struct(*[F.col(c) for c in order])))
         .drop("heads_", "blocks_", "side_")
     )
     per_chunk = (

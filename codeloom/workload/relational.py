@@ -210,6 +210,21 @@ def dedup_slots_split(spark, sf):
     return add_dedup_index(lines(spark, sf).select(PRODUCT_ID, "c3"), ["c3"], hot_rows=100)
 
 
+@register(
+    "slots_by_text",
+    with_sql(LINES_SQL)
+    + """SELECT product_id, league, row_number() OVER (PARTITION BY league ORDER BY 'all', team, 'k' || CAST(product_id AS VARCHAR)) AS place,
+      count(*) OVER (PARTITION BY league) AS league_size FROM big""",
+)
+def slots_by_text(spark, sf):
+    """Three groups cut along a sort key of texts whose first column is constant."""
+    texts = lines(spark, sf).select(
+        PRODUCT_ID, "league", "team", F.lit("all").alias("first"), F.concat(F.lit("k"), F.col(PRODUCT_ID).cast("string")).alias("name")
+    )
+    placed = ranked(texts, ["league"], ["first", "team", "name"], rank="place", size="league_size", hot_rows=100)
+    return placed.select(PRODUCT_ID, "league", "place", "league_size")
+
+
 @register(
     "max_dedup",
     with_sql(LINES_SQL)

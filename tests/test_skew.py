@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from codeloom.operators.quantize import add_dedup_index
-from codeloom.operators.ranking import hot_groups
+from codeloom.operators.ranking import hot_groups, ranked
 from codeloom.operators.sampling import thin
 from codeloom.plans import lookup as L
 from codeloom.streaming.ingest import append_slots
@@ -59,3 +59,38 @@ def test_thin_keeps_about_the_fraction_and_is_repeatable(spark):
     first = thin(df, 0.25, 1, "x")
     assert 4700 < first.count() < 5300
     assert first.exceptAll(thin(df.repartition(9), 0.25, 1, "x")).isEmpty()
+
+
+def test_hot_groups_are_cut_on_any_sort_key(spark):
+    """A constant first column, texts with nulls and a date; a key that many rows share is not cut apart."""
+    text = F.when(F.col("id") % 97 == 0, None).otherwise(F.concat(F.lit("x"), F.md5(F.col("id").cast("string"))))
+    rows = spark.range(9000).select(
+        "id", F.when(F.col("id") % 3 == 0, None).otherwise((F.col("id") % 50).cast("int")).alias("g"), F.lit("same").alias("first"),
+        text.alias("name"), F.date_add(F.lit("2024-01-01"), (F.col("id") % 700).cast("int")).alias("day"),
+    )
+    order = ["first", "name", "day", "id"]
+    plain = ranked(rows, ["g"], order, size="n")
+    cut = ranked(rows, ["g"], order, size="n", hot_rows=100)
+    assert cut.schema == plain.schema and cut.count() == 9000
+    assert plain.exceptAll(cut).isEmpty() and cut.exceptAll(plain).isEmpty()
+
+
+def test_chunks_of_a_hot_group_are_even(spark):
+    from codeloom.operators import ranking
+
+    rows = spark.range(40000).select(F.lit(1).alias("g"), F.lit(0).alias("first"), F.md5(F.col("id").cast("string")).alias("name"))
+    hot, limit = hot_groups(rows, ["g"], hot_rows=2000)
+    cuts = ranking._cut_points(rows, ["g"], ["first", "name"], hot, limit)
+    chunks = rows.join(cuts, "g").select(ranking._chunk(F.struct("first", "name")).alias("c")).groupBy("c").count().collect()
+    assert 18 <= len(chunks) <= 23 and max(r["count"] for r in chunks) < 2 * limit
+
+
+def test_a_sort_key_that_a_third_of_the_rows_share(spark):
+    rows = spark.range(6000).select(
+        F.lit(1).alias("g"), F.when(F.col("id") % 3 == 0, "tie").otherwise(F.md5(F.col("id").cast("string"))).alias("name")
+    )
+    got = ranked(rows, ["g"], ["name"], hot_rows=500)
+    ranks = sorted(r["rank"] for r in got.collect())
+    assert ranks == list(range(1, 6001))
+    ties = sorted(r["rank"] for r in got.where("name = 'tie'").collect())
+    assert ties == list(range(4001, 6001))
