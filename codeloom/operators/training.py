@@ -6,13 +6,14 @@ task reduces its rows to one state of that size, and Spark adds the states block
 
 from __future__ import annotations
 
+import base64
 import math
 from dataclasses import asdict, dataclass, replace
-from itertools import groupby
+from itertools import groupby, repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import BarrierTaskContext, StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -41,6 +42,8 @@ from codeloom.params import QuantizerParams, TrainParams
 from codeloom.session import stored
 
 BLOCK = 4096
+# What the tasks of a barrier stage may send each other in one step, all together.
+GATHERED_BYTES = 64 << 20
 DOUBLES = T.ArrayType(T.DoubleType())
 
 
@@ -320,11 +323,9 @@ def gradient_sums(
     rows: DataFrame, model: Model, quantizer: QuantizerParams
 ) -> tuple[np.ndarray, dict[str, np.ndarray], np.ndarray, np.ndarray]:
     """Sums over all `rows` (vector, copies): (rows, reconstruction, quantization per level), gradients, code counts, code sums."""
-    names = model.names()
+    names, shapes = model.names(), _state_shapes(model)
     shared = rows.sparkSession.sparkContext.broadcast((model.weights, list(model.books)))
-    beta, width, levels = quantizer.beta, model.books.shape[1], model.books.shape[0]
-    shapes = [(1 + levels + 1,)] + [model.weights[n].shape for n in names]
-    shapes += [(levels, width), model.books.shape]
+    beta = quantizer.beta
     length = sum(int(np.prod(s)) for s in shapes)
 
     def run(batches):
@@ -359,6 +360,112 @@ def gradient_round(rows: DataFrame, model: Model, quantizer: QuantizerParams, lr
     return {"rows": float(n), "loss": float(loss), "usage": counts}
 
 
+def barrier_tasks(spark, state_length: int) -> int:
+    """Tasks for `barrier_rounds`: at most the cores, and no more than may exchange their states. 0: no barrier stage here.
+
+    Every task gets the states of all tasks through the driver, so their sum has a limit.
+    """
+    if spark.conf.get("spark.dynamicAllocation.enabled", "false") == "true":
+        return 0  # Spark runs no barrier stage then
+    # Eight bytes a number, in base64.
+    return min(spark.sparkContext.defaultParallelism, GATHERED_BYTES // (11 * state_length))
+
+
+def _state_shapes(model: Model) -> list[tuple[int, ...]]:
+    """Head (rows, reconstruction, quantization per level), gradients by name, code counts, code sums."""
+    levels, width, _ = model.books.shape
+    return [(2 + levels,)] + [model.weights[n].shape for n in model.names()] + [(levels, width), model.books.shape]
+
+
+def state_length(d_in: int, quantizer: QuantizerParams) -> int:
+    """Numbers in the sums of one step."""
+    weights = sum(a.size for a in fresh_weights(d_in, quantizer.d, 0).values())
+    return 2 + quantizer.L + weights + quantizer.L * quantizer.W * (1 + quantizer.d)
+
+
+def barrier_rounds(
+    rows: DataFrame, model: Model, quantizer: QuantizerParams, lr: float, rounds: int, tasks: int, seed: int
+) -> list[dict[str, object]]:
+    """`gradient_round` for every slice 0 .. rounds - 1 of `rows` (vector, copies, key, slice), in one job.
+
+    A barrier stage holds the rows by a seeded hash, each task's sorted by slice. After a slice all tasks gather
+    the sums of all, add them in task order and take the same step; the first returns the model and
+    what each step saw. If an executor is lost, Spark runs the whole stage again from the model broadcast.
+    """
+    names, shapes = model.names(), _state_shapes(model)
+    shared = rows.sparkSession.sparkContext.broadcast(
+        (model.weights, model.m, model.v, model.step, model.sizes, model.sums, model.books)
+    )
+    beta, gamma = quantizer.beta, quantizer.gamma
+    length = sum(int(np.prod(shape)) for shape in shapes)
+
+    def run(batches):
+        context = BarrierTaskContext.get()
+        weights, m, v, *rest = shared.value
+        mine = Model({k: a.copy() for k, a in weights.items()}, {k: a.copy() for k, a in m.items()}, {k: a.copy() for k, a in v.items()}, *rest)
+        seen = []
+
+        def step(state: np.ndarray) -> None:
+            told = context.allGather(base64.b64encode(state.tobytes()).decode("ascii"))
+            total = np.zeros(length)
+            for text in told:
+                total += np.frombuffer(base64.b64decode(text))
+            head, *parts = _unpack(total, shapes)
+            counts, sums = parts[len(names)], parts[len(names) + 1]
+            if head[0]:
+                mine.step += 1
+                adamw(mine.weights, mine.m, mine.v, {n: g / head[0] for n, g in zip(names, parts)}, mine.step, lr)
+                mine.sizes, mine.sums, mine.books = ema_codebooks(mine.sizes, mine.sums, counts, sums, gamma)
+            seen.append(np.concatenate([head, counts.reshape(-1)]))
+
+        at, state = 0, np.zeros(length)
+        for batch in batches:
+            slices = batch.column(2).to_numpy(zero_copy_only=False)
+            edges = [0, *(np.flatnonzero(np.diff(slices)) + 1), len(slices)]
+            for begin, end in zip(edges, edges[1:]):
+                if end == begin:
+                    continue
+                while at < slices[begin]:  # slices this task has no rows of are steps too
+                    step(state)
+                    at, state = at + 1, np.zeros(length)
+                x = _repeated(batch.slice(begin, end - begin))
+                if len(x):
+                    out = batch_step(x, mine.weights, list(mine.books), beta)
+                    head = np.array([len(x), out["reconstruction"], *out["quantization"]])
+                    state += _pack([head, *[out["gradients"][n] for n in names], out["counts"], out["sums"]])
+        while at < rounds:
+            step(state)
+            at, state = at + 1, np.zeros(length)
+        if context.partitionId() == 0:
+            arrays = [mine.weights[n] for n in names] + [mine.m[n] for n in names] + [mine.v[n] for n in names]
+            yield _state_blocks(_pack([np.array([mine.step]), *arrays, mine.sizes, mine.sums, *seen]))
+
+    mixed = seeded_md5(PRODUCT_ID, seed, "task")
+    placed = rows.select(EMBEDDING, "copies", "slice", mixed.alias("place"), PRODUCT_ID)
+    ordered = placed.repartition(tasks, "place").sortWithinPartitions("slice", "place", PRODUCT_ID)
+    blocks = ordered.select(EMBEDDING, "copies", "slice").mapInArrow(run, STATE_SCHEMA, barrier=True).collect()
+    if not blocks:  # no rows at all: Spark plans no stage
+        return [{"rows": 0.0, "loss": 0.0, "usage": np.zeros(model.books.shape[:2])} for _ in range(rounds)]
+    flat = np.concatenate([np.asarray(r["values"]) for r in sorted(blocks, key=lambda r: r["block"])])
+    levels, width, _ = model.books.shape
+    kinds = [(1,)] + [model.weights[n].shape for n in names] * 3 + [(levels, width), model.books.shape]
+    kinds += [(2 + levels + levels * width,)] * rounds
+    (step,), *parts = _unpack(flat, kinds)
+    k = len(names)
+    for i, group in enumerate((model.weights, model.m, model.v)):
+        for name, array in zip(names, parts[i * k : (i + 1) * k]):
+            group[name] = array.copy()
+    model.step, model.sizes, model.sums = int(step), parts[3 * k].copy(), parts[3 * k + 1].copy()
+    if any(head[0] for head in parts[3 * k + 2 :]):
+        model.books = codebooks_from(model.sizes, model.sums)
+    out = []
+    for told in parts[3 * k + 2 :]:
+        n, head = told[0], told[: 2 + levels]
+        loss = (head[1] + (1 + beta) * head[2:].sum()) / n if n else 0.0
+        out.append({"rows": float(n), "loss": float(loss), "usage": told[2 + levels :].reshape(levels, width)})
+    return out
+
+
 def local_round(
     rows: DataFrame, model: Model, quantizer: QuantizerParams, lr: float, batch_size: int, shards: int, seed: int
 ) -> dict[str, object]:
@@ -585,7 +692,11 @@ def train_quantizer(
         raise ValueError("no training rows")
     per_round = training.batch_size if training.mode == "sync" else training.rows_per_round
     rounds = max(1, math.ceil(totals["n"] / per_round))
-    layout = ["slice"] if rounds > 1 else None
+    tasks = 0
+    if training.mode == "sync":
+        tasks = barrier_tasks(train.sparkSession, state_length(d_in, quantizer))
+    # One job per round reads its own folder; one job per epoch reads all rows.
+    layout = ["slice"] if rounds > 1 and not tasks else None
     with stored(sliced_rows(train, training.seed, rounds), "train", layout) as table:
         with stored(val.select(PRODUCT_ID, EMBEDDING), "val") as held_out:
             state = None
@@ -598,12 +709,15 @@ def train_quantizer(
                 start = warm_start and arrays_digest({"": warm_start.codebooks, **warm_start.weights})
                 name = fingerprint(sums, totals["n"], rounds, d_in, asdict(quantizer), settings, start)
                 state = f"{state_path.rstrip('/')}/run={name}"
-            return _epochs(table, held_out, totals["n"], totals["w"], rounds, d_in, quantizer, training, warm_start, state)
+            return _epochs(
+                table, held_out, totals["n"], totals["w"], rounds, d_in, quantizer, training, warm_start, state, tasks
+            )
 
 
 def _epochs(
     table: DataFrame, held_out: DataFrame, n_rows: int, weight_sum: float, rounds: int, d_in: int,
     quantizer: QuantizerParams, training: TrainParams, warm_start: Artifact | None, state: str | None,
+    tasks: int = 0,
 ) -> tuple[Artifact, list[EpochStats]]:
     spark = table.sparkSession
     before = last_epoch(spark, state) if state else None
@@ -624,23 +738,27 @@ def _epochs(
     def frozen(state: Model) -> Artifact:
         return Artifact(codebooks=state.books, weights=state.weights, d_in=d_in)
 
+    def one_round(epoch: int, part: int) -> dict[str, object]:
+        drawn = resample_copies(table.where(F.col("slice") == part), n_rows, weight_sum, training.seed, epoch)
+        rows = drawn.where("copies > 0").select(EMBEDDING, "copies", PRODUCT_ID)
+        if training.mode == "sync":
+            return gradient_round(rows, model, quantizer, training.lr)
+        return local_round(
+            rows, model, quantizer, training.lr, local_batch, training.shards, training.seed + 7919 * epoch + part
+        )
+
     for epoch in range(len(history), training.max_epochs):
         if stale and stale >= training.patience:
             break
         usage = np.zeros(model.books.shape[:2])
         losses = []
-        for part in range(rounds):
-            drawn = resample_copies(
-                table.where(F.col("slice") == part), n_rows, weight_sum, training.seed, epoch
-            )
-            rows = drawn.where("copies > 0").select(EMBEDDING, "copies", PRODUCT_ID)
-            if training.mode == "sync":
-                out = gradient_round(rows, model, quantizer, training.lr)
-            else:
-                out = local_round(
-                    rows, model, quantizer, training.lr, local_batch, training.shards,
-                    training.seed + 7919 * epoch + part,
-                )
+        if tasks:
+            drawn = resample_copies(table, n_rows, weight_sum, training.seed, epoch)
+            rows = drawn.where("copies > 0").select(EMBEDDING, "copies", "slice", PRODUCT_ID)
+            steps = barrier_rounds(rows, model, quantizer, training.lr, rounds, tasks, training.seed)
+        else:
+            steps = map(one_round, repeat(epoch), range(rounds))
+        for out in steps:
             if out["rows"]:
                 losses.append((out["loss"], out["rows"]))
                 usage += out["usage"]

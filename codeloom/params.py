@@ -51,7 +51,8 @@ class TrainParams:
     patience: int = 10
     min_delta: float = 1.0e-4
     seed: int = 42
-    # "sync": one optimizer step per Spark job, gradients summed by Spark.
+    # "sync": exact optimizer steps on batch_size rows; a barrier stage takes all steps of an epoch in one job (where
+    # Spark runs none, under dynamic allocation or for a large model, each step is a job that sums the gradients).
     # "local": every shard takes local steps of batch_size / shards rows, Spark averages the states.
     mode: str = "local"
     # Logical parts of a round; a row's part depends on its key alone. With more executors, raise it and batch_size.

@@ -319,3 +319,44 @@ def test_an_early_stop_stays_one(spark, tmp_path):
     train, state = weighted(spark), str(tmp_path / "state")
     runs = [T.train_quantizer(train, train.drop("sample_weight"), 16, SMALL, settings, state_path=state)[1] for _ in range(2)]
     assert runs[0] == runs[1] and len(runs[0]) < 9
+
+
+def test_one_barrier_job_takes_the_steps_of_many_jobs(spark, monkeypatch):
+    """With more tasks than rows in a slice, an empty slice, and dead codes in between."""
+    train = weighted(spark)
+    settings = TrainParams(lr=3e-3, batch_size=64, max_epochs=3, patience=3, min_delta=0.0, seed=1, mode="sync")
+    runs = []
+    for tasks in (0, 1, 3):
+        with monkeypatch.context() as m:
+            m.setattr(T, "barrier_tasks", lambda *given: tasks)
+            m.setattr(T, "gradient_round" if tasks else "barrier_rounds", None)
+            runs.append(T.train_quantizer(train, train.drop("sample_weight"), 16, SMALL, settings))
+    (plain, first), *others = runs
+    for artifact, history in others:
+        for a, b in zip(first, history, strict=True):
+            assert abs(a.train_loss - b.train_loss) < 1e-9 and abs(a.val_reconstruction - b.val_reconstruction) < 1e-9
+            assert a.dead_codes_reset == b.dead_codes_reset
+        np.testing.assert_allclose(plain.codebooks, artifact.codebooks, rtol=1e-7, atol=1e-9)
+        for name, values in plain.weights.items():
+            np.testing.assert_allclose(values, artifact.weights[name], rtol=1e-7, atol=1e-9)
+
+
+def test_barrier_steps_with_empty_tasks_and_slices(spark):
+    few = weighted(spark, parts=1).where("product_id < 3").withColumn("copies", F.lit(1)).withColumn("slice", F.lit(2))
+    model = T.initial_model(weighted(spark, parts=1), 16, SMALL, 3)
+    exact = model.copy()
+    told = T.barrier_rounds(few, model, SMALL, 1e-3, 4, 4, 1)
+    T.gradient_round(few.select("content_embedding", "copies"), exact, SMALL, 1e-3)
+    assert [s["rows"] for s in told] == [0.0, 0.0, float(few.count()), 0.0] and model.step == 1
+    for name in model.names():
+        np.testing.assert_allclose(model.weights[name], exact.weights[name], atol=1e-12)
+    before = model.copy()
+    none = T.barrier_rounds(few.where("product_id < 0"), model, SMALL, 1e-3, 2, 3, 1)
+    assert [s["rows"] for s in none] == [0.0, 0.0]
+    np.testing.assert_array_equal(before.books, model.books)
+
+
+def test_barrier_tasks_are_bounded_by_what_they_exchange(spark):
+    assert T.barrier_tasks(spark, 1000) == spark.sparkContext.defaultParallelism
+    assert T.barrier_tasks(spark, T.GATHERED_BYTES // 22) == 2 and T.barrier_tasks(spark, T.GATHERED_BYTES) == 0
+    assert T.state_length(16, SMALL) == sum(int(np.prod(s)) for s in T._state_shapes(T.initial_model(weighted(spark), 16, SMALL, 3)))
