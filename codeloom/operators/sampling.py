@@ -15,6 +15,8 @@ from codeloom.session import write_and_read
 
 # A top-K list up to this length is sent to every task.
 BROADCAST_ROWS = 10_000
+# Sizes and thresholds of up to this many strata are sent to every task, so that no row is moved to meet them.
+BROADCAST_STRATA = 200_000
 
 
 HASH_SPACE = float(16**15)
@@ -22,6 +24,10 @@ HASH_SPACE = float(16**15)
 REACHES = (6.0, 60.0, float("inf"))
 
 
+def _few(table: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(table) if rows <= BROADCAST_STRATA else table
+
+
 def _on(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[f"{c}__"]) for c in keys])
 
@@ -31,7 +37,7 @@ def _hash_number(key: Column | str, seed: int) -> Column:
     return leading_bits(seeded_md5(key, seed), 15)
 
 
-def _thresholds(keyed: DataFrame, sizes: DataFrame, strata: list[str], key: str, reach: float) -> DataFrame:
+def _thresholds(keyed: DataFrame, sizes: DataFrame, strata: list[str], key: str, reach: float, rows: int) -> DataFrame:
     """The last validation row (hash, key) of every stratum, if it lies within `reach`.
 
     Hashes are uniform, so the k-th smallest of n is near k/n of the range. Rows below that
@@ -42,7 +48,7 @@ def _thresholds(keyed: DataFrame, sizes: DataFrame, strata: list[str], key: str,
     width = reach * F.sqrt(k * (n - k) / n) + reach if math.isfinite(reach) else F.lit(HASH_SPACE) * n
     low = F.greatest(F.lit(0.0), (k - width) / n) * HASH_SPACE
     high = F.least(F.lit(1.0), (k + width) / n) * HASH_SPACE
-    near = keyed.join(sizes, _on(keyed, sizes, strata)).select(
+    near = keyed.join(_few(sizes, rows), _on(keyed, sizes, strata)).select(
         *[sizes[f"{c}__"] for c in strata], "wanted__", "hash_", key,
         (F.col("hash_") < F.floor(low)).alias("below"), (F.col("hash_") > F.ceil(high)).alias("above"),
     )
@@ -70,7 +76,7 @@ def with_split(
 
     The count per stratum is floor(n * f + 0.5), at least 1 and at most n - 1; a stratum of one row
     trains. Keys and strata are read to find one threshold per stratum; the rows are then marked
-    where they are (Spark broadcasts the thresholds if the written table is small).
+    where they are. Above `BROADCAST_STRATA` strata Spark chooses the joins by itself.
     """
     keyed = df.select(*strata, key, _hash_number(key, seed).alias("hash_"))
     counted = df.groupBy(*strata).agg(F.count(F.lit(1)).alias("size__")).where(F.col("size__") > 1)
@@ -79,6 +85,7 @@ def with_split(
     sizes = write_and_read(
         counted.select(*[F.col(c).alias(f"{c}__") for c in strata], "size__", wanted), "split-sizes"
     )
+    n_strata = sizes.count()
     limits = None
     for reach in reaches or REACHES:
         missing = sizes
@@ -88,11 +95,11 @@ def with_split(
             missing = sizes.join(known, same, "left_anti")
             if missing.isEmpty():
                 break
-        found = write_and_read(_thresholds(keyed, missing, strata, key, reach), "split-limits")
+        found = write_and_read(_thresholds(keyed, missing, strata, key, reach, n_strata), "split-limits")
         limits = found if limits is None else limits.unionByName(found)
     mine = F.struct(_hash_number(df[key], seed).alias("hash_"), df[key].alias(key))
     chosen = F.coalesce(mine <= F.col("last_"), F.lit(False))
-    return df.join(limits, _on(df, limits, strata), "left").select(
+    return df.join(_few(limits, n_strata), _on(df, limits, strata), "left").select(
         *[df[c] for c in df.columns], chosen.alias("is_val")
     )
 

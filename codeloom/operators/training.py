@@ -7,6 +7,7 @@ task reduces its rows to one state of that size, and Spark adds the states block
 from __future__ import annotations
 
 import base64
+import hashlib
 import math
 from dataclasses import asdict, dataclass, replace
 from itertools import groupby, repeat
@@ -33,7 +34,7 @@ from codeloom.functions.kernels import (
     run_layers,
 )
 from codeloom.functions.names import EMBEDDING, PRODUCT_ID
-from codeloom.functions.scalars import leading_bits, seeded_md5
+from codeloom.functions.scalars import leading_bits, seeded_md5, seeded_uniform
 from codeloom.operators.quantize import Artifact, encode
 from codeloom.operators.ranking import first_in_group
 from codeloom.operators.resume import arrays_digest, fingerprint, last_epoch, rows_checksum, save_epoch
@@ -161,19 +162,107 @@ def starting_centres(
     return rows[np.arange(width) % len(rows)]
 
 
+def _first_of_race(
+    df: DataFrame, column: str, books: list[np.ndarray], chosen: np.ndarray | None, draws: int, key: str, *seed: object
+) -> np.ndarray:
+    """Up to `draws` different residuals, drawn without replacement by squared distance to `chosen` (None: evenly).
+
+    Every row runs an exponential race at the rate of its distance; the first ones are the draw. Equal vectors run as
+    one, whose time is the earliest of its rows, so a vector counts with its rows. Each task keeps `draws` vectors.
+    """
+    shared = df.sparkSession.sparkContext.broadcast((books, chosen))
+
+    def run(batches):
+        earlier, known = shared.value
+        times, held = np.zeros(0), None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            rows = quantize_rows(matrix_of(batch.column(0)), earlier)[1][-1] + 0.0
+            rate = np.ones(len(rows)) if known is None else nearest(rows, known)[1]
+            lot = -np.log1p(-batch.column(1).to_numpy(zero_copy_only=False))
+            last = times[-1] if len(times) == draws else np.inf
+            able = np.flatnonzero(rate > 0)
+            able = able[lot[able] / rate[able] <= last]
+            both = np.r_[times, lot[able] / rate[able]]
+            held = rows[able] if held is None else np.concatenate([held, rows[able]])
+            order = np.argsort(both, kind="stable")
+            both, held = both[order], np.ascontiguousarray(held[order])
+            same = held.view(np.dtype((np.void, held.dtype.itemsize * held.shape[1]))).reshape(-1)
+            first = np.sort(np.unique(same, return_index=True)[1])[:draws]
+            times, held = both[first], held[first]
+        if len(times):
+            yield pa.RecordBatch.from_arrays([pa.array(times), list_of(held)], names=["time", "vec"])
+
+    lots = df.select(column, seeded_uniform(key, *seed).alias("lot"))
+    fastest = lots.mapInArrow(run, "time double, vec array<double>").groupBy("vec").agg(F.min("time").alias("time"))
+    rows = fastest.orderBy("time", "vec").limit(draws).collect()
+    return np.asarray([row["vec"] for row in rows], dtype=np.float64)
+
+
+def _spread_choice(points: np.ndarray, weights: np.ndarray, width: int, seed: int) -> np.ndarray:
+    """Indices of up to `width` of the different `points`: drawn by weight and distance, the best of a few draws each time."""
+    rng = np.random.default_rng(seed)
+    trials = 2 + int(math.log(width))
+    picked = [int(rng.choice(len(points), p=weights / weights.sum()))]
+    gap = points - points[picked[0]]
+    near = np.einsum("ij,ij->i", gap, gap)
+    while len(picked) < min(width, len(points)):
+        mass = weights * near
+        options = rng.choice(len(points), trials, p=mass / mass.sum())
+        gaps = points[None, :, :] - points[options][:, None, :]
+        nearer = np.minimum(near, np.einsum("kij,kij->ki", gaps, gaps))
+        best = int((nearer * weights).sum(axis=1).argmin())
+        near = nearer[best]
+        picked.append(int(options[best]))
+    return np.asarray(picked)
+
+
+def spread_centres(
+    df: DataFrame, column: str, books: list[np.ndarray], width: int, *seed: object, key: str = PRODUCT_ID,
+    rounds: int = 3,
+) -> np.ndarray:
+    """W different residuals after `books` that lie apart; repeated only if there are fewer different ones.
+
+    One row, then `rounds` draws of W by squared distance to all chosen so far, one scan each; at most 1 + rounds * W
+    candidates, weighted by the rows nearest to them, from which the driver picks W.
+    """
+    chosen = _first_of_race(df, column, books, None, 1, key, *seed, "start", 0)
+    if len(chosen) == 0:
+        raise ValueError("no rows to start the codebook from")
+    for turn in range(1, rounds + 1):
+        more = _first_of_race(df, column, books, chosen, width, key, *seed, "start", turn)
+        if len(more) == 0:
+            break
+        chosen = np.concatenate([chosen, more])
+    weights = np.ones(len(chosen))
+    for row in code_partials(df, column, [*books, chosen]).groupBy("code").agg(F.sum("n").alias("n")).collect():
+        weights[row["code"]] = max(1.0, row["n"])
+    mixed = int.from_bytes(hashlib.md5(repr(seed).encode()).digest()[:8], "big")
+    picked = chosen[_spread_choice(chosen, weights, width, mixed)]
+    return picked[np.arange(width) % len(picked)]
+
+
 def fit_codebooks(
-    df: DataFrame, column: str, width: int, levels: int, iterations: int, seed: int, key: str = PRODUCT_ID
+    df: DataFrame, column: str, width: int, levels: int, iterations: int, seed: int, key: str = PRODUCT_ID,
+    start: str = "rows",
 ) -> tuple[np.ndarray, np.ndarray, list[dict]]:
     """k-means level by level on the residuals of the level before.
 
     Returns codebooks, row counts per code, and the squared error of every iteration. `df` is read
-    once per iteration, so hand in a table or a persisted sample.
+    once per iteration, so hand in a table or a persisted sample. start: "rows" takes W rows by hash, "spread"
+    different residuals that lie apart.
     """
+    if start not in ("rows", "spread"):
+        raise ValueError(f"unknown start {start!r}")
     books: list[np.ndarray] = []
     sizes, log = [], []
     total = df.count()
     for level in range(levels):
-        centres = starting_centres(df, column, books, width, seed, level + 1, key=key, total=total)
+        if start == "spread":
+            centres = spread_centres(df, column, books, width, seed, level + 1, key=key)
+        else:
+            centres = starting_centres(df, column, books, width, seed, level + 1, key=key, total=total)
         counts = np.zeros(width)
         for iteration in range(iterations):
             new, counts, error = lloyd_step(df, column, [*books, centres])
@@ -639,7 +728,8 @@ def initial_model(
                 latent = latent.repartition(max(1, quantizer.init_probe_rows // 4096), PRODUCT_ID)
             latent = latent.persist(StorageLevel.MEMORY_AND_DISK)
             books, counts, _ = fit_codebooks(
-                latent, "latent", quantizer.W, quantizer.L, quantizer.kmeans_iterations, seed
+                latent, "latent", quantizer.W, quantizer.L, quantizer.kmeans_iterations, seed,
+                start=quantizer.kmeans_start,
             )
             latent.unpersist()
             sizes = np.full(shape[:2], max(float(counts[0].sum()) / quantizer.W, 1e-5))

@@ -30,6 +30,8 @@ class QuantizerParams:
     gamma: float = 0.99
     kmeans_init: bool = True
     kmeans_iterations: int = 20
+    # "spread": different residuals that lie apart; "rows": W rows by hash.
+    kmeans_start: str = "spread"
     # Rows for the k-means start and for dead codes; None: all rows.
     init_probe_rows: int | None = None
     dead_code_reset: bool = True

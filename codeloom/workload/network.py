@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from codeloom.functions.kernels import HIDDEN, layer_names
 from codeloom.functions.names import EMBEDDING, PRODUCT_ID
+from codeloom.functions.scalars import leading_bits, seeded_md5
 from codeloom.operators import quantize as qz
 from codeloom.operators import training as tr
 from codeloom.params import QuantizerParams
 from codeloom.workload.quantized import CODES, prepared, register
-from codeloom.workload.relational import rounded
+from codeloom.workload.relational import hashed, rounded
 from codeloom.workload.views import DAMAGED_SQL, DIM, UNIT_SQL, VALID_SQL, with_sql
 
 LATENT, WIDTH, DEPTH = 8, 16, 2
@@ -90,11 +91,15 @@ def decode_network(spark: SparkSession, sf: str) -> DataFrame:
     return decoded.withColumn("value", F.round("value", 6))
 
 
-def step_sums(spark: SparkSession, sf: str):
+def fresh_model() -> tr.Model:
     start = formula_model()
     zeros = {k: np.zeros_like(a) for k, a in start.weights.items()}
     books = start.codebooks
-    model = tr.Model(dict(start.weights), zeros, dict(zeros), 0, np.ones(books.shape[:2]), books.copy(), books.copy())
+    return tr.Model(dict(start.weights), zeros, dict(zeros), 0, np.ones(books.shape[:2]), books.copy(), books.copy())
+
+
+def step_sums(spark: SparkSession, sf: str):
+    model = fresh_model()
     rows = prepared(spark, sf).select(EMBEDDING, F.lit(1).alias("copies"))
     return tr.gradient_sums(rows, model, QuantizerParams(W=WIDTH, L=DEPTH, d=LATENT))
 
@@ -136,3 +141,37 @@ def usage_network(spark: SparkSession, sf: str) -> DataFrame:
     counts = step_sums(spark, sf)[2]
     rows = [(level + 1, code, float(n)) for level, used in enumerate(counts) for code, n in enumerate(used) if n]
     return spark.createDataFrame(rows, "level int, code int, rows_of_code double")
+
+
+STEPS = 4
+SLICES_SQL = f"""slices AS MATERIALIZED (SELECT product_id, CAST('0x' || substr({hashed('product_id', 'step')}, 1, 13) AS BIGINT) % {STEPS} AS step FROM unit)"""
+
+
+@register(
+    "exact_steps",
+    with_sql(*network_sql(), SLICES_SQL)
+    + f"""SELECT CAST(s.step AS INT) AS step, CAST(count(*) AS DOUBLE) AS n_rows, CASE WHEN s.step = 0 THEN (SELECT round((
+        (SELECT sum(x * x) / {DIM} FROM miss JOIN slices USING (product_id) WHERE step = 0)
+        + CAST(1.25 AS DOUBLE) / {LATENT} * ((SELECT sum(list_inner_product(v, v)) FROM rest1 JOIN slices USING (product_id) WHERE step = 0)
+        + (SELECT sum(list_inner_product(v, v)) FROM rest2 JOIN slices USING (product_id) WHERE step = 0)))
+        / (SELECT count(*) FROM slices WHERE step = 0), 8)) END AS first_loss, TRUE AS same_as_single_jobs
+      FROM slices s GROUP BY s.step""",
+)
+def exact_steps(spark: SparkSession, sf: str) -> DataFrame:
+    """Optimizer steps over all rows in one barrier job, each compared with a job of its own."""
+    quantizer = QuantizerParams(W=WIDTH, L=DEPTH, d=LATENT)
+    step = F.pmod(leading_bits(seeded_md5(PRODUCT_ID, "step"), 13), F.lit(STEPS)).cast("int").alias("slice")
+    rows = prepared(spark, sf).select(EMBEDDING, F.lit(1).alias("copies"), step, PRODUCT_ID).persist()
+    together, single = fresh_model(), fresh_model()
+    tasks = max(1, min(4, spark.sparkContext.defaultParallelism))
+    told = tr.barrier_rounds(rows, together, quantizer, 1e-3, STEPS, tasks, 1)
+    out = []
+    for at, seen in enumerate(told):
+        alone = tr.gradient_round(rows.where(F.col("slice") == at), single, quantizer, 1e-3)
+        same = abs(alone["loss"] - seen["loss"]) <= 1e-9 and np.array_equal(alone["usage"], seen["usage"])
+        if at + 1 == STEPS:
+            same = same and np.allclose(together.books, single.books, atol=1e-9)
+        out.append((at, seen["rows"], seen["loss"] if at == 0 else None, bool(same)))
+    rows.unpersist()
+    frame = spark.createDataFrame(out, "step int, n_rows double, first_loss double, same_as_single_jobs boolean")
+    return frame.where("n_rows > 0").withColumn("first_loss", F.round("first_loss", 8))

@@ -199,6 +199,31 @@ def kmeans_codebook(spark, sf):
     )
 
 
+@register(
+    "spread_start",
+    with_sql(DAMAGED_SQL, VALID_SQL, UNIT_SQL, "one AS MATERIALIZED (SELECT arg_min(v, product_id) AS v FROM unit)")
+    + f"""SELECT least({WIDTH}, count(DISTINCT v)) AS n_different, least({WIDTH}, count(DISTINCT v)) AS n_rows_of_table, count(*) AS n, TRUE AS not_worse
+      FROM (SELECT CASE WHEN product_id % 3 = 0 THEN (SELECT v FROM one) ELSE v END AS v FROM unit)""",
+)
+def spread_start(spark, sf):
+    """Start vectors where a third of the rows are one vector: all different, rows of the table, no worse after a k-means round."""
+    rows = prepared(spark, sf).select(PRODUCT_ID, EMBEDDING)
+    shared = F.lit(rows.agg(F.min_by(EMBEDDING, PRODUCT_ID).alias("v")).first()["v"]).cast(rows.schema[EMBEDDING].dataType)
+    rows = rows.withColumn(EMBEDDING, F.when(F.col(PRODUCT_ID) % 3 == 0, shared).otherwise(F.col(EMBEDDING))).persist()
+    spread = tr.spread_centres(rows, EMBEDDING, [], WIDTH, SEED)
+    plain = tr.starting_centres(rows, EMBEDDING, [], WIDTH, SEED)
+    after = [tr.lloyd_step(rows, EMBEDDING, [tr.lloyd_step(rows, EMBEDDING, [c])[0]])[2] for c in (spread, plain)]
+    n = rows.count()
+    rows.unpersist()
+    books = spark.createDataFrame([(c.tolist(),) for c in spread], "v array<double>").distinct()
+    vectors_ = rows.select(F.transform(EMBEDDING, lambda x: x.cast("double") + F.lit(0.0)).alias("v"))
+    found = vectors_.join(F.broadcast(books), "v", "left_semi").distinct().withColumn("hit", F.lit(1))
+    return books.join(found, "v", "left").agg(
+        F.count(F.lit(1)).alias("n_different"), F.count("hit").alias("n_rows_of_table"), F.lit(n).cast("long").alias("n"),
+        F.lit(bool(after[0] <= after[1])).alias("not_worse"),
+    )
+
+
 @register(
     "vector_collisions",
     with_sql(*residual_sql(LLOYD), CODED_SQL)

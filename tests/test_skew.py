@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from codeloom.operators.quantize import add_dedup_index
 from codeloom.operators.ranking import hot_groups, ranked
+from codeloom.operators import sampling
 from codeloom.operators.sampling import thin
 from codeloom.plans import lookup as L
 from codeloom.streaming.ingest import append_slots
@@ -94,3 +95,14 @@ def test_a_sort_key_that_a_third_of_the_rows_share(spark):
     assert ranks == list(range(1, 6001))
     ties = sorted(r["rank"] for r in got.where("name = 'tie'").collect())
     assert ties == list(range(4001, 6001))
+
+
+def test_split_with_few_and_with_many_strata(spark, monkeypatch):
+    rows = skewed(spark, 3000).withColumn("wide", F.sequence(F.lit(1), F.lit(20)))
+    few = sampling.with_split(rows, 0.2, 5, ["c1"])
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    monkeypatch.setattr(sampling, "BROADCAST_STRATA", 0)
+    many = sampling.with_split(rows, 0.2, 5, ["c1"])
+    assert few.exceptAll(many).isEmpty() and many.count() == 3000
+    assert few.where("is_val AND c1 = 7").count() == round(few.where("c1 = 7").count() * 0.2)

@@ -360,3 +360,30 @@ def test_barrier_tasks_are_bounded_by_what_they_exchange(spark):
     assert T.barrier_tasks(spark, 1000) == spark.sparkContext.defaultParallelism
     assert T.barrier_tasks(spark, T.GATHERED_BYTES // 22) == 2 and T.barrier_tasks(spark, T.GATHERED_BYTES) == 0
     assert T.state_length(16, SMALL) == sum(int(np.prod(s)) for s in T._state_shapes(T.initial_model(weighted(spark), 16, SMALL, 3)))
+
+
+def test_start_vectors_are_different_while_there_are_any(spark):
+    rnd = np.random.default_rng(4)
+    twelve = rnd.normal(0.0, 1.0, (12, 6))
+    rows = twelve[np.r_[np.zeros(200, int), rnd.integers(0, 12, 388), np.arange(12)]]
+    table = vectors(spark, rows).repartition(5).persist()
+    few = T.spread_centres(table, "content_embedding", [], 8, 3)
+    assert len(np.unique(few, axis=0)) == 8
+    many = T.spread_centres(table, "content_embedding", [], 16, 3)
+    assert many.shape == (16, 6) and len(np.unique(many, axis=0)) == 12
+    again = T.spread_centres(vectors(spark, rows).repartition(2), "content_embedding", [], 8, 3)
+    np.testing.assert_array_equal(few, again)
+    after = T.spread_centres(table, "content_embedding", [few], 16, 3)
+    assert len(np.unique(after, axis=0)) == len(np.unique(T.quantize_rows(rows, [few])[1][-1], axis=0))
+    with pytest.raises(ValueError):
+        T.spread_centres(table.where("product_id < 0"), "content_embedding", [], 4, 3)
+
+
+def test_a_spread_start_finds_far_clusters(spark):
+    """Sixteen clusters of very different sizes: a start by hash misses the small ones."""
+    rnd = np.random.default_rng(9)
+    centres = rnd.normal(0.0, 50.0, (16, 4))
+    rows = np.concatenate([c + rnd.normal(0.0, 0.1, (600 if i < 2 else 5, 4)) for i, c in enumerate(centres)])
+    table = vectors(spark, rows).persist()
+    errors = [T.fit_codebooks(table, "content_embedding", 16, 1, 1, 5, start=start)[2][0]["sse"] for start in ("spread", "rows")]
+    assert errors[0] < 0.01 * errors[1]
