@@ -4,7 +4,8 @@ For unit vectors, cosine >= c means a squared distance of at most 2 - 2c. The ve
 rotation and cut into `parts` blocks of neighbouring dimensions; a pair within the whole budget is within the
 block's share of it, in proportion to its dimensions, in at least one block. So each block is joined on its own by
 range: a block's space is cut at zero along its first axes, every vector has a home cell and visits those cells that
-a ball of the block's radius around it touches. Candidates are confirmed with the whole vectors in double
+a ball of the block's radius around it touches. Inside a cell both sides are sorted along one more axis, and only
+vectors within the radius on it are compared. Candidates are confirmed with the whole vectors in double
 precision. A pair counts in the first block that finds it, so the union needs no further pass over the pairs: tasks
 return the number of links of each vector and a spanning forest of the links they found, never the pairs.
 
@@ -30,6 +31,8 @@ PARTS = 8
 HOME_ROWS = 2048
 CELL_ROWS = 4096
 MOST_AXES = 6
+#: Visitors, in order of an axis, that are compared at once with the home vectors around them.
+STRIP = 128
 SEED = 7
 #: Slack of the single-precision filters; the decisions are made in double precision.
 SLACK = 1e-5
@@ -64,6 +67,13 @@ def visited(first: np.ndarray, radius2: float) -> list[int]:
     return [cell for cell, _ in found]
 
 
+def lifted(points: np.ndarray, left: bool) -> np.ndarray:
+    """Points with two more components, so that a left times a right one is their squared distance."""
+    squares, ones = (points * points).sum(axis=1), np.ones(len(points))
+    parts = [-2 * points, squares[:, None], ones[:, None]] if left else [points, ones[:, None], squares[:, None]]
+    return np.concatenate(parts, axis=1).astype(np.float32)
+
+
 def clean_vectors(rows: DataFrame, key: str, vector: str) -> DataFrame:
     """Representatives of equal usable vectors: rep, weight, values."""
     v = F.transform(F.col(vector), lambda x: x.cast("double"))
@@ -126,7 +136,13 @@ def joined(reps: DataFrame, kind: str, dim: int, n: int, cosine: float, parts: i
             if state["ids"] is None:
                 state["ids"] = np.array([h[0] for h in state["home"]], np.int64)
                 state["u"] = unit(np.frombuffer(b"".join([h[1] for h in state["home"]]), kind).reshape(-1, dim))
-                state["t"] = state["u"] @ turn
+                block = state["cell"][0]
+                a, b = edges[block], edges[block + 1]
+                turned = state["u"] @ turn
+                # In order of the block's last axis, which is cut into cells last of all, if at all.
+                line = np.argsort(turned[:, b - 1], kind="stable")
+                state["ids"], state["u"], state["t"] = state["ids"][line], state["u"][line], turned[line]
+                state["line"], state["x"] = state["t"][:, b - 1].copy(), lifted(state["t"][:, a:b], left=True)
                 state["home"] = None
                 state["forest"], state["parent"] = [], {}
                 state["counts"] = np.zeros(len(state["ids"]), np.int64)
@@ -139,12 +155,22 @@ def joined(reps: DataFrame, kind: str, dim: int, n: int, cosine: float, parts: i
             block = state["cell"][0]
             t = u @ turn
             a, b = edges[block], edges[block + 1]
-            x, y = state["t"][:, a:b].astype(np.float32), t[:, a:b].astype(np.float32)
-            near = x @ y.T
-            near *= -2
-            near += (x * x).sum(1)[:, None]
-            near += (y * y).sum(1)[None, :]
-            i, j = np.nonzero(near <= np.float32(share[block] + 2 * SLACK))
+            reach, limit = math.sqrt(share[block] + 2 * SLACK), np.float32(share[block] + 2 * SLACK)
+            y, line = lifted(t[:, a:b], left=False), t[:, b - 1]
+            order = np.argsort(line, kind="stable")
+            i, j = [], []
+            for low in range(0, len(order), STRIP):
+                strip = order[low : low + STRIP]
+                # Only home vectors within the block's radius along the axis can be near one of the strip.
+                first = np.searchsorted(state["line"], line[strip[0]] - reach, "left")
+                last = np.searchsorted(state["line"], line[strip[-1]] + reach, "right")
+                if first < last:
+                    p, q = np.nonzero(state["x"][first:last] @ y[strip].T <= limit)
+                    i.append(p + first)
+                    j.append(strip[q])
+            if not i:
+                return
+            i, j = np.concatenate(i), np.concatenate(j)
             for low in range(0, len(i), 1 << 16):
                 p, q = i[low : low + (1 << 16)], j[low : low + (1 << 16)]
                 p, q = (z[state["ids"][p] != ids[q]] for z in (p, q))
