@@ -53,7 +53,7 @@ def _same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
 
 
 def _cut_points(df: DataFrame, keys: list[str], order: list[str], hot: list[Row], limit: int) -> DataFrame:
-    """One row per hot group: total, and bounds of the whole sort key in blocks.
+    """One row per hot group: total, and the sorted bounds of the whole sort key.
 
     The bounds come from a sample by hash of the sort key, about CUT_SAMPLES distinct keys for each `limit` rows
     with their counts; rows with equal sort keys are combined before the shuffle and never cut apart.
@@ -75,25 +75,55 @@ def _cut_points(df: DataFrame, keys: list[str], order: list[str], hot: list[Row]
     before = Window.partitionBy(*keys).orderBy("at_").rowsBetween(Window.unboundedPreceding, -1)
     piece = F.floor(F.coalesce(F.sum("n_").over(before), F.lit(0)) / F.lit(max(1.0, share * limit)))
     bounds = sample.withColumn("piece_", piece).groupBy(*keys, "piece_").agg(F.max("at_").alias("cut_"))
-    cuts = bounds.groupBy(*keys).agg(F.sort_array(F.collect_list("cut_")).alias("cuts_"))
-    cuts = cuts.withColumn("side_", F.ceil(F.sqrt(F.size("cuts_"))).cast("int"))
-    starts = F.sequence(F.lit(1), F.size("cuts_"), F.col("side_"))
-    cuts = cuts.withColumn("blocks_", F.transform(starts, lambda at: F.slice("cuts_", at, F.col("side_"))))
-    known = cuts.select(*keys, F.transform("blocks_", lambda block: block[0]).alias("heads_"), "blocks_", "side_")
-    both = listed.join(known, _same_keys(listed, known, keys), "left").select(
-        *[listed[k] for k in keys], "total_", "heads_", "blocks_", "side_"
-    )
+    known = bounds.groupBy(*keys).agg(F.sort_array(F.collect_list("cut_")).alias("cuts_"))
+    both = listed.join(known, _same_keys(listed, known, keys), "left").select(*[listed[k] for k in keys], "total_", "cuts_")
     return spark.createDataFrame(both.collect(), both.schema)
 
 
-def _chunk(at: Column) -> Column:
-    """Number of bounds below the sort key, found block by block."""
-    before = F.size(F.filter("heads_", lambda head: head < at))
-    inner = F.size(F.filter(F.element_at("blocks_", before), lambda cut: cut < at))
+def _chunk(at: Column, cuts: str = "cuts_", most: int = 1 << 16) -> Column:
+    """Number of sorted bounds below the sort key, found by halving; there may be up to `most` of them."""
+    steps = F.array(*[F.lit(1 << bit) for bit in range(most.bit_length() - 1, -1, -1)])
+    asked = F.array(F.struct(F.col(cuts).alias("cuts"), at.alias("at")))  # made once per row
+
+    def search(x: Column) -> Column:
+        def further(low: Column, step: Column) -> Column:
+            found = (low + step <= F.size(x["cuts"])) & (F.element_at(x["cuts"], low + step) < x["at"])
+            return F.when(found, low + step).otherwise(low)
+
+        return F.aggregate(steps, F.lit(0), further)
+
+    return F.element_at(F.transform(asked, search), 1)
+
+
+def _with_chunk(df: DataFrame, cuts: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Adds `total_`, null outside of the hot groups, and `chunk_`, the number of bounds below the sort key.
+
+    A joined array is copied into its row, so a row meets every side-th bound of its group first and then the block
+    between two of these: with n bounds it carries twice the root of n, not n.
+    """
+    side = F.ceil(F.sqrt(F.size("cuts_"))).cast("int")
+    split = cuts.withColumn("side_", side).withColumn(
+        "blocks_", F.transform(F.sequence(F.lit(1), F.size("cuts_"), F.col("side_")), lambda at: F.slice("cuts_", at, F.col("side_")))
+    )
+    renamed = [F.col(k).alias(f"key_{i}_") for i, k in enumerate(keys)]
+    heads = split.select(*renamed, "total_", F.transform("blocks_", lambda block: block[0]).alias("heads_"))
+    blocks = split.select(*renamed, "side_", F.posexplode("blocks_").alias("before_", "block_"))
+    most = split.agg(F.max("side_")).first()[0] or 1
+    at = F.struct(*[F.col(c) for c in order])
+
+    def same(rows: DataFrame) -> Column:
+        return reduce(lambda a, b: a & b, [rows[k].eqNullSafe(F.col(f"key_{i}_")) for i, k in enumerate(keys)])
+
+    near = (
+        df.join(F.broadcast(heads), same(df), "left")
+        .withColumn("near_", F.when(F.col("heads_").isNotNull(), _chunk(at, "heads_", most) - 1))
+        .select(*[df[c] for c in df.columns], "total_", "near_")
+    )
+    inner = F.col("before_") * F.col("side_") + _chunk(at, "block_", most)
     return (
-        F.when(F.col("heads_").isNull(), 0)
-        .when(before == 0, 0)
-        .otherwise((before - 1) * F.col("side_") + inner)
+        near.join(F.broadcast(blocks), same(near) & (F.col("near_") == F.col("before_")), "left")
+        .withColumn("chunk_", F.when(F.col("block_").isNull(), 0).otherwise(inner))
+        .select(*[near[c] for c in df.columns], "total_", "chunk_")
     )
 
 
@@ -117,13 +147,7 @@ def ranked(
         return out.withColumn(size, F.count(F.lit(1)).over(group)) if size else out
 
     cuts = _cut_points(df, keys, order, hot, limit)
-    helper = ["total_", "heads_", "blocks_", "side_"]
-    tagged = (
-        df.join(F.broadcast(cuts), _same_keys(df, cuts, keys), "left")
-        .select(*[df[c] for c in df.columns], *[cuts[c] for c in helper])
-        .withColumn("chunk_", _chunk(F.struct(*[F.col(c) for c in order])))
-        .drop("heads_", "blocks_", "side_")
-    )
+    tagged = _with_chunk(df, cuts, keys, order)
     per_chunk = (
         tagged.where(F.col("total_").isNotNull())
         .groupBy(*keys, "chunk_")

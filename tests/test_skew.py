@@ -106,3 +106,38 @@ def test_split_with_few_and_with_many_strata(spark, monkeypatch):
     many = sampling.with_split(rows, 0.2, 5, ["c1"])
     assert few.exceptAll(many).isEmpty() and many.count() == 3000
     assert few.where("is_val AND c1 = 7").count() == round(few.where("c1 = 7").count() * 0.2)
+
+
+def joined_columns(df):
+    """Names of the columns that come out of any join of the plan."""
+    names, todo = set(), [df._jdf.queryExecution().optimizedPlan()]
+    while todo:
+        node = todo.pop()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName() == "Join":
+            names |= {node.output().apply(i).name() for i in range(node.output().size())}
+    return names
+
+
+def test_a_row_does_not_carry_all_bounds_of_its_group(spark):
+    """Three groups, one of them null, with some 100 bounds each; a row of one bound's key counts those below it."""
+    from codeloom.operators import ranking
+
+    rows = spark.range(12000).select(
+        "id", F.when(F.col("id") % 4 > 1, None).otherwise(F.col("id") % 4).alias("g"), F.lit("a").alias("first"),
+        F.when(F.col("id") % 50 == 0, None).otherwise(F.md5(F.col("id").cast("string"))).alias("name"),
+    )
+    order = ["first", "name", "id"]
+    hot, limit = hot_groups(rows, ["g"], hot_rows=40)
+    cuts = ranking._cut_points(rows, ["g"], order, hot, limit)
+    got = {r["id"]: (r["g"], r["chunk_"]) for r in ranking._with_chunk(rows, cuts, ["g"], order).collect()}
+    bounds = {r["g"]: [tuple(c) for c in r["cuts_"]] for r in cuts.collect()}
+    assert len(got) == 12000 and min(map(len, bounds.values())) > 50
+    nulls_first = lambda key: [(v is not None, v) for v in key]
+    for r in rows.where("id % 7 = 0").collect():
+        below = sum(nulls_first(c) < nulls_first([r[k] for k in order]) for c in bounds[r["g"]])
+        assert got[r["id"]] == (r["g"], below)
+    placed = ranked(rows, ["g"], order, size="n", hot_rows=40)
+    assert {"cuts_", "blocks_"}.isdisjoint(joined_columns(placed))
+    plain = ranked(rows, ["g"], order, size="n")
+    assert placed.schema == plain.schema and plain.exceptAll(placed).isEmpty() and placed.exceptAll(plain).isEmpty()
