@@ -408,6 +408,30 @@ def test_span_digests(spark, texts):
 # Tokens.
 
 
+def test_only_letters_a_to_z_are_lowered_in_lines(spark):
+    odd = [" A\u00c9 \tBC\x0b", "\u0130Z", "\u212aK  \u03a3", "Plain TEXT ", "\x1cQ", "\u1e9e", " \t", "[\\]^_`{|}~"]
+    rows = spark.createDataFrame([("\n".join(odd),)], "text string").select(quality.lines_of(F.col("text")))
+    plain = [re.sub(r"[\x20\x09\x0B-\x0D]+", " ", x).translate({c: c + 32 for c in range(65, 91)}).strip(" ") for x in odd]
+    assert rows.first()[0] == [x for x in plain if x]
+    counts = quality.judge(documents(spark, ["#*$ %&|<> \u00a3 \\ [ ]", " \t\x0b#\r\n\n$$"])).collect()
+    assert sorted((r["doc_id"], r["n_symbols"], r["word_chars"]) for r in counts) == [(0, 8, 12), (1, 3, 3)]
+
+
+def test_quality_hashes_a_text_once_and_not_per_line(spark, texts):
+    """The rows of the lines do not carry the text, and no whole text is looked up character by character."""
+    lean = documents(spark, texts).select("doc_id", "text", "source")
+    plans = [quality.frequent_lines(lean, quality.QualityParams(), "doc_id", "text", "source"), quality.judge(lean)]
+    todo, lines = [p._jdf.queryExecution().optimizedPlan() for p in plans], 0
+    assert not any(re.search(r"translate\((coalesce\()?(text|_body|regexp_replace)", p.toString()) for p in todo)
+    while todo:
+        node = todo.pop()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName() == "Generate":
+            lines += 1
+            assert {node.output().apply(i).name() for i in range(node.output().size())}.isdisjoint(["text", "_body"])
+    assert lines == 2
+
+
 @pytest.fixture(scope="module")
 def tokenizer():
     return Tokenizer.from_file(VOCABULARY)
