@@ -16,6 +16,7 @@ same pieces, because sequences are numbered within the partition of the scan.
 from __future__ import annotations
 
 import unicodedata
+import weakref
 from bisect import insort
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -67,7 +68,7 @@ class Ids:
     of a chunk by the model of the tokenizer.
     """
 
-    def __init__(self, spec: str):
+    def __init__(self, spec: str, chunk_bytes: int = CHUNK_BYTES, word_bytes: int = WORD_BYTES):
         import regex
         from tokenizers import Tokenizer
 
@@ -77,13 +78,14 @@ class Ids:
         self.model = self.tokenizer.model
         self.find = regex.compile(WORD_PATTERN).findall
         self.symbols = byte_symbols()
-        self.known, self.words = Seen(self.chunk, CHUNK_BYTES), Seen(self.word, WORD_BYTES)
+        me = weakref.proxy(self)  # with a cycle, a worker that drops the broadcast would keep the tables until a full collection
+        self.known, self.words = Seen(lambda raw: me.chunk(raw), chunk_bytes), Seen(lambda word: me.word(word), word_bytes)
 
     @staticmethod
     def of_worker(state: dict) -> Ids:
         """The one of this worker: `state` is a broadcast value, which the worker keeps for its next task."""
         if "ids" not in state:
-            state["ids"] = Ids(state["spec"])
+            state["ids"] = Ids(state["spec"], *state["bytes"])
         return state["ids"]
 
     def word(self, word: str) -> bytes:
@@ -225,17 +227,18 @@ class Packer:
 
 def pack_documents(
     docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", window: int = WINDOW,
-    pool_tokens: int = POOL_TOKENS, end_id: int = END_ID,
+    pool_tokens: int = POOL_TOKENS, end_id: int = END_ID, seen_bytes: tuple[int, int] = (CHUNK_BYTES, WORD_BYTES),
 ) -> DataFrame:
     """Pieces of all documents: key, start, length, ids (unsigned 32-bit, little-endian), doc_tokens, sequence_id, offset.
 
     Every id of a document and its `end_id` lie in one piece; a sequence holds `window` ids or a power of two of
     them, so none needs padding, and its pieces lie next to each other. A null or empty text is the end id alone.
     Rows with equal or null keys are packed as separate documents; other columns are ignored; an empty table gives
-    no pieces. `pool_tokens` bounds a task's memory, not the result.
+    no pieces. `pool_tokens` bounds a task's memory, not the result. So does `seen_bytes`, for the tables of seen chunks
+    and words, which a worker keeps after its task, beside a JVM that may have grown to all of its heap in other jobs.
     """
     with open(path, encoding="utf-8") as file:
-        spec = docs.sparkSession.sparkContext.broadcast({"spec": file.read()})
+        spec = docs.sparkSession.sparkContext.broadcast({"spec": file.read(), "bytes": seen_bytes})
     kind = docs.schema[key].dataType.simpleString()
     names = [key, "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
     schema = f"`{key}` {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"

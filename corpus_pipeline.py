@@ -12,6 +12,8 @@ from codeloom.session import new_table_path
 NEAR_PERCENT = 80
 #: Documents of a host with a line from which it is boilerplate on a host of any size; op7's SQL knows only the 5 %.
 MAX_LINE_DOCS = 1000
+#: Bytes of a packing worker's tables of seen chunks and words; op8 has more, but there no other stage has filled the JVM.
+SEEN_BYTES = (96 << 20, 48 << 20)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +33,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.digests(packing.pack_documents(docs, vocabulary()))
+    return packing.digests(packing.pack_documents(docs, vocabulary(), seen_bytes=SEEN_BYTES))
 
 
 STAGES = [

@@ -1,8 +1,10 @@
 """Documents: quality rules, near duplicates, substring dedup, personal data, packing, tokens, against plain versions."""
 
+import gc
 import hashlib
 import random
 import re
+import weakref
 import zlib
 from collections import Counter, defaultdict
 
@@ -454,6 +456,39 @@ def test_automaton_matches_the_library(tokenizer):
         assert automaton.path(word) == tokenizer.encode(word, add_special_tokens=False).ids, word
 
 
+def test_tables_of_seen_texts_are_bounded_in_the_pipeline(spark, texts, monkeypatch):
+    """A worker keeps them after its task, beside a JVM whose heap other stages have filled."""
+    import corpus_pipeline
+
+    ids_of = packing.Ids(open(VOCABULARY, encoding="utf-8").read(), 20_000, 10_000)
+    rnd = random.Random(4)
+    words_ = ["".join(rnd.choice("abcdefghij") for _ in range(9)) for _ in range(3000)]
+    held = lambda seen: sum(packing.ENTRY_BYTES + len(k) + len(v) for part in (seen, seen.older) for k, v in part.items())
+    plain = packing.Ids(open(VOCABULARY, encoding="utf-8").read())
+    for word in words_:
+        assert ids_of.of(word.encode()) == plain.of(word.encode())
+        assert held(ids_of.known) < 21_000 and held(ids_of.words) < 11_000
+    pack, asked = packing.pack_documents, []
+    monkeypatch.setattr(packing, "pack_documents", lambda *a, **k: asked.append(k["seen_bytes"]) or pack(*a, **k))
+    got = corpus_pipeline.packed(spark, documents(spark, texts), "").collect()
+    monkeypatch.undo()
+    assert sum(asked[0]) <= 160 << 20
+    assert sorted(got) == sorted(packing.digests(packing.pack_documents(documents(spark, texts), VOCABULARY)).collect())
+
+
+def test_a_worker_that_drops_the_broadcast_frees_the_tables():
+    state = {"spec": open(VOCABULARY, encoding="utf-8").read(), "bytes": (1 << 20, 1 << 20)}
+    gc.disable()
+    try:
+        ids_of = packing.Ids.of_worker(state)
+        assert ids_of is packing.Ids.of_worker(state) and ids_of.of(b"some words") and len(ids_of.known) == 2
+        left = [weakref.ref(ids_of), weakref.ref(ids_of.known), weakref.ref(ids_of.words)]
+        del ids_of, state
+        assert [r() for r in left] == [None] * 3
+    finally:
+        gc.enable()
+
+
 def test_encoded_documents(spark, texts, tokenizer):
     docs = documents(spark, texts)
     got = collected(bpe.digests(bpe.encode_documents(docs, VOCABULARY)))
